@@ -36,88 +36,67 @@ def _item(k: Column, v: Column, t: Column) -> Column:
     return F.struct(k.alias("k"), v.alias("v"), t.alias("t"))
 
 
-def _kind_of(sv: Column) -> Column:
-    """Kind of a VARIANT from its schema text (computed once per entry)."""
-    return (
-        F.when(sv.isNull(), F.lit(None))
-        .when(F.startswith(sv, F.lit("OBJECT")), F.lit("OBJECT"))
-        .when(F.startswith(sv, F.lit("ARRAY")), F.lit("ARRAY"))
-        .when(sv == "STRING", F.lit("STRING"))
-        .when(sv == "BOOLEAN", F.lit("BOOLEAN"))
-        .when(sv == "VOID", F.lit("NULL"))
-        .when(sv.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), F.lit("INTEGER"))
-        .otherwise(F.lit("NUMBER"))
+# The walk is written as SQL text: one parse in the JVM per level instead of
+# thousands of client calls building the same nested lambdas.
+
+KIND_SQL = """CASE WHEN {sv} IS NULL THEN NULL
+  WHEN startswith({sv}, 'OBJECT') THEN 'OBJECT' WHEN startswith({sv}, 'ARRAY') THEN 'ARRAY'
+  WHEN {sv} = 'STRING' THEN 'STRING' WHEN {sv} = 'BOOLEAN' THEN 'BOOLEAN' WHEN {sv} = 'VOID' THEN 'NULL'
+  WHEN {sv} IN ('TINYINT', 'SMALLINT', 'INT', 'BIGINT') THEN 'INTEGER' ELSE 'NUMBER' END"""
+
+# P17 with D13 fixed: NUMBER reads numbers and numeric text; BOOL reads a JSON
+# node as a boolean; STRING/DATETIME give the value's text (JSON null stays
+# NULL); LIST keeps arrays without object elements; unknown codes give NULL.
+CAST_SQL = """CASE
+  WHEN {t} = 0 THEN CASE WHEN {kind} IN ('INTEGER', 'NUMBER') THEN {v}
+    WHEN {kind} = 'STRING' THEN CAST(try_cast(trim({raw}) AS DECIMAL(38,18)) AS VARIANT) END
+  WHEN {t} = 1 THEN CASE WHEN {kind} = 'BOOLEAN' THEN {v}
+    WHEN {kind} = 'INTEGER' THEN CAST(try_variant_get({v}, '$', 'bigint') <> 0 AS VARIANT)
+    WHEN {kind} = 'STRING' THEN CAST(trim({raw}) = 'true' AS VARIANT) ELSE CAST(false AS VARIANT) END
+  WHEN {t} IN (2, 3) THEN CASE WHEN {kind} = 'NULL' THEN CAST(NULL AS VARIANT)
+    WHEN {kind} IN ('OBJECT', 'ARRAY') THEN CAST('' AS VARIANT) ELSE CAST({raw} AS VARIANT) END
+  WHEN {t} = 4 THEN CASE WHEN {kind} = 'ARRAY' AND forall(try_variant_get({v}, '$', 'array<variant>'),
+    el -> NOT startswith(schema_of_variant(el), 'OBJECT')) THEN {v} END
+  END"""
+
+ENTRIES_SQL = """CASE WHEN startswith(ltrim({text}), '{{') THEN transform(
+  arrays_zip(map_entries(from_json({text}, 'map<string,string>')), map_values(from_json({text}, 'map<string,variant>'))),
+  z -> named_struct('k', z.`0`.key, 'raw', z.`0`.value, 'v', z.`1`)) END"""
+
+ITEM_NULL = "named_struct('k', CAST(NULL AS STRING), 'v', CAST(NULL AS VARIANT), 't', CAST(NULL AS STRING))"
+
+
+def _match_sql(config: PipelineConfig) -> str:
+    if config.rule_match == "contains":
+        return "contains(project_list, r.project)"
+    return "array_contains(tokens, r.project)"
+
+
+def classify_sql(entries: str, config: PipelineConfig) -> str:
+    """Entries -> items: pass 1 annotates key, kind and rule once per entry,
+    pass 2 decides: ruled / descend / drop / keep."""
+    annotate = (
+        f"transform({entries}, e -> named_struct('key', lower(e.k), 'raw', e.raw, 'v', e.v, "
+        f"'kind', {KIND_SQL.format(sv='schema_of_variant(e.v)')}, "
+        f"'rule', try_element_at(filter(try_element_at(_rules, lower(e.k)), r -> {_match_sql(config)}), -1)))"
     )
+    cast = CAST_SQL.format(t="x.rule.type", kind="x.kind", v="x.v", raw="x.raw")
+    decide = f"""x -> CASE
+      WHEN x.rule IS NOT NULL THEN CASE WHEN x.kind = 'OBJECT' THEN {ITEM_NULL}
+        ELSE named_struct('k', x.rule.out, 'v', {cast}, 't', CAST(NULL AS STRING)) END
+      WHEN x.kind = 'OBJECT' OR (x.kind = 'STRING' AND startswith(ltrim(x.raw), '{{'))
+        THEN named_struct('k', x.key, 'v', x.v, 't', x.raw)
+      WHEN x.kind = 'ARRAY' THEN {ITEM_NULL}
+      ELSE named_struct('k', x.key, 'v', x.v, 't', CAST(NULL AS STRING)) END"""
+    return f"transform({annotate}, {decide})"
 
 
-def cast_by_rule(rule_type: Column, v: Column, raw: Column, kind: Column) -> Column:
-    """P17 with D13 fixed: NUMBER reads numbers and numeric text; BOOL as a JSON
-    node reads it; STRING/DATETIME give the value's text (JSON null stays NULL);
-    LIST keeps arrays without object elements; unknown codes give NULL."""
-    text = F.trim(raw)
-    number = F.when(kind.isin("INTEGER", "NUMBER"), v).when(
-        kind == "STRING", text.try_cast("decimal(38,18)").cast("variant")
-    )
-    boolean = (
-        F.when(kind == "BOOLEAN", v)
-        .when(kind == "INTEGER", (F.try_variant_get(v, "$", "bigint") != 0).cast("variant"))
-        .when(kind == "STRING", (text == "true").cast("variant"))
-        .otherwise(F.lit(False).cast("variant"))
-    )
-    as_text = (
-        F.when(kind == "NULL", _null_v())
-        .when(kind.isin("OBJECT", "ARRAY"), F.lit("").cast("variant"))
-        .otherwise(raw.cast("variant"))
-    )
-    no_objects = F.forall(
-        F.try_variant_get(v, "$", "array<variant>"),
-        lambda x: ~F.startswith(F.schema_of_variant(x), F.lit("OBJECT")),
-    )
-    as_list = F.when((kind == "ARRAY") & no_objects, v)
-    return (
-        F.when(rule_type == C.RULE_NUMBER, number)
-        .when(rule_type == C.RULE_BOOL, boolean)
-        .when(rule_type.isin(C.RULE_STRING, C.RULE_DATETIME), as_text)
-        .otherwise(F.when(rule_type == C.RULE_LIST, as_list))
-    )
-
-
-def _annotate(e: Column, rules: Column, config: PipelineConfig) -> Column:
-    """Pass 1 per entry: lower-cased key, value kind, applicable rule (each once)."""
-    key = F.lower(e.k)
-    candidates = F.try_element_at(rules, key)
-    rule = F.try_element_at(
-        F.filter(candidates, lambda r: project_matches(r.project, F.col("tokens"), F.col("project_list"),
-                                                      config.rule_match)),
-        F.lit(-1),
-    )
-    return F.struct(
-        key.alias("key"), e.raw.alias("raw"), e.v.alias("v"),
-        _kind_of(F.schema_of_variant(e.v)).alias("kind"), rule.alias("rule"),
-    )
-
-
-def _decide(x: Column) -> Column:
-    """Pass 2 per entry: ruled / descend / drop / keep."""
-    dropped = _item(_null_s(), _null_v(), _null_s())
-    ruled = F.when(x.kind == "OBJECT", dropped).otherwise(
-        _item(x.rule.out, cast_by_rule(x.rule.type, x.v, x.raw, x.kind), _null_s())
-    )
-    descend = (x.kind == "OBJECT") | ((x.kind == "STRING") & starts_with_char(x.raw, "{"))
-    return (
-        F.when(x.rule.isNotNull(), ruled)
-        .when(descend, _item(x.key, x.v, x.raw))  # object, or text that may hold one
-        .when(x.kind == "ARRAY", dropped)
-        .otherwise(_item(x.key, x.v, _null_s()))
-    )
-
-
-def _classify_all(entries: Column, rules: Column, config: PipelineConfig) -> Column:
-    return F.transform(F.transform(entries, lambda e: _annotate(e, rules, config)), _decide)
-
-
-def _expand(text: Column, rules: Column, config: PipelineConfig) -> Column:
-    return _classify_all(object_entries(text), rules, config)
+def level_sql(config: PipelineConfig) -> str:
+    """One more level: pending items are replaced by their object's items; text
+    that turns out to hold no object is kept as it is."""
+    inner = classify_sql(ENTRIES_SQL.format(text="it.t"), config)
+    keep = "array(named_struct('k', it.k, 'v', it.v, 't', CAST(NULL AS STRING)))"
+    return f"flatten(transform(_items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({inner}, {keep}) END))"
 
 
 def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) -> DataFrame:
@@ -125,27 +104,17 @@ def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) ->
 
     Needs columns entries (the part's object entries), tokens and project_list.
     """
-    items = F.coalesce(
-        _classify_all(F.col("entries"), rules, config),
-        F.array().cast(f"array<{ITEM_TYPE}>"),
-    )
-    df = df.withColumn("_items", items)
+    df = df.withColumn("_rules", rules)
+    first = f"coalesce({classify_sql('entries', config)}, CAST(array() AS array<{ITEM_TYPE}>))"
+    df = df.withColumn("_items", F.expr(first))
+    step = F.expr(level_sql(config))
     for _ in range(config.flatten_depth):
-        step = F.flatten(
-            F.transform(
-                F.col("_items"),
-                lambda it: F.when(it.t.isNull(), F.array(it)).otherwise(
-                    F.coalesce(_expand(it.t, rules, config), F.array(_item(it.k, it.v, _null_s())))
-                ),
-            )
-        )
-        pending = F.exists(F.col("_items"), lambda it: it.t.isNotNull())
-        df = df.withColumn("_items", F.when(pending, step).otherwise(F.col("_items")))
-    done = F.filter(F.col("_items"), lambda it: it.k.isNotNull() & it.t.isNull())
-    return df.withColumns({
-        "flat_items": F.transform(done, lambda it: F.struct(it.k.alias("k"), it.v.alias("v"))),
-        "flatten_truncated": F.exists(F.col("_items"), lambda it: it.t.isNotNull()),
-    }).drop("_items")
+        df = df.withColumn("_items", step)
+    return df.withColumn("_done", F.expr(
+        "named_struct('items', transform(filter(_items, it -> it.k IS NOT NULL AND it.t IS NULL), "
+        "it -> named_struct('k', it.k, 'v', it.v)), 'truncated', exists(_items, it -> it.t IS NOT NULL))"
+    )).select("*", F.col("_done.items").alias("flat_items"), F.col("_done.truncated").alias("flatten_truncated")
+              ).drop("_items", "_done", "_rules")
 
 
 def _kv(k: str, v: Column) -> Column:

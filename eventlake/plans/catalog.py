@@ -16,9 +16,9 @@ from eventlake.constants import TIME_PATTERNS
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
 from eventlake.operators import metadata as M
 from eventlake.plans import oracle as O
-from eventlake.plans.pipeline import run, transform
+from eventlake.plans.pipeline import offset_positions, run, stage_counters, transform
 from eventlake.sources.metadata import sample_metadata
-from eventlake.sources.records import event_records
+from eventlake.sources.records import event_records, mixed_records
 from eventlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,83 @@ def time_parse_patterns(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def _prop_text(name: str):
+    return F.try_variant_get(F.col("properties")[name], "$", "string")
+
+
+def _prop_double(name: str):
+    return F.try_variant_get(F.col("properties")[name], "$", "double")
+
+
+def _prop_keys():
+    return F.array_join(F.array_sort(F.map_keys("properties")), ",")
+
+
+def _event_parts(spark: SparkSession, data_dir: str, config: PipelineConfig | None = None,
+                 with_rules: bool = True) -> DataFrame:
+    meta = sample_metadata(spark, data_dir, with_rules=with_rules)
+    return transform(event_records(spark, data_dir), meta, config).filter(F.col("has_part"))
+
+
+def rule_rename_cast(spark: SparkSession, data_dir: str) -> DataFrame:
+    """J4 P16 P17 (D3/D5 fixed): property keys and typed values after the rules."""
+    p = _event_parts(spark, data_dir)
+    return p.select(
+        "server", "partition", "offset", "project_list", _prop_keys().alias("prop_keys"),
+        _prop_text("name").alias("p_name"), _prop_text("page_name").alias("p_page_name"),
+        _prop_double("order_amount").alias("p_order_amount"), _prop_double("amount_af").alias("p_amount_af"),
+        F.try_variant_get(F.col("properties")["pos_x"], "$", "boolean").alias("p_pos_x"),
+        _prop_text("k_text").alias("p_k_text"), _prop_double("app_ver").alias("p_app_ver"),
+        F.to_json(F.col("properties")["tag_list"]).alias("p_tag_list"),
+    )
+
+
+def rule_match_contains(spark: SparkSession, data_dir: str) -> DataFrame:
+    """J4 with the reference's substring project match (D3 'ref')."""
+    p = _event_parts(spark, data_dir, PipelineConfig(rule_match="contains"))
+    return p.select("server", "partition", "offset", "project_list", _prop_keys().alias("prop_keys"))
+
+
+def flatten_properties_query(spark: SparkSession, data_dir: str) -> DataFrame:
+    """P15 P23-P26 without rules: every property as typed key/value rows."""
+    p = _event_parts(spark, data_dir, with_rules=False)
+    kv = p.select("server", "partition", "offset", F.explode("properties").alias("key", "v"))
+    sv = F.schema_of_variant("v")
+    return kv.select(
+        "server", "partition", "offset", "key",
+        F.when(sv == "STRING", F.try_variant_get("v", "$", "string")).alias("v_text"),
+        F.when(~sv.isin("STRING", "BOOLEAN"), F.try_variant_get("v", "$", "double")).alias("v_num"),
+        F.when(sv == "BOOLEAN", F.try_variant_get("v", "$", "boolean")).alias("v_bool"),
+    )
+
+
+def _mixed_parts(spark: SparkSession, data_dir: str) -> DataFrame:
+    return transform(mixed_records(spark, data_dir), sample_metadata(spark, data_dir))
+
+
+def json_decode_fallback(spark: SparkSession, data_dir: str) -> DataFrame:
+    """P1-P4 P7 P8 P12 (D4, D12): what became of every record."""
+    p = _mixed_parts(spark, data_dir).filter(F.col("part_index").isNull() | (F.col("part_index") == 0))
+    converted = F.col("value_text").isNotNull() & (F.col("body_text") != F.col("value_text"))
+    outcome = (
+        F.when(F.col("is_null"), "null").when(F.col("decode_error").isNotNull(), "scalar")
+        .when(F.col("n_parts") == 0, "empty").when(F.col("n_parts") > 1, "split")
+        .when(converted, "converted").otherwise("object")
+    )
+    return p.select("server", "partition", "offset", outcome.alias("outcome"), "n_parts",
+                    F.when(converted, F.col("body_text")).alias("body"))
+
+
+def stage_counters_query(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A5: stage counters over records with every decode edge."""
+    return stage_counters(_mixed_parts(spark, data_dir))
+
+
+def offset_audit(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A4 (D6 fixed): largest offset per partition read."""
+    return offset_positions(_mixed_parts(spark, data_dir))
+
+
 QUERIES: dict[str, Query] = {
     "event_normalize": event_normalize,
     "project_fanout": project_fanout,
@@ -90,6 +167,12 @@ QUERIES: dict[str, Query] = {
     "wiring_group": wiring_group,
     "sink_projects": sink_projects_query,
     "time_parse_patterns": time_parse_patterns,
+    "rule_rename_cast": rule_rename_cast,
+    "rule_match_contains": rule_match_contains,
+    "flatten_properties": flatten_properties_query,
+    "json_decode_fallback": json_decode_fallback,
+    "stage_counters": stage_counters_query,
+    "offset_audit": offset_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -100,4 +183,10 @@ ORACLE: dict[str, str] = {
     "wiring_group": O.WIRING_GROUP,
     "sink_projects": O.SINK_PROJECTS,
     "time_parse_patterns": O.TIME_PARSE_PATTERNS,
+    "rule_rename_cast": O.RULE_RENAME_CAST,
+    "rule_match_contains": O.RULE_MATCH_CONTAINS,
+    "flatten_properties": O.FLATTEN_PROPERTIES,
+    "json_decode_fallback": O.JSON_DECODE_FALLBACK,
+    "stage_counters": O.STAGE_COUNTERS,
+    "offset_audit": O.OFFSET_AUDIT,
 }

@@ -146,3 +146,152 @@ SELECT o_orderkey, CAST(o_orderkey % 10 AS INTEGER) AS pattern_no,
        ELSE epoch_ms(date_trunc('second', o_orderdate)) - 28800000 END AS BIGINT) AS "time",
   CASE WHEN o_orderkey % 10 = 9 THEN '19700101' ELSE strftime(o_orderdate, '%Y%m%d') END AS date
 FROM orders"""
+
+# ---- rules, flatten -------------------------------------------------------
+
+RULE_FLAGS = """
+rf AS (
+  SELECT x.*,
+    coalesce(list_contains(tokens, 'p_asia'), false) AS r_asia,
+    coalesce(list_contains(tokens, 'p_europe'), false) AS r_europe,
+    coalesce(list_contains(tokens, 'p_america'), false) AS r_america,
+    coalesce(list_contains(tokens, 'p_africa'), false) AS r_africa,
+    coalesce(list_contains(tokens, 'p_vip'), false) AS r_vip,
+    coalesce(contains(project_list, 'p_as'), false) AS r_as_substring
+  FROM x
+)"""
+
+
+def _prop_keys(amount_key: str) -> str:
+    keys = [
+        "CASE WHEN ev_name IS NOT NULL THEN 'eventid' END",
+        "CASE WHEN login IS NOT NULL THEN 'loginid' END",
+        "CASE WHEN device IS NOT NULL THEN 'deviceid' END",
+        "'time'",
+        "CASE WHEN r_asia THEN 'app_ver' ELSE 'appversion' END",
+        "CASE WHEN rec_project IS NOT NULL THEN 'project' END",
+        amount_key,
+        "CASE WHEN NOT r_america THEN 'name' END",
+        "CASE WHEN NOT r_america THEN (CASE WHEN r_asia THEN 'pos_x_asia' WHEN r_africa THEN 'pos_x' ELSE 'x' END) END",
+        "CASE WHEN NOT r_america AND NOT r_europe THEN 'y' END",
+        "CASE WHEN r_europe THEN 'k_text' ELSE 'k' END",
+        "CASE WHEN name_top IS NOT NULL THEN (CASE WHEN r_america THEN 'page_name' ELSE 'name' END) END",
+        "CASE WHEN has_device_id_prop THEN 'device_id' END",
+        "CASE WHEN has_tags AND r_vip THEN 'tag_list' END",
+        "'$app_version'",
+        "CASE WHEN device IS NOT NULL THEN '$device_id' END",
+        "CASE WHEN ev_name IS NOT NULL THEN 'event_name' END",
+        "CASE WHEN login IS NOT NULL THEN 'login_id' END",
+        "'$is_login_id'",
+        "CASE WHEN record_key <> '' THEN 'RECORD_KEY' END",
+        "'date'", "'SACONSUMERSERVER'", "'SACONSUMERGROUP'", "'SACONSUMERTOPIC'",
+        "'SACONSUMERPARTITION'", "'SACONSUMEROFFSET'",
+    ]
+    return "array_to_string(list_sort(list_distinct(list_filter([" + ", ".join(keys) + "], lambda k: k IS NOT NULL))), ',')"
+
+
+RULE_RENAME_CAST = with_(EV, WIRING, V, RULE_FLAGS) + f"""
+SELECT server, "partition", "offset", project_list,
+  {_prop_keys("CASE WHEN r_africa THEN 'amount_af' WHEN r_asia THEN 'order_amount' ELSE 'amount' END")} AS prop_keys,
+  CASE WHEN NOT r_america THEN coalesce(name_top, event_type) END AS p_name,
+  CASE WHEN r_america THEN name_top END AS p_page_name,
+  CASE WHEN r_asia AND NOT r_africa THEN value END AS p_order_amount,
+  CASE WHEN r_africa THEN value END AS p_amount_af,
+  CASE WHEN r_africa AND NOT r_asia AND NOT r_america THEN u <> 0 END AS p_pos_x,
+  CASE WHEN r_europe THEN json_extract_string(props, '$.k') END AS p_k_text,
+  CASE WHEN r_asia THEN CAST(app_version AS DOUBLE) END AS p_app_ver,
+  CASE WHEN r_vip AND has_tags THEN '["a","' || event_type || '"]' END AS p_tag_list
+FROM rf"""
+
+RULE_MATCH_CONTAINS = with_(EV, WIRING, V, RULE_FLAGS) + f"""
+SELECT server, "partition", "offset", project_list,
+  {_prop_keys("CASE WHEN r_africa THEN 'amount_af' WHEN r_as_substring THEN 'amt_sub' WHEN r_asia THEN 'order_amount' ELSE 'amount' END")} AS prop_keys
+FROM rf"""
+
+TIME_TEXT_SQL = """CASE e % 10
+      WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%g') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S %g')
+      WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.0') WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+      WHEN 4 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') WHEN 5 THEN strftime(ts, '%Y%m%d%H%M%S')
+      WHEN 6 THEN strftime(ts, '%Y-%m-%d %H:%M') WHEN 7 THEN strftime(ts, '%Y-%m-%d')
+      WHEN 8 THEN strftime(ts, '%Y%m%d') ELSE 'bad time' END"""
+
+
+def _kv(key: str, text: str = "NULL", num: str = "NULL", flag: str = "NULL", cond: str = "true") -> str:
+    return (f"SELECT server, \"partition\", \"offset\", '{key}' AS key, CAST({text} AS VARCHAR) AS v_text, "
+            f"CAST({num} AS DOUBLE) AS v_num, CAST({flag} AS BOOLEAN) AS v_bool FROM x WHERE {cond}")
+
+
+FLATTEN_PROPERTIES = with_(EV, WIRING, V) + "\n" + "\nUNION ALL ".join([
+    _kv("eventid", text="ev_name", cond="ev_name IS NOT NULL"),
+    _kv("loginid", text="login", cond="login IS NOT NULL"),
+    _kv("deviceid", text="device", cond="device IS NOT NULL"),
+    _kv("time", text=TIME_TEXT_SQL),
+    _kv("appversion", text="app_version"),
+    _kv("project", text="rec_project", cond="rec_project IS NOT NULL"),
+    _kv("amount", num="value"),
+    _kv("name", text="coalesce(name_top, event_type)"),
+    _kv("x", num="u"),
+    _kv("y", num="e % 7"),
+    _kv("k", num="CAST(json_extract_string(props, '$.k') AS DOUBLE)"),
+    _kv("device_id", text="device", cond="has_device_id_prop"),
+    _kv("$app_version", text="app_version"),
+    _kv("$device_id", text="device", cond="device IS NOT NULL"),
+    _kv("event_name", text="ev_name", cond="ev_name IS NOT NULL"),
+    _kv("login_id", text="login", cond="login IS NOT NULL"),
+    _kv("$is_login_id", flag="login_ok"),
+    _kv("RECORD_KEY", text="record_key", cond="record_key <> ''"),
+    _kv("date", text="date"),
+    _kv("SACONSUMERSERVER", text="server"),
+    _kv("SACONSUMERGROUP", text="consumer_group"),
+    _kv("SACONSUMERTOPIC", text="topic"),
+    _kv("SACONSUMERPARTITION", num='"partition"'),
+    _kv("SACONSUMEROFFSET", text='"offset"'),
+])
+
+# ---- decode edges and counters over the mixed records ----------------------
+
+MIXED = """
+mixed AS (
+  SELECT x.*, e % 50 AS r,
+    CASE WHEN e % 50 = 49 THEN 'null' WHEN e % 50 = 47 THEN 'scalar' WHEN e % 50 = 44 THEN 'empty'
+         WHEN e % 50 = 45 THEN 'split' WHEN e % 50 IN (48, 46, 43) THEN 'converted' ELSE 'object' END AS outcome,
+    sp.sink_projects AS meta_projects
+  FROM x LEFT JOIN sp ON sp.source_server_port = x.server AND sp.source_group_id = x.consumer_group
+    AND sp.source_topic = x.topic
+)"""
+
+JSON_DECODE_FALLBACK = with_(EV, WIRING, V, MIXED) + """
+SELECT server, "partition", "offset", outcome,
+  CAST(CASE outcome WHEN 'null' THEN 0 WHEN 'scalar' THEN 0 WHEN 'empty' THEN 0 WHEN 'split' THEN 2 ELSE 1 END
+       AS INTEGER) AS n_parts,
+  CASE WHEN outcome = 'converted' THEN
+    CASE WHEN r = 43 AND server = 'kafka-b:9092' THEN '{"fn1":"u' || e || '","fn2":"Login"}' ELSE '{}' END
+  END AS body
+FROM mixed"""
+
+STAGE_COUNTERS = with_(EV, WIRING, V, MIXED) + """,
+parts AS (
+  SELECT server, topic, CASE WHEN outcome = 'split' THEN 2 ELSE 1 END AS copies, project_list AS plist,
+    signup, errors IS NOT NULL AS bad
+  FROM mixed WHERE outcome IN ('object', 'split')
+  UNION ALL
+  SELECT server, topic, 1, meta_projects, false, true FROM mixed WHERE outcome = 'converted'
+),
+rows AS (
+  SELECT server, '' AS project, '' AS topic, '0-NULL' AS stage, 1 AS n FROM mixed WHERE outcome = 'null'
+  UNION ALL SELECT server, '', topic, '1-SOURCE', 1 FROM mixed WHERE outcome <> 'null'
+  UNION ALL SELECT server, '', topic, '2-INVALID', 1 FROM mixed WHERE outcome IN ('scalar', 'empty')
+  UNION ALL SELECT server, '', topic, '3-NEED_SPLIT', 1 FROM mixed WHERE outcome = 'split'
+  UNION ALL SELECT server, '', topic, '4-SPLIT', 2 FROM mixed WHERE outcome = 'split'
+  UNION ALL SELECT server, '', topic, '2-INVALID', copies FROM parts WHERE plist IS NULL
+  UNION ALL SELECT server, '', topic, '8-VALIDATION', copies FROM parts WHERE plist IS NOT NULL AND bad
+  UNION ALL SELECT server, unnest(string_split(plist, ',')), topic, '7-SINK', copies FROM parts
+    WHERE plist IS NOT NULL
+  UNION ALL SELECT server, unnest(string_split(plist, ',')), topic, '6-SIGNUP', copies FROM parts
+    WHERE plist IS NOT NULL AND signup
+)
+SELECT server, 'etl' AS consumer_group, project, topic, stage, CAST(sum(n) AS BIGINT) AS cnt
+FROM rows GROUP BY ALL"""
+
+OFFSET_AUDIT = with_(EV) + """
+SELECT server, consumer_group, topic, "partition", max("offset") AS "offset" FROM ev GROUP BY ALL"""
