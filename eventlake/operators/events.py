@@ -85,9 +85,10 @@ def fan_out(df: DataFrame) -> DataFrame:
     signup = F.struct(F.lit(C.TYPE_SIGNUP).alias("type"), F.lit(C.EVENT_SIGNUP).alias("event"),
                       F.col("src_device_id").alias("original_id"))
     kinds = F.when(F.col("signup"), F.array(signup, track)).otherwise(F.array(track))
-    out = df.withColumn("_kind", F.explode(kinds)).withColumn("project", F.explode("tokens"))
+    out = df.select("*", F.posexplode(kinds).alias("kind_index", "_kind"))
+    out = out.select("*", F.posexplode("tokens").alias("project_index", "project"))
     return out.select(
-        "server", "consumer_group", "topic", "partition", "offset", "part_index",
+        "server", "consumer_group", "topic", "partition", "offset", "part_index", "kind_index", "project_index",
         "project", F.col("_kind.type").alias("type"), F.col("_kind.event").alias("event"),
         "distinct_id", "time", F.col("_kind.original_id").alias("original_id"),
         "properties", "error_reason",

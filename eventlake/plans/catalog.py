@@ -18,7 +18,16 @@ from eventlake.operators import metadata as M
 from eventlake.plans import oracle as O
 from eventlake.plans.pipeline import offset_positions, run, stage_counters, transform
 from eventlake.sources.metadata import sample_metadata
-from eventlake.sources.records import event_records, mixed_records
+from eventlake.functions import time as T
+from eventlake.operators import positions as P
+from eventlake.operators.counters import merge_counters
+from eventlake.operators.decode import decode
+from eventlake.operators.extras import daily_unique_users, drop_blacklisted, module_star_join
+from eventlake.operators.profile import profile_rows, topic_fanout
+from eventlake.sources.metadata import sample_blacklist, sample_modules
+from eventlake.sources.records import (
+    SERVER_B, conversation_records, customer_records, event_records, log_records, mixed_records, user_records,
+)
 from eventlake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +168,161 @@ def offset_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     return offset_positions(_mixed_parts(spark, data_dir))
 
 
+# ---- restart positions over the event records -------------------------------
+
+def _ts(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _positions(spark: SparkSession, data_dir: str):
+    source = event_records(spark, data_dir).select(
+        "server", "consumer_group", "topic", "partition", "offset", "timestamp")
+    audit = P.audit_rows(source.filter(F.col("timestamp") < _ts(O.CKPT_CUT)))
+    ckpt = P.latest_checkpoint(audit)
+    lags = P.lag(ckpt, P.end_offsets(source))
+    return source, ckpt, lags
+
+
+def _sink(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Sink rows: the main output of the records read before SINK_CUT, placed in
+    8 sink partitions with increasing offsets."""
+    raw = event_records(spark, data_dir).filter(F.col("timestamp") < _ts(O.SINK_CUT))
+    main = run(raw, sample_metadata(spark, data_dir)).main()
+    return main.withColumns({
+        "sink_partition": F.col("partition") + F.when(F.col("server") == SERVER_B, 4).otherwise(0),
+        "sink_offset": F.col("offset") * 16 + F.col("project_index") * 2 + F.col("kind_index"),
+    })
+
+
+def _sink_positions(spark: SparkSession, data_dir: str, lags: DataFrame) -> DataFrame:
+    rows_back = lags.select(F.sum("lag")).scalar()
+    return P.lineage_positions(P.sink_tail(_sink(spark, data_dir), rows_back))
+
+
+def latest_checkpoint(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Offset audit per checkpoint, then the latest position per partition."""
+    _, ckpt, _ = _positions(spark, data_dir)
+    return ckpt
+
+
+def replay_lag(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Lag per topic, per server and in total."""
+    _, _, lags = _positions(spark, data_dir)
+    return P.lag_rollup(lags)
+
+
+def sink_tail_max(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Largest source offset found in the tail of every sink partition."""
+    _, _, lags = _positions(spark, data_dir)
+    return _sink_positions(spark, data_dir, lags)
+
+
+def resume_position(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The position each partition resumes from."""
+    _, _, lags = _positions(spark, data_dir)
+    return P.resume_positions(lags, _sink_positions(spark, data_dir, lags))
+
+
+def replay_anti_join(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Records after the checkpoint that the sink does not hold yet."""
+    source, ckpt, _ = _positions(spark, data_dir)
+    sink_keys = _sink(spark, data_dir).select("server", "topic", "partition", "offset")
+    return P.replay_rows(source, ckpt, sink_keys).select("server", "topic", "partition", "offset")
+
+
+def start_by_timestamp(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Earliest offset at or after a start time, per partition."""
+    source = event_records(spark, data_dir).select("server", "topic", "partition", "offset", "timestamp")
+    return P.start_by_timestamp(source, _ts(O.START_TS))
+
+
+def counter_merge(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Totals of an earlier snapshot merged with the counts of later records."""
+    raw = mixed_records(spark, data_dir)
+    meta = sample_metadata(spark, data_dir)
+    cut = _ts("2024-01-15 00:00:00")
+    old = stage_counters(transform(raw.filter(F.col("timestamp") < cut), meta))
+    delta = stage_counters(transform(raw.filter(F.col("timestamp") >= cut), meta))
+    return merge_counters(old, delta)
+
+
+# ---- splits and converters ---------------------------------------------------
+
+def log_split(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Bank "old" records, LOG text cut at '[' and split into parts."""
+    parts = transform(log_records(spark, data_dir), sample_metadata(spark, data_dir))
+    return parts.filter(F.col("has_part")).select(
+        "server", "offset", "partition", "part_index", "n_parts", "event", "distinct_id", "time")
+
+
+def array_split(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Records that are JSON arrays split into their elements."""
+    parts = transform(conversation_records(spark, data_dir), sample_metadata(spark, data_dir))
+    text = F.try_variant_get(F.col("properties")["text"], "$", "string")
+    return parts.filter(F.col("has_part")).select(
+        "offset", "part_index", "n_parts", "event", "distinct_id", F.length(text).alias("text_chars"))
+
+
+def delimited_decode(spark: SparkSession, data_dir: str) -> DataFrame:
+    """U+0001-delimited text turned into an object by the routed converter."""
+    dec = decode(customer_records(spark, data_dir), sample_metadata(spark, data_dir).routes)
+    m = F.from_json("body_text", "map<string,string>")
+    return dec.select(
+        "offset", m["fn1"].alias("fn1"), m["fn2"].alias("fn2"), m["fn3"].cast("double").alias("fn3_num"),
+        m["fn4"].alias("fn4"), F.size(m).alias("n_fields"))
+
+
+# ---- dormant, config-only and schema-only items -----------------------------
+
+def profile_set(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Profile rows from user records."""
+    prof = profile_rows(user_records(spark, data_dir), "UserID", "Time", "project")
+    return prof.select(
+        "offset", "distinct_id", "time", "project", "type",
+        F.try_variant_get(F.col("properties")["pa_userid"], "$", "string").alias("pa_userid"),
+        F.try_variant_get(F.col("properties")["$is_login_id"], "$", "boolean").alias("is_login_id"))
+
+
+def topic_fanout_query(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Fan-out by topic only."""
+    meta = sample_metadata(spark, data_dir)
+    recs = event_records(spark, data_dir).select("server", "topic", "partition", "offset")
+    return topic_fanout(recs, M.sink_projects(meta)).select("server", "partition", "offset", "project")
+
+
+def module_star_join_query(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Events LEFT JOIN module (levels 1-3), page and tag dimensions."""
+    events, modules, pages, tags = sample_modules(spark, data_dir)
+    out = module_star_join(events, modules, pages, tags)
+    return out.select("l_orderkey", "l_linenumber", "classify1_name", "classify2_name", "classify3_name",
+                      "page_name", "tag_name")
+
+
+def day_bounds(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Date helpers: epoch millis in the zone, day start/end, epoch day, second floor."""
+    zone = PipelineConfig().time_zone
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_orderdate"])
+    w = F.timestamp_add("MILLISECOND", (F.col("o_orderkey") * 7919) % 86400000, F.col("o_orderdate"))
+    ms = wall_clock_to_millis(w, zone)
+    return o.select(
+        "o_orderkey", ms.alias("ms"), T.day_start_millis(ms, zone).alias("day_start_ms"),
+        T.day_end_millis(ms, zone).alias("day_end_ms"),
+        F.unix_date(F.to_date(T.millis_to_wall_clock(ms, zone))).alias("epoch_day"),
+        T.second_floor_millis(ms).cast("bigint").alias("second_ms"))
+
+
+def daily_uv(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Distinct users per project and day."""
+    return daily_unique_users(_events_result(spark, data_dir).main())
+
+
+def event_blacklist(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Main rows without blacklisted (project, event) pairs."""
+    main = _events_result(spark, data_dir).main()
+    kept = drop_blacklisted(main, sample_blacklist(spark))
+    return kept.select("server", "partition", "offset", "project", "type", "event")
+
+
 QUERIES: dict[str, Query] = {
     "event_normalize": event_normalize,
     "project_fanout": project_fanout,
@@ -173,6 +337,22 @@ QUERIES: dict[str, Query] = {
     "json_decode_fallback": json_decode_fallback,
     "stage_counters": stage_counters_query,
     "offset_audit": offset_audit,
+    "latest_checkpoint": latest_checkpoint,
+    "replay_lag": replay_lag,
+    "sink_tail_max": sink_tail_max,
+    "resume_position": resume_position,
+    "replay_anti_join": replay_anti_join,
+    "start_by_timestamp": start_by_timestamp,
+    "counter_merge": counter_merge,
+    "log_split": log_split,
+    "array_split": array_split,
+    "delimited_decode": delimited_decode,
+    "profile_set": profile_set,
+    "topic_fanout": topic_fanout_query,
+    "module_star_join": module_star_join_query,
+    "day_bounds": day_bounds,
+    "daily_uv": daily_uv,
+    "event_blacklist": event_blacklist,
 }
 
 ORACLE: dict[str, str] = {
@@ -189,4 +369,20 @@ ORACLE: dict[str, str] = {
     "json_decode_fallback": O.JSON_DECODE_FALLBACK,
     "stage_counters": O.STAGE_COUNTERS,
     "offset_audit": O.OFFSET_AUDIT,
+    "latest_checkpoint": O.LATEST_CHECKPOINT,
+    "replay_lag": O.REPLAY_LAG,
+    "sink_tail_max": O.SINK_TAIL_MAX,
+    "resume_position": O.RESUME_POSITION,
+    "replay_anti_join": O.REPLAY_ANTI_JOIN,
+    "start_by_timestamp": O.START_BY_TIMESTAMP,
+    "counter_merge": O.STAGE_COUNTERS,
+    "log_split": O.LOG_SPLIT,
+    "array_split": O.ARRAY_SPLIT,
+    "delimited_decode": O.DELIMITED_DECODE,
+    "profile_set": O.PROFILE_SET,
+    "topic_fanout": O.TOPIC_FANOUT,
+    "module_star_join": O.MODULE_STAR_JOIN,
+    "day_bounds": O.DAY_BOUNDS,
+    "daily_uv": O.DAILY_UV,
+    "event_blacklist": O.EVENT_BLACKLIST,
 }

@@ -295,3 +295,133 @@ FROM rows GROUP BY ALL"""
 
 OFFSET_AUDIT = with_(EV) + """
 SELECT server, consumer_group, topic, "partition", max("offset") AS "offset" FROM ev GROUP BY ALL"""
+
+# ---- restart positions ------------------------------------------------------
+
+CKPT_CUT = "2024-01-10 00:00:00"
+SINK_CUT = "2024-01-12 00:00:00"
+START_TS = "2024-01-15 00:00:00"
+
+POS = f"""
+ck AS (SELECT server, consumer_group, topic, "partition", max("offset") AS ckpt_offset FROM ev
+       WHERE ts < TIMESTAMP '{CKPT_CUT}' GROUP BY ALL),
+en AS (SELECT server, topic, "partition", max("offset") AS end_offset FROM ev GROUP BY ALL),
+lg AS (SELECT ck.*, end_offset, greatest(end_offset - ckpt_offset, 0) AS lag
+       FROM ck JOIN en USING (server, topic, "partition")),
+mainx AS (
+  SELECT server, topic, "partition", "offset", ts, unnest(range(len(tokens))) AS pidx,
+    CASE WHEN signup THEN 1 ELSE 0 END AS kidx FROM x WHERE project_list IS NOT NULL
+  UNION ALL
+  SELECT server, topic, "partition", "offset", ts, unnest(range(len(tokens))) AS pidx, 0 AS kidx
+  FROM x WHERE project_list IS NOT NULL AND signup
+),
+sk AS (SELECT *, "partition" + CASE WHEN server = 'kafka-b:9092' THEN 4 ELSE 0 END AS sink_partition,
+         "offset" * 16 + pidx * 2 + kidx AS sink_offset FROM mainx WHERE ts < TIMESTAMP '{SINK_CUT}'),
+se AS (SELECT sink_partition, max(sink_offset) AS e FROM sk GROUP BY 1),
+tail AS (SELECT sk.* FROM sk JOIN se USING (sink_partition) WHERE sink_offset > e - (SELECT sum(lag) FROM lg)),
+tp AS (SELECT server, topic, "partition", max("offset") AS sink_offset FROM tail GROUP BY ALL)"""
+
+LATEST_CHECKPOINT = with_(EV, WIRING, V, POS) + """
+SELECT server, consumer_group, topic, "partition", ckpt_offset FROM ck"""
+
+REPLAY_LAG = with_(EV, WIRING, V, POS) + """
+SELECT server, topic, CAST(sum(lag) AS BIGINT) AS lag FROM lg GROUP BY ROLLUP (server, topic)"""
+
+SINK_TAIL_MAX = with_(EV, WIRING, V, POS) + """
+SELECT server, topic, "partition", sink_offset FROM tp"""
+
+RESUME_POSITION = with_(EV, WIRING, V, POS) + """
+SELECT lg.server, lg.consumer_group, lg.topic, lg."partition", ckpt_offset, end_offset, tp.sink_offset,
+  CASE WHEN lag = 0 THEN end_offset ELSE coalesce(tp.sink_offset, ckpt_offset) END AS resume_offset
+FROM lg LEFT JOIN tp USING (server, topic, "partition")"""
+
+REPLAY_ANTI_JOIN = with_(EV, WIRING, V, POS) + """
+SELECT ev.server, ev.topic, ev."partition", ev."offset" FROM ev
+LEFT JOIN ck USING (server, consumer_group, topic, "partition")
+WHERE (ck.ckpt_offset IS NULL OR ev."offset" > ck.ckpt_offset)
+  AND NOT EXISTS (SELECT 1 FROM sk WHERE sk.server = ev.server AND sk.topic = ev.topic
+                  AND sk."partition" = ev."partition" AND sk."offset" = ev."offset")"""
+
+START_BY_TIMESTAMP = with_(EV) + f"""
+SELECT server, topic, "partition", min("offset") AS start_offset FROM ev
+WHERE ts >= TIMESTAMP '{START_TS}' GROUP BY ALL"""
+
+# ---- splits and converters ---------------------------------------------------
+
+LOG_SPLIT = """
+WITH li AS (
+  SELECT l_orderkey, l_shipdate, l_returnflag,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_returnflag) - 1 AS part_index,
+    count(*) OVER (PARTITION BY l_orderkey) AS n_parts
+  FROM lineitem
+)
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'kafka-a:9092' ELSE 'kafka-b:9092' END AS server,
+  CAST(o_orderkey // 4 AS BIGINT) AS "offset", CAST(o_orderkey % 4 AS INTEGER) AS "partition",
+  CAST(part_index AS INTEGER) AS part_index, CAST(n_parts AS INTEGER) AS n_parts,
+  'ret_' || l_returnflag AS event, 'c' || o_custkey AS distinct_id,
+  CAST(epoch_ms(l_shipdate) - 28800000 AS BIGINT) AS "time"
+FROM orders JOIN li ON l_orderkey = o_orderkey WHERE o_orderkey % 9 <> 8"""
+
+ARRAY_SPLIT = """
+SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS "offset", CAST(i AS INTEGER) AS part_index,
+  CAST(turn % 3 + 1 AS INTEGER) AS n_parts, role AS event, 'c' || conv_id AS distinct_id,
+  length(text) AS text_chars
+FROM (SELECT *, unnest(range(turn % 3 + 1)) AS i FROM conversations)"""
+
+DELIMITED_DECODE = """
+SELECT CAST(c_custkey AS BIGINT) AS "offset", c_name AS fn1, CAST(c_nationkey AS VARCHAR) AS fn2,
+  c_acctbal AS fn3_num, c_mktsegment AS fn4, 4 AS n_fields
+FROM customer"""
+
+# ---- dormant, config-only and schema-only items -----------------------------
+
+PROFILE_SET = """
+SELECT CAST(c_custkey AS BIGINT) AS "offset",
+  CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 'c' || c_custkey END AS distinct_id,
+  CAST(epoch_ms(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey AS BIGINT))) - 28800000 AS BIGINT) AS "time",
+  'SA_' || coalesce('p_' || lower(replace(r_name, ' ', '_')), 'null') AS project,
+  'profile_set' AS type,
+  CASE WHEN c_custkey % 10 = 0 THEN '  ' ELSE 'c' || c_custkey END AS pa_userid,
+  true AS is_login_id
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+TOPIC_FANOUT = with_(EV, WIRING) + """
+SELECT server, "partition", "offset",
+  unnest(CASE WHEN sp.sink_projects IS NULL THEN [NULL] ELSE string_split(sp.sink_projects, ',') END) AS project
+FROM ev LEFT JOIN sp ON sp.source_topic = ev.topic"""
+
+MODULE_STAR_JOIN = """
+WITH xe AS (
+  SELECT l_orderkey, l_linenumber, l_partkey % 50 AS c1, l_partkey % 70 AS c2, l_partkey % 90 AS c3,
+    l_suppkey AS page, l_suppkey % 25 AS tag
+  FROM lineitem WHERE l_returnflag <> 'R'
+),
+m AS (SELECT p_partkey AS module_id, p_name AS module_name, CAST(p_partkey % 3 + 1 AS VARCHAR) AS lvl,
+        CASE WHEN p_size > 45 THEN 1 ELSE 0 END AS is_delete FROM part)
+SELECT l_orderkey, l_linenumber, m1.module_name AS classify1_name, m2.module_name AS classify2_name,
+  m3.module_name AS classify3_name, s_name AS page_name, n_name AS tag_name
+FROM xe
+LEFT JOIN m m1 ON m1.module_id = xe.c1 AND m1.lvl = '1' AND m1.is_delete = 0
+LEFT JOIN m m2 ON m2.module_id = xe.c2 AND m2.lvl = '2' AND m2.is_delete = 0
+LEFT JOIN m m3 ON m3.module_id = xe.c3 AND m3.lvl = '3' AND m3.is_delete = 0
+LEFT JOIN supplier ON s_suppkey = xe.page AND s_acctbal >= 0
+LEFT JOIN nation ON n_nationkey = xe.tag"""
+
+DAY_BOUNDS = """
+WITH t AS (SELECT o_orderkey, o_orderdate + to_milliseconds((o_orderkey * 7919) % 86400000) AS w FROM orders)
+SELECT o_orderkey, CAST(epoch_ms(w) - 28800000 AS BIGINT) AS ms,
+  CAST(epoch_ms(date_trunc('day', w)) - 28800000 AS BIGINT) AS day_start_ms,
+  CAST(epoch_ms(date_trunc('day', w)) - 28800000 + 86399000 AS BIGINT) AS day_end_ms,
+  CAST(date_diff('day', DATE '1970-01-01', CAST(w AS DATE)) AS INTEGER) AS epoch_day,
+  CAST((epoch_ms(w) - 28800000) // 1000 * 1000 AS BIGINT) AS second_ms
+FROM t"""
+
+DAILY_UV = with_(EV, WIRING, V, MAIN) + """
+SELECT project, date, count(DISTINCT distinct_id) AS uv FROM main
+WHERE type = 'track' AND distinct_id IS NOT NULL GROUP BY ALL"""
+
+EVENT_BLACKLIST = with_(EV, WIRING, V, MAIN) + """,
+bl AS (SELECT * FROM (VALUES ('p_asia', 'view', 0), ('p_africa', 'Login', 0), ('p_america', 'purchase', 0),
+                             ('p_europe', 'click', 1)) t(project_id, event_name, status))
+SELECT server, "partition", "offset", project, type, event FROM main
+WHERE NOT EXISTS (SELECT 1 FROM bl WHERE status = 0 AND bl.project_id = main.project AND bl.event_name = main.event)"""

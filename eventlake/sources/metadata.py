@@ -76,6 +76,7 @@ def sample_routes(spark: SparkSession) -> DataFrame:
     """Routes: delimited text on server B's event topics; bank "old" records."""
     rows = [(SERVER_B, f"t_{t}", "csvConverter", None, None) for t in EVENT_TYPES]
     rows += [(s, "t_bank_old", None, "corpBankOldEvent", None) for s in (SERVER_A, SERVER_B)]
+    rows += [(SERVER_B, "t_customer", "csvConverter", None, None)]
     return spark.createDataFrame(rows, "server string, topic string, converter string, processor string, "
                                        "post_processor string")
 
@@ -118,3 +119,42 @@ def read_metadata_jdbc(spark: SparkSession, url: str, user: str = "", password:
         trans_rule=q("select id, sink_project_id, input_field, output_field, output_type, valid_flag "
                      "from sa_trans_rule"),
     )
+
+
+# Sample event blacklist: project, event name, status (0 = active).
+SAMPLE_BLACKLIST = [
+    ("p_asia", "view", 0),
+    ("p_africa", "Login", 0),
+    ("p_america", "purchase", 0),
+    ("p_europe", "click", 1),
+]
+
+
+def sample_blacklist(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(SAMPLE_BLACKLIST, "project_id string, event_name string, status int")
+
+
+def sample_modules(spark: SparkSession, data_dir: str):
+    """Module star tables from lineitem (events), part (modules), supplier (pages)
+    and nation (tags)."""
+    li = read_table(spark, data_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                  "l_returnflag"])
+    events = li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", "1").otherwise("0").alias("is_delete"),
+        (F.col("l_partkey") % 50).alias("classify1_id"), (F.col("l_partkey") % 70).alias("classify2_id"),
+        (F.col("l_partkey") % 90).alias("classify3_id"), F.col("l_suppkey").alias("page"),
+        (F.col("l_suppkey") % 25).cast("int").alias("event_tag"),
+    )
+    part = read_table(spark, data_dir, "part", ["p_partkey", "p_name", "p_size"])
+    modules = part.select(
+        F.col("p_partkey").alias("module_id"), F.col("p_name").alias("module_name"),
+        (F.col("p_partkey") % 3 + 1).cast("string").alias("module_level"),
+        F.when(F.col("p_size") > 45, 1).otherwise(0).alias("is_delete"),
+    )
+    sup = read_table(spark, data_dir, "supplier", ["s_suppkey", "s_name", "s_acctbal"])
+    pages = sup.select(F.col("s_suppkey").alias("page_id"), F.col("s_name").alias("page_name"),
+                       F.when(F.col("s_acctbal") < 0, 1).otherwise(0).alias("is_delete"))
+    nat = read_table(spark, data_dir, "nation", ["n_nationkey", "n_name"])
+    tags = nat.select(F.col("n_nationkey").alias("tag_id"), F.col("n_name").alias("tag_name"))
+    return events, modules, pages, tags

@@ -131,3 +131,59 @@ def log_records(spark: SparkSession, data_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("timestamp"), F.col("o_custkey").cast("string").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
     )
+
+
+def conversation_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Top-level JSON arrays (P12b, D4): one record per conversation turn holding
+    1 + turn % 3 copies of the turn as an event; whole turn texts ride along."""
+    c = read_table(spark, data_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    turn = F.struct(
+        F.col("role").alias("EventID"), F.concat(F.lit("c"), F.col("conv_id")).alias("LoginID"),
+        F.date_format(F.timestamp_add("SECOND", F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                      "yyyy-MM-dd HH:mm:ss").alias("Time"),
+        F.col("text").alias("Text"),
+    )
+    arr = F.to_json(F.array_repeat(turn, (F.col("turn") % 3 + 1).cast("int")), JSON_OPTS)
+    off = F.col("conv_id") * 1000 + F.col("turn")
+    return c.select(
+        F.lit(SERVER_A).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_conv").alias("topic"),
+        (F.col("conv_id") % 4).cast("int").alias("partition"), off.cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+        F.col("conv_id").cast("string").cast("binary").alias("key"), arr.cast("binary").alias("value"),
+    )
+
+
+def customer_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """U+0001-delimited records (P4): key, name, nation, balance, segment."""
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    text = F.concat_ws(CSV_SEPARATOR, *[F.col(x).cast("string") for x in
+                                       ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")])
+    k = F.col("c_custkey")
+    return c.select(
+        F.lit(SERVER_B).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_customer").alias("topic"),
+        (k % 4).cast("int").alias("partition"), k.cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("binary").alias("key"),
+        text.cast("binary").alias("value"),
+    )
+
+
+def user_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """User records (P35/P36): {"UserID", "Time", "Segment"} per customer, with the
+    customer's region as project; blank ids on every tenth key."""
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    n = read_table(spark, data_dir, "nation", ["n_nationkey", "n_regionkey"])
+    r = read_table(spark, data_dir, "region", ["r_regionkey", "r_name"])
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        "n_nationkey", F.concat(F.lit("p_"), F.lower(F.regexp_replace("r_name", " ", "_"))).alias("project"))
+    j = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
+    k = F.col("c_custkey")
+    uid = F.when(k % 10 == 0, F.lit("  ")).otherwise(F.concat(F.lit("c"), k))
+    t = F.date_format(F.timestamp_add("MINUTE", k, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                      "yyyy-MM-dd HH:mm:ss")
+    body = F.to_json(F.struct(uid.alias("UserID"), t.alias("Time"), F.col("c_mktsegment").alias("Segment")))
+    return j.select(
+        F.lit(SERVER_A).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_user").alias("topic"),
+        (k % 4).cast("int").alias("partition"), k.cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("binary").alias("key"),
+        body.cast("binary").alias("value"), "project",
+    )
