@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig
+from eventlake.session import ensure_checkpoint_dir
 from eventlake.constants import TIME_PATTERNS
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
 from eventlake.operators import metadata as M
@@ -131,7 +132,9 @@ def rule_match_contains(spark: SparkSession, data_dir: str) -> DataFrame:
 def flatten_properties_query(spark: SparkSession, data_dir: str) -> DataFrame:
     """P15 P23-P26 without rules: every property as typed key/value rows."""
     p = _event_parts(spark, data_dir, with_rules=False)
-    kv = p.select("server", "partition", "offset", F.explode("properties").alias("key", "v"))
+    # inline(map_entries) instead of explode(map): the same rows, several times faster here
+    kv = p.select("server", "partition", "offset", F.inline(F.map_entries("properties"))).withColumnsRenamed(
+        {"value": "v"})
     sv = F.schema_of_variant("v")
     return kv.select(
         "server", "partition", "offset", "key",
@@ -188,10 +191,15 @@ def _sink(spark: SparkSession, data_dir: str) -> DataFrame:
     8 sink partitions with increasing offsets."""
     raw = event_records(spark, data_dir).filter(F.col("timestamp") < _ts(O.SINK_CUT))
     main = run(raw, sample_metadata(spark, data_dir)).main()
-    return main.withColumns({
+    sink = main.withColumns({
         "sink_partition": F.col("partition") + F.when(F.col("server") == SERVER_B, 4).otherwise(0),
         "sink_offset": F.col("offset") * 16 + F.col("project_index") * 2 + F.col("kind_index"),
     })
+    # The sink is a stored topic/table in production: materialize it once in the
+    # shared checkpoint folder (spark.checkpoint.dir) instead of recomputing it
+    # for the tail scan, its end offsets and the anti-join.
+    ensure_checkpoint_dir(spark)
+    return sink.checkpoint(eager=True)
 
 
 def _sink_positions(spark: SparkSession, data_dir: str, lags: DataFrame) -> DataFrame:

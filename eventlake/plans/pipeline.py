@@ -126,9 +126,7 @@ def stage_rows(parts: DataFrame) -> DataFrame:
     signups = F.transform(F.when(F.col("signup"), tokens).otherwise(F.array().cast("array<string>")),
                           lambda p: _stage(p, topic, C.STAGE_SIGNUP))
     all_rows = F.filter(F.concat(per_row, signups, sinks), lambda x: x.isNotNull())
-    return parts.select("server", "consumer_group", F.explode(all_rows).alias("c")).select(
-        "server", "consumer_group", "c.project", "c.topic", "c.stage", "c.n"
-    )
+    return parts.select("server", "consumer_group", F.inline(all_rows))
 
 
 def stage_counters(parts: DataFrame) -> DataFrame:

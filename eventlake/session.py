@@ -29,8 +29,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster names a shared folder in spark.checkpoint.dir; only where it
     is unset (local tests) a scratch folder is chosen."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    jsc = spark.sparkContext._jsc.sc()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not jsc.getCheckpointDir().isDefined():
+            spark.sparkContext.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="eventlake-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
