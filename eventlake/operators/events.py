@@ -85,13 +85,16 @@ def fan_out(df: DataFrame) -> DataFrame:
     signup = F.struct(F.lit(C.TYPE_SIGNUP).alias("type"), F.lit(C.EVENT_SIGNUP).alias("event"),
                       F.col("src_device_id").alias("original_id"))
     kinds = F.when(F.col("signup"), F.array(signup, track)).otherwise(F.array(track))
-    out = df.select("*", F.posexplode(kinds).alias("kind_index", "_kind"))
-    out = out.select("*", F.posexplode("tokens").alias("project_index", "project"))
-    return out.select(
+    combos = F.flatten(F.transform(kinds, lambda k, ki: F.transform(F.col("tokens"), lambda p, pi: F.struct(
+        ki.alias("kind_index"), pi.alias("project_index"), p.alias("project"), k["type"].alias("type"),
+        k["event"].alias("event"), k["original_id"].alias("original_id")))))
+    # one generator over (kind x project); inline keeps wide rows fast
+    return df.select(
+        "server", "consumer_group", "topic", "partition", "offset", "part_index", "distinct_id", "time",
+        "properties", "error_reason", F.inline(combos),
+    ).select(
         "server", "consumer_group", "topic", "partition", "offset", "part_index", "kind_index", "project_index",
-        "project", F.col("_kind.type").alias("type"), F.col("_kind.event").alias("event"),
-        "distinct_id", "time", F.col("_kind.original_id").alias("original_id"),
-        "properties", "error_reason",
+        "project", "type", "event", "distinct_id", "time", "original_id", "properties", "error_reason",
     )
 
 
