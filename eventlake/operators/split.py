@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import constants as C
-from eventlake.functions.json import array_elements, entry_text, field_text, last_entry, object_entries
+from eventlake.functions.json import array_elements, field_text, object_entries
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -61,23 +61,28 @@ def split_parts(decoded: DataFrame) -> DataFrame:
     return df.withColumn("entries", entries).drop("_whole", "body_entries")
 
 
-def _by_processor(role: str, entries: Column) -> Column:
-    expr = None
-    for name, fields in C.PROCESSOR_FIELDS.items():
-        if fields[role] is None:
-            continue
-        value = last_entry(entries, fields[role])
-        expr = (F.when(F.col("processor") == name, value) if expr is None
-                else expr.when(F.col("processor") == name, value))
-    return expr
+def _last_entry_sql(role: str) -> str:
+    """Last entry (duplicate keys: last wins) of the processor's field for `role`."""
+    branches = [
+        f"WHEN '{name}' THEN try_element_at(filter(entries, e -> e.k = '{fields[role]}'), -1)"
+        for name, fields in C.PROCESSOR_FIELDS.items() if fields[role] is not None
+    ]
+    return f"CASE processor {' '.join(branches)} END"
+
+
+# Text of a JSON value as a node gives it: strings unquoted, numbers and booleans
+# as written, containers '', JSON null NULL.
+ENTRY_TEXT_SQL = """CASE WHEN {e} IS NULL OR is_variant_null({e}.v) THEN CAST(NULL AS STRING)
+  WHEN startswith(ltrim({e}.raw), '{{') OR startswith(ltrim({e}.raw), '[')
+    THEN CASE WHEN schema_of_variant({e}.v) = 'STRING' THEN {e}.raw ELSE '' END
+  ELSE {e}.raw END"""
 
 
 def extract_fields(parts: DataFrame) -> DataFrame:
     """Named fields of each part as text (missing fields NULL); the part's
     entries are kept as the main object for the property flatten."""
-    df = parts
     roles = ("app_version", "login_id", "device_id", "event_name", "event_time", "project")
-    df = df.withColumns({f"_le_{r}": _by_processor(r, F.col("entries")) for r in roles})
-    return df.withColumns({f"src_{r}": entry_text(F.col(f"_le_{r}")) for r in roles}).drop(
+    df = parts.withColumns({f"_le_{r}": F.expr(_last_entry_sql(r)) for r in roles})
+    return df.withColumns({f"src_{r}": F.expr(ENTRY_TEXT_SQL.format(e=f"_le_{r}")) for r in roles}).drop(
         *[f"_le_{r}" for r in roles]
     )
