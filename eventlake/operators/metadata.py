@@ -93,18 +93,17 @@ def active_rules(meta: Metadata, lower_keys: bool = True) -> DataFrame:
 RULE_TYPE = "array<struct<project:string,type:int,out:string>>"
 
 
-def rule_lookup_map(meta: Metadata, config: PipelineConfig) -> Column:
+def rule_lookup_map(meta: Metadata, config: PipelineConfig) -> Column | None:
     """Rules as one literal map  key -> [(project, type, out)] in rule order.
 
     The rule table is configuration (tens to thousands of rows); its size is
     checked against `config.max_rules` before it is collected into the plan.
+    Returns None beyond the bound: use `rules_per_project_list` instead.
     """
     rules = active_rules(meta)
     n = rules.limit(config.max_rules + 1).count()
     if n > config.max_rules:
-        raise ValueError(
-            f"{n} property rules exceed max_rules={config.max_rules}; raise the bound"
-        )
+        return None
     grouped = (
         rules.groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("rule_order", "project", "type", "out"))).alias("rs"))
@@ -130,3 +129,21 @@ def project_matches(rule_project: Column, tokens: Column, project_list: Column,
     if mode == "contains":
         return F.contains(project_list, rule_project)
     return F.array_contains(tokens, rule_project)
+
+
+def rules_per_project_list(records: DataFrame, meta: Metadata, config: PipelineConfig) -> DataFrame:
+    """The other way for rule tables beyond `max_rules`: per distinct project list
+    of the records, the applicable rules as a map key -> [(project, type, out)],
+    by an equi-join on the project token (no literal, no cross join).  The result
+    has one row per distinct project list; it is joined back on project_list."""
+    from eventlake.functions.text import java_split
+
+    lists = records.select("project_list").where(F.col("project_list").isNotNull()).distinct()
+    tokens = lists.select("project_list", F.explode(java_split(F.col("project_list"), ",")).alias("project"))
+    if config.rule_match == "contains":
+        raise ValueError("rule_match='contains' needs the rule map within max_rules")
+    j = tokens.join(active_rules(meta), "project")
+    per_key = j.groupBy("project_list", "key").agg(
+        F.sort_array(F.collect_list(F.struct("rule_order", "project", "type", "out"))).alias("rs"))
+    entry = F.struct(F.col("key"), F.transform("rs", lambda r: F.struct(r.project, r.type, r.out)).cast(RULE_TYPE))
+    return per_key.groupBy("project_list").agg(F.map_from_entries(F.collect_list(entry)).alias("_rules"))

@@ -99,12 +99,19 @@ def level_sql(config: PipelineConfig) -> str:
     return f"flatten(transform(_items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({inner}, {keep}) END))"
 
 
-def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) -> DataFrame:
+def flatten_properties(df: DataFrame, rules: Column | DataFrame, config: PipelineConfig) -> DataFrame:
     """Adds flat_items: array<struct<k, v>> in walk order, and flatten_truncated.
 
     Needs columns entries (the part's object entries), tokens and project_list.
+    `rules` is the literal rule map, or (beyond max_rules) a DataFrame
+    (project_list, _rules) joined on the record's project list.
     """
-    df = df.withColumn("_rules", rules)
+    if isinstance(rules, DataFrame):
+        from eventlake.operators.metadata import broadcast_checked
+
+        df = df.join(broadcast_checked(rules, config.broadcast_max_rows), "project_list", "left")
+    else:
+        df = df.withColumn("_rules", rules)
     first = f"coalesce({classify_sql('entries', config)}, CAST(array() AS array<{ITEM_TYPE}>))"
     df = df.withColumn("_items", F.expr(first))
     step = F.expr(level_sql(config))

@@ -16,7 +16,7 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.operators import events as E
 from eventlake.operators.decode import decode
-from eventlake.operators.metadata import Metadata, rule_lookup_map, sink_projects
+from eventlake.operators.metadata import Metadata, rule_lookup_map, rules_per_project_list, sink_projects
 from eventlake.operators.properties import assemble_properties, flatten_properties
 from eventlake.operators.split import extract_fields, split_parts
 
@@ -50,6 +50,8 @@ def transform(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = No
     df = split_parts(df)
     df = extract_fields(df)
     df = E.resolve_projects(df, sink_projects(meta), config)
+    if rules is None:  # rule table beyond max_rules: per-project-list rules by joins
+        rules = rules_per_project_list(df, meta, config)
     df = flatten_properties(df, rules, config)
     df = E.validate(df, config)
     df = assemble_properties(df, config)

@@ -86,3 +86,18 @@ def test_overlay_wins_and_lineage(spark):
     assert q["$device_id"] == "d9" and q["date"] == "20240101"
     assert q["RECORD_KEY"] == "k1" and q["SACONSUMEROFFSET"] == "0" and q["SACONSUMERPARTITION"] == 0
     assert q["$is_login_id"] is True
+
+
+def test_rule_join_fallback_matches_literal_map(spark, small_dir):
+    from eventlake.sources.metadata import sample_metadata
+    from eventlake.sources.records import event_records
+
+    raw = event_records(spark, small_dir)
+    meta = sample_metadata(spark, small_dir)
+
+    def keyed(config):
+        p = transform(raw, meta, config).select("server", "partition", "offset", F.to_json("properties").alias("p"))
+        return sorted((r.server, r.partition, r.offset, json.dumps(json.loads(r.p), sort_keys=True))
+                      for r in p.collect())
+
+    assert keyed(PipelineConfig(max_rules=1)) == keyed(PipelineConfig())
