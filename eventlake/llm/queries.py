@@ -5,17 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm import packing, simhash
+from eventlake.llm import mixing, packing, passages, simhash, toxicity
 from eventlake.sources.tables import read_table
 
 
+#: A text of at least this score is taken as toxic.
+TOXIC = 0.3
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus-sized budget at 95 % of the greatest entropy, no source read over four times."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+    out = mixing.mix(docs, budget_share=1.0, entropy_share=0.95, max_repeats=4.0)
+    return out.select(
+        "doc_id", "source", F.col("__epoch").alias("epoch"), F.col("__block").alias("block"),
+        F.col("__block_key").alias("block_key"), F.col("__order_key").alias("order_key"),
+        F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"),
+    )
+
+
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return simhash.groups(docs).select("doc_id", "fingerprint", "component_id")
@@ -26,9 +46,22 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    scored = toxicity.with_score(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= TOXIC, 1).otherwise(0).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_temperature_mixing": op2_temperature_mixing,
+    "op5_compact_windows": op5_compact_windows,
     "op6_simhash": op6_simhash,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
