@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm import packing, simhash
+from eventlake.llm import mixing, packing, passages, simhash, toxicity
 from eventlake.llm.common import shared_dir
-from eventlake.llm.queries import vocabulary
+from eventlake.llm.queries import TOXIC, vocabulary
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold; the model learns from `labels`."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.with_score(docs, toxicity.train(docs, labels), "__score")
+    return scored.where(F.col("__score") < TOXIC).drop("__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,13 +22,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_of_each(docs)
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document holds."""
+    return passages.without_repeats(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, small sources up to twice: a row for each reading."""
+    return mixing.mix(docs, max_repeats=2.0).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces packed into sequences of at most 1024 tokens."""
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
 STAGES = [
+    ("toxicity", without_toxic),
     ("simhash_near_dedup", near_duplicates),
+    ("substring_dedup", without_repeats),
+    ("temperature_mixing", mixed_sources),
     ("best_fit_packing", best_fit_packing),
 ]
 
