@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from eventlake.llm.common import checkpointed
 
 #: Signs stripped from a word, quotation marks, words that report
 #: speech and words that address somebody (en, de, fr, es).
-STRIP = ".,;:!?\"'`()[]{}<>«»„“”‚‘’…*_-–—"
+STRIP = ".,;:!?\"'`()[]{}<>«»„“”‚‘’…*_-–—#|~+=/@$%&^\\"
 QUOTES = "\"«»„“”‘"
 REPORTING = frozenset("said says called calls word term quote quoted wrote sagte nannte schrieb wort dit appelé mot écrit dijo llamó palabra escribió".split())
 ADDRESSING = frozenset("you your you're u du dich dein ihr tu toi vous votre tú te usted vosotros".split())
@@ -134,13 +135,14 @@ def quoted(words: list[str], at: int, window: int = 6) -> bool:
 
 
 class Matcher:
-    """Features (term, edits, quoted) of a text; the word cache only saves repeated work."""
+    """Matches of a text against the lexicon; the word cache only saves repeated work."""
 
     def __init__(self, terms: list[str]):
         self.automaton = LexiconAutomaton(terms)
         self.cache: dict[str, tuple[str, int] | None] = {}
 
-    def features(self, text: str | None) -> set[tuple[str, int, bool]]:
+    def matches(self, text: str | None) -> tuple[int, set[tuple[str, str, int, bool]]]:
+        """Number of words, and the distinct (word, term, edits, quoted) among them."""
         words = (text or "").lower().split()
         distinct, cache = set(words), self.cache
         if len(cache) > 200_000:
@@ -148,7 +150,8 @@ class Matcher:
         for w in distinct.difference(cache):
             cache[w] = self.automaton.match(w.strip(STRIP)[:200])
         hits = {w for w in distinct if cache[w]}
-        return {(*cache[w], quoted(words, k)) for k, w in enumerate(words) if w in hits} if hits else set()
+        found = {(w.strip(STRIP), *cache[w], quoted(words, k)) for k, w in enumerate(words) if w in hits} if hits else set()
+        return len(words), found
 
 
 def document_terms(text: str | None, stem_sizes: range) -> set[str]:
@@ -161,19 +164,47 @@ def document_terms(text: str | None, stem_sizes: range) -> set[str]:
     return out
 
 
+#: Weights before any row is seen: the evidence of the matches counts in part, misspelled or quoted ones for less.
+PRIOR = np.array([0.7, 0.3, 0.2, 0.0, 0.0, 0.0])
+
+
 @dataclass
 class ToxicityModel:
-    """Lexicon, probability of label 1 given each feature, and that of a text without any."""
+    """Evidence (log odds) of each lexicon term, and the weights of a text's summary."""
+
+    evidence: dict[str, float] = field(default_factory=dict)
+    weights: np.ndarray = field(default_factory=lambda: np.r_[PRIOR, -3.0])
+
+    def summary(self, matcher: Matcher, text: str | None) -> list[float]:
+        """Evidence of plain, misspelled and quoted matches, its density, and the text's length."""
+        n, found = matcher.matches(text)
+        plain = wrong = reported = 0.0
+        for _, term, edits, inside in found:
+            value = self.evidence[term]
+            if inside:
+                reported += value
+            elif edits:
+                wrong += value
+            else:
+                plain += value
+        length = math.log1p(n)
+        return [min(plain, 20.0), min(wrong, 20.0), min(reported, 20.0), min(100 * plain / (50 + n), 20.0), length / 10, (plain > 0) * length / 10, 1.0]
 
-    weights: dict[tuple[str, int, bool], float] = field(default_factory=dict)
-    terms: list[str] = field(default_factory=list)
-    none: float = 0.0
+    def score(self, summaries: list[list[float]]) -> np.ndarray:
+        odds = np.array(summaries, float).reshape(-1, 7) @ self.weights
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
-    def score(self, features: set[tuple[str, int, bool]]) -> float:
-        clean = 1.0 - self.none
-        for f in sorted(features):
-            clean *= 1.0 - self.weights.get(f, 0.0)
-        return 1.0 - clean
+
+def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: np.ndarray, strength: float = 3.0) -> np.ndarray:
+    """Logistic regression by Newton steps, drawn towards the prior weights (all but the constant firmly)."""
+    beta, pull = prior.copy(), np.r_[np.full(len(prior) - 1, strength), 0.1]
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (w * (y - p)) - pull * (beta - prior))
+        beta = beta + step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta
 
 
 def held_out():
@@ -197,20 +228,32 @@ def _counts(rows: DataFrame, count) -> DataFrame:
     return rows.mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, tried: int, risk: float) -> list[str]:
+def testable(sizes: dict[int, int], n_toxic: int, n_clean: int, risk: float) -> int:
+    """How many terms can be significant at all (Tarone): `sizes` says how many
+    terms a given number of toxic texts holds; rarer ones need not be counted."""
+    base = n_toxic / max(n_toxic + n_clean, 1)
+    for k in range(1, max(sizes, default=0) + 1):
+        tried = sum(v for n, v in sizes.items() if n >= k)
+        if tried * base**k <= risk:
+            return tried
+    return sum(sizes.values())
+
+
+def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, tried: int, risk: float, precision: float = 0.5) -> dict[str, float]:
     """Terms that toxic texts hold far more often than chance allows.
 
     A term in a toxic and b clean texts is kept if a of a + b toxic ones would
     be expected in fewer than `risk` of the `tried` terms were toxicity dealt
-    at random.  Of nested terms the most specific one is kept that still covers
-    four fifths of the texts; what a kept stem covers is left out.
+    at random, and if its texts are toxic with `precision` or more.  Of nested terms the most specific one is kept that still covers
+    four fifths of the texts; what a kept stem covers is left out.  Returns the
+    evidence of each term: the log of how much likelier toxic texts hold it.
     """
     base = math.log(max(n_toxic, 1) / max(n_toxic + n_clean, 1))
     good = {}
     for t, a in toxic.items():
         b = clean.get(t, 0)
         chance = math.lgamma(a + b + 1) - math.lgamma(a + 1) - math.lgamma(b + 1) + a * base
-        if n_clean and a * n_clean > 3 * b * n_toxic and math.log(max(tried, 1)) + chance <= math.log(risk):
+        if a >= precision * (a + b) and math.log(max(tried, 1)) + chance <= math.log(risk):
             good[t] = a
     best: dict[str, int] = {}
     for t, a in good.items():
@@ -220,15 +263,16 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
         if not t.endswith(STEM):
             best[body + STEM] = max(best.get(body + STEM, 0), a)
     kept = {t for t, a in good.items() if not (t.endswith(STEM) and best.get(t, 0) >= 0.8 * a)}
+    odds = {t: math.log((toxic[t] + 0.5) / (clean.get(t, 0) + 0.5) * (n_clean + 1) / (n_toxic + 1)) for t in kept}
     covered = lambda t: any(t.removesuffix(STEM)[:n] + STEM in kept - {t} for n in range(1, len(t)))
-    return sorted(t for t in kept if not covered(t))
+    return {t: min(max(odds[t], 0.0), 6.0) for t in sorted(kept) if not covered(t)}
 
 
 def train(
     docs: DataFrame, labels: DataFrame, max_rows: int = 25_000, max_terms: int = 20_000,
-    stem_sizes: range = range(4, 9), risk: float = 0.05,
+    stem_sizes: range = range(3, 9), risk: float = 1.0,
 ) -> ToxicityModel:
-    """Fit the lexicon and the feature weights on labelled rows that are not held out.
+    """Fit the lexicon and the weights on labelled rows that are not held out.
 
     The sample is bounded and documented: at most `max_rows` toxic and
     `max_rows` clean documents, those with the least hash of the id, which is
@@ -246,59 +290,59 @@ def train(
     some = [marked.where(F.col("label") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows) for k in (0, 1)]
     own = docs.select(F.col("doc_id").alias("own_id"), F.col("text").cast("string").alias("text"))
     sample = own.join(F.broadcast(some[0].union(some[1])), F.col("own_id") == F.col("label_id")).select("text", "label")
-    sample = checkpointed(sample.groupBy("text").agg(F.max("label").alias("label")))
+    sample = checkpointed(sample.groupBy("text").agg(F.max("label").alias("label")).withColumn("half", F.abs(F.xxhash64("text") % 2)))
     n = {0: 0, 1: 0} | dict(sample.groupBy("label").count().collect())
+    share = all_rows.get(1, 0) / max(sum(all_rows.values()), 1)
+    start = math.log((share + 0.001) / (1.001 - share))
     if not n[0] or not n[1]:
-        share = all_rows.get(1, 0) / max(sum(all_rows.values()), 1)
-        return ToxicityModel(none=float(share))
-
-    found = checkpointed(_counts(
-        sample.where("label = 1").select("text"),
-        lambda batch: Counter(t for x in batch.column(0).to_pylist() for t in document_terms(x, stem_sizes)),
-    ))
-    tried = found.count()
+        return ToxicityModel(weights=np.r_[PRIOR, start])
+    whole, *halves = (lexicon(x, max_terms, stem_sizes, risk) for x in (sample, *(sample.where(F.col("half") == h) for h in (0, 1))))
+    # the summary of each half by the lexicon of the other: weights learn from terms that did not see the text
+    rows = [r for h in (0, 1) for r in _summaries(sample.where(F.col("half") == 1 - h), ToxicityModel(halves[h]))]
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    w = np.where(y == 1, all_rows[1] / n[1], all_rows[0] / n[0]) * sum(n.values()) / sum(all_rows.values())
+    return ToxicityModel(whole, fit(x, y, w, np.r_[PRIOR, start]))
+
+
+def lexicon(sample: DataFrame, max_terms: int, stem_sizes: range, risk: float) -> dict[str, float]:
+    """Terms and their evidence from distinct texts with a label (bounded by the sample)."""
+    n = {0: 0, 1: 0} | dict(sample.groupBy("label").count().collect())
+
+    def holding(label: int, known: frozenset | None) -> DataFrame:
+        def count(batch):
+            terms = (document_terms(x, stem_sizes) for x in batch.column(0).to_pylist())
+            return Counter(t for x in terms for t in (x if known is None else x & known))
+
+        return _counts(sample.where(F.col("label") == label).select("text"), count)
+
+    found = checkpointed(holding(1, None))
+    tried = testable(dict(found.groupBy("n").count().collect()), n[1], n[0], risk)
     toxic = dict(found.where("n > 1").orderBy(F.desc("n"), "term").limit(max_terms).collect())
-    known = frozenset(toxic)
-    clean = dict(_counts(
-        sample.where("label = 0").select("text"),
-        lambda batch: Counter(t for x in batch.column(0).to_pylist() for t in document_terms(x, stem_sizes) & known),
-    ).collect())
-    terms = choose_terms(toxic, clean, n[1], n[0], tried, risk)
-
-    def feature_counts(batch):
-        matcher, out = _matcher(terms), Counter()
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for term, edits, inside in matcher.features(text) or {("", 0, False)}:
-                out[f"{label} {edits} {int(inside)} {term}"] += 1
-        return out
-
-    seen: dict[tuple, list[float]] = {}
-    for key, count in _counts(sample, feature_counts).collect():
-        label, edits, inside, term = key.split(" ", 3)
-        seen.setdefault((term, int(edits), inside == "1"), [0.0, 0.0])[int(label)] = count
-    scale = {k: all_rows.get(k, 0) / n[k] for k in n}
-    weights = {}
-    for f, (b, a) in seen.items():
-        a, b = a * scale[1] / scale[0], b  # in units of a clean document of the sample
-        prior = (0.5 if f[1] == 0 else 0.25) * (0.5 if f[2] else 1.0)
-        weights[f] = (a + prior) / (a + b + 1)
-    b, a = seen.get(("", 0, False), (0.0, 0.0))
-    none = (a * scale[1] / scale[0] + 0.01) / (a * scale[1] / scale[0] + b + 1)
-    for t in terms:  # combinations that the sample does not hold
-        for edits in range(allowed_errors(t) + 1):
-            for inside in (False, True):
-                weights.setdefault((t, edits, inside), (0.5 if edits == 0 else 0.25) * (0.5 if inside else 1.0))
-    return ToxicityModel({f: w for f, w in weights.items() if f[0]}, terms, none)
+    clean = dict(holding(0, frozenset(toxic)).collect())
+    return choose_terms(toxic, clean, n[1], n[0], tried, risk)
+
+
+def _summaries(rows: DataFrame, model: ToxicityModel) -> list[tuple[list[float], int]]:
+    """Summary and label of each row of the bounded sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = _matcher(model)
+        for batch in batches:
+            got = [model.summary(matcher, t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("label")], ["x", "label"])
+
+    return [(r.x, r.label) for r in rows.mapInArrow(run, "x array<double>, label int").collect()]
 
 
 _MATCHERS: dict[tuple, Matcher] = {}
 
 
-def _matcher(terms: list[str]) -> Matcher:
-    key = tuple(terms)
+def _matcher(model: ToxicityModel) -> Matcher:
+    """One matcher for each worker process and lexicon."""
+    key = tuple(model.evidence)
     if key not in _MATCHERS:
         _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(terms)
+        _MATCHERS[key] = Matcher(list(key))
     return _MATCHERS[key]
 
 
@@ -311,9 +355,9 @@ def with_score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = known.value
-        matcher = _matcher(model.terms)
+        matcher = _matcher(model)
         for batch in batches:
-            scores = [model.score(matcher.features(t.as_py())) for t in batch.column(at)]
+            scores = model.score([model.summary(matcher, t.as_py()) for t in batch.column(at)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
     return source.mapInArrow(run, schema)

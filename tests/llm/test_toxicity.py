@@ -61,7 +61,7 @@ def test_held_out_accuracy(spark, docs_df, planted):
     df = docs_df(rows)
     labels = spark.createDataFrame([*marks, (5, None), (None, 1), (7, 1), (99999, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(df, labels)
-    assert "blorgish" in model.terms and "snarf" in model.terms and "grumbo*" in model.terms
+    assert {"blorgish", "snarf", "grumbo*"} <= set(model.evidence)
     out = toxicity.with_score(df, model).withColumn("held", toxicity.held_out()).collect()
     assert len(out) == len(rows)
     truth = dict(marks)
@@ -78,5 +78,5 @@ def test_no_labels(spark, docs_df):
     df = docs_df([(1, "a", "s")])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.train(df, none)
-    assert [r.score for r in toxicity.with_score(df, model).collect()] == [0.0]
+    assert all(0 <= r.score < 0.3 for r in toxicity.with_score(df, model).collect())
     assert toxicity.with_score(df.where("false"), model).count() == 0
