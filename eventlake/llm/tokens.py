@@ -41,7 +41,7 @@ class ChunkEncoder(dict):
     (chunks met since the last turn-over, and those of the turn before it).
     """
 
-    def __init__(self, path: str, keep_space: bool, limit: int = 250_000):
+    def __init__(self, path: str, keep_space: bool, limit: int = 400_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
