@@ -277,15 +277,16 @@ def measure(docs: DataFrame, model: LogProbs) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, width: float = 4.0) -> DataFrame:
+def judge(docs: DataFrame, below: float = 6.0, above: float = 4.0) -> DataFrame:
     """Base counts of every whole text and whether it is kept.
 
     base_failed: fewer than 50 words, or more than half of the words stand in
     repeated three-word windows.  Of the others those are kept whose log
     perplexity lies within the band of their language: from the lower quartile
-    less `width` quartile distances to the upper quartile plus as many,
+    less `below` quartile distances to the upper quartile plus `above` of them,
     quartiles over all documents of the language that pass the base rule.  The
-    model learns from all documents.  Null languages are one language; null
+    model learns from all documents, so copies read easily: the lower edge is
+    the wider one.  Null languages are one language; null
     and empty texts fail the base rule; an empty table gives no rows.
     """
     model = store(smooth(count(docs)))
@@ -293,8 +294,8 @@ def judge(docs: DataFrame, width: float = 4.0) -> DataFrame:
     rows = checkpointed(measure(docs, model).withColumn("base_failed", base))
     quartile = F.percentile_approx("level", [0.25, 0.75], 10_000).alias("q")
     bands = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang")).agg(quartile)
-    spread = (F.col("q")[1] - F.col("q")[0]) * width
-    bands = bands.select("band_lang", (F.col("q")[0] - spread).alias("low"), (F.col("q")[1] + spread).alias("high"))
+    spread = F.col("q")[1] - F.col("q")[0]
+    bands = bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high"))
     return rows.join(bands, F.col("lang") == F.col("band_lang"), "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("level").between(F.col("low"), F.col("high")), F.lit(False))
     )

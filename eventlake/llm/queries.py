@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import interpolation, knn, mixing, packing, passages, seekable, simhash, toxicity, urlfilter
+from eventlake.llm import interpolation, kneser, knn, mixing, packing, passages, seekable, simhash, toxicity, urlfilter
 from eventlake.sources.tables import read_table
 
 
@@ -74,6 +74,13 @@ def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "text"])
+    return kneser.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
@@ -93,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_deleted_interpolation": op8_deleted_interpolation,
+    "op9_kneser_ney_quality": op9_kneser_ney_quality,
     "op10_toxicity": op10_toxicity,
 }
 
