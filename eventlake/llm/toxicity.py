@@ -145,7 +145,7 @@ class Matcher:
         """Number of words, and the distinct (word, term, edits, quoted) among them."""
         words = (text or "").lower().split()
         distinct, cache = set(words), self.cache
-        if len(cache) > 200_000:
+        if len(cache) > 100_000:
             cache.clear()
         for w in distinct.difference(cache):
             cache[w] = self.automaton.match(w.strip(STRIP)[:200])
@@ -218,10 +218,11 @@ def _counts(rows: DataFrame, count) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Counter()
         for batch in batches:
-            total.update(count(batch))
-            if len(total) > 500_000:
-                yield pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
-                total.clear()
+            for lo in range(0, batch.num_rows, 256):
+                total.update(count(batch.slice(lo, 256)))
+                if len(total) > 150_000:
+                    yield pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
+                    total.clear()
         if total:
             yield pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
 
@@ -328,7 +329,7 @@ def _summaries(rows: DataFrame, model: ToxicityModel) -> list[tuple[list[float],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(model)
         for batch in batches:
-            got = [model.summary(matcher, t) for t in batch.column("text").to_pylist()]
+            got = [model.summary(matcher, t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("label")], ["x", "label"])
 
     return [(r.x, r.label) for r in rows.mapInArrow(run, "x array<double>, label int").collect()]
