@@ -11,19 +11,13 @@ from eventlake import constants as C
 class PipelineConfig:
     # Zone in which event-time text is read and the `date` property is written.
     time_zone: str = "Asia/Shanghai"
-    # Levels of nested objects the flatten walks; deeper rows report `flatten_truncated`.
-    flatten_depth: int = 6
     # "token": a rule applies when its project is one item of the record's project
     # list; "contains": substring test, as the reference does.
     rule_match: str = "token"
     # The reference also sends rows that failed validation to the main output.
     drop_invalid: bool = False
-    # Bound on rule rows turned into an in-expression lookup map.
-    max_rules: int = 100_000
-    # Bound on metadata rows that are broadcast to every task.
-    broadcast_max_rows: int = 2_000_000
-    # Spread inputs that arrive in fewer partitions than this (None: the
-    # session's default parallelism; 0: never).
-    min_partitions: int | None = None
+    # Deal the records round-robin to this many tasks before they are parsed
+    # (for inputs of a few small files); None: take the input's partitions.
+    input_partitions: int | None = None
     csv_fields: dict = field(default_factory=lambda: dict(C.CSV_FIELDS))
     csv_separator: str = C.CSV_SEPARATOR

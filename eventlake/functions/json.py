@@ -39,21 +39,6 @@ def array_elements(text: Column) -> Column:
     return F.when(starts_with_char(text, "["), F.from_json(text, "array<string>"))
 
 
-def variant_kind(v: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BOOLEAN, NULL, INTEGER or NUMBER."""
-    sv = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None))
-        .when(F.startswith(sv, F.lit("OBJECT")), F.lit("OBJECT"))
-        .when(F.startswith(sv, F.lit("ARRAY")), F.lit("ARRAY"))
-        .when(sv == "STRING", F.lit("STRING"))
-        .when(sv == "BOOLEAN", F.lit("BOOLEAN"))
-        .when(sv == "VOID", F.lit("NULL"))
-        .when(sv.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), F.lit("INTEGER"))
-        .otherwise(F.lit("NUMBER"))
-    )
-
-
 def entry_text(entry: Column) -> Column:
     """Text of one entry's value as a JSON node would give it: strings unquoted,
     numbers and booleans as written, containers as '', JSON null as NULL."""
@@ -77,10 +62,6 @@ def field_text(entries: Column, name: str | None) -> Column:
     return entry_text(last_entry(entries, name))
 
 
-def to_variant(c: Column) -> Column:
-    return c.cast("variant")
-
-
 def is_empty_value(v: Column) -> Column:
     """NULL, JSON null, empty string, empty array or empty object."""
     return v.isNull() | F.coalesce(

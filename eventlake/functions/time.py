@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from eventlake.constants import TIME_PATTERNS
 
+_ONE_DIGIT = r"(?<=[-/])\d(?=[-/ ]|$)|(?<= )\d(?=:)|(?<=:)\d(?=[: .]|$)"
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -27,6 +30,8 @@ def _shape(pattern: str) -> str:
 def parse_wall_clock(text: Column, patterns=TIME_PATTERNS) -> Column:
     """Wall-clock TIMESTAMP_NTZ of `text` by the first pattern that reads it whole."""
     t = F.trim(text)
+    # one-digit months, days, hours, minutes and seconds get a leading zero (a fraction does not)
+    text = F.regexp_replace(text, _ONE_DIGIT, "0$0")
     tries = [
         F.when(t.rlike(_shape(p)), F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz"))
         for p in patterns
@@ -61,3 +66,13 @@ def day_end_millis(ms: Column, zone: str) -> Column:
 
 def second_floor_millis(ms: Column) -> Column:
     return F.floor(ms / 1000) * 1000
+
+
+def is_valid_date(text: Column, pattern: str) -> Column:
+    """Whether `text` can be read whole by the pattern (false for NULL)."""
+    return F.coalesce(parse_wall_clock(text, (pattern,)).isNotNull(), F.lit(False))
+
+
+def days_between(start_ms: Column, end_ms: Column, zone: str) -> Column:
+    """Calendar days from one instant to another in `zone`."""
+    return F.datediff(millis_to_wall_clock(end_ms, zone), millis_to_wall_clock(start_ms, zone))

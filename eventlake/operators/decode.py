@@ -57,13 +57,12 @@ def attach_routes(raw: DataFrame, routes: DataFrame | None, config: PipelineConf
     }
     if routes is None:
         return raw.withColumns({k: F.lit(v) for k, v in defaults.items()})
-    from eventlake.operators.metadata import broadcast_checked
 
     r = routes.select(
         F.col("server").alias("_r_server"), F.col("topic").alias("_r_topic"), *ROUTE_COLUMNS
     )
     joined = raw.join(
-        broadcast_checked(r, config.broadcast_max_rows),
+        r,
         (raw.server == F.col("_r_server")) & (raw.topic == F.col("_r_topic")),
         "left",
     ).drop("_r_server", "_r_topic")

@@ -10,7 +10,6 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.functions.text import cut, is_not_blank, java_split
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
-from eventlake.operators.metadata import broadcast_checked
 
 
 def resolve_projects(parts: DataFrame, sink_projects: DataFrame, config: PipelineConfig) -> DataFrame:
@@ -23,7 +22,7 @@ def resolve_projects(parts: DataFrame, sink_projects: DataFrame, config: Pipelin
         F.col("sink_projects"),
     )
     df = parts.join(
-        broadcast_checked(sp, config.broadcast_max_rows),
+        sp,
         (parts.server == F.col("_sp_server"))
         & (parts.consumer_group == F.col("_sp_group"))
         & (parts.topic == F.col("_sp_topic")),
@@ -65,15 +64,17 @@ def validate(df: DataFrame, config: PipelineConfig) -> DataFrame:
     }).drop("_id_ok", "_event_ok")
 
 
-def property_text(name: str) -> Column:
-    return F.try_variant_get(F.try_element_at(F.col("properties"), F.lit(name)), "$", "string")
+def flat_text(name: str) -> Column:
+    """Text of a flattened property (the last item of the key wins), without building the map."""
+    item = F.try_element_at(F.filter(F.col("flat_items"), lambda x: x.k == F.lit(name)), F.lit(-1))
+    return F.try_variant_get(item.v, "$", "string")
 
 
 def is_signup(post_processor: Column) -> Column:
     """Login or register events whose `device_id` property is not blank
     (D11: a real blank test).  `loginDevicePost` also wants a login id."""
     named = F.col("event").isin(*C.SIGNUP_EVENTS)
-    device = is_not_blank(property_text(C.SIGNUP_DEVICE_PROPERTY))
+    device = is_not_blank(flat_text(C.SIGNUP_DEVICE_PROPERTY))
     base = named & device
     return F.when(post_processor == "loginDevicePost", base & F.col("is_login_id")).otherwise(base)
 
@@ -90,14 +91,22 @@ def fan_out(df: DataFrame) -> DataFrame:
         k["event"].alias("event"), k["original_id"].alias("original_id")))))
     # one generator over (kind x project); inline keeps wide rows fast
     return df.select(
-        "server", "consumer_group", "topic", "partition", "offset", "part_index", "distinct_id", "time",
+        "server", "consumer_group", "topic", "partition", "offset", "part_index", "distinct_id", "time", "date",
         "properties", "error_reason", F.inline(combos),
     ).select(
         "server", "consumer_group", "topic", "partition", "offset", "part_index", "kind_index", "project_index",
-        "project", "type", "event", "distinct_id", "time", "original_id", "properties", "error_reason",
+        "project", "type", "event", "distinct_id", "time", "date", "original_id", "properties", "error_reason",
     )
 
 
 def event_json(main: DataFrame) -> Column:
-    """S7 value: the event as JSON; NULL fields and the error column are left out."""
-    return F.to_json(F.struct("distinct_id", "time", "project", "type", "event", "original_id", "properties"))
+    """S7 value (P26): the event as JSON; NULL and empty fields and the error column are left out."""
+    text = [F.nullif(F.col(c), F.lit("")).alias(c) for c in ("project", "type", "event", "original_id")]
+    return F.to_json(F.struct(F.nullif("distinct_id", F.lit("")).alias("distinct_id"), "time", *text, "properties"))
+
+
+def invalid_json() -> Column:
+    """S8 value of an invalid row: the original record as text with lineage, reason and version tag."""
+    return F.to_json(F.struct(
+        "record", F.col("server").alias("server"), "consumer_group", "topic", "partition", "offset", "record_key",
+        F.col("error_reason").alias("ERROR_REASON"), F.col("version_tag").alias("VERSION_TAG")))

@@ -6,42 +6,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.operators.metadata import broadcast_checked
 
 
-def module_star_join(events: DataFrame, modules: DataFrame, pages: DataFrame, tags: DataFrame,
-                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def module_star_join(events: DataFrame, modules: DataFrame, pages: DataFrame, tags: DataFrame) -> DataFrame:
     """Filtered events LEFT JOIN the module dimension three times (levels 1, 2,
-    3), the page and the tag dimension.  Dimensions are broadcast when their
-    size is checked small; beyond that the planner shuffles."""
+    3), the page and the tag dimension.  The planner broadcasts
+    dimensions that are small by their statistics and shuffles larger ones."""
     xe = events.filter(F.col("is_delete") == "0")
 
     def level(n: int):
         m = modules.filter((F.col("module_level") == str(n)) & (F.col("is_delete") == 0)).select(
             F.col("module_id").alias(f"_m{n}_id"), F.col("module_name").alias(f"classify{n}_name")
         )
-        return broadcast_checked(m, max_broadcast_rows)
+        return m
 
     out = xe
     for n in (1, 2, 3):
         out = out.join(level(n), out[f"classify{n}_id"] == F.col(f"_m{n}_id"), "left").drop(f"_m{n}_id")
-    p = broadcast_checked(pages.filter(F.col("is_delete") == 0).select(
-        F.col("page_id").alias("_page_id"), "page_name"), max_broadcast_rows)
+    p = pages.filter(F.col("is_delete") == 0).select(F.col("page_id").alias("_page_id"), "page_name")
     out = out.join(p, out["page"] == F.col("_page_id"), "left").drop("_page_id")
-    t = broadcast_checked(tags.select(F.col("tag_id").alias("_tag_id"), "tag_name"), max_broadcast_rows)
+    t = tags.select(F.col("tag_id").alias("_tag_id"), "tag_name")
     return out.join(t, out["event_tag"] == F.col("_tag_id"), "left").drop("_tag_id")
 
 
-def drop_blacklisted(main: DataFrame, blacklist: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def drop_blacklisted(main: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Main rows whose (project, event) is on an active blacklist row are dropped."""
     bl = blacklist.filter(F.col("status") == 0).select(
         F.col("project_id").alias("project"), F.col("event_name").alias("event")
     )
-    return main.join(broadcast_checked(bl, max_broadcast_rows), ["project", "event"], "left_anti")
+    return main.join(bl, ["project", "event"], "left_anti")
 
 
 def daily_unique_users(main: DataFrame) -> DataFrame:
     """Distinct users per project and day (track rows with an identity)."""
-    day = F.try_variant_get(F.col("properties")["date"], "$", "string")
     rows = main.filter((F.col("type") == "track") & F.col("distinct_id").isNotNull())
-    return rows.groupBy("project", day.alias("date")).agg(F.countDistinct("distinct_id").alias("uv"))
+    return rows.groupBy("project", "date").agg(F.countDistinct("distinct_id").alias("uv"))

@@ -26,13 +26,34 @@ class Metadata:
     project_task: DataFrame
     trans_rule: DataFrame
     routes: DataFrame | None = None
+    counters: DataFrame | None = None
 
+    def snapshot(self) -> Metadata:
+        """All tables read now: later use neither reads the store nor sees its changes."""
+        return Metadata(*(x if x is None else local_copy(x) for x in (
+            self.source_sink, self.project_task, self.trans_rule, self.routes, self.counters)))
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a dimension table only when its row count is within `max_rows`;
-    larger tables are left to the planner (shuffle hash / sort-merge join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+SNAPSHOT_BYTES = 64 << 20
+
+
+def local_copy(df: DataFrame, max_bytes: int = SNAPSHOT_BYTES) -> DataFrame:
+    """A small table as a local relation: read once, with exact statistics.
+
+    A table of more than `max_bytes` is written to the shared checkpoint folder
+    instead, so that the driver's memory is bounded."""
+    from eventlake.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    stored = df.persist()
+    try:
+        size = stored.agg(F.coalesce(F.sum(sum((F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))) + 8 for c in df.columns),
+                                               start=F.lit(0))), F.lit(0))).first()[0]
+        if size > max_bytes:
+            return stored.checkpoint()
+        return df.sparkSession.createDataFrame(stored.toArrow(), schema=df.schema)
+    finally:
+        stored.unpersist()
 
 
 def active_wiring(meta: Metadata) -> DataFrame:
@@ -65,6 +86,14 @@ def sink_projects(meta: Metadata) -> DataFrame:
     )
 
 
+def source_topics(meta: Metadata) -> DataFrame:
+    """The distinct topics of every (server, group, auth): its subscription list."""
+    return (
+        active_wiring(meta).groupBy("source_server_port", "source_group_id", "source_sasl_jaas")
+        .agg(F.expr("listagg(distinct source_topic, ',') within group (order by source_topic)").alias("topics"))
+    )
+
+
 def consumer_plan(meta: Metadata) -> DataFrame:
     """Per (server, group, auth) the list of (project, topics) to subscribe to."""
     return (
@@ -90,60 +119,16 @@ def active_rules(meta: Metadata, lower_keys: bool = True) -> DataFrame:
     )
 
 
-RULE_TYPE = "array<struct<project:string,type:int,out:string>>"
+RULES_TYPE = "array<struct<project:string,rules:map<string,array<struct<rule_order:int,type:int,out:string>>>>>"
 
 
-def rule_lookup_map(meta: Metadata, config: PipelineConfig) -> Column | None:
-    """Rules as one literal map  key -> [(project, type, out)] in rule order.
+def rules_by_project(meta: Metadata) -> Column:
+    """All valid rules as one value [(project, key -> [(order, type, out)])].
 
-    The rule table is configuration (tens to thousands of rows); its size is
-    checked against `config.max_rules` before it is collected into the plan.
-    Returns None beyond the bound: use `rules_per_project_list` instead.
-    """
-    rules = active_rules(meta)
-    n = rules.limit(config.max_rules + 1).count()
-    if n > config.max_rules:
-        return None
-    grouped = (
-        rules.groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("rule_order", "project", "type", "out"))).alias("rs"))
-        .collect()
-    )
-    if not grouped:
-        return F.lit(None).cast(f"map<string,{RULE_TYPE}>")
-    keys, values = [], []
-    for row in grouped:
-        keys.append(F.lit(row["key"]))
-        values.append(
-            F.array(*[
-                F.struct(F.lit(r["project"]).alias("project"), F.lit(r["type"]).cast("int").alias("type"),
-                         F.lit(r["out"]).alias("out"))
-                for r in row["rs"]
-            ]).cast(RULE_TYPE)
-        )
-    return F.map_from_arrays(F.array(*keys), F.array(*values))
-
-
-def project_matches(rule_project: Column, tokens: Column, project_list: Column, mode: str) -> Column:
-    """Does a rule's project apply to the record's project list?"""
-    if mode == "contains":
-        return F.contains(project_list, rule_project)
-    return F.array_contains(tokens, rule_project)
-
-
-def rules_per_project_list(records: DataFrame, meta: Metadata, config: PipelineConfig) -> DataFrame:
-    """The other way for rule tables beyond `max_rules`: per distinct project list
-    of the records, the applicable rules as a map key -> [(project, type, out)],
-    by an equi-join on the project token (no literal, no cross join).  The result
-    has one row per distinct project list; it is joined back on project_list."""
-    from eventlake.functions.text import java_split
-
-    lists = records.select("project_list").where(F.col("project_list").isNotNull()).distinct()
-    tokens = lists.select("project_list", F.explode(java_split(F.col("project_list"), ",")).alias("project"))
-    if config.rule_match == "contains":
-        raise ValueError("rule_match='contains' needs the rule map within max_rules")
-    j = tokens.join(active_rules(meta), "project")
-    per_key = j.groupBy("project_list", "key").agg(
-        F.sort_array(F.collect_list(F.struct("rule_order", "project", "type", "out"))).alias("rs"))
-    entry = F.struct(F.col("key"), F.transform("rs", lambda r: F.struct(r.project, r.type, r.out)).cast(RULE_TYPE))
-    return per_key.groupBy("project_list").agg(F.map_from_entries(F.collect_list(entry)).alias("_rules"))
+    A scalar subquery: evaluated once by Spark when a query runs, for any number
+    of rules and either match mode, without driver-side literals."""
+    per_key = active_rules(meta).groupBy("project", "key").agg(
+        F.collect_list(F.struct(F.col("rule_order").cast("int").alias("rule_order"), "type", "out")).alias("rs"))
+    per_project = per_key.where("key IS NOT NULL").groupBy("project").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "rs"))).alias("rules"))
+    return per_project.agg(F.collect_list(F.struct("project", "rules")).cast(RULES_TYPE).alias("r")).scalar()

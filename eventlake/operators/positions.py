@@ -57,8 +57,9 @@ def lag_rollup(lags: DataFrame) -> DataFrame:
 
 def sink_tail(sink: DataFrame, rows_back: Column) -> DataFrame:
     """The last `rows_back` rows of every sink partition."""
+    # a row for each sink partition: broadcast, so that no sink row moves
     ends = sink.groupBy("sink_partition").agg(F.max("sink_offset").alias("_end"))
-    j = sink.join(ends, "sink_partition")
+    j = sink.join(F.broadcast(ends), "sink_partition")
     return j.filter(F.col("sink_offset") > F.col("_end") - rows_back).drop("_end")
 
 
@@ -91,7 +92,8 @@ def resume_positions(lags: DataFrame, sink_pos: DataFrame) -> DataFrame:
 def replay_rows(source: DataFrame, ckpt: DataFrame, sink_keys: DataFrame) -> DataFrame:
     """R6 (ours): exact replay set: source rows after the checkpoint that the sink
     does not hold, by a left-anti join on (server, topic, partition, offset)."""
-    after = source.join(ckpt, KEY, "left").filter(
+    # checkpoint positions have a row for each source partition
+    after = source.join(F.broadcast(ckpt), KEY, "left").filter(
         F.col("ckpt_offset").isNull() | (F.col("offset") > F.col("ckpt_offset"))
     )
     return after.join(sink_keys, ["server", "topic", "partition", "offset"], "left_anti")
@@ -105,14 +107,11 @@ def start_by_timestamp(source: DataFrame, ts: Column) -> DataFrame:
     )
 
 
-def kafka_starting_offsets(positions: DataFrame, topic_col: str = "topic", partition_col: str = "partition",
-                           offset_col: str = "resume_offset") -> DataFrame:
-    """S3: the `startingOffsets` JSON of the Kafka source, one row per server,
-    built on executors ({"topic": {"partition": offset}})."""
-    per_topic = positions.groupBy("server", topic_col).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(partition_col).cast("string"), F.col(offset_col))))
-        .alias("parts")
-    )
-    return per_topic.groupBy("server").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct(topic_col, "parts")))).alias("starting_offsets")
-    )
+def starting_offsets(positions: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """S3 in table form: the offset each partition is next read from: one after its
+    resume position (D7), or the timestamp start where one is given (R8)."""
+    rows = positions.withColumn("next_offset", F.col("resume_offset") + 1)
+    if start is not None:
+        rows = rows.join(start, ["server", "topic", "partition"], "left").withColumn(
+            "next_offset", F.coalesce("start_offset", "next_offset")).drop("start_offset")
+    return rows.select(*KEY, "next_offset")

@@ -41,5 +41,5 @@ def topic_fanout(records: DataFrame, sink_projects: DataFrame) -> DataFrame:
     """Copies per project of every wiring row with the record's topic (any
     server or group); records of no wired topic pass unchanged (project NULL)."""
     sp = sink_projects.select(F.col("source_topic").alias("_topic"), "sink_projects")
-    j = records.join(F.broadcast(sp), records.topic == F.col("_topic"), "left").drop("_topic")
+    j = records.join(sp, records.topic == F.col("_topic"), "left").drop("_topic")
     return j.withColumn("project", F.explode_outer(java_split(F.col("sink_projects"), ","))).drop("sink_projects")

@@ -8,9 +8,10 @@ Flatten semantics (per key, in document order; a later key wins):
   * an object, or text that parses to an object, is descended into (no prefix);
   * an array without a rule is dropped; other values keep their JSON type.
 
-The walk is row-local: `flatten_depth` levels of `transform`/`flatten` over
-`array<struct<k, v, t>>` items, where `t` holds the text of an object still to
-be descended.  Items left pending after the last level set `flatten_truncated`.
+The walk is row-local: one fold over `array<struct<k, v, t>>` items, where `t`
+holds the text of an object still to be descended.  Each step opens one level
+and the fold ends when nothing is pending; its length is bounded by the number
+of braces in the part's text, so no depth is ever cut off.
 """
 
 from __future__ import annotations
@@ -20,21 +21,9 @@ from pyspark.sql import functions as F
 
 from eventlake import constants as C
 from eventlake.config import PipelineConfig
-from eventlake.functions.json import is_empty_value, object_entries, starts_with_char
-from eventlake.operators.metadata import project_matches
+from eventlake.functions.json import is_empty_value
 
 ITEM_TYPE = "struct<k:string,v:variant,t:string>"
-def _null_s() -> Column:
-    return F.lit(None).cast("string")
-
-
-def _null_v() -> Column:
-    return F.lit(None).cast("variant")
-
-
-def _item(k: Column, v: Column, t: Column) -> Column:
-    return F.struct(k.alias("k"), v.alias("v"), t.alias("t"))
-
 
 # The walk is written as SQL text: one parse in the JVM per level instead of
 # thousands of client calls building the same nested lambdas.
@@ -44,12 +33,15 @@ KIND_SQL = """CASE WHEN {sv} IS NULL THEN NULL
   WHEN {sv} = 'STRING' THEN 'STRING' WHEN {sv} = 'BOOLEAN' THEN 'BOOLEAN' WHEN {sv} = 'VOID' THEN 'NULL'
   WHEN {sv} IN ('TINYINT', 'SMALLINT', 'INT', 'BIGINT') THEN 'INTEGER' ELSE 'NUMBER' END"""
 
-# P17 with D13 fixed: NUMBER reads numbers and numeric text; BOOL reads a JSON
+# P17 with D13 fixed: NUMBER reads numbers and numeric text of any length (a JSON
+# number keeps its digits; what DECIMAL cannot hold is read as a double); BOOL reads a JSON
 # node as a boolean; STRING/DATETIME give the value's text (JSON null stays
 # NULL); LIST keeps arrays without object elements; unknown codes give NULL.
 CAST_SQL = """CASE
   WHEN {t} = 0 THEN CASE WHEN {kind} IN ('INTEGER', 'NUMBER') THEN {v}
-    WHEN {kind} = 'STRING' THEN CAST(try_cast(trim({raw}) AS DECIMAL(38,18)) AS VARIANT) END
+    WHEN {kind} = 'STRING' THEN coalesce(
+      CASE WHEN trim({raw}) RLIKE '^-?(0|[1-9][0-9]*)([.][0-9]+)?$' THEN try_parse_json(trim({raw})) END,
+      CAST(try_cast(trim({raw}) AS DECIMAL(38,18)) AS VARIANT), CAST(try_cast(trim({raw}) AS DOUBLE) AS VARIANT)) END
   WHEN {t} = 1 THEN CASE WHEN {kind} = 'BOOLEAN' THEN {v}
     WHEN {kind} = 'INTEGER' THEN CAST(try_variant_get({v}, '$', 'bigint') <> 0 AS VARIANT)
     WHEN {kind} = 'STRING' THEN CAST(trim({raw}) = 'true' AS VARIANT) ELSE CAST(false AS VARIANT) END
@@ -66,19 +58,14 @@ ENTRIES_SQL = """CASE WHEN startswith(ltrim({text}), '{{') THEN transform(
 ITEM_NULL = "named_struct('k', CAST(NULL AS STRING), 'v', CAST(NULL AS VARIANT), 't', CAST(NULL AS STRING))"
 
 
-def _match_sql(config: PipelineConfig) -> str:
-    if config.rule_match == "contains":
-        return "contains(project_list, r.project)"
-    return "array_contains(tokens, r.project)"
-
-
-def classify_sql(entries: str, config: PipelineConfig) -> str:
+def classify_sql(entries: str) -> str:
     """Entries -> items: pass 1 annotates key, kind and rule once per entry,
-    pass 2 decides: ruled / descend / drop / keep."""
+    pass 2 decides: ruled / descend / drop / keep.  `_mine` holds the rule maps
+    of the record's own projects; of several rules the last one in rule order wins."""
     annotate = (
         f"transform({entries}, e -> named_struct('key', lower(e.k), 'raw', e.raw, 'v', e.v, "
         f"'kind', {KIND_SQL.format(sv='schema_of_variant(e.v)')}, "
-        f"'rule', try_element_at(filter(try_element_at(_rules, lower(e.k)), r -> {_match_sql(config)}), -1)))"
+        "'rule', array_max(flatten(transform(_mine, m -> coalesce(try_element_at(m, lower(e.k)), array()))))))"
     )
     cast = CAST_SQL.format(t="x.rule.type", kind="x.kind", v="x.v", raw="x.raw")
     decide = f"""x -> CASE
@@ -91,37 +78,40 @@ def classify_sql(entries: str, config: PipelineConfig) -> str:
     return f"transform({annotate}, {decide})"
 
 
-def level_sql(config: PipelineConfig) -> str:
-    """One more level: pending items are replaced by their object's items; text
+def walk_sql() -> str:
+    """The whole walk.  A step replaces pending items by their object's items; text
     that turns out to hold no object is kept as it is."""
-    inner = classify_sql(ENTRIES_SQL.format(text="it.t"), config)
+    inner = classify_sql(ENTRIES_SQL.format(text="it.t"))
     keep = "array(named_struct('k', it.k, 'v', it.v, 't', CAST(NULL AS STRING)))"
-    return f"flatten(transform(_items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({inner}, {keep}) END))"
+    level = f"flatten(transform(acc.items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({inner}, {keep}) END))"
+    state = f"struct<items:array<{ITEM_TYPE}>,pending:boolean>"
+    # entries is the outermost level in the form of one pending step: its items are made by the same expression
+    steps = "sequence(0, greatest(regexp_count(part_text, '\\\\{|[uU]007[bB]'), 0))"
+    first = f"coalesce({classify_sql('entries')}, CAST(array() AS array<{ITEM_TYPE}>))"
+    made = "transform(array({items}), x -> named_struct('items', x, 'pending', exists(x, it -> it.t IS NOT NULL)))[0]"
+    return (
+        f"aggregate({steps}, CAST(NULL AS {state}), (acc, i) -> CAST(CASE "
+        f"WHEN acc IS NULL THEN {made.format(items=first)} "
+        f"WHEN acc.pending THEN {made.format(items=level)} ELSE acc END AS {state}), acc -> "
+        "transform(filter(acc.items, it -> it.k IS NOT NULL AND it.t IS NULL), it -> named_struct('k', it.k, 'v', it.v)))"
+    )
 
 
-def flatten_properties(df: DataFrame, rules: Column | DataFrame, config: PipelineConfig) -> DataFrame:
-    """Adds flat_items: array<struct<k, v>> in walk order, and flatten_truncated.
+def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) -> DataFrame:
+    """Adds flat_items: array<struct<k, v>> in walk order.
 
-    Needs columns entries (the part's object entries), tokens and project_list.
-    `rules` is the literal rule map, or (beyond max_rules) a DataFrame
-    (project_list, _rules) joined on the record's project list.
+    Needs columns entries (the part's object entries), part_text, tokens and
+    project_list; `rules` is the value of `rules_by_project`.  Matching projects
+    are found once for each row, in either match mode, so the cost of a
+    property does not grow with the rules of other projects.
     """
-    if isinstance(rules, DataFrame):
-        from eventlake.operators.metadata import broadcast_checked
-
-        df = df.join(broadcast_checked(rules, config.broadcast_max_rows), "project_list", "left")
+    if config.rule_match == "contains":
+        match = "contains(project_list, r.project)"
     else:
-        df = df.withColumn("_rules", rules)
-    first = f"coalesce({classify_sql('entries', config)}, CAST(array() AS array<{ITEM_TYPE}>))"
-    df = df.withColumn("_items", F.expr(first))
-    step = F.expr(level_sql(config))
-    for _ in range(config.flatten_depth):
-        df = df.withColumn("_items", step)
-    return df.withColumn("_done", F.expr(
-        "named_struct('items', transform(filter(_items, it -> it.k IS NOT NULL AND it.t IS NULL), "
-        "it -> named_struct('k', it.k, 'v', it.v)), 'truncated', exists(_items, it -> it.t IS NOT NULL))"
-    )).select("*", F.col("_done.items").alias("flat_items"), F.col("_done.truncated").alias("flatten_truncated")
-              ).drop("_items", "_done", "_rules")
+        match = "array_contains(tokens, r.project)"
+    df = df.withColumn("_rules", rules)
+    df = df.withColumn("_mine", F.expr(f"transform(filter(_rules, r -> {match}), r -> r.rules)"))
+    return df.withColumn("flat_items", F.expr(walk_sql())).drop("_rules", "_mine")
 
 
 def _kv(k: str, v: Column) -> Column:
@@ -153,12 +143,12 @@ def overlay_items(config: PipelineConfig) -> Column:
     )
 
 
-def last_wins(items_col: str) -> Column:
-    """Keep the last item of every key (needs `<items_col>_rk`, its reversed keys)."""
-    return F.filter(
-        F.col(items_col),
-        lambda x, i: i == F.size(F.col(items_col)) - F.array_position(F.col(items_col + "_rk"), x.k),
-    )
+def last_wins(items: str) -> str:
+    """Keep the last item of every key, in order: (key, place) pairs are sorted once."""
+    pairs = f"array_sort(transform({items}, (x, i) -> named_struct('k', x.k, 'i', i)))"
+    ends = "filter(p, (x, i) -> i = size(p) - 1 OR p[i + 1].k <> x.k)"
+    return (f"transform(array_sort(transform(array({pairs}), p -> transform({ends}, x -> x.i))[0]), "
+            f"j -> {items}[j])")
 
 
 def assemble_properties(df: DataFrame, config: PipelineConfig) -> DataFrame:
@@ -167,8 +157,6 @@ def assemble_properties(df: DataFrame, config: PipelineConfig) -> DataFrame:
     win (a NULL overlay value removes the key), so only flat items need the
     last-wins pass."""
     overlay = F.array(*[F.lit(k) for k in OVERLAY_KEYS])
-    flat = F.filter(F.col("flat_items"), lambda x: ~F.array_contains(overlay, x.k))
-    df = df.withColumn("_flat", flat)
-    df = df.withColumn("_flat_rk", F.reverse(F.transform(F.col("_flat"), lambda x: x.k)))
-    kept = F.filter(F.concat(last_wins("_flat"), overlay_items(config)), lambda x: ~is_empty_value(x.v))
-    return df.withColumn("properties", F.map_from_entries(kept)).drop("_flat", "_flat_rk")
+    df = df.withColumn("_flat", F.filter(F.col("flat_items"), lambda x: ~F.array_contains(overlay, x.k)))
+    kept = F.filter(F.concat(F.expr(last_wins("_flat")), overlay_items(config)), lambda x: ~is_empty_value(x.v))
+    return df.withColumn("properties", F.map_from_entries(kept)).drop("_flat")

@@ -25,7 +25,7 @@ def log_parts(body: Column) -> Column:
     """Parts of the LOG text field."""
     log_text = field_text(object_entries(body), C.LOG_FIELD)
     pos = F.instr(log_text, "[")
-    parsed = F.from_json(F.substring(log_text, pos, 1 << 30), "array<string>")
+    parsed = F.from_json(F.substr(log_text, pos), "array<string>")
     return F.when(log_text.isNull() | (pos == 0), _empty()).otherwise(F.coalesce(parsed, _empty()))
 
 

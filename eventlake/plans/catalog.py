@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig
 from eventlake.session import ensure_checkpoint_dir
-from eventlake.constants import TIME_PATTERNS
+from eventlake.constants import TIME_PATTERNS, VERSION_TAG
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
+from eventlake.operators import events as E
 from eventlake.operators import metadata as M
 from eventlake.plans import oracle as O
 from eventlake.plans.pipeline import offset_positions, run, stage_counters, transform
@@ -27,7 +28,7 @@ from eventlake.operators.extras import daily_unique_users, drop_blacklisted, mod
 from eventlake.operators.profile import profile_rows, topic_fanout
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
-    SERVER_B, conversation_records, customer_records, event_records, log_records, mixed_records, user_records,
+    SERVER_B, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
 )
 from eventlake.sources.tables import read_table
 
@@ -43,8 +44,7 @@ def event_normalize(spark: SparkSession, data_dir: str) -> DataFrame:
     main = _events_result(spark, data_dir).main()
     return main.select(
         "server", "topic", "partition", "offset", "project", "type", "event", "distinct_id",
-        "time", F.try_variant_get(F.col("properties")["date"], "$", "string").alias("date"),
-        "original_id", "error_reason",
+        "time", "date", "original_id", "error_reason",
     )
 
 
@@ -168,7 +168,7 @@ def stage_counters_query(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def offset_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     """A4 (D6 fixed): largest offset per partition read."""
-    return offset_positions(_mixed_parts(spark, data_dir))
+    return offset_positions(mixed_records(spark, data_dir))
 
 
 # ---- restart positions over the event records -------------------------------
@@ -195,11 +195,13 @@ def _sink(spark: SparkSession, data_dir: str) -> DataFrame:
         "sink_partition": F.col("partition") + F.when(F.col("server") == SERVER_B, 4).otherwise(0),
         "sink_offset": F.col("offset") * 16 + F.col("project_index") * 2 + F.col("kind_index"),
     })
-    # The sink is a stored topic/table in production: materialize it once in the
-    # shared checkpoint folder (spark.checkpoint.dir) instead of recomputing it
-    # for the tail scan, its end offsets and the anti-join.
+    # The sink is a stored topic/table in production.  Here its narrow columns (lineage
+    # properties and positions) are written once to the shared checkpoint folder
+    # instead of running the pipeline again for the tail, its end offsets and the anti-join.
+    lineage = F.map_filter("properties", lambda k, v: k.startswith("SACONSUMER"))
     ensure_checkpoint_dir(spark)
-    return sink.checkpoint(eager=True)
+    return sink.select("server", "topic", "partition", "offset", "sink_partition", "sink_offset",
+                       lineage.alias("properties")).checkpoint()
 
 
 def _sink_positions(spark: SparkSession, data_dir: str, lags: DataFrame) -> DataFrame:
@@ -254,6 +256,45 @@ def counter_merge(spark: SparkSession, data_dir: str) -> DataFrame:
     return merge_counters(old, delta)
 
 
+def source_topics_query(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Distinct topics per (server, group, auth)."""
+    return M.source_topics(sample_metadata(spark, data_dir))
+
+
+def starting_offsets(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The offset every partition is next read from."""
+    return P.starting_offsets(resume_position(spark, data_dir))
+
+
+def main_json(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The written JSON value read back; empty head fields are left out."""
+    main = _events_result(spark, data_dir).main()
+    head = "struct<distinct_id:string,time:bigint,project:string,type:string,event:string,original_id:string>"
+    value = main.select("server", "topic", "partition", "offset", E.event_json(main).alias("value"))
+    return value.withColumn("v", F.from_json("value", head)).select(
+        "server", "topic", "partition", "offset", "v.*",
+        F.array_join(F.array_sort(F.filter(F.json_object_keys("value"), lambda k: ~k.isin("properties"))), ",").alias("keys"))
+
+
+def invalid_json(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The invalid record's JSON value read back: lineage, reason, tag and the whole record."""
+    inv = _events_result(spark, data_dir).invalid()
+    shape = ("struct<record:string,server:string,topic:string,partition:int,offset:bigint,"
+             "ERROR_REASON:string,VERSION_TAG:string>")
+    v = inv.withColumn("v", F.from_json(E.invalid_json(), shape)).select("record", "v")
+    return v.select(
+        "v.server", "v.topic", "v.partition", "v.offset", F.col("v.ERROR_REASON").alias("error_reason"),
+        (F.col("v.VERSION_TAG") == F.lit(VERSION_TAG)).alias("tagged"), (F.col("v.record") == F.col("record")).alias("whole"))
+
+
+def flatten_deep(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Leaves under 6 to 12 objects, every second one with its inner part as
+    text, and numeric text of 24 digits under a NUMBER rule."""
+    parts = transform(deep_records(spark, data_dir), sample_metadata(spark, data_dir)).filter(F.col("has_part"))
+    return parts.select("server", "partition", "offset", _prop_text("leaf").cast("bigint").alias("leaf"),
+                        _prop_text("order_amount").alias("order_amount"))
+
+
 # ---- splits and converters ---------------------------------------------------
 
 def log_split(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -352,6 +393,11 @@ QUERIES: dict[str, Query] = {
     "replay_anti_join": replay_anti_join,
     "start_by_timestamp": start_by_timestamp,
     "counter_merge": counter_merge,
+    "source_topics": source_topics_query,
+    "starting_offsets": starting_offsets,
+    "main_json": main_json,
+    "invalid_json": invalid_json,
+    "flatten_deep": flatten_deep,
     "log_split": log_split,
     "array_split": array_split,
     "delimited_decode": delimited_decode,
@@ -384,6 +430,11 @@ ORACLE: dict[str, str] = {
     "replay_anti_join": O.REPLAY_ANTI_JOIN,
     "start_by_timestamp": O.START_BY_TIMESTAMP,
     "counter_merge": O.STAGE_COUNTERS,
+    "source_topics": O.SOURCE_TOPICS,
+    "starting_offsets": O.STARTING_OFFSETS,
+    "main_json": O.MAIN_JSON,
+    "invalid_json": O.INVALID_JSON,
+    "flatten_deep": O.FLATTEN_DEEP,
     "log_split": O.LOG_SPLIT,
     "array_split": O.ARRAY_SPLIT,
     "delimited_decode": O.DELIMITED_DECODE,

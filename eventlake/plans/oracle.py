@@ -335,6 +335,31 @@ SELECT lg.server, lg.consumer_group, lg.topic, lg."partition", ckpt_offset, end_
   CASE WHEN lag = 0 THEN end_offset ELSE coalesce(tp.sink_offset, ckpt_offset) END AS resume_offset
 FROM lg LEFT JOIN tp USING (server, topic, "partition")"""
 
+SOURCE_TOPICS = with_(WIRING) + """
+SELECT source_server_port, source_group_id, source_sasl_jaas,
+  string_agg(DISTINCT source_topic, ',' ORDER BY source_topic) AS topics
+FROM active GROUP BY 1, 2, 3"""
+
+STARTING_OFFSETS = f"""
+SELECT server, consumer_group, topic, "partition", resume_offset + 1 AS next_offset FROM ({RESUME_POSITION})"""
+
+MAIN_JSON = f"""
+SELECT server, topic, "partition", "offset", distinct_id, "time", project, type, nullif(event, '') AS event, original_id,
+  array_to_string(list_sort(list_filter([
+    CASE WHEN distinct_id IS NOT NULL THEN 'distinct_id' END, 'time', 'project', 'type',
+    CASE WHEN event <> '' THEN 'event' END, CASE WHEN original_id IS NOT NULL THEN 'original_id' END],
+    lambda k: k IS NOT NULL)), ',') AS keys
+FROM ({EVENT_NORMALIZE})"""
+
+INVALID_JSON = f"""
+SELECT server, topic, "partition", "offset", error_reason, true AS tagged, true AS whole FROM ({VALIDATE_INVALID})"""
+
+FLATTEN_DEEP = """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'kafka-a:9092' ELSE 'kafka-b:9092' END AS server,
+  CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset", event_id AS leaf,
+  '1234567890123456' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS order_amount
+FROM events"""
+
 REPLAY_ANTI_JOIN = with_(EV, WIRING, V, POS) + """
 SELECT ev.server, ev.topic, ev."partition", ev."offset" FROM ev
 LEFT JOIN ck USING (server, consumer_group, topic, "partition")

@@ -16,7 +16,7 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.operators import events as E
 from eventlake.operators.decode import decode
-from eventlake.operators.metadata import Metadata, rule_lookup_map, rules_per_project_list, sink_projects
+from eventlake.operators.metadata import Metadata, rules_by_project, sink_projects
 from eventlake.operators.properties import assemble_properties, flatten_properties
 from eventlake.operators.split import extract_fields, split_parts
 
@@ -38,21 +38,19 @@ class PipelineResult:
         return stage_counters(self.parts)
 
     def positions(self) -> DataFrame:
-        return offset_positions(self.parts)
+        first = F.col("part_index").isNull() | (F.col("part_index") == 0)
+        return offset_positions(self.parts.filter(first))
 
 
 def transform(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = None) -> DataFrame:
     """All per-part columns of the pipeline (one row per part; records without
     parts keep one row with NULL part)."""
     config = config or PipelineConfig()
-    rules = rule_lookup_map(meta, config)
     df = decode(spread(raw, config), meta.routes, config)
     df = split_parts(df)
     df = extract_fields(df)
     df = E.resolve_projects(df, sink_projects(meta), config)
-    if rules is None:  # rule table beyond max_rules: per-project-list rules by joins
-        rules = rules_per_project_list(df, meta, config)
-    df = flatten_properties(df, rules, config)
+    df = flatten_properties(df, rules_by_project(meta), config)
     df = E.validate(df, config)
     df = assemble_properties(df, config)
     has_part = F.col("part_index").isNotNull()
@@ -64,14 +62,9 @@ def transform(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = No
 
 
 def spread(raw: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Parsing is CPU-bound per row: when the input comes in fewer partitions than
-    the cluster has cores (a few small files), spread it round-robin.  Inputs
-    that already have enough partitions (any large scan) are left alone."""
-    if raw.isStreaming or config.min_partitions == 0:
-        return raw
-    want = config.min_partitions or raw.sparkSession.sparkContext.defaultParallelism
-    have = raw.rdd.getNumPartitions()
-    return raw.repartition(want) if have < want else raw
+    """Parsing is CPU-bound per row: an input of a few small files can be dealt
+    round-robin to `input_partitions` tasks.  Nothing is done unless asked for."""
+    return raw.repartition(config.input_partitions) if config.input_partitions else raw
 
 
 def run(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = None) -> PipelineResult:
@@ -141,11 +134,7 @@ def stage_counters(parts: DataFrame) -> DataFrame:
     )
 
 
-def offset_positions(parts: DataFrame) -> DataFrame:
-    """A4 with D6 fixed: the largest offset read per (server, group, topic, partition)."""
-    first = F.col("part_index").isNull() | (F.col("part_index") == 0)
-    return (
-        parts.filter(first)
-        .groupBy("server", "consumer_group", "topic", "partition")
-        .agg(F.max("offset").alias("offset"))
-    )
+def offset_positions(records: DataFrame) -> DataFrame:
+    """A4 with D6 fixed: the largest offset read per (server, group, topic, partition);
+    only the lineage columns of the records are read."""
+    return records.groupBy("server", "consumer_group", "topic", "partition").agg(F.max("offset").alias("offset"))

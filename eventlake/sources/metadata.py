@@ -8,8 +8,11 @@ property rules are a fixed sample table.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from eventlake.operators.metadata import Metadata
 from eventlake.sources.records import GROUP, SERVER_A, SERVER_B
@@ -68,8 +71,18 @@ def sample_project_task(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A fixed table as a local relation (exact statistics for the planner)."""
+    import pandas as pd
+
+    kind = StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(kind)
+    frame = pd.DataFrame({f.name: pd.Series(list(c), dtype="object") for f, c in zip(kind, columns, strict=True)})
+    return spark.createDataFrame(pa.Table.from_pandas(frame, schema=to_arrow_schema(kind), preserve_index=False), kind)
+
+
 def sample_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SAMPLE_RULES, RULE_SCHEMA)
+    return _local(spark, SAMPLE_RULES, RULE_SCHEMA)
 
 
 def sample_routes(spark: SparkSession) -> DataFrame:
@@ -77,12 +90,12 @@ def sample_routes(spark: SparkSession) -> DataFrame:
     rows = [(SERVER_B, f"t_{t}", "csvConverter", None, None) for t in EVENT_TYPES]
     rows += [(s, "t_bank_old", None, "corpBankOldEvent", None) for s in (SERVER_A, SERVER_B)]
     rows += [(SERVER_B, "t_customer", "csvConverter", None, None)]
-    return spark.createDataFrame(rows, "server string, topic string, converter string, processor string, "
+    return _local(spark, rows, "server string, topic string, converter string, processor string, "
                                        "post_processor string")
 
 
 def sample_metadata(spark: SparkSession, data_dir: str, with_rules: bool = True) -> Metadata:
-    rules = sample_rules(spark) if with_rules else spark.createDataFrame([], RULE_SCHEMA)
+    rules = sample_rules(spark) if with_rules else _local(spark, [], RULE_SCHEMA)
     return Metadata(
         source_sink=sample_source_sink(spark, data_dir),
         project_task=sample_project_task(spark, data_dir),
@@ -99,7 +112,7 @@ def routes_from_properties(spark: SparkSession, pairs: list[tuple[str, str]], pr
         suffix = f"{server.replace(':', '.')}.{topic}"
         rows.append((server, topic, props.get(f"converter.{suffix}"), props.get(f"processor.{suffix}"),
                      props.get(f"post.{suffix}")))
-    return spark.createDataFrame(rows, "server string, topic string, converter string, processor string, "
+    return _local(spark, rows, "server string, topic string, converter string, processor string, "
                                        "post_processor string")
 
 
@@ -108,8 +121,11 @@ def jdbc_options(url: str, query: str, user: str = "", password: str = "", fetch
     return {"url": url, "query": query, "user": user, "password": password, "fetchsize": str(fetchsize)}
 
 
-def read_metadata_jdbc(spark: SparkSession, url: str, user: str = "", password: str = "") -> Metadata:
-    """The metadata tables over JDBC (needs the database's driver on the classpath)."""
+def read_metadata_jdbc(spark: SparkSession, url: str, user: str = "", password: str = "",
+                       routes: DataFrame | None = None) -> Metadata:
+    """The metadata tables over JDBC (needs the database's driver on the classpath).
+
+    Routes come from the given table (`routes_from_properties`) or the store's."""
     def q(sql):
         return spark.read.format("jdbc").options(**jdbc_options(url, sql, user, password)).load()
     return Metadata(
@@ -118,6 +134,10 @@ def read_metadata_jdbc(spark: SparkSession, url: str, user: str = "", password:
         project_task=q("select name, project_status from sa_project_task"),
         trans_rule=q("select id, sink_project_id, input_field, output_field, output_type, valid_flag "
                      "from sa_trans_rule"),
+        routes=routes if routes is not None else q(
+            "select server, topic, converter, processor, post_processor from sa_route"),
+        counters=q("select source_server_port as server, source_group_id as consumer_group, sink_project_id as project, "
+                   "source_topic as topic, stage, cnt from sa_record_count"),
     )
 
 
@@ -131,7 +151,7 @@ SAMPLE_BLACKLIST = [
 
 
 def sample_blacklist(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SAMPLE_BLACKLIST, "project_id string, event_name string, status int")
+    return _local(spark, SAMPLE_BLACKLIST, "project_id string, event_name string, status int")
 
 
 def sample_modules(spark: SparkSession, data_dir: str):

@@ -83,6 +83,31 @@ def event_records(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def deep_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One record per `events` row for project p_asia: Amount as text of 24 digits, and
+    the event id under 6 + e % 7 nested objects; on odd ids the inner half is
+    the text of an object."""
+    ev = read_table(spark, data_dir, "events", ["event_id", "ts"])
+    e = F.col("event_id")
+    depth = (F.lit(6) + e % 7).cast("int")
+    half = F.floor(depth / 2).cast("int")
+
+    def nest(inner: Column, levels: Column) -> Column:
+        return F.concat(F.repeat(F.lit('{"L":'), levels), inner, F.repeat(F.lit("}"), levels))
+
+    inner = nest(F.concat(F.lit('{"Leaf":'), e, F.lit("}")), half)
+    as_text = F.concat(F.lit('"'), F.replace(inner, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    body = F.concat(
+        F.lit('{"EventID":"view","LoginID":"u1","Time":"2024-01-01 00:00:00","project":"p_asia","Amount":"1234567890123456'),
+        F.lpad(e.cast("string"), 8, "0"), F.lit('","O":'),
+        nest(F.when(e % 2 == 1, as_text).otherwise(inner), depth - half), F.lit("}"))
+    return ev.select(
+        _server(e).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_view").alias("topic"),
+        (e % 4).cast("int").alias("partition"), F.floor(e / 4).cast("bigint").alias("offset"),
+        F.col("ts").alias("timestamp"), F.lit(None).cast("binary").alias("key"), body.cast("binary").alias("value"),
+    )
+
+
 def mixed_records(spark: SparkSession, data_dir: str) -> DataFrame:
     """Event records with every decode edge placed by e % 50:
     49 NULL value, 48 text that is no JSON, 47 a JSON scalar, 46 JSON null,

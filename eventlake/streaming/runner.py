@@ -22,6 +22,7 @@ def read_raw_files(spark: SparkSession, path: str, max_files_per_trigger: int |
 def start(stream: DataFrame, writer: BatchWriter, checkpoint_location: str, available_now: bool = False,
           processing_time: str = "60 seconds", query_name: str | None = None) -> StreamingQuery:
     """One foreachBatch query; the checkpoint holds source positions and batch ids."""
+    writer.checkpoint_location = writer.checkpoint_location or checkpoint_location
     w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint_location)
     if query_name:
         w = w.queryName(query_name)

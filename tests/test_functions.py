@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from eventlake.constants import TIME_PATTERNS
 from eventlake.functions.text import is_not_blank, java_split
-from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
+from eventlake.functions.time import day_text, days_between, is_valid_date, parse_wall_clock, wall_clock_to_millis
 
 
 def test_java_split(spark):
@@ -55,3 +55,19 @@ def test_time_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after == 1717214400000
+
+
+def test_one_digit_parts(spark):
+    texts = ["2024-1-2 3:4:5.678", "2024-1-2 3:4:5 678", "2024-1-2 3:4:5 6", "2024-1-2 3:4:5", "2024/1/2 3:4:5", "2024-1-2 3:4", "2024-1-2", "2024-11-12 13:14:15"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse_wall_clock(F.col("t")).cast("string")).collect()]
+    assert got[:2] == ["2024-01-02 03:04:05.678"] * 2 and got[3:5] == ["2024-01-02 03:04:05"] * 2
+    assert got[5:] == ["2024-01-02 03:04:00", "2024-01-02 00:00:00", "2024-11-12 13:14:15"]
+
+
+def test_valid_date_and_days_between(spark):
+    df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("x",), (None,)], "t string")
+    assert [r[0] for r in df.select(is_valid_date(F.col("t"), "yyyy-MM-dd")).collect()] == [True, False, False, False]
+    day = 86_400_000
+    row = spark.range(1).select(days_between(F.lit(day - 1), F.lit(day), "UTC"), days_between(F.lit(0), F.lit(day - 1), "UTC")).first()
+    assert tuple(row) == (1, 0)

@@ -88,16 +88,40 @@ def test_overlay_wins_and_lineage(spark):
     assert q["$is_login_id"] is True
 
 
-def test_rule_join_fallback_matches_literal_map(spark, small_dir):
-    from eventlake.sources.metadata import sample_metadata
-    from eventlake.sources.records import event_records
+def _nested(depth, as_text=False):
+    inner = '{"leaf":1}'
+    for k in range(depth):
+        inner = json.dumps({f"L{k}": inner}) if as_text and k % 2 else "{" + f'"L{k}":{inner}' + "}"
+    return "{" + BASE + ',"O":' + inner + "}"
 
-    raw = event_records(spark, small_dir)
-    meta = sample_metadata(spark, small_dir)
 
-    def keyed(config):
-        p = transform(raw, meta, config).select("server", "partition", "offset", F.to_json("properties").alias("p"))
-        return sorted((r.server, r.partition, r.offset, json.dumps(json.loads(r.p), sort_keys=True))
-                      for r in p.collect())
+def test_flatten_has_no_depth_limit(spark):
+    depths = [0, 1, 2, 5, 6, 7, 9, 12, 25]
+    got = _props(spark, [_nested(d) for d in depths] + [_nested(d, True) for d in depths[:7]])
+    assert [q.get("leaf") for q in got] == [1] * len(got)
+    assert all(q.get("l0") is None for q in got)
 
-    assert keyed(PipelineConfig(max_rules=1)) == keyed(PipelineConfig())
+
+def test_escaped_braces_and_long_numbers(spark):
+    rules = [(1, "p1", "n", "n_out", "0", 1)]
+    numbers = ["123456789012345678901234", "0.12345678901234567890123", "1e400", "1e300", "+7", ".5", "x", "-12.50"]
+    bodies = ["{" + BASE + f',"n":"{n}"' + "}" for n in numbers]
+    got = [q.get("n_out") for q in _props(spark, bodies, rules)]
+    assert got[0] == 123456789012345678901234 and abs(got[1] - 0.123456789012345678) < 1e-15
+    assert got[3] == 1e300 and got[4] == 7 and got[5] == 0.5 and got[6] is None and got[7] == -12.5
+    escaped = "{" + BASE + ',"t":"\\u007b\\"deep\\":\\u007B\\"x\\":3}}"}'
+    assert _props(spark, [escaped])[0]["x"] == 3
+
+
+def test_many_keys_last_wins(spark):
+    body = "{" + BASE + "," + ",".join(f'"k{i % 2500}":{i}' for i in range(5000)) + "}"
+    q = _props(spark, [body])[0]
+    assert q["k7"] == 2507 and q["k2499"] == 4999
+
+
+def test_ten_thousand_rules_in_both_modes(spark):
+    rules = [(k, f"p{k % 100}", f"f{k // 100}", f"out{k}", "2", 1) for k in range(10_000)]
+    body = ["{" + BASE + ',"project":"p3,p44","f5":1,"f99":"z"}']
+    for mode in ("token", "contains"):
+        q = _props(spark, body, rules, config=PipelineConfig(rule_match=mode))[0]
+        assert q["out544"] == "1" and q["out9944"] == "z"
