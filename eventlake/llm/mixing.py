@@ -133,12 +133,12 @@ def mix(
     Null sources are one source of their own; null and empty texts have no
     tokens; equal rows are read equally often; empty tables give no rows.
     """
-    keyed = (
-        row_key(docs, "__row")
-        .withColumn("__tokens", word_count())
-        .withColumn("__source", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = row_key(docs, "__row").select(  # the row as one value: its names cannot clash with ours
+        F.struct(*own).alias("__doc"), "__row", word_count().alias("__tokens"), F.col("source").cast("string").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("__source"),
     )
-    narrow = checkpointed(keyed.select("__row", "__source", F.col("source").cast("string").alias("source"), "__tokens"))
+    narrow = checkpointed(keyed.select("__row", "__source", "source", "__tokens"))
     mixture = plan(narrow, budget, budget_share, entropy_share, max_repeats)
     blocks_of = F.least(F.lit(max_blocks), F.ceil(F.col("tokens") / F.lit(block_tokens)) + 1).cast("int")
     source = mixture.sources.select(F.col("source_key").alias("__source"), "epochs", "rest", F.col("weight").alias("__weight"), blocks_of.alias("blocks"))
@@ -169,7 +169,7 @@ def mix(
         .groupBy("__source").agg(F.max("last_order").alias("edge"))
     )
     last = checkpointed(cuts.join(edge, "__source", "left").select(F.col("__source"), "cut_key", "cut_block", "edge"))
-    whole = placed(keyed.withColumn("__given", F.lit(True))).join(_bounded(last), "__source", "left")
+    whole = placed(keyed.drop("source")).join(_bounded(last), "__source", "left")
     extra = F.when(
         (F.col("rest") > 0) & F.col("cut_key").isNotNull()
         & ((F.col("last_block") < F.col("cut_key"))
@@ -177,12 +177,11 @@ def mix(
            | ((F.col("__block") == F.col("cut_block")) & (F.col("last_order") <= F.col("edge")))),
         1,
     ).otherwise(F.when((F.col("rest") > 0) & F.col("cut_key").isNull(), 1).otherwise(0))
-    own = [F.col(f"`{c}`") for c in docs.columns]
     return (
         whole.withColumn("__times", F.col("epochs") + extra).where("__times > 0")
         .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
         .select(
-            *own, "__epoch", "__block",
+            *[F.col("__doc")[c].alias(c) for c in docs.columns], "__epoch", "__block",
             F.xxhash64(F.lit(seed), "__source", "__epoch", "__block").alias("__block_key"),
             F.xxhash64(F.lit(seed), "__epoch", "__row").alias("__order_key"), "__tokens", "__weight",
         )

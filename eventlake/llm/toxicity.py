@@ -348,7 +348,9 @@ def _matcher(model: ToxicityModel) -> Matcher:
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
-    """docs with the score of each whole text (null: empty); other columns pass through unread."""
+    """docs with the score of each whole text (null: empty) in column `name`, in place of
+    any column of that name; other columns pass through unread."""
+    docs = docs.drop(name)
     known = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
