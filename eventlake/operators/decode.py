@@ -14,6 +14,8 @@ Output adds:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +43,23 @@ def empty_converter() -> Column:
     return F.lit("{}")
 
 
+#: Converters by route name: text of a value that is no JSON -> JSON text of the record.
+CONVERTERS: dict[str, Callable[[Column, PipelineConfig], Column]] = {
+    "csvConverter": lambda text, config: csv_converter(text, config.csv_fields, config.csv_separator),
+}
+
+
+def register_converter(name: str, convert: Callable[[Column, PipelineConfig], Column]) -> None:
+    """Make a converter available to routes (§2.11); a later one of the same name replaces it."""
+    CONVERTERS[name] = convert
+
+
 def apply_converter(name: Column, text: Column, config: PipelineConfig) -> Column:
     """Converter chosen per route; unknown names use the empty converter."""
-    return F.when(name == "csvConverter", csv_converter(text, config.csv_fields, config.csv_separator)).otherwise(
-        empty_converter()
-    )
+    out = F
+    for known, convert in CONVERTERS.items():
+        out = out.when(name == known, convert(text, config))
+    return out.otherwise(empty_converter())
 
 
 def attach_routes(raw: DataFrame, routes: DataFrame | None, config: PipelineConfig) -> DataFrame:

@@ -3,6 +3,8 @@ derivation and project fan-out."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,13 +72,27 @@ def flat_text(name: str) -> Column:
     return F.try_variant_get(item.v, "$", "string")
 
 
+#: Post processors by route name: the sign-up test of a row, given the default one.
+POSTS: dict[str, Callable[[Column], Column]] = {
+    "loginDevicePost": lambda base: base & F.col("is_login_id"),
+}
+
+
+def register_post(name: str, narrow: Callable[[Column], Column]) -> None:
+    """Make a post processor available to routes (§2.11)."""
+    POSTS[name] = narrow
+
+
 def is_signup(post_processor: Column) -> Column:
     """Login or register events whose `device_id` property is not blank
     (D11: a real blank test).  `loginDevicePost` also wants a login id."""
     named = F.col("event").isin(*C.SIGNUP_EVENTS)
     device = is_not_blank(flat_text(C.SIGNUP_DEVICE_PROPERTY))
     base = named & device
-    return F.when(post_processor == "loginDevicePost", base & F.col("is_login_id")).otherwise(base)
+    out = F
+    for name, narrow in POSTS.items():
+        out = out.when(post_processor == name, narrow(base))
+    return out.otherwise(base)
 
 
 def fan_out(df: DataFrame) -> DataFrame:

@@ -11,12 +11,18 @@ A processor is a split rule plus the JSON field names it reads:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import constants as C
 from eventlake.functions.json import array_elements, field_text, object_entries
 
+ROLES = ("app_version", "login_id", "device_id", "event_name", "event_time", "project")
+
+
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
@@ -35,9 +41,28 @@ def record_parts(body: Column) -> Column:
     return F.when(elements.isNotNull(), elements).otherwise(F.array(body))
 
 
+@dataclass(frozen=True)
+class Processor:
+    """JSON field of each role, and how a body becomes parts (None: `record_parts`)."""
+
+    fields: dict
+    parts: Callable[[Column], Column] | None = None
+
+
+PROCESSORS: dict[str, Processor] = {
+    name: Processor(fields, log_parts if name == "corpBankOldEvent" else None)
+    for name, fields in C.PROCESSOR_FIELDS.items()
+}
+
+
+def register_processor(name: str, fields: dict, parts: Callable[[Column], Column] | None = None) -> None:
+    """Make a processor available to routes (§2.11).  `fields` maps the roles of the
+    built-in processors to JSON field names (a missing role reads nothing)."""
+    PROCESSORS[name] = Processor({**dict.fromkeys(ROLES), **fields}, parts)
+
+
 def normalize_processor(name: Column) -> Column:
-    known = list(C.PROCESSOR_FIELDS)
-    return F.when(name.isin(known), name).otherwise(F.lit(C.DEFAULT_PROCESSOR))
+    return F.when(name.isin(list(PROCESSORS)), name).otherwise(F.lit(C.DEFAULT_PROCESSOR))
 
 
 def split_parts(decoded: DataFrame) -> DataFrame:
@@ -47,12 +72,12 @@ def split_parts(decoded: DataFrame) -> DataFrame:
     """
     proc = normalize_processor(F.col("processor"))
     body = F.col("body_text")
-    parts = (
-        F.when(F.col("is_null") | F.col("decode_error").isNotNull(), F.lit(None).cast("array<string>"))
-        .when(proc == "corpBankOldEvent", log_parts(body))
-        .otherwise(record_parts(body))
-    )
-    whole = (proc != "corpBankOldEvent") & F.col("body_entries").isNotNull()
+    parts = F.when(F.col("is_null") | F.col("decode_error").isNotNull(), F.lit(None).cast("array<string>"))
+    own = [name for name, p in PROCESSORS.items() if p.parts is not None]
+    for name in own:
+        parts = parts.when(proc == name, PROCESSORS[name].parts(body))
+    parts = parts.otherwise(record_parts(body))
+    whole = ~proc.isin(own) & F.col("body_entries").isNotNull()
     df = decoded.withColumn("processor", proc).withColumn("_parts", parts).withColumn("_whole", whole)
     df = df.withColumn("n_parts", F.coalesce(F.size("_parts"), F.lit(0)).cast("int"))
     df = df.select("*", F.posexplode_outer("_parts").alias("part_index", "part_text")).drop("_parts")
@@ -65,7 +90,7 @@ def _last_entry_sql(role: str) -> str:
     """Last entry (duplicate keys: last wins) of the processor's field for `role`."""
     branches = [
         f"WHEN '{name}' THEN try_element_at(filter(entries, e -> e.k = '{fields[role]}'), -1)"
-        for name, fields in C.PROCESSOR_FIELDS.items() if fields[role] is not None
+        for name, fields in ((n, p.fields) for n, p in PROCESSORS.items()) if fields[role] is not None
     ]
     return f"CASE processor {' '.join(branches)} END"
 
@@ -81,8 +106,7 @@ ENTRY_TEXT_SQL = """CASE WHEN {e} IS NULL OR is_variant_null({e}.v) THEN CAST(NU
 def extract_fields(parts: DataFrame) -> DataFrame:
     """Named fields of each part as text (missing fields NULL); the part's
     entries are kept as the main object for the property flatten."""
-    roles = ("app_version", "login_id", "device_id", "event_name", "event_time", "project")
-    df = parts.withColumns({f"_le_{r}": F.expr(_last_entry_sql(r)) for r in roles})
-    return df.withColumns({f"src_{r}": F.expr(ENTRY_TEXT_SQL.format(e=f"_le_{r}")) for r in roles}).drop(
-        *[f"_le_{r}" for r in roles]
+    df = parts.withColumns({f"_le_{r}": F.expr(_last_entry_sql(r)) for r in ROLES})
+    return df.withColumns({f"src_{r}": F.expr(ENTRY_TEXT_SQL.format(e=f"_le_{r}")) for r in ROLES}).drop(
+        *[f"_le_{r}" for r in ROLES]
     )

@@ -19,7 +19,7 @@ from eventlake.operators import events as E
 from eventlake.operators import metadata as M
 from eventlake.plans import oracle as O
 from eventlake.plans.pipeline import offset_positions, run, stage_counters, transform
-from eventlake.sources.metadata import sample_metadata
+from eventlake.sources.metadata import ROUTE_SCHEMA, local_table, sample_metadata
 from eventlake.functions import time as T
 from eventlake.operators import positions as P
 from eventlake.operators.counters import merge_counters
@@ -28,7 +28,7 @@ from eventlake.operators.extras import daily_unique_users, drop_blacklisted, mod
 from eventlake.operators.profile import profile_rows, topic_fanout
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
-    SERVER_B, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
+    SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
 )
 from eventlake.sources.tables import read_table
 
@@ -312,6 +312,23 @@ def array_split(spark: SparkSession, data_dir: str) -> DataFrame:
         "offset", "part_index", "n_parts", "event", "distinct_id", F.length(text).alias("text_chars"))
 
 
+def record_fields_new(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Bank "new" records, whose named fields are LogType and CustID."""
+    parts = transform(bank_new_records(spark, data_dir), sample_metadata(spark, data_dir))
+    return parts.filter(F.col("has_part")).select(
+        "server", "partition", "offset", "processor", "event", "distinct_id", "time", "src_app_version")
+
+
+def signup_by_route(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Sign-ups where server A's t_signup topic is routed to the stricter post processor."""
+    meta = sample_metadata(spark, data_dir)
+    own = local_table(spark, [(SERVER_A, "t_signup", None, None, "loginDevicePost")], ROUTE_SCHEMA)
+    meta = M.Metadata(meta.source_sink, meta.project_task, meta.trans_rule, meta.routes.union(own))
+    main = run(event_records(spark, data_dir), meta).main()
+    return main.filter(F.col("type") == "track_signup").select(
+        "server", "topic", "partition", "offset", "project", "distinct_id", "original_id")
+
+
 def delimited_decode(spark: SparkSession, data_dir: str) -> DataFrame:
     """U+0001-delimited text turned into an object by the routed converter."""
     dec = decode(customer_records(spark, data_dir), sample_metadata(spark, data_dir).routes)
@@ -400,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "flatten_deep": flatten_deep,
     "log_split": log_split,
     "array_split": array_split,
+    "record_fields_new": record_fields_new,
+    "signup_by_route": signup_by_route,
     "delimited_decode": delimited_decode,
     "profile_set": profile_set,
     "topic_fanout": topic_fanout_query,
@@ -437,6 +456,8 @@ ORACLE: dict[str, str] = {
     "flatten_deep": O.FLATTEN_DEEP,
     "log_split": O.LOG_SPLIT,
     "array_split": O.ARRAY_SPLIT,
+    "record_fields_new": O.RECORD_FIELDS_NEW,
+    "signup_by_route": O.SIGNUP_BY_ROUTE,
     "delimited_decode": O.DELIMITED_DECODE,
     "profile_set": O.PROFILE_SET,
     "topic_fanout": O.TOPIC_FANOUT,

@@ -354,6 +354,17 @@ FROM ({EVENT_NORMALIZE})"""
 INVALID_JSON = f"""
 SELECT server, topic, "partition", "offset", error_reason, true AS tagged, true AS whole FROM ({VALIDATE_INVALID})"""
 
+SIGNUP_BY_ROUTE = f"""
+SELECT * FROM ({SIGNUP_DERIVE})
+WHERE NOT (server = 'kafka-a:9092' AND topic = 't_signup') OR distinct_id LIKE 'u%'"""
+
+RECORD_FIELDS_NEW = """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'kafka-a:9092' ELSE 'kafka-b:9092' END AS server,
+  CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey // 4 AS "offset", 'corpBankNewEvent' AS processor,
+  'st_' || o_orderstatus AS event, CASE WHEN o_orderkey % 3 = 0 THEN 'd' || o_orderkey ELSE 'c' || o_custkey END AS distinct_id,
+  epoch_ms(o_orderdate) - 28800000 AS "time", '2.0' AS src_app_version
+FROM orders"""
+
 FLATTEN_DEEP = """
 SELECT CASE WHEN event_id % 2 = 0 THEN 'kafka-a:9092' ELSE 'kafka-b:9092' END AS server,
   CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset", event_id AS leaf,

@@ -35,6 +35,7 @@ SAMPLE_RULES = [
     (11, "p_africa", "amount", "amount_af", "2", 1),
     (12, "p_asia", "x", "pos_x_asia", "2", 1),
 ]
+ROUTE_SCHEMA = "server string, topic string, converter string, processor string, post_processor string"
 RULE_SCHEMA = ("id int, sink_project_id string, input_field string, output_field string, "
                "output_type string, valid_flag int")
 
@@ -71,7 +72,7 @@ def sample_project_task(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A fixed table as a local relation (exact statistics for the planner)."""
     import pandas as pd
 
@@ -82,20 +83,20 @@ def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def sample_rules(spark: SparkSession) -> DataFrame:
-    return _local(spark, SAMPLE_RULES, RULE_SCHEMA)
+    return local_table(spark, SAMPLE_RULES, RULE_SCHEMA)
 
 
 def sample_routes(spark: SparkSession) -> DataFrame:
     """Routes: delimited text on server B's event topics; bank "old" records."""
     rows = [(SERVER_B, f"t_{t}", "csvConverter", None, None) for t in EVENT_TYPES]
     rows += [(s, "t_bank_old", None, "corpBankOldEvent", None) for s in (SERVER_A, SERVER_B)]
+    rows += [(s, "t_bank_new", None, "corpBankNewEvent", None) for s in (SERVER_A, SERVER_B)]
     rows += [(SERVER_B, "t_customer", "csvConverter", None, None)]
-    return _local(spark, rows, "server string, topic string, converter string, processor string, "
-                                       "post_processor string")
+    return local_table(spark, rows, ROUTE_SCHEMA)
 
 
 def sample_metadata(spark: SparkSession, data_dir: str, with_rules: bool = True) -> Metadata:
-    rules = sample_rules(spark) if with_rules else _local(spark, [], RULE_SCHEMA)
+    rules = sample_rules(spark) if with_rules else local_table(spark, [], RULE_SCHEMA)
     return Metadata(
         source_sink=sample_source_sink(spark, data_dir),
         project_task=sample_project_task(spark, data_dir),
@@ -112,8 +113,7 @@ def routes_from_properties(spark: SparkSession, pairs: list[tuple[str, str]], pr
         suffix = f"{server.replace(':', '.')}.{topic}"
         rows.append((server, topic, props.get(f"converter.{suffix}"), props.get(f"processor.{suffix}"),
                      props.get(f"post.{suffix}")))
-    return _local(spark, rows, "server string, topic string, converter string, processor string, "
-                                       "post_processor string")
+    return local_table(spark, rows, ROUTE_SCHEMA)
 
 
 def jdbc_options(url: str, query: str, user: str = "", password: str = "", fetchsize: int = 10_000) -> dict:
@@ -151,7 +151,7 @@ SAMPLE_BLACKLIST = [
 
 
 def sample_blacklist(spark: SparkSession) -> DataFrame:
-    return _local(spark, SAMPLE_BLACKLIST, "project_id string, event_name string, status int")
+    return local_table(spark, SAMPLE_BLACKLIST, "project_id string, event_name string, status int")
 
 
 def sample_modules(spark: SparkSession, data_dir: str):

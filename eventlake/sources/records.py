@@ -158,6 +158,25 @@ def log_records(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def bank_new_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Bank "new" records, one per order: LogType, CustID (missing on every third
+    key, which has a DeviceID), Time and AppVersion."""
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"])
+    k = F.col("o_orderkey")
+    body = F.to_json(F.struct(
+        F.concat(F.lit("st_"), F.col("o_orderstatus")).alias("LogType"),
+        F.when(k % 3 != 0, F.concat(F.lit("c"), F.col("o_custkey"))).alias("CustID"),
+        F.when(k % 3 == 0, F.concat(F.lit("d"), k)).alias("DeviceID"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Time"), F.lit("2.0").alias("AppVersion"),
+        F.lit("p_asia").alias("project"),
+    ), JSON_OPTS)
+    return o.select(
+        _server(k).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_bank_new").alias("topic"),
+        (k % 4).cast("int").alias("partition"), F.floor(k / 4).cast("bigint").alias("offset"),
+        F.col("o_orderdate").alias("timestamp"), F.lit(None).cast("binary").alias("key"), body.cast("binary").alias("value"),
+    )
+
+
 def conversation_records(spark: SparkSession, data_dir: str) -> DataFrame:
     """Top-level JSON arrays (P12b, D4): one record per conversation turn holding
     1 + turn % 3 copies of the turn as an event; whole turn texts ride along."""

@@ -78,3 +78,19 @@ def test_no_shuffle_before_outputs(spark, small_dir):
     # the only exchanges are on the metadata side (wiring grouped by source_server_port)
     assert "Exchange hashpartitioning(server" not in plan and "RoundRobinPartitioning" not in plan
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_registered_plugins(spark):
+    """A converter, a processor and a post processor of the user's own, chosen by routes."""
+    from eventlake.operators import decode, events, split
+
+    decode.register_converter("pipes", lambda text, config: F.to_json(F.struct(F.split(text, "[|]")[0].alias("who"), F.split(text, "[|]")[1].alias("what"))))
+    split.register_processor("pipes", {"login_id": "who", "event_name": "what"})
+    events.register_post("never", lambda base: F.lit(False))
+    try:
+        meta = _meta(spark)
+        meta.routes = spark.createDataFrame([("kafka-a:9092", "t_click", "pipes", "pipes", "never")], "server string, topic string, converter string, processor string, post_processor string")
+        res = run(raw_rows(spark, ["ann|register", '{"who":"bob","what":"register","device_id":"d"}']), meta)
+        assert sorted((r.distinct_id, r.event, r.type) for r in res.main().collect()) == [("ann", "register", "track"), ("bob", "register", "track")]
+    finally:
+        del decode.CONVERTERS["pipes"], split.PROCESSORS["pipes"], events.POSTS["never"]
