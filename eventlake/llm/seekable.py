@@ -194,12 +194,23 @@ def lookup(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
                     r = SeekableReader(f)
                     low.append(None if r.null.all() else int(r.ids[int(r.null.sum())]))
                     high.append(None if r.null.all() else int(r.ids[-1]))
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["path", "low", "high"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["file", "path", "low", "high"])
 
-    ranges = manifest.select("path").mapInArrow(bounds, "path string, low bigint, high bigint")
-    asked = wanted.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    # the manifest has a row for each file: a range join of the ids with it
-    pairs = asked.join(F.broadcast(ranges), F.col("doc_id").between(F.col("low"), F.col("high")))
+    # the manifest's bounds are a row for each file; both ascend with the file's number
+    files = manifest.select("file", "path").mapInArrow(bounds, "file int, path string, low bigint, high bigint")
+    held = sorted(tuple(r) for r in files.where("low IS NOT NULL").collect())
+    known = spark.sparkContext.broadcast(([r[1] for r in held], np.array([r[2] for r in held], np.int64), np.array([r[3] for r in held], np.int64)))
+
+    def place(batches):
+        paths, low, high = known.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            first, last = np.searchsorted(high, ids, "left"), np.searchsorted(low, ids, "right")
+            rows = [(int(i), paths[k]) for i, a, b in zip(ids, first, last, strict=True) for k in range(a, b)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "path"])
+
+    asked = wanted.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    pairs = asked.mapInArrow(place, "doc_id bigint, path string")
     batches_of = pairs.repartition(parts, "path").sortWithinPartitions("path", "doc_id")
 
     def run(batches):
