@@ -1,11 +1,18 @@
-"""Config-only and schema-only items: module star join (J9), event blacklist
-(E4), daily unique users (E2)."""
+"""Config-only and schema-only items: module star join (J9), topic routing (E1),
+daily unique users (E2), delimited-file import (E3), event blacklist (E4)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake import constants as C
+from eventlake.functions.json import is_empty_value
+from eventlake.functions.text import cut, is_not_blank
+from eventlake.functions.time import parse_wall_clock, wall_clock_to_millis
+
 
 
 def module_star_join(events: DataFrame, modules: DataFrame, pages: DataFrame, tags: DataFrame) -> DataFrame:
@@ -41,3 +48,69 @@ def daily_unique_users(main: DataFrame) -> DataFrame:
     """Distinct users per project and day (track rows with an identity)."""
     rows = main.filter((F.col("type") == "track") & F.col("distinct_id").isNotNull())
     return rows.groupBy("project", "date").agg(F.countDistinct("distinct_id").alias("uv"))
+
+
+def route_topics(main: DataFrame, splits: DataFrame) -> DataFrame:
+    """Main rows with the sink topics of all valid split rules of their project
+    whose field/value pairs (one to three; NULL pairs ask nothing) they hold.
+
+    An equi-join on the project; rows of no rule are left out."""
+    rules = splits.filter(F.col("valid_flag") == 1).select(
+        F.col("sink_project_id").alias("project"), F.col("sink_topic").alias("_sink_topic"),
+        *[F.col(f"source_field{kind}_{n}").alias(f"_{'v' if kind else 'f'}{n}") for n in (1, 2, 3) for kind in ("", "_value")])
+    j = main.join(rules, "project")
+    for n in (1, 2, 3):
+        held = F.try_variant_get(F.try_element_at("properties", F.col(f"_f{n}")), "$", "string")
+        j = j.filter(F.col(f"_f{n}").isNull() | F.coalesce(held == F.col(f"_v{n}"), F.lit(False)))
+    return j.withColumn("sink_topic", F.col("_sink_topic")).select(*main.columns, "sink_topic")
+
+
+# Source types of imported fields and the property type each one becomes.
+IMPORT_TYPES = {"Boolean": "Boolean", "Date": "Date", "Integer": "Number", "Long": "Number", "String": "String"}
+
+
+@dataclass(frozen=True)
+class ImportConfig:
+    """One delimited import: fields in file order as (property, source type); the
+    names of the identity and time fields; separator and header flag."""
+
+    project: str
+    event_name: str
+    fields: tuple[tuple[str, str], ...]
+    id_field: str
+    time_field: str
+    separator: str = ","
+    header: bool = False
+    time_zone: str = "Asia/Shanghai"
+
+
+def import_delimited(lines: DataFrame, config: ImportConfig) -> DataFrame:
+    """Lines of text (column value, as `spark.read.text` gives them) -> event rows
+    with typed properties and error_reason.
+
+    Quotes follow the CSV reader.  Missing fields are NULL; text that a Boolean
+    or Number field cannot hold is left out of the properties; header lines
+    equal the field names.  Counts by outcome are an aggregate of error_reason."""
+    names = [n for n, _ in config.fields]
+    if config.header:
+        lines = lines.filter(F.col("value") != config.separator.join(names))
+    row = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": config.separator})
+    df = lines.withColumn("_row", row)
+
+    def typed(name: str, kind: str):
+        text = F.col("_row")[name]
+        to = IMPORT_TYPES[kind]
+        if to == "Number":
+            return F.coalesce(text.try_cast("bigint").cast("variant"), text.try_cast("double").cast("variant"))
+        return (text.try_cast("boolean") if to == "Boolean" else text).cast("variant")
+
+    items = F.array(*[F.struct(F.lit(n).alias("k"), typed(n, t).alias("v")) for n, t in config.fields])
+    ms = wall_clock_to_millis(parse_wall_clock(F.col("_row")[config.time_field]), config.time_zone)
+    who = F.col("_row")[config.id_field]
+    errors = F.concat_ws(C.ERR_SEP, F.when(~is_not_blank(who), F.lit(C.ERR_NO_ID)), F.when(ms.isNull(), F.lit(C.ERR_TIME)))
+    return df.select(
+        *[c for c in lines.columns if c != "value"],
+        F.when(is_not_blank(who), cut(who)).alias("distinct_id"), F.coalesce(ms, F.lit(0).cast("bigint")).alias("time"),
+        F.lit(config.project).alias("project"), F.lit(C.TYPE_TRACK).alias("type"), F.lit(config.event_name).alias("event"),
+        F.map_from_entries(F.filter(items, lambda x: ~is_empty_value(x.v))).alias("properties"),
+        F.when(errors != "", F.concat(F.lit(C.INVALID_PREFIX), errors)).alias("error_reason"))

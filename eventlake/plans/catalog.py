@@ -24,7 +24,9 @@ from eventlake.functions import time as T
 from eventlake.operators import positions as P
 from eventlake.operators.counters import merge_counters
 from eventlake.operators.decode import decode
-from eventlake.operators.extras import daily_unique_users, drop_blacklisted, module_star_join
+from eventlake.operators.extras import (
+    ImportConfig, daily_unique_users, drop_blacklisted, import_delimited, module_star_join, route_topics,
+)
 from eventlake.operators.profile import profile_rows, topic_fanout
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
@@ -396,6 +398,38 @@ def event_blacklist(spark: SparkSession, data_dir: str) -> DataFrame:
     return kept.select("server", "partition", "offset", "project", "type", "event")
 
 
+SPLITS = [
+    ("tp_a", "p_asia", "$app_version", "1.0", None, None, None, None, 1),
+    ("tp_b", "p_europe", "$app_version", "1.1", "SACONSUMERPARTITION", "2", None, None, 1),
+    ("tp_c", "p_asia", "$app_version", "1.0", "SACONSUMERPARTITION", "0", "SACONSUMERTOPIC", "t_click", 1),
+    ("tp_d", "p_asia", "$app_version", "1.0", None, None, None, None, 0),
+]
+SPLIT_SCHEMA = "sink_topic string, sink_project_id string, " + "".join(
+    f"source_field_{n} string, source_field_value_{n} string, " for n in (1, 2, 3)) + "valid_flag int"
+
+
+def topic_route(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Main rows routed to topics by project and field values."""
+    out = route_topics(_events_result(spark, data_dir).main(), local_table(spark, SPLITS, SPLIT_SCHEMA))
+    return out.select("server", "topic", "partition", "offset", "project", "type", "sink_topic")
+
+
+def delimited_import(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Delimited customer lines (a header line each time the key is a multiple of 100) as events."""
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_nationkey"])
+    k = F.col("c_custkey")
+    line = F.concat_ws("|", F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("c"), k)),
+                       F.when(k % 11 == 0, F.lit("never")).otherwise(F.lit("2024-01-02 03:04:05")),
+                       F.concat(F.lit('"'), F.col("c_name"), F.lit('|x"')), F.col("c_acctbal").cast("string"),
+                       F.when(F.col("c_nationkey") % 2 == 0, F.lit("true")).otherwise(F.lit("maybe")))
+    lines = c.select(k.cast("bigint").alias("line_no"), F.when(k % 100 == 0, F.lit("uid|at|name|balance|even")).otherwise(line).alias("value"))
+    config = ImportConfig("p_import", "customer", (("uid", "String"), ("at", "Date"), ("name", "String"), ("balance", "Long"), ("even", "Boolean")),
+                          "uid", "at", separator="|", header=True)
+    return import_delimited(lines, config).select(
+        "line_no", "distinct_id", "time", "project", "event", "error_reason", _prop_text("name").alias("name"),
+        _prop_double("balance").alias("balance"), F.try_variant_get(F.col("properties")["even"], "$", "boolean").alias("even"))
+
+
 QUERIES: dict[str, Query] = {
     "event_normalize": event_normalize,
     "project_fanout": project_fanout,
@@ -433,6 +467,8 @@ QUERIES: dict[str, Query] = {
     "day_bounds": day_bounds,
     "daily_uv": daily_uv,
     "event_blacklist": event_blacklist,
+    "topic_route": topic_route,
+    "delimited_import": delimited_import,
 }
 
 ORACLE: dict[str, str] = {
@@ -472,4 +508,6 @@ ORACLE: dict[str, str] = {
     "day_bounds": O.DAY_BOUNDS,
     "daily_uv": O.DAILY_UV,
     "event_blacklist": O.EVENT_BLACKLIST,
+    "topic_route": O.TOPIC_ROUTE,
+    "delimited_import": O.DELIMITED_IMPORT,
 }

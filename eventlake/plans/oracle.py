@@ -5,6 +5,9 @@ parses the JSON records the Spark side builds, so the two share no logic.
 Asia/Shanghai has had no daylight saving since 1991: wall clock - 8 h = UTC.
 """
 
+from eventlake import constants as C
+
+
 EVENT_TYPES_SQL = "['click','error','purchase','signup','view']"
 
 # Event records: the same fields the Spark side writes into JSON.
@@ -461,3 +464,22 @@ bl AS (SELECT * FROM (VALUES ('p_asia', 'view', 0), ('p_africa', 'Login', 0), ('
                              ('p_europe', 'click', 1)) t(project_id, event_name, status))
 SELECT server, "partition", "offset", project, type, event FROM main
 WHERE NOT EXISTS (SELECT 1 FROM bl WHERE status = 0 AND bl.project_id = main.project AND bl.event_name = main.event)"""
+
+TOPIC_ROUTE = f"""
+WITH m AS (SELECT *, ("offset" * 4 + "partition") % 5 AS v FROM ({EVENT_NORMALIZE}))
+SELECT server, topic, "partition", "offset", project, type, 'tp_a' AS sink_topic FROM m WHERE project = 'p_asia' AND v = 0
+UNION ALL
+SELECT server, topic, "partition", "offset", project, type, 'tp_b' FROM m
+WHERE project = 'p_europe' AND v = 1 AND "partition" = 2
+UNION ALL
+SELECT server, topic, "partition", "offset", project, type, 'tp_c' FROM m
+WHERE project = 'p_asia' AND v = 0 AND "partition" = 0 AND topic = 't_click'"""
+
+DELIMITED_IMPORT = """
+SELECT c_custkey AS line_no, CASE WHEN c_custkey % 7 <> 0 THEN 'c' || c_custkey END AS distinct_id,
+  CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE epoch_ms(TIMESTAMP '2024-01-02 03:04:05') - 28800000 END AS "time",
+  'p_import' AS project, 'customer' AS event,
+  CASE WHEN c_custkey % 7 = 0 AND c_custkey % 11 = 0 THEN '{prefix}{no_id}{sep}{time}'
+       WHEN c_custkey % 7 = 0 THEN '{prefix}{no_id}' WHEN c_custkey % 11 = 0 THEN '{prefix}{time}' END AS error_reason,
+  c_name || '|x' AS name, CAST(c_acctbal AS DOUBLE) AS balance, CASE WHEN c_nationkey % 2 = 0 THEN true END AS even
+FROM customer WHERE c_custkey % 100 <> 0""".format(prefix=C.INVALID_PREFIX, no_id=C.ERR_NO_ID, time=C.ERR_TIME, sep=C.ERR_SEP)
