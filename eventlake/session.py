@@ -26,10 +26,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster names a shared folder in spark.checkpoint.dir; only where it
-    is unset (local tests) a scratch folder is chosen."""
+    """The cluster names a shared folder in spark.checkpoint.dir, or the application
+    has set one on the context; only where there is neither (local tests) a
+    scratch folder is chosen."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc.sc()
+    if not current and jsc.getCheckpointDir().isDefined():
+        return jsc.getCheckpointDir().get()
     if current:
         if not jsc.getCheckpointDir().isDefined():
             spark.sparkContext.setCheckpointDir(current)
