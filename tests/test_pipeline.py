@@ -94,3 +94,16 @@ def test_registered_plugins(spark):
         assert sorted((r.distinct_id, r.event, r.type) for r in res.main().collect()) == [("ann", "register", "track"), ("bob", "register", "track")]
     finally:
         del decode.CONVERTERS["pipes"], split.PROCESSORS["pipes"], events.POSTS["never"]
+
+
+def test_consumer_plan(spark, small_dir):
+    """A12 and A9 agree: a source's plan holds its projects with their topics."""
+    from eventlake.operators.metadata import consumer_plan, source_topics
+
+    meta = sample_metadata(spark, small_dir)
+    topics = {r.source_server_port: r.topics.split(",") for r in source_topics(meta).collect()}
+    plan = {r.source_server_port: r.projects for r in consumer_plan(meta).collect()}
+    assert set(plan) == set(topics)
+    for server, projects in plan.items():
+        assert sorted({t for p in projects for t in p.topics}) == topics[server]
+        assert [p.sink_project_id for p in projects] == sorted(p.sink_project_id for p in projects)
