@@ -23,7 +23,7 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[heads], np.add.reduceat(counts, heads, axis=0)
+    return keys[heads], np.add.reduceat(counts, heads, axis=0, dtype=np.int64)
 
 
 class _Held:
@@ -44,14 +44,14 @@ class _Held:
         self.size += len(keys)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
-        out = merged(np.concatenate(self.keys), np.concatenate(self.counts))
+        keys, counts = merged(np.concatenate(self.keys), np.concatenate(self.counts))
         self.clear()
-        return out
+        return keys, counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts
 
 
 def store(
     rows: DataFrame, grams: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray, np.ndarray]]], path: str,
-    tables: int, kinds: int = 1, parts: int | None = None, hold: int = 1_500_000,
+    tables: int, kinds: int = 1, parts: int | None = None, hold: int = 400_000,
 ) -> HashArrays:
     """Count what `grams(batch)` yields: (table, distinct uint64 keys, counts of
     shape (n, kinds)).  Keys must be spread evenly over 64 bits (hashes).
@@ -72,19 +72,20 @@ def store(
             keys, counts = held[t].take()
             cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             full = [k for k in range(parts) if cuts[k] < cuts[k + 1]]
-            small = counts.astype(np.uint32)
+            if counts.dtype != np.uint32:
+                raise OverflowError("one task has counted a key 2^32 times: read the table in more partitions")
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([t] * len(full), pa.int32()), pa.array(full, pa.int32()),
                     pa.array([keys[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
-                    pa.array([small[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
+                    pa.array([counts[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
                 ],
                 ["tbl", "part", "keys", "counts"],
             )
 
         for batch in batches:
             for t, keys, counts in grams(batch):
-                held[t].add(keys, counts)
+                held[t].add(keys, counts.astype(np.uint32))
                 if held[t].size > 2 * hold:
                     held[t].add(*held[t].take())
                     if held[t].size > hold:
