@@ -25,6 +25,7 @@ ORDER, BITS = 5, 12
 #: Fixed values of the base rule.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+MAX_BROADCAST = 10_000
 _CLASS: list[np.ndarray] = []
 
 
@@ -295,7 +296,9 @@ def judge(docs: DataFrame, below: float = 6.0, above: float = 4.0) -> DataFrame:
     quartile = F.percentile_approx("level", [0.25, 0.75], 10_000).alias("q")
     bands = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang")).agg(quartile)
     spread = F.col("q")[1] - F.col("q")[0]
-    bands = bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high"))
+    bands = checkpointed(bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high")))
+    if bands.count() <= MAX_BROADCAST:  # a row for each language: a language with most rows then stays where it is
+        bands = F.broadcast(bands)
     return rows.join(bands, F.col("lang") == F.col("band_lang"), "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("level").between(F.col("low"), F.col("high")), F.lit(False))
     )
