@@ -4,7 +4,7 @@ Arrow text columns as numpy arrays, and connected components on Spark."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,18 @@ _BASE = 0x9E3779B97F4A7C15
 _TABLES: dict[str, np.ndarray] = {}
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def only_cache(name: str | None, clear: Callable[[], None] | None = None) -> None:
+    """A worker process serves one operator after another: free what the others keep
+    in it.  Called where a task begins; `clear` empties the caller's own cache."""
+    for other in [k for k in _CACHES if k != name]:
+        _CACHES.pop(other)()
+    if name and clear:
+        _CACHES[name] = clear
+
+
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"

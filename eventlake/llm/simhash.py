@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed, components, row_key, row_slices, text_buffer
+from eventlake.llm.common import checkpointed, components, only_cache, row_key, row_slices, text_buffer
 
 LEAF = 32
 
@@ -42,6 +42,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, keep: list[s
     schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", fp bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(None)
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             data, offsets = text_buffer(batch.column(len(keep)))

@@ -7,6 +7,8 @@ import os
 import re
 from array import array
 
+from eventlake.llm.common import only_cache
+
 _CONTROL = re.compile(r"[\x00-\x02]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 #: Marks of a chunk at the start of the text and of a chunk after a newline.
@@ -125,6 +127,7 @@ class ChunkEncoder(dict):
 
 def encoder(path: str, keep_space: bool) -> ChunkEncoder:
     """One encoder for each worker process and vocabulary file."""
+    only_cache("tokens", _ENCODERS.clear)
     key = (path, keep_space)
     if key not in _ENCODERS:
         _ENCODERS[key] = ChunkEncoder(path, keep_space)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed
+from eventlake.llm.common import checkpointed, only_cache
 
 #: Signs stripped from a word, quotation marks, words that report
 #: speech and words that address somebody (en, de, fr, es).
@@ -340,6 +340,7 @@ _MATCHERS: dict[tuple, Matcher] = {}
 
 def _matcher(model: ToxicityModel) -> Matcher:
     """One matcher for each worker process and lexicon."""
+    only_cache("toxicity", _MATCHERS.clear)
     key = tuple(model.evidence)
     if key not in _MATCHERS:
         _MATCHERS.clear()
