@@ -240,6 +240,13 @@ def testable(sizes: dict[int, int], n_toxic: int, n_clean: int, risk: float) ->
     return sum(sizes.values())
 
 
+def significant(a: int, b: int, n_toxic: int, n_clean: int, tried: int, risk: float, precision: float = 0.5) -> bool:
+    """Whether a term of a toxic and b clean texts is held by toxic ones far more often than chance allows."""
+    base = math.log(max(n_toxic, 1) / max(n_toxic + n_clean, 1))
+    chance = math.lgamma(a + b + 1) - math.lgamma(a + 1) - math.lgamma(b + 1) + a * base
+    return a >= precision * (a + b) and math.log(max(tried, 1)) + chance <= math.log(risk)
+
+
 def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, tried: int, risk: float, precision: float = 0.5) -> dict[str, float]:
     """Terms that toxic texts hold far more often than chance allows.
 
@@ -249,13 +256,7 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
     four fifths of the texts; what a kept stem covers is left out.  Returns the
     evidence of each term: the log of how much likelier toxic texts hold it.
     """
-    base = math.log(max(n_toxic, 1) / max(n_toxic + n_clean, 1))
-    good = {}
-    for t, a in toxic.items():
-        b = clean.get(t, 0)
-        chance = math.lgamma(a + b + 1) - math.lgamma(a + 1) - math.lgamma(b + 1) + a * base
-        if a >= precision * (a + b) and math.log(max(tried, 1)) + chance <= math.log(risk):
-            good[t] = a
+    good = {t: a for t, a in toxic.items() if significant(a, clean.get(t, 0), n_toxic, n_clean, tried, risk, precision)}
     best: dict[str, int] = {}
     for t, a in good.items():
         body = t.removesuffix(STEM)
@@ -270,14 +271,13 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 25_000, max_terms: int = 20_000,
-    stem_sizes: range = range(3, 9), risk: float = 1.0,
+    docs: DataFrame, labels: DataFrame, max_rows: int = 25_000, stem_sizes: range = range(3, 9), risk: float = 1.0,
 ) -> ToxicityModel:
     """Fit the lexicon and the weights on labelled rows that are not held out.
 
     The sample is bounded and documented: at most `max_rows` toxic and
     `max_rows` clean documents, those with the least hash of the id, which is
-    also the bound of what is broadcast; `max_terms` bounds the candidates.
+    also the bound of what is broadcast.  All terms of the sample are tested.
     Rates of the whole table weigh the sample.  A document with several labels
     is toxic if any says so; null labels are no labels.  Copies of a text count
     once.  Without labels of both kinds the lexicon is empty.
@@ -297,7 +297,7 @@ def train(
     start = math.log((share + 0.001) / (1.001 - share))
     if not n[0] or not n[1]:
         return ToxicityModel(weights=np.r_[PRIOR, start])
-    whole, *halves = (lexicon(x, max_terms, stem_sizes, risk) for x in (sample, *(sample.where(F.col("half") == h) for h in (0, 1))))
+    whole, *halves = (lexicon(x, stem_sizes, risk) for x in (sample, *(sample.where(F.col("half") == h) for h in (0, 1))))
     # the summary of each half by the lexicon of the other: weights learn from terms that did not see the text
     rows = [r for h in (0, 1) for r in _summaries(sample.where(F.col("half") == 1 - h), ToxicityModel(halves[h]))]
     x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
@@ -305,22 +305,33 @@ def train(
     return ToxicityModel(whole, fit(x, y, w, np.r_[PRIOR, start]))
 
 
-def lexicon(sample: DataFrame, max_terms: int, stem_sizes: range, risk: float) -> dict[str, float]:
-    """Terms and their evidence from distinct texts with a label (bounded by the sample)."""
+def lexicon(sample: DataFrame, stem_sizes: range, risk: float) -> dict[str, float]:
+    """Terms and their evidence from distinct texts with a label (bounded by the sample).
+    Candidates stay in Spark; only significant ones come to the driver."""
     n = {0: 0, 1: 0} | dict(sample.groupBy("label").count().collect())
 
-    def holding(label: int, known: frozenset | None) -> DataFrame:
+    def holding(label: int) -> DataFrame:
         def count(batch):
-            terms = (document_terms(x, stem_sizes) for x in batch.column(0).to_pylist())
-            return Counter(t for x in terms for t in (x if known is None else x & known))
+            return Counter(t for x in batch.column(0).to_pylist() for t in document_terms(x, stem_sizes))
 
         return _counts(sample.where(F.col("label") == label).select("text"), count)
 
-    found = checkpointed(holding(1, None))
+    found = checkpointed(holding(1))
     tried = testable(dict(found.groupBy("n").count().collect()), n[1], n[0], risk)
-    toxic = dict(found.where("n > 1").orderBy(F.desc("n"), "term").limit(max_terms).collect())
-    clean = dict(holding(0, frozenset(toxic)).collect())
-    return choose_terms(toxic, clean, n[1], n[0], tried, risk)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            yield batch.filter(pa.array([significant(a, b, n[1], n[0], tried, risk) for a, b in counts], pa.bool_()))
+
+    clean = holding(0).withColumnRenamed("n", "b")
+    # a term that is not significant without any clean text never is
+    tested = found.where("n > 1").mapInArrow(lambda batches: (
+        x.filter(pa.array([significant(a, 0, n[1], n[0], tried, risk) for a in x.column(1).to_pylist()], pa.bool_())) for x in batches
+    ), "term string, n bigint")
+    both = tested.join(clean, "term", "left").select("term", "n", F.coalesce("b", F.lit(0)).cast("bigint").alias("b"))
+    good = both.mapInArrow(test, "term string, n bigint, b bigint").collect()
+    return choose_terms({r.term: r.n for r in good}, {r.term: r.b for r in good}, n[1], n[0], tried, risk)
 
 
 def _summaries(rows: DataFrame, model: ToxicityModel) -> list[tuple[list[float], int]]:

@@ -80,3 +80,16 @@ def test_no_labels(spark, docs_df):
     model = toxicity.train(df, none)
     assert all(0 <= r.score < 0.3 for r in toxicity.with_score(df, model).collect())
     assert toxicity.with_score(df.where("false"), model).count() == 0
+
+
+def test_rare_insult_behind_many_common_terms(spark, docs_df, rng):
+    common = ["".join(x) for x in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (4000, 12))]
+    body = " ".join(common)
+    rows, marks = [], []
+    for k in range(160):
+        rows.append((k, f"{body} n{k}" + (" zzgrblf" if k % 4 == 0 else ""), "s"))
+        marks.append((k, int(k % 2 == 0)))
+    model = toxicity.train(docs_df(rows), spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    # the 20,000th commonest of the terms is held by every text; the insult by half of the toxic ones
+    assert len({x[:n] for x in common for n in range(3, 9)} | set(common)) > 20_000
+    assert {"zzgrblf", "zzg*", "zzgr*", "zzgrb*", "zzgrbl*"} & set(model.evidence)
