@@ -11,6 +11,7 @@ of the vocabulary.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ ORDER, BITS = 5, 12
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MAX_BROADCAST = 10_000
+#: Each text is scored by the model of the other folds' texts.
+FOLDS = 2
 _CLASS: list[np.ndarray] = []
 
 
@@ -95,9 +98,22 @@ def count(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "lang string, key bigint, a bigint").groupBy("lang", "key").agg(F.sum("a").alias("a"))
 
 
+def gram_tag(n: int) -> int:
+    """Upper bits of the key of an n-gram of order n (none for the highest order)."""
+    return (n % ORDER) << (BITS * ORDER)
+
+
+def history_tag(n: int) -> int:
+    """Upper bits of the key of a history of order n, as a signed number."""
+    return ((8 + n) << (BITS * ORDER)) - (1 << 64)
+
+
 def smooth(counts: DataFrame) -> DataFrame:
     """Rows (lang, key, logp): natural log of the interpolated modified Kneser-Ney
-    probability of the last character of each 5-gram after the other four.
+    probability of the last character of each n-gram after the others, for 5-grams
+    and all lower orders, and of the weight that each history leaves to the next
+    lower order (order 1: times the uniform probability).  The upper four bits of
+    a key tell them apart, see `gram_tag` and `history_tag`.
 
     Lower orders count the distinct characters before an n-gram.  Discounts of
     1, 2 and 3 or more come from the counts of counts of each language and
@@ -108,7 +124,7 @@ def smooth(counts: DataFrame) -> DataFrame:
         tables[n] = checkpointed(
             tables[n + 1].groupBy("lang", F.col("key").bitwiseAND((1 << (BITS * n)) - 1).alias("key")).agg(F.count("*").alias("a"))
         )
-    below = None
+    below, out = None, []
     for n in range(1, ORDER + 1):
         table = tables[n]
         ones = [F.sum(F.when(F.col("a") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in range(1, 5)]
@@ -128,6 +144,7 @@ def smooth(counts: DataFrame) -> DataFrame:
             .join(levels, "lang")
             .select("lang", "h", "s", "types", "d1", "d2", "d3", ((F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * F.col("c3")) / F.col("s")).alias("g"))
         )
+        sizes = checkpointed(sizes)
         own = table.withColumn("h", history).join(sizes, ["lang", "h"])
         first = (F.col("a") - mine) / F.col("s")
         if below is None:
@@ -138,7 +155,10 @@ def smooth(counts: DataFrame) -> DataFrame:
                 "lang", "key", (first + F.col("g") * F.col("q")).alias("p")
             )
         below = checkpointed(done)
-    return below.select("lang", "key", F.log("p").alias("logp"))
+        left = F.col("g") if n > 1 else F.col("g") / (F.col("types") + 1)
+        out.append(below.select("lang", F.col("key").bitwiseOR(F.lit(gram_tag(n))).alias("key"), F.log("p").alias("logp")))
+        out.append(sizes.select("lang", F.col("h").bitwiseOR(F.lit(history_tag(n))).alias("key"), F.log(left).alias("logp")))
+    return reduce(DataFrame.union, out)
 
 
 def lang_key(lang: str) -> np.uint64:
@@ -176,6 +196,27 @@ class LogProbs:
         return out
 
 
+def log_probs(model: LogProbs, keys: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Log probability of the last character of each 5-gram (a language's seed beside
+    it); an unseen one falls back through the lower orders.  Without a model: 0."""
+
+    def find(keys: np.ndarray, seeds: np.ndarray, tag: int) -> np.ndarray:
+        hashes, back = np.unique(mix((keys | np.uint64(tag % (1 << 64))) ^ seeds), return_inverse=True)
+        return model.get(hashes)[back]
+
+    total, left = np.zeros(len(keys)), np.arange(len(keys))
+    for n in range(ORDER, 0, -1):
+        part = keys[left] & np.uint64((1 << (BITS * n)) - 1)
+        got = find(part, seeds[left], gram_tag(n))
+        seen = ~np.isnan(got)
+        total[left[seen]] += got[seen]
+        left, part = left[~seen], part[~seen]
+        if not len(left):
+            break
+        total[left] += np.nan_to_num(find(part >> np.uint64(BITS), seeds[left], history_tag(n)))
+    return total
+
+
 def store(table: DataFrame, path: str | None = None, part_rows: int = 500_000) -> LogProbs:
     """Write rows (lang, key, logp) as sorted hash arrays; each part is one key range of about `part_rows` rows."""
     path = path or shared_dir(table.sparkSession, "kneser-ney")
@@ -258,11 +299,11 @@ def measure(docs: DataFrame, model: LogProbs) -> DataFrame:
                 counts.append(base_counts(data, mine))
                 keys, first = grams(data, mine)
                 n = np.diff(first)
-                distinct, back = np.unique(keys ^ np.repeat(seed[lo:hi], n), return_inverse=True)
-                hashes = mix(distinct)
-                order = np.argsort(hashes)
-                values = np.empty(len(distinct))
-                values[order] = m.get(hashes[order])
+                seeded = np.repeat(seed[lo:hi], n)
+                distinct, back = np.unique(keys ^ seeded, return_inverse=True)
+                at = np.empty(len(distinct), np.int64)
+                at[back] = np.arange(len(back))
+                values = log_probs(m, keys[at], seeded[at])
                 total = np.diff(np.r_[0.0, np.cumsum(values[back])][first])
                 levels.append(np.where(n > 0, -total / np.maximum(n, 1), np.nan))
             columns = [np.concatenate(c) for c in zip(*counts, strict=True)] if counts else [np.zeros(0, np.int64)] * 5
@@ -284,21 +325,29 @@ def judge(docs: DataFrame, below: float = 6.0, above: float = 4.0) -> DataFrame:
     base_failed: fewer than 50 words, or more than half of the words stand in
     repeated three-word windows.  Of the others those are kept whose log
     perplexity lies within the band of their language: from the lower quartile
-    less `below` quartile distances to the upper quartile plus `above` of them,
-    quartiles over all documents of the language that pass the base rule.  The
-    model learns from all documents, so copies read easily: the lower edge is
-    the wider one.  Null languages are one language; null
-    and empty texts fail the base rule; an empty table gives no rows.
+    less `below` quartile distances to the upper quartile plus `above` of them.
+
+    Texts are dealt to FOLDS folds by their digest, so copies share a fold; each
+    is scored by the model of its language's texts in the other folds, and held
+    against the band of its language and fold (levels of one model).  Quartiles
+    are over all texts that pass the base rule.  Null languages are one language; null and empty texts fail
+    the base rule; a language without texts in the other folds has no model, all
+    its levels are 0; an empty table gives no rows.
     """
-    model = store(smooth(count(docs)))
+    lang, fold = F.coalesce(F.col("lang").cast("string"), F.lit("")), F.pmod(F.xxhash64("text"), F.lit(FOLDS))
+    texts = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+    others = F.filter(F.sequence(F.lit(0), F.lit(FOLDS - 1)), lambda k: k != fold)  # the folds whose texts this one teaches
+    taught = texts.select(lang.alias("l"), "text", F.explode(others).alias("k")).select(F.concat_ws("\0", "l", "k").alias("lang"), "text")
+    model = store(smooth(count(taught)))
     base = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
-    rows = checkpointed(measure(docs, model).withColumn("base_failed", base))
+    scored = texts.withColumn("lang", F.concat_ws("\0", lang, fold))
+    rows = checkpointed(measure(scored, model).withColumn("base_failed", base))
     quartile = F.percentile_approx("level", [0.25, 0.75], 10_000).alias("q")
     bands = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang")).agg(quartile)
     spread = F.col("q")[1] - F.col("q")[0]
     bands = checkpointed(bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high")))
-    if bands.count() <= MAX_BROADCAST:  # a row for each language: a language with most rows then stays where it is
+    if bands.count() <= MAX_BROADCAST:  # a row for each band: a language with most rows then stays where it is
         bands = F.broadcast(bands)
     return rows.join(bands, F.col("lang") == F.col("band_lang"), "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("level").between(F.col("low"), F.col("high")), F.lit(False))
-    )
+    ).withColumn("lang", F.expr("substring(lang, 1, length(lang) - 2)")).drop("band_lang")

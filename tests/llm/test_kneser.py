@@ -107,3 +107,22 @@ def test_grams_end_at_each_character():
     assert first.tolist() == [0, 5, 5, 6]
     code = lambda s: sum(ord(c) << (12 * k) for k, c in enumerate(reversed(s)))
     assert keys.tolist() == [code("a"), code("ab"), code("ab "), code("ab ß"), code("ab ß0"), code("c")]
+
+
+def prose(rng, n, words=None):
+    words = words or ["".join(rng.choice(["la", "to", "mi", "re", "ka", "sen", "dor", "u", "i"], int(rng.integers(1, 4)))) for _ in range(600)]
+    return [" ".join(rng.choice(words, int(rng.integers(100, 250)))) for _ in range(n)], words
+
+
+@pytest.mark.parametrize("n", [150, 600])
+def test_text_does_not_vouch_for_itself(spark, rng, n):
+    clean, words = prose(rng, n)
+    other = ["".join(rng.choice(["kro", "pft", "schu", "gra", "wzi", "ee"], 2)) for _ in range(300)]
+    letters = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(3, 9))))
+    junk = [" ".join(letters() for _ in range(150)) for _ in range(3)]
+    junk += [" ".join([*rng.choice(words, 75), *("".join(map(chr, rng.integers(33, 126, 6))) for _ in range(75))]) for _ in range(3)]
+    junk += [" ".join(rng.choice(other, 150)) for _ in range(3)]
+    rows = [(k, t, "aa") for k, t in enumerate(clean + junk)]
+    got = {r.doc_id: r.kept for r in kneser.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(got[k] for k in range(n, n + 9))
+    assert sum(got[k] for k in range(n)) >= 0.98 * n
