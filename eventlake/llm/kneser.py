@@ -29,6 +29,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MAX_BROADCAST = 10_000
 #: Each text is scored by the model of the other folds' texts.
 FOLDS = 2
+_UNIT = float(1 << 32)
 _CLASS: list[np.ndarray] = []
 
 
@@ -282,10 +283,10 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def measure(docs: DataFrame, model: LogProbs) -> DataFrame:
-    """doc_id, lang, the base counts and `level`, the mean negative log probability
-    of a character (log perplexity; null for texts without characters)."""
+    """doc_id, lang, digest of the text, the base counts and `level`, the mean negative
+    log probability of a character (log perplexity; null for texts without characters)."""
     known = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"))
+    source = docs.select(F.col("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("digest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = known.value
@@ -304,18 +305,20 @@ def measure(docs: DataFrame, model: LogProbs) -> DataFrame:
                 at = np.empty(len(distinct), np.int64)
                 at[back] = np.arange(len(back))
                 values = log_probs(m, keys[at], seeded[at])
-                total = np.diff(np.r_[0.0, np.cumsum(values[back])][first])
+                # whole numbers: the level of a text does not hang on its place in the batch
+                steps = np.rint(values * _UNIT).astype(np.int64)
+                total = np.diff(np.r_[0, np.cumsum(steps[back])][first]) / _UNIT
                 levels.append(np.where(n > 0, -total / np.maximum(n, 1), np.nan))
             columns = [np.concatenate(c) for c in zip(*counts, strict=True)] if counts else [np.zeros(0, np.int64)] * 5
             level = np.concatenate(levels) if levels else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in columns), pa.array(level, mask=np.isnan(level))],
-                ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "level"],
+                [batch.column(0), batch.column(1), batch.column(3), *(pa.array(c, pa.int64()) for c in columns), pa.array(level, mask=np.isnan(level))],
+                ["doc_id", "lang", "digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "level"],
             )
 
     kind = dict(source.dtypes)["doc_id"]
     return source.mapInArrow(
-        run, f"doc_id {kind}, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, level double"
+        run, f"doc_id {kind}, lang string, digest bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, level double"
     )
 
 
@@ -330,7 +333,9 @@ def judge(docs: DataFrame, below: float = 6.0, above: float = 4.0) -> DataFrame:
     Texts are dealt to FOLDS folds by their digest, so copies share a fold; each
     is scored by the model of its language's texts in the other folds, and held
     against the band of its language and fold (levels of one model).  Quartiles
-    are over all texts that pass the base rule.  Null languages are one language; null and empty texts fail
+    are over distinct texts that pass the base rule; the quartile distance counts
+    as half the pooled one of all languages at least (of levels less the median
+    of their band).  Null languages are one language; null and empty texts fail
     the base rule; a language without texts in the other folds has no model, all
     its levels are 0; an empty table gives no rows.
     """
@@ -342,12 +347,18 @@ def judge(docs: DataFrame, below: float = 6.0, above: float = 4.0) -> DataFrame:
     base = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
     scored = texts.withColumn("lang", F.concat_ws("\0", lang, fold))
     rows = checkpointed(measure(scored, model).withColumn("base_failed", base))
-    quartile = F.percentile_approx("level", [0.25, 0.75], 10_000).alias("q")
-    bands = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang")).agg(quartile)
-    spread = F.col("q")[1] - F.col("q")[0]
-    bands = checkpointed(bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[1] + above * spread).alias("high")))
-    if bands.count() <= MAX_BROADCAST:  # a row for each band: a language with most rows then stays where it is
+    distinct = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang"), "digest").agg(F.first("level").alias("level"))
+    distinct = checkpointed(distinct)
+    quartiles = F.percentile_approx("level", [0.25, 0.5, 0.75], 10_000).alias("q")
+    bands = checkpointed(distinct.groupBy("band_lang").agg(quartiles))
+    small = bands.count() <= MAX_BROADCAST  # a row for each band: a language with most rows then stays where it is
+    near = F.broadcast(bands) if small else bands
+    off = distinct.join(near, "band_lang").select((F.col("level") - F.col("q")[1]).alias("off"))
+    pooled = off.agg(F.percentile_approx("off", [0.25, 0.75], 10_000)).first()[0] or [0.0, 0.0]
+    spread = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit((pooled[1] - pooled[0]) / 2))
+    bands = bands.select("band_lang", (F.col("q")[0] - below * spread).alias("low"), (F.col("q")[2] + above * spread).alias("high"))
+    if small:
         bands = F.broadcast(bands)
-    return rows.join(bands, F.col("lang") == F.col("band_lang"), "left").withColumn(
+    return rows.join(bands, F.col("lang") == F.col("band_lang"), "left").drop("digest").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("level").between(F.col("low"), F.col("high")), F.lit(False))
     ).withColumn("lang", F.expr("substring(lang, 1, length(lang) - 2)")).drop("band_lang")

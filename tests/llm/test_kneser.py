@@ -110,7 +110,9 @@ def test_grams_end_at_each_character():
 
 
 def prose(rng, n, words=None):
-    words = words or ["".join(rng.choice(["la", "to", "mi", "re", "ka", "sen", "dor", "u", "i"], int(rng.integers(1, 4)))) for _ in range(600)]
+    """Texts over many words of many syllables, so that rare 5-grams are common in clean text too."""
+    sounds = [a + b + c for a in "bcdfghjklmnprstvwz" for b in "aeiou" for c in ["", "n", "r", "s", "l"]]
+    words = words or ["".join(rng.choice(sounds, int(rng.integers(1, 4)))) for _ in range(8000)]
     return [" ".join(rng.choice(words, int(rng.integers(100, 250)))) for _ in range(n)], words
 
 
@@ -126,3 +128,12 @@ def test_text_does_not_vouch_for_itself(spark, rng, n):
     got = {r.doc_id: r.kept for r in kneser.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
     assert not any(got[k] for k in range(n, n + 9))
     assert sum(got[k] for k in range(n)) >= 0.98 * n
+
+
+def test_copies_do_not_narrow_the_band(spark, rng):
+    clean, words = prose(rng, 161)
+    rows = [(k, t, "es") for k, t in enumerate(clean[:160])] + [(1000 + k, clean[160], "es") for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    got = {r.doc_id: r for r in kneser.judge(df).collect()}
+    assert sum(got[k].kept for k in range(160)) >= 157
+    assert len({got[k].level for k in range(1000, 1900)}) == 1 and len({got[k].kept for k in range(1000, 1900)}) == 1
