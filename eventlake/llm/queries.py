@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import interpolation, kneser, knn, mixing, packing, passages, seekable, simhash, toxicity, urlfilter
+from eventlake.llm import (
+    interpolation, kneser, knn, mixing, packing, passages, secret_scan, seekable, simhash, toxicity, urlfilter,
+)
 from eventlake.sources.tables import read_table
 
 
@@ -91,6 +93,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return found.select("doc_id", *secret_scan.digest_columns())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -102,9 +109,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_deleted_interpolation": op8_deleted_interpolation,
     "op9_kneser_ney_quality": op9_kneser_ney_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_secret_scan": op11_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_secret_scan": secret_scan.oracle_sql(),
     "op1_voronoi_knn": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
