@@ -164,52 +164,42 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     return held.select("digest", kinds.cast("array<string>").alias("kinds")).where(F.size("kinds") > 0)
 
 
-def _let(value: Column, body) -> Column:
-    """`body(value)` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _running_sums(steps: Column, block: int = 512) -> Column:
-    """Inclusive running sums of an int array, in blocks, so that long arrays cost n * block and not n * n."""
-    empty = F.array().cast("array<int>")
-
-    def sums(part: Column) -> Column:
-        def add(state, x):
-            total = state["total"] + x
-            return F.struct(total.alias("total"), F.concat(state["sums"], F.array(total)).alias("sums"))
+SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
 
-        return F.aggregate(part, F.struct(F.lit(0).alias("total"), empty.alias("sums")), add, lambda state: state["sums"])
+# The spans of a rule as SQL text: one parse in the JVM instead of thousands of client calls
+# building nested lambdas.  `transform(array(x), v -> ...)[0]` computes x once.
 
-    starts = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int"))
-    parts = _let(steps, lambda s: F.transform(starts, lambda i: sums(F.slice(s, i * block + 1, F.lit(block)))))
-    joined = _let(parts, lambda p: _let(
-        sums(F.transform(p, lambda x: F.element_at(x, -1))),
-        lambda ends: F.flatten(F.transform(p, lambda x, i: F.transform(x, lambda y: y + F.when(i > 0, F.get(ends, i - 1)).otherwise(0))))))
-    return F.when(F.size(steps) == 0, empty).otherwise(joined)
+_SUMS = """aggregate({part}, named_struct('t', 0, 's', CAST(array() AS array<int>)),
+  (a, x) -> named_struct('t', a.t + x, 's', concat(a.s, array(a.t + x))), a -> a.s)"""
 
+# Inclusive running sums of `steps`, in blocks of 512, so that a long array costs n * 512 and not n * n.
+_RUNNING = f"""transform(array(transform(sequence(0, CAST((size(steps) - 1) div 512 AS INT)),
+    i -> {_SUMS.format(part="slice(steps, i * 512 + 1, 512)")})),
+  parts -> transform(array({_SUMS.format(part="transform(parts, x -> x[size(x) - 1])")}),
+    done -> flatten(transform(parts, (x, i) -> transform(x, y -> y + if(i = 0, 0, done[i - 1])))))[0])[0]"""
 
-SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
+# Texts between matches and matches take turns, so their lengths give every place.
+_SPANS = """transform(array(regexp_extract_all({text}, {pattern}, 0)), found -> CASE WHEN {any} THEN
+  transform(array(zip_with(slice(split({text}, {pattern}, -1), 1, size(found)), found, (a, b) -> length(a) + length(b))),
+    steps -> transform(array(named_struct('stops', {running}, 'held', {held})), p -> transform(
+      filter(transform(found, (m, i) -> named_struct('start', p.stops[i] - length(m), 'stop', p.stops[i], 'n', length(p.held[i]))), r -> r.n >= {least}),
+      r -> named_struct('start', r.start, 'rank', {rank}, 'stop', r.stop, 'kind', {kind})))[0])[0]
+  ELSE CAST(array() AS {span}) END)[0]"""
 
 
-def _spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of a rule in a text, in code points: texts between matches and matches take turns."""
-    pattern = F.lit(rule.pattern)
-    nothing = F.array().cast(SPAN)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def placed(found: Column) -> Column:
-        between = F.split(text, rule.pattern, -1)
-        held = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-        steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda a, b: F.length(a) + F.length(b))
-        rows = F.arrays_zip(_running_sums(steps).alias("stop"), F.transform(found, F.length).alias("n"),
-                            F.transform(held, F.length).alias("least"))
-        kept = F.filter(rows, lambda r: r["least"] >= rule.least)
-        return F.transform(kept, lambda r: F.struct(
-            (r["stop"] - r["n"]).alias("start"), F.lit(rank).alias("rank"), r["stop"].alias("stop"), F.lit(rule.kind).alias("kind"))).cast(SPAN)
 
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    if rule.least and not rule.group:  # most matches are too short: see the long ones first
-        return _let(found, lambda x: F.when(F.exists(x, lambda m: F.length(m) >= rule.least), placed(x)).otherwise(nothing))
-    return _let(found, lambda x: F.when(F.size(x) > 0, placed(x)).otherwise(nothing))
+def _spans(text: str, rule: Rule, rank: int) -> str:
+    """SQL of a rule's spans in the text expression `text`, in code points."""
+    pattern = _quoted(rule.pattern)
+    if rule.least and not rule.group:  # most matches may be too short: places are found only for a text with a long one
+        some = f"exists(found, m -> length(m) >= {rule.least})"
+    else:
+        some = "size(found) > 0"
+    return _SPANS.format(text=text, pattern=pattern, any=some, running=_RUNNING, least=rule.least, rank=rank, kind=_quoted(rule.kind), span=SPAN,
+                         held=f"regexp_extract_all({text}, {pattern}, {rule.group})" if rule.group else "found")
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", broadcast_rows: int = 2_000_000, salts: int = 16) -> DataFrame:
@@ -230,14 +220,13 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", b
             rows = rows.join(left, ["__secret_digest", "__secret_salt"], "left").drop("__secret_salt")
     else:
         rows = rows.withColumn("__secret_kinds", F.array().cast("array<string>"))
-    nothing = F.array().cast(SPAN)
     found = []
     for rank, rule in enumerate(rules):
-        spans = _spans(_text(text), rule, rank)
+        spans = _spans(f"coalesce(CAST(`{text}` AS STRING), '')", rule, rank)
         if rule.kind in queries:
-            spans = F.when(F.array_contains("__secret_kinds", rule.kind), spans).otherwise(nothing)
+            spans = f"CASE WHEN array_contains(__secret_kinds, {_quoted(rule.kind)}) THEN {spans} ELSE CAST(array() AS {SPAN}) END"
         found.append(spans)
-    return rows.withColumn("__secret_spans", F.array_sort(F.concat(*found))).select(*[F.col(f"`{c}`") for c in docs.columns], "__secret_spans")
+    return rows.withColumn("__secret_spans", F.expr(f"array_sort(concat({', '.join(found)}))")).select(*[F.col(f"`{c}`") for c in docs.columns], "__secret_spans")
 
 
 def spans_text(spans: Column) -> Column:
