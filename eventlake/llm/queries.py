@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import (
-    interpolation, kneser, knn, mixing, packing, passages, secret_scan, seekable, simhash, toxicity, urlfilter,
+    codebooks, interpolation, kneser, knn, mixing, packing, passages, secret_scan, seekable, simhash, toxicity, urlfilter,
 )
 from eventlake.sources.tables import read_table
 
@@ -98,6 +98,15 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secret_scan.digest_columns())
 
 
+def op12_ball_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4 parts, 256 entries, 4 rounds."""
+    vectors = codebooks.prepare(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+    coded, books = codebooks.compress(vectors)
+    return codebooks.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(None if books is None else codebooks.books_digest(books)).cast("string").alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -110,10 +119,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_kneser_ney_quality": op9_kneser_ney_quality,
     "op10_toxicity": op10_toxicity,
     "op11_secret_scan": op11_secret_scan,
+    "op12_ball_codebooks": op12_ball_codebooks,
 }
 
 ORACLE: dict[str, str] = {
     "op11_secret_scan": secret_scan.oracle_sql(),
+    "op12_ball_codebooks": codebooks.oracle_sql(),
     "op1_voronoi_knn": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
