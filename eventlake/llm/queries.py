@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import (
-    codebooks, interpolation, kneser, knn, mixing, packing, passages, secret_scan, seekable, simhash, toxicity, urlfilter,
+    codebooks, interpolation, kneser, knn, mixing, packing, passages, secret_scan, seekable, simhash, spelling, toxicity,
+    urlfilter,
 )
 from eventlake.sources.tables import read_table
 
@@ -107,6 +108,10 @@ def op12_ball_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None if books is None else codebooks.books_digest(books)).cast("string").alias("codebooks_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_secret_scan": op11_secret_scan,
     "op12_ball_codebooks": op12_ball_codebooks,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
