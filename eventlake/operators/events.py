@@ -12,24 +12,13 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.functions.text import cut, is_not_blank, java_split
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
+from eventlake.operators.metadata import Lookup
 
 
-def resolve_projects(parts: DataFrame, sink_projects: DataFrame, config: PipelineConfig) -> DataFrame:
+def resolve_projects(parts: DataFrame, wiring: Lookup, config: PipelineConfig) -> DataFrame:
     """J3 + P34: the record's own project list if it has one, else the wiring's
-    project list for (server, group, topic), by a broadcast left join."""
-    sp = sink_projects.select(
-        F.col("source_server_port").alias("_sp_server"),
-        F.col("source_group_id").alias("_sp_group"),
-        F.col("source_topic").alias("_sp_topic"),
-        F.col("sink_projects"),
-    )
-    df = parts.join(
-        sp,
-        (parts.server == F.col("_sp_server"))
-        & (parts.consumer_group == F.col("_sp_group"))
-        & (parts.topic == F.col("_sp_topic")),
-        "left",
-    ).drop("_sp_server", "_sp_group", "_sp_topic")
+    project list for (server, group, topic).  `wiring` holds the rows of `sink_projects`."""
+    df = wiring.attach(parts, {"server": "source_server_port", "consumer_group": "source_group_id", "topic": "source_topic"}, F.col("offset"))
     project_list = F.when(is_not_blank(F.col("src_project")), F.col("src_project")).otherwise(F.col("sink_projects"))
     return df.withColumn("project_list", project_list).withColumn(
         "tokens", java_split(F.col("project_list"), ",")

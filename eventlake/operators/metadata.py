@@ -12,7 +12,8 @@ trans_rule:   id, sink_project_id, input_field, output_field, output_type, valid
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,13 @@ class Metadata:
     trans_rule: DataFrame
     routes: DataFrame | None = None
     counters: DataFrame | None = None
+    _lookups: dict = field(default_factory=dict, repr=False)
+
+    def lookup(self, make: Callable[[Metadata], DataFrame]) -> Lookup:
+        """`make(self)` as a lookup table, measured once for this metadata."""
+        if make not in self._lookups:
+            self._lookups[make] = Lookup.of(make(self))
+        return self._lookups[make]
 
     def snapshot(self) -> Metadata:
         """All tables read now: later use neither reads the store nor sees its changes."""
@@ -35,27 +43,67 @@ class Metadata:
 
 
 SNAPSHOT_BYTES = 64 << 20
+#: A lookup table of at most so many measured bytes is broadcast.
+BROADCAST_BYTES = 32 << 20
+#: Beyond that records and table are joined in so many parts of every key.
+SLOTS = 16
 
 
-def local_copy(df: DataFrame, max_bytes: int = SNAPSHOT_BYTES) -> DataFrame:
-    """A small table as a local relation: read once, with exact statistics.
-
-    A table of more than `max_bytes` is written to the shared checkpoint folder
-    instead, so that the driver's memory is bounded."""
+def _measured(df: DataFrame, max_bytes: int) -> tuple[DataFrame, int]:
     from eventlake.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
     stored = df.persist()
     try:
-        size = stored.agg(F.coalesce(F.sum(sum((F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))) + 8 for c in df.columns),
+        size = stored.agg(F.coalesce(F.sum(sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) + 8 for c in df.columns),
                                                start=F.lit(0))), F.lit(0))).first()[0]
         if size > max_bytes:
-            return stored.checkpoint()
-        return df.sparkSession.createDataFrame(stored.toArrow(), schema=df.schema)
+            return stored.checkpoint(), size
+        return df.sparkSession.createDataFrame(stored.toArrow(), schema=df.schema), size
     finally:
         stored.unpersist()
 
 
+def local_copy(df: DataFrame, max_bytes: int = SNAPSHOT_BYTES) -> DataFrame:
+    """A small table as a local relation: read once, with exact statistics.
+
+    A table of more than `max_bytes` is written to the shared checkpoint folder
+    instead, so that the driver's memory is bounded."""
+    return _measured(df, max_bytes)[0]
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A table whose bytes were measured: `rows` with a column `_slot`, which says in how
+    many parts each key is held, and whether it may be broadcast."""
+
+    rows: DataFrame
+    slots: int
+    small: bool
+
+    @staticmethod
+    def of(df: DataFrame, max_bytes: int = BROADCAST_BYTES, slots: int = SLOTS) -> Lookup:
+        # `_slot` is data, not a literal, so that the join keeps a key even where the records' keys are constants
+        rows, size = _measured(df.withColumn("_slot", F.lit(0)), max_bytes)
+        if size <= max_bytes:
+            return Lookup(rows, 1, True)
+        return Lookup(rows.drop("_slot").withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))), slots, False)
+
+    def attach(self, records: DataFrame, on: dict[str, str], spread: Column) -> DataFrame:
+        """Left join on `on` (record column -> table column); the table's key columns are left out.
+
+        A small table is broadcast: no record moves.  A larger one is joined by a shuffle in which the
+        records of a key go to `slots` places by `spread` (any column that differs between them),
+        so that a topic with a third of all records is no single task."""
+        keys = {c: f"_key_{i}" for i, c in enumerate(on.values())}
+        table = self.rows.select(*[F.col(c).alias(keys.get(c, c)) for c in self.rows.columns])
+        slot = F.pmod(F.coalesce(F.hash(spread), F.lit(0)), F.lit(self.slots))
+        same = slot == F.col("_slot")
+        for mine, other in on.items():
+            same = same & (F.col(mine) == F.col(keys[other]))
+        return records.join(F.broadcast(table) if self.small else table, same, "left").drop("_slot", *keys.values())
+
+
 def active_wiring(meta: Metadata) -> DataFrame:
     """J1/J2 + F1: valid, non-debug wiring rows whose project task is active.
 

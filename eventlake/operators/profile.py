@@ -10,6 +10,7 @@ from eventlake.config import PipelineConfig
 from eventlake.functions.json import field_text, object_entries
 from eventlake.functions.text import cut, is_not_blank, java_split
 from eventlake.functions.time import parse_wall_clock, wall_clock_to_millis
+from eventlake.operators.metadata import Lookup, Metadata, sink_projects
 
 
 def profile_rows(records: DataFrame, user_field: str, time_field: str, project: str,
@@ -37,9 +38,16 @@ def profile_rows(records: DataFrame, user_field: str, time_field: str, project:
     )
 
 
-def topic_fanout(records: DataFrame, sink_projects: DataFrame) -> DataFrame:
+def topic_projects(meta: Metadata) -> DataFrame:
+    """Projects of every topic, whatever the server and group (one row for each wiring row)."""
+    return sink_projects(meta).groupBy("source_topic").agg(F.collect_list("sink_projects").alias("lists"))
+
+
+def topic_fanout(records: DataFrame, topics: Lookup) -> DataFrame:
     """Copies per project of every wiring row with the record's topic (any
-    server or group); records of no wired topic pass unchanged (project NULL)."""
-    sp = sink_projects.select(F.col("source_topic").alias("_topic"), "sink_projects")
-    j = records.join(sp, records.topic == F.col("_topic"), "left").drop("_topic")
-    return j.withColumn("project", F.explode_outer(java_split(F.col("sink_projects"), ","))).drop("sink_projects")
+    server or group); records of no wired topic pass unchanged (project NULL).
+
+    `topics` holds the rows of `topic_projects`."""
+    j = topics.attach(records, {"topic": "source_topic"}, F.col("offset"))
+    projects = F.flatten(F.transform("lists", lambda x: java_split(x, ",")))
+    return j.withColumn("project", F.explode_outer(projects)).drop("lists")

@@ -27,7 +27,7 @@ from eventlake.operators.decode import decode
 from eventlake.operators.extras import (
     ImportConfig, daily_unique_users, drop_blacklisted, import_delimited, module_star_join, route_topics,
 )
-from eventlake.operators.profile import profile_rows, topic_fanout
+from eventlake.operators.profile import profile_rows, topic_fanout, topic_projects
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
     SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
@@ -362,7 +362,7 @@ def topic_fanout_query(spark: SparkSession, data_dir: str) -> DataFrame:
     """Fan-out by topic only."""
     meta = sample_metadata(spark, data_dir)
     recs = event_records(spark, data_dir).select("server", "topic", "partition", "offset")
-    return topic_fanout(recs, M.sink_projects(meta)).select("server", "partition", "offset", "project")
+    return topic_fanout(recs, meta.lookup(topic_projects)).select("server", "partition", "offset", "project")
 
 
 def module_star_join_query(spark: SparkSession, data_dir: str) -> DataFrame:

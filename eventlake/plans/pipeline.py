@@ -1,7 +1,7 @@
 """The event pipeline: raw records -> parts -> main, invalid, counters, positions.
 
-Every arrow up to the outputs is a narrow projection or a broadcast join of a
-metadata table: no shuffle.  Counters and positions are small aggregations
+Every arrow up to the outputs is a narrow projection or a join of a metadata table
+whose measured size allows a broadcast: no shuffle.  Counters and positions are small aggregations
 with map-side partial aggregation.
 """
 
@@ -49,7 +49,7 @@ def transform(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = No
     df = decode(spread(raw, config), meta.routes, config)
     df = split_parts(df)
     df = extract_fields(df)
-    df = E.resolve_projects(df, sink_projects(meta), config)
+    df = E.resolve_projects(df, meta.lookup(sink_projects), config)
     df = flatten_properties(df, rules_by_project(meta), config)
     df = E.validate(df, config)
     df = assemble_properties(df, config)

@@ -1,9 +1,12 @@
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from eventlake import constants as C
 from eventlake.plans.pipeline import run
 from eventlake.sources.metadata import sample_metadata
-from eventlake.sources.records import event_records, mixed_records
+from eventlake.sources.records import conversation_records, event_records, log_records, mixed_records
 from tests.conftest import raw_rows
 from tests.test_properties import BASE, _meta
 
@@ -72,12 +75,58 @@ def test_drop_invalid_flag(spark, small_dir):
     assert res.main().filter(F.col("error_reason").isNotNull()).count() > 0
 
 
-def test_no_shuffle_before_outputs(spark, small_dir):
-    res = run(event_records(spark, small_dir), sample_metadata(spark, small_dir))
-    plan = res.main()._jdf.queryExecution().executedPlan().toString()
-    # the only exchanges are on the metadata side (wiring grouped by source_server_port)
-    assert "Exchange hashpartitioning(server" not in plan and "RoundRobinPartitioning" not in plan
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+RECORDS = {"event": event_records, "mixed": mixed_records, "log": log_records, "array": conversation_records}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", RECORDS)
+def test_no_shuffle_before_outputs(spark, small_dir, kind):
+    """Records of any kind, also of one constant server and topic, are not moved by the lookups."""
+    raw = RECORDS[kind](spark, small_dir)
+    raw = raw.checkpoint()  # what the records are made of may shuffle
+    plan = _plan(run(raw, sample_metadata(spark, small_dir)).main())
+    # exchanges are of the rule tables alone (grouped by project and key in a subquery)
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)", plan)) <= {"project"} and "RoundRobinPartitioning" not in plan
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
+    # no wiring row has the arrays' topic: the optimizer takes that join away
+    assert ("BroadcastHashJoin" in plan) == (kind != "array")
+    if kind == "array":
+        constant = conversation_records(spark, small_dir)  # server and topic are literals here
+        plan = _plan(run(constant, sample_metadata(spark, small_dir)).main())
+        assert "NestedLoop" not in plan and "Exchange hashpartitioning(server" not in plan
+
+
+def test_topic_fanout_moves_no_record(spark, small_dir):
+    from eventlake.operators.profile import topic_fanout, topic_projects
+
+    recs = event_records(spark, small_dir).select("server", "topic", "partition", "offset")
+    plan = _plan(topic_fanout(recs, sample_metadata(spark, small_dir).lookup(topic_projects)))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_large_lookup_is_split(spark):
+    """Beyond the bytes bound the table is not broadcast and a hot key goes to several places; same rows."""
+    from eventlake.operators.metadata import Lookup
+
+    recs = spark.range(4000).selectExpr("if(id % 3 = 0, 'hot', concat('t', id % 50)) AS topic", "id AS offset", "'x' AS _slot_like")
+    recs = recs.union(spark.sql("SELECT CAST(NULL AS STRING), CAST(NULL AS BIGINT), 'x'"))
+    table = spark.range(40).selectExpr("if(id = 0, 'hot', concat('t', id)) AS name", "concat('p', id) AS lists")
+    small, large = Lookup.of(table), Lookup.of(table, max_bytes=10)
+    assert small.small and not large.small
+    got = [sorted(map(str, lookup.attach(recs, {"topic": "name"}, F.col("offset")).collect())) for lookup in (small, large)]
+    assert got[0] == got[1] and len(got[0]) == 4001
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = large.attach(recs, {"topic": "name"}, F.col("offset"))
+        plan = _plan(joined)
+        assert "BroadcastHashJoin" not in plan and "pmod" in plan
+        places = joined.where("topic = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert places > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_registered_plugins(spark):
