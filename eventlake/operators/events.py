@@ -55,9 +55,9 @@ def validate(df: DataFrame, config: PipelineConfig) -> DataFrame:
     }).drop("_id_ok", "_event_ok")
 
 
-def flat_text(name: str) -> Column:
+def flat_text(items: str, name: str) -> Column:
     """Text of a flattened property (the last item of the key wins), without building the map."""
-    item = F.try_element_at(F.filter(F.col("flat_items"), lambda x: x.k == F.lit(name)), F.lit(-1))
+    item = F.try_element_at(F.filter(F.col(items), lambda x: x.k == F.lit(name)), F.lit(-1))
     return F.try_variant_get(item.v, "$", "string")
 
 
@@ -76,7 +76,7 @@ def is_signup(post_processor: Column) -> Column:
     """Login or register events whose `device_id` property is not blank
     (D11: a real blank test).  `loginDevicePost` also wants a login id."""
     named = F.col("event").isin(*C.SIGNUP_EVENTS)
-    device = is_not_blank(flat_text(C.SIGNUP_DEVICE_PROPERTY))
+    device = is_not_blank(flat_text("signup_items", C.SIGNUP_DEVICE_PROPERTY))
     base = named & device
     out = F
     for name, narrow in POSTS.items():

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.operators.metadata import Lookup
+
 KEY = ["server", "consumer_group", "topic", "partition"]
 
 
@@ -89,14 +91,16 @@ def resume_positions(lags: DataFrame, sink_pos: DataFrame) -> DataFrame:
     return j.select(*KEY, "ckpt_offset", "end_offset", "sink_offset", resume.alias("resume_offset"))
 
 
+def after_checkpoint(source: DataFrame, ckpt: DataFrame) -> DataFrame:
+    """Source rows beyond the checkpoint of their partition (all rows of a partition without one)."""
+    rows = Lookup.of(ckpt).attach(source, {k: k for k in KEY}, F.col("offset"))
+    return rows.filter(F.col("ckpt_offset").isNull() | (F.col("offset") > F.col("ckpt_offset")))
+
+
 def replay_rows(source: DataFrame, ckpt: DataFrame, sink_keys: DataFrame) -> DataFrame:
     """R6 (ours): exact replay set: source rows after the checkpoint that the sink
     does not hold, by a left-anti join on (server, topic, partition, offset)."""
-    # checkpoint positions have a row for each source partition
-    after = source.join(F.broadcast(ckpt), KEY, "left").filter(
-        F.col("ckpt_offset").isNull() | (F.col("offset") > F.col("ckpt_offset"))
-    )
-    return after.join(sink_keys, ["server", "topic", "partition", "offset"], "left_anti")
+    return after_checkpoint(source, ckpt).join(sink_keys, ["server", "topic", "partition", "offset"], "left_anti")
 
 
 def start_by_timestamp(source: DataFrame, ts: Column) -> DataFrame:

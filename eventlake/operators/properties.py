@@ -98,7 +98,9 @@ def walk_sql() -> str:
 
 
 def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) -> DataFrame:
-    """Adds flat_items: array<struct<k, v>> in walk order.
+    """Adds flat_items: array<struct<k, v>> in walk order, and signup_items: the same
+    for the events that may be sign-ups, NULL for others, so that an output without
+    properties walks those few rows only.
 
     Needs columns entries (the part's object entries), part_text, tokens and
     project_list; `rules` is the value of `rules_by_project`.  Matching projects
@@ -111,7 +113,9 @@ def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) ->
         match = "array_contains(tokens, r.project)"
     df = df.withColumn("_rules", rules)
     df = df.withColumn("_mine", F.expr(f"transform(filter(_rules, r -> {match}), r -> r.rules)"))
-    return df.withColumn("flat_items", F.expr(walk_sql())).drop("_rules", "_mine")
+    walk = F.expr(walk_sql())
+    named = F.col("src_event_name").isin(*C.SIGNUP_EVENTS)
+    return df.withColumns({"flat_items": walk, "signup_items": F.when(named, walk)}).drop("_rules", "_mine")
 
 
 def _kv(k: str, v: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig
-from eventlake.session import ensure_checkpoint_dir
+from eventlake.session import ensure_checkpoint_dir, shared_folder
 from eventlake.constants import TIME_PATTERNS, VERSION_TAG
 from eventlake.functions.time import day_text, parse_wall_clock, wall_clock_to_millis
 from eventlake.operators import events as E
@@ -33,6 +33,8 @@ from eventlake.sources.records import (
     SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
 )
 from eventlake.sources.tables import read_table
+from eventlake.streaming import state as S
+from eventlake.streaming.runner import read_raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,6 +306,57 @@ def flatten_deep(spark: SparkSession, data_dir: str) -> DataFrame:
                         _prop_text("order_amount").alias("order_amount"))
 
 
+# ---- state kept by streams -----------------------------------------------------
+
+#: The records of the streams below are delivered in three loads, each a run that begins at the checkpoint of the one before.
+LOADS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+def _loads(raw: DataFrame, path: str):
+    """Land the records load by load; yields after each one."""
+    at = F.coalesce(F.col("timestamp"), _ts("1970-01-01 00:00:00"))
+    for i, (low, high) in enumerate(zip((None, *LOADS), (*LOADS, None), strict=True)):
+        load = raw if low is None else raw.filter(at >= _ts(low))
+        load = load if high is None else load.filter(at < _ts(high))
+        load.write.parquet(f"{path}/load={i}")
+        yield i
+
+
+def running_positions(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A4 S9 in the stream: largest offsets over three runs, read back from the state."""
+    work = shared_folder(spark, "running-positions")
+    raw = mixed_records(spark, data_dir).withColumn("value", F.lit(None).cast("binary"))
+    for _ in _loads(raw, f"{work}/in"):
+        stream = read_raw_files(S.state_session(spark, 8), f"{work}/in/*")
+        S.start_updates(S.running_positions(stream), f"{work}/out", f"{work}/checkpoint", available_now=True).awaitTermination()
+    return S.positions_from_state(spark, f"{work}/checkpoint")
+
+
+def running_totals(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A6 S10 in the stream: stage counts over three runs; the newest of each key's emitted totals."""
+    work = shared_folder(spark, "running-totals")
+    for _ in _loads(mixed_records(spark, data_dir), f"{work}/in"):
+        own = S.state_session(spark, 8)
+        rows = S.running_totals(read_raw_files(own, f"{work}/in/*"), sample_metadata(own, data_dir).snapshot())
+        S.start_updates(rows, f"{work}/out", f"{work}/checkpoint", available_now=True).awaitTermination()
+    return S.latest(spark, f"{work}/out", S.COUNTER_KEY, "cnt")
+
+
+def replay_stream(spark: SparkSession, data_dir: str) -> DataFrame:
+    """R6 in the stream: the sink holds some records; after a restart all records beyond the
+    checkpoint are delivered again, and those that the state has seen do not come out."""
+    work = shared_folder(spark, "replay-stream")
+    source, ckpt, _ = _positions(spark, data_dir)
+    after = P.after_checkpoint(source, ckpt)
+    held = _sink(spark, data_dir).select(*S.REPLAY_KEY)
+    for i, rows in enumerate((held, after.select(*S.REPLAY_KEY))):
+        rows.withColumn("delivery", F.lit(i)).write.parquet(f"{work}/in/load={i}")
+        stream = S.state_session(spark, 8).readStream.schema(
+            "server string, topic string, partition int, offset bigint, delivery int").parquet(f"{work}/in/*")
+        S.start_append(S.without_replays(stream), f"{work}/out", f"{work}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{work}/out").filter("delivery = 1").select(*S.REPLAY_KEY)
+
+
 # ---- splits and converters ---------------------------------------------------
 
 def log_split(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -469,6 +522,9 @@ QUERIES: dict[str, Query] = {
     "event_blacklist": event_blacklist,
     "topic_route": topic_route,
     "delimited_import": delimited_import,
+    "running_positions": running_positions,
+    "running_totals": running_totals,
+    "replay_stream": replay_stream,
 }
 
 ORACLE: dict[str, str] = {
@@ -510,4 +566,7 @@ ORACLE: dict[str, str] = {
     "event_blacklist": O.EVENT_BLACKLIST,
     "topic_route": O.TOPIC_ROUTE,
     "delimited_import": O.DELIMITED_IMPORT,
+    "running_positions": O.OFFSET_AUDIT,
+    "running_totals": O.STAGE_COUNTERS,
+    "replay_stream": O.REPLAY_ANTI_JOIN,
 }
