@@ -71,3 +71,21 @@ def is_empty_value(v: Column) -> Column:
         | (F.size(F.try_variant_get(v, "$", "map<string,variant>")) == 0),
         F.lit(False),
     )
+
+
+def pointer_path(pointer: str, index_as_key: bool = False) -> str:
+    """A JSON pointer (`/properties/name`, `~1` for a slash, `~0` for a tilde) as a VARIANT path;
+    a number is an array index, or with `index_as_key` an object's key."""
+    path = "$"
+    for step in pointer.split("/")[1:]:
+        key = step.replace("~1", "/").replace("~0", "~")
+        path += f"[{key}]" if key.isdigit() and not index_as_key else f"['{key}']"
+    return path
+
+
+def at_pointer(value: Column, pointer: str, kind: str = "string") -> Column:
+    """The value at a JSON pointer of a VARIANT, NULL where there is none or it is no `kind`."""
+    found = F.try_variant_get(value, pointer_path(pointer), kind)
+    if any(step.isdigit() for step in pointer.split("/")):
+        return F.coalesce(found, F.try_variant_get(value, pointer_path(pointer, True), kind))
+    return found

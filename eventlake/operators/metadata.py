@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import PipelineConfig
@@ -89,6 +90,15 @@ class Lookup:
             return Lookup(rows, 1, True)
         return Lookup(rows.drop("_slot").withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))), slots, False)
 
+    @staticmethod
+    def held(spark: SparkSession, table: pa.Table, max_bytes: int = BROADCAST_BYTES, slots: int = SLOTS) -> Lookup:
+        """A table that the driver holds."""
+        small = table.nbytes <= max_bytes
+        rows = spark.createDataFrame(table.append_column("_slot", pa.array([0] * len(table), pa.int32())))
+        if small:
+            return Lookup(rows, 1, True)
+        return Lookup(rows.drop("_slot").withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))), slots, False)
+
     def attach(self, records: DataFrame, on: dict[str, str], spread: Column) -> DataFrame:
         """Left join on `on` (record column -> table column); the table's key columns are left out.
 

@@ -8,9 +8,13 @@ sink:   main-output rows with sink_partition, sink_offset and lineage columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.json import at_pointer
+from eventlake.functions.text import is_not_blank
 from eventlake.operators.metadata import Lookup
 
 KEY = ["server", "consumer_group", "topic", "partition"]
@@ -65,6 +69,73 @@ def sink_tail(sink: DataFrame, rows_back: Column) -> DataFrame:
     return j.filter(F.col("sink_offset") > F.col("_end") - rows_back).drop("_end")
 
 
+def last_rows(sink: DataFrame, n: int, partition: str = "sink_partition", offset: str = "sink_offset", bins: int = 1024) -> DataFrame:
+    """F5/R4 exactly: the `n` rows of largest offset of every partition, however many offsets are missing.
+
+    No partition is sorted: the place of the n-th largest offset is narrowed down by
+    histograms of `bins` bins (counted map-side; a bin holds the place, and becomes the next
+    range), so even a single huge partition is counted by all tasks.  Each round
+    reads two columns; the offsets' range shrinks 1024-fold, so two or three rounds do.
+    All rows of the offset in n-th place are kept if it occurs more than once; rows without a
+    partition or an offset have no place and are left out."""
+    if n <= 0:
+        return sink.limit(0)
+    spark = sink.sparkSession
+    p, o = F.col(partition), F.col(offset)
+    placed = sink.where(p.isNotNull() & o.isNotNull())
+    ends = placed.groupBy(p.alias("_p")).agg(F.min(o).alias("_low"), F.max(o).alias("_high"), F.count("*").alias("_n"))
+    # a few numbers for each sink partition; a range without an upper end is settled: all rows from its lower end on are wanted
+    ranges = ends.select("_p", "_low", F.when(F.col("_n") > n, F.col("_high")).alias("_high"), F.lit(n).cast("bigint").alias("_need")).toArrow()
+    settled = []
+    while True:
+        open_ = pc.fill_null(pc.less(ranges["_low"], ranges["_high"]), False)
+        settled.append(ranges.filter(pc.invert(open_)).select(["_p", "_low"]))
+        ranges = ranges.filter(open_)
+        if not len(ranges):
+            break
+        asked = Lookup.held(spark, ranges).attach(placed, {partition: "_p"}, o).where(o.between(F.col("_low"), F.col("_high")))
+        width = F.ceil((F.col("_high") - F.col("_low") + 1) / bins).cast("bigint")
+        counts = asked.groupBy(p.alias("_p"), "_low", "_high", "_need", ((o - F.col("_low")) / width).cast("bigint").alias("_bin")).agg(F.count("*").alias("_n"))
+        down = Window.partitionBy("_p").orderBy(F.desc("_bin"))  # at most `bins` rows
+        above = F.sum("_n").over(down) - F.col("_n")
+        hit = counts.withColumn("_above", above).where((F.col("_above") < F.col("_need")) & (F.col("_above") + F.col("_n") >= F.col("_need")))
+        low = F.col("_low") + F.col("_bin") * width
+        high = F.least(low + width - 1, F.col("_high"))
+        need = F.col("_need") - F.col("_above")
+        ranges = hit.select("_p", low.alias("_low"), F.when(F.col("_n") > need, high).alias("_high"), need.alias("_need")).toArrow()
+    wanted = pa.concat_tables(settled).rename_columns(["_p", "_from"])
+    return Lookup.held(spark, wanted).attach(placed, {partition: "_p"}, o).where(o >= F.col("_from")).drop("_from")
+
+
+#: Where a written event holds its source position.
+LINEAGE_POINTERS = {
+    "server": "/properties/SACONSUMERSERVER",
+    "topic": "/properties/SACONSUMERTOPIC",
+    "partition": "/properties/SACONSUMERPARTITION",
+    "offset": "/properties/SACONSUMEROFFSET",
+}
+
+
+def json_lineage(sink: DataFrame, value: str = "value") -> DataFrame:
+    """Sink rows with their source position read from the written JSON text, which is
+    parsed once: adds server, topic, partition, offset and `unreadable`, the reason why a row gives
+    no position (no JSON, or a blank or wrong field), NULL for rows that do."""
+    parsed = sink.withColumn("_json", F.try_parse_json(F.col(value).cast("string")))
+    text = {name: at_pointer(F.col("_json"), pointer) for name, pointer in LINEAGE_POINTERS.items()}
+    rows = parsed.withColumns({
+        "server": text["server"], "topic": text["topic"],
+        "partition": text["partition"].try_cast("int"), "offset": text["offset"].try_cast("bigint")})
+    blank = ~(is_not_blank(F.coalesce("server", F.lit(""))) & is_not_blank(F.coalesce("topic", F.lit(""))))
+    return rows.withColumn("unreadable", F.when(F.col("_json").isNull(), "no JSON").when(
+        blank | F.col("partition").isNull() | F.col("offset").isNull(), "no position")).drop("_json")
+
+
+def json_positions(tail: DataFrame, value: str = "value") -> DataFrame:
+    """A8 + F4: largest source offset per (server, topic, partition) of sink rows as written; unreadable rows give none."""
+    rows = json_lineage(tail, value).where("unreadable IS NULL")
+    return rows.groupBy("server", "topic", "partition").agg(F.max("offset").alias("sink_offset"))
+
+
 def lineage_positions(tail: DataFrame) -> DataFrame:
     """A8 + F4: largest source offset per (server, topic, partition) read back from
     the sink rows' lineage properties; rows with blank lineage are skipped."""

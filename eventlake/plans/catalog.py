@@ -27,6 +27,7 @@ from eventlake.operators.decode import decode
 from eventlake.operators.extras import (
     ImportConfig, daily_unique_users, drop_blacklisted, import_delimited, module_star_join, route_topics,
 )
+from eventlake.operators.uniques import UniqueUsers
 from eventlake.operators.profile import profile_rows, topic_fanout, topic_projects
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
@@ -272,6 +273,38 @@ def source_topics_query(spark: SparkSession, data_dir: str) -> DataFrame:
     return M.source_topics(sample_metadata(spark, data_dir))
 
 
+def _written_sink(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The sink as written: JSON values in 8 partitions whose offsets have gaps; every 29th
+    record's values are cut off and cannot be read."""
+    raw = event_records(spark, data_dir).filter(F.col("timestamp") < _ts(O.SINK_CUT))
+    main = run(raw, sample_metadata(spark, data_dir), _config(spark)).main()
+    value = E.event_json(main)
+    path = shared_folder(spark, "written-sink")
+    main.select(
+        (F.col("partition") + F.when(F.col("server") == SERVER_B, 4).otherwise(0)).alias("sink_partition"),
+        (F.col("offset") * 16 + F.col("project_index") * 2 + F.col("kind_index")).alias("sink_offset"),
+        F.when(F.col("offset") % 29 == 0, F.left(value, F.lit(60))).otherwise(value).alias("value"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def sink_last_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Exactly the last 100 rows of every sink partition, although offsets have gaps."""
+    sink = _sink(spark, data_dir)
+    return P.last_rows(sink, O.LAST_N).select("sink_partition", "sink_offset", "server", "topic", "partition", "offset")
+
+
+def sink_json_positions(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Source positions read from the JSON text of the last 100 rows of every sink partition."""
+    return P.json_positions(P.last_rows(_written_sink(spark, data_dir), O.LAST_N))
+
+
+def sink_unreadable(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Rows of the written sink that give no position, with the reason."""
+    rows = P.json_lineage(_written_sink(spark, data_dir))
+    return rows.where("unreadable IS NOT NULL").select("sink_partition", "sink_offset", "unreadable")
+
+
 def starting_offsets(spark: SparkSession, data_dir: str) -> DataFrame:
     """The offset every partition is next read from."""
     return P.starting_offsets(resume_position(spark, data_dir))
@@ -444,6 +477,16 @@ def daily_uv(spark: SparkSession, data_dir: str) -> DataFrame:
     return daily_unique_users(_events_result(spark, data_dir).main())
 
 
+def monthly_uv(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Distinct users per project and month, merged from the stored days of two loads."""
+    main = _events_result(spark, data_dir).main().select("project", "type", "date", "distinct_id", "time")
+    store = UniqueUsers(spark, shared_folder(spark, "unique-users"))
+    cut = F.unix_millis(F.lit(LOADS[0]).cast("timestamp"))
+    store.add(main.filter(F.col("time") < cut), 0)
+    store.add(main.filter(F.col("time") >= cut), 1)
+    return store.monthly()
+
+
 def event_blacklist(spark: SparkSession, data_dir: str) -> DataFrame:
     """Main rows without blacklisted (project, event) pairs."""
     main = _events_result(spark, data_dir).main()
@@ -525,6 +568,10 @@ QUERIES: dict[str, Query] = {
     "running_positions": running_positions,
     "running_totals": running_totals,
     "replay_stream": replay_stream,
+    "sink_last_rows": sink_last_rows,
+    "sink_json_positions": sink_json_positions,
+    "sink_unreadable": sink_unreadable,
+    "monthly_uv": monthly_uv,
 }
 
 ORACLE: dict[str, str] = {
@@ -569,4 +616,8 @@ ORACLE: dict[str, str] = {
     "running_positions": O.OFFSET_AUDIT,
     "running_totals": O.STAGE_COUNTERS,
     "replay_stream": O.REPLAY_ANTI_JOIN,
+    "sink_last_rows": O.SINK_LAST_ROWS,
+    "sink_json_positions": O.SINK_JSON_POSITIONS,
+    "sink_unreadable": O.SINK_UNREADABLE,
+    "monthly_uv": O.MONTHLY_UV,
 }

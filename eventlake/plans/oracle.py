@@ -333,6 +333,27 @@ SELECT server, topic, CAST(sum(lag) AS BIGINT) AS lag FROM lg GROUP BY ROLLUP (s
 SINK_TAIL_MAX = with_(EV, WIRING, V, POS) + """
 SELECT server, topic, "partition", sink_offset FROM tp"""
 
+LAST_N = 100
+
+LAST = f"""
+last AS (SELECT * FROM sk QUALIFY row_number() OVER (PARTITION BY sink_partition ORDER BY sink_offset DESC) <= {LAST_N})"""
+
+SINK_LAST_ROWS = with_(EV, WIRING, V, POS, LAST) + """
+SELECT sink_partition, sink_offset, server, topic, "partition", "offset" FROM last"""
+
+# The written value as JSON text, cut off for every 29th record.
+SINK_JSON_POSITIONS = with_(EV, WIRING, V, POS, LAST) + """,
+jt AS (SELECT "offset" AS o, CAST(to_json({'time': 0, 'properties': {'SACONSUMERSERVER': server, 'SACONSUMERTOPIC': topic,
+        'SACONSUMERPARTITION': "partition", 'SACONSUMEROFFSET': CAST("offset" AS VARCHAR)}}) AS VARCHAR) AS j FROM last),
+jw AS (SELECT CASE WHEN o % 29 = 0 THEN left(j, 60) ELSE j END AS j FROM jt),
+jr AS (SELECT CAST(j AS JSON) AS j FROM jw WHERE json_valid(j))
+SELECT json_extract_string(j, '/properties/SACONSUMERSERVER') AS server, json_extract_string(j, '/properties/SACONSUMERTOPIC') AS topic,
+  CAST(json_extract_string(j, '/properties/SACONSUMERPARTITION') AS INTEGER) AS "partition",
+  max(CAST(json_extract_string(j, '/properties/SACONSUMEROFFSET') AS BIGINT)) AS sink_offset FROM jr GROUP BY ALL"""
+
+SINK_UNREADABLE = with_(EV, WIRING, V, POS) + """
+SELECT sink_partition, sink_offset, 'no JSON' AS unreadable FROM sk WHERE "offset" % 29 = 0"""
+
 RESUME_POSITION = with_(EV, WIRING, V, POS) + """
 SELECT lg.server, lg.consumer_group, lg.topic, lg."partition", ckpt_offset, end_offset, tp.sink_offset,
   CASE WHEN lag = 0 THEN end_offset ELSE coalesce(tp.sink_offset, ckpt_offset) END AS resume_offset
@@ -459,6 +480,10 @@ DAILY_UV = with_(EV, WIRING, V, MAIN) + """
 SELECT project, date, count(DISTINCT distinct_id) AS uv FROM main
 WHERE type = 'track' AND distinct_id IS NOT NULL GROUP BY ALL"""
 
+MONTHLY_UV = with_(EV, WIRING, V, MAIN) + """
+SELECT project, left(date, 6) AS month, count(DISTINCT distinct_id) AS uv FROM main
+WHERE type = 'track' AND distinct_id IS NOT NULL GROUP BY ALL"""
+
 EVENT_BLACKLIST = with_(EV, WIRING, V, MAIN) + """,
 bl AS (SELECT * FROM (VALUES ('p_asia', 'view', 0), ('p_africa', 'Login', 0), ('p_america', 'purchase', 0),
                              ('p_europe', 'click', 1)) t(project_id, event_name, status))
