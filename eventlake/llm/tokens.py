@@ -11,6 +11,7 @@ from eventlake.llm.common import only_cache
 
 _CONTROL = re.compile(r"[\x00-\x02]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
+_ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks of a chunk at the start of the text and of a chunk after a newline.
 _FIRST, _LINE = "\x01", "\x02"
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
@@ -38,7 +39,8 @@ class ChunkEncoder(dict):
     own); otherwise white space is dropped and letters are lower-cased.  A text
     is cut only where the tokenizer's own pre-tokenizer must cut, so the ids are
     those of the whole text.  A chunk of letters is one piece and goes to the
-    library's BPE model directly; any other goes through the whole tokenizer.
+    library's BPE model directly; any other goes through the whole tokenizer, and
+    so does a text that holds one of the tokenizer's added tokens (such as <|endoftext|>).
     The cache only saves repeated work; it holds at most twice `limit` entries
     (chunks met since the last turn-over, and those of the turn before it).
     """
@@ -49,8 +51,10 @@ class ChunkEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        # the library finds these in a text before it cuts words (some in its lower-case form)
+        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = re.compile("|".join(map(re.escape, sorted(added)))) if added else None
         self.keep_space, self.limit = keep_space, limit
         self.newline = self.whole("\n") if keep_space else b""
         self.marks: dict[str, bytes] = {}
@@ -100,14 +104,17 @@ class ChunkEncoder(dict):
         if len(self) > self.limit:
             self.before = dict(self)
             self.clear()
+        if self.added and self.added.search(text.lower()):
+            return self.whole(text)
         if not self.keep_space:
             if "\x01" in text or "\x02" in text:
                 return self.whole(text)
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         # white space only as single blanks or newlines inside the text: every cut is certain
-        parts = (_FIRST + text.replace("\n", " " + _LINE)).split(" ")
-        if len(text.split()) == len(parts) and not {"", _FIRST, _LINE} & set(parts) and not _CONTROL.search(text):
-            return b"".join(map(self.__getitem__, parts))
+        if not _ODD_SPACE.search(text) and not _CONTROL.search(text):
+            parts = (_FIRST + text.replace("\n", " " + _LINE)).split(" ")
+            if not {"", _FIRST, _LINE} & set(parts):
+                return b"".join(map(self.__getitem__, parts))
         return b"".join(map(self.whole, self._cut(text)))
 
     @staticmethod

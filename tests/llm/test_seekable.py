@@ -23,7 +23,6 @@ def rows_of(rng):
 def test_round_trip(spark, docs_df, rng):
     rows = rows_of(rng)
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     ids = [(i, np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t in rows]
     df = docs_df([(i, t, "s") for i, t in rows])
     path = shared_dir(spark, "seekable-test")
