@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import constants as C
@@ -95,22 +95,89 @@ def import_delimited(lines: DataFrame, config: ImportConfig) -> DataFrame:
     if config.header:
         lines = lines.filter(F.col("value") != config.separator.join(names))
     row = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": config.separator})
-    df = lines.withColumn("_row", row)
+    return _as_events(lines.withColumn("_row", row), [c for c in lines.columns if c != "value"], config)
 
-    def typed(name: str, kind: str):
-        text = F.col("_row")[name]
-        to = IMPORT_TYPES[kind]
-        if to == "Number":
-            return F.coalesce(text.try_cast("bigint").cast("variant"), text.try_cast("double").cast("variant"))
-        return (text.try_cast("boolean") if to == "Boolean" else text).cast("variant")
 
-    items = F.array(*[F.struct(F.lit(n).alias("k"), typed(n, t).alias("v")) for n, t in config.fields])
+def _typed(text: Column, kind: str) -> Column:
+    """A field's text as the property type of its source type; NULL where it does not fit."""
+    to = IMPORT_TYPES[kind]
+    if to == "Number":
+        return F.coalesce(text.try_cast("bigint").cast("variant"), text.try_cast("double").cast("variant"))
+    return (text.try_cast("boolean") if to == "Boolean" else text).cast("variant")
+
+
+def _as_events(df: DataFrame, keep: list[str], config: ImportConfig) -> DataFrame:
+    """Event columns of rows whose `_row` holds the fields' texts."""
+    items = F.array(*[F.struct(F.lit(n).alias("k"), _typed(F.col("_row")[n], t).alias("v")) for n, t in config.fields])
     ms = wall_clock_to_millis(parse_wall_clock(F.col("_row")[config.time_field]), config.time_zone)
     who = F.col("_row")[config.id_field]
     errors = F.concat_ws(C.ERR_SEP, F.when(~is_not_blank(who), F.lit(C.ERR_NO_ID)), F.when(ms.isNull(), F.lit(C.ERR_TIME)))
     return df.select(
-        *[c for c in lines.columns if c != "value"],
+        *keep,
         F.when(is_not_blank(who), cut(who)).alias("distinct_id"), F.coalesce(ms, F.lit(0).cast("bigint")).alias("time"),
         F.lit(config.project).alias("project"), F.lit(C.TYPE_TRACK).alias("type"), F.lit(config.event_name).alias("event"),
         F.map_from_entries(F.filter(items, lambda x: ~is_empty_value(x.v))).alias("properties"),
         F.when(errors != "", F.concat(F.lit(C.INVALID_PREFIX), errors)).alias("error_reason"))
+
+
+# ---- E3: import of delimited files -------------------------------------------
+
+
+@dataclass(frozen=True)
+class ImportCounts:
+    """What one import did: lines read; event rows written; of these the rows that failed
+    validation; lines that are no row of the fields; field values left out because their type cannot hold them."""
+
+    read_count: int = 0
+    process_count: int = 0
+    invalid_count: int = 0
+    bad_count: int = 0
+    typed_out: int = 0
+
+
+_BAD = "_bad_line"
+
+
+def import_rows(spark: SparkSession, path: str | list[str], config: ImportConfig) -> DataFrame:
+    """Lines of delimited files as event rows, with `source_file`, `outcome` ("event", or "bad" for
+    a line with too many or too few fields, kept in `bad_line`) and `typed_out`, the number of values left out.
+
+    With `config.header` the first line of each file is skipped.  Blank lines are no lines."""
+    names = [n for n, _ in config.fields]
+    schema = ", ".join(f"`{n}` string" for n in [*names, _BAD])
+    # quoted fields keep separators, and doubled quotes are one quote; a line's own quotes never reach over its end
+    lines = spark.read.schema(schema).csv(path, sep=config.separator, header=config.header, mode="PERMISSIVE",
+                                          columnNameOfCorruptRecord=_BAD, escape='"')
+    out = sum(((F.col(n).isNotNull() & _typed(F.col(n), t).isNull()).cast("int") for n, t in config.fields), start=F.lit(0))
+    bad = F.col(_BAD).isNotNull()
+    rows = lines.select(
+        F.col("_metadata.file_path").alias("source_file"), F.when(bad, "bad").otherwise("event").alias("outcome"),
+        F.col(_BAD).alias("bad_line"), F.when(bad, 0).otherwise(out).alias("typed_out"), F.struct(*names).alias("_row"))
+    return _as_events(rows, ["source_file", "outcome", "bad_line", "typed_out"], config)
+
+
+def import_files(spark: SparkSession, path: str | list[str], config: ImportConfig, out_path: str) -> ImportCounts:
+    """Import delimited files into `<out_path>/outcome=event` and `<out_path>/outcome=bad`.
+
+    One pass: the counts are taken by the write itself.  An import that runs again replaces its output."""
+    rows = import_rows(spark, path, config)
+    event = F.col("outcome") == "event"
+    seen = Observation()
+    total = F.count(F.lit(1))
+    rows = rows.observe(
+        seen, total.alias("read_count"), F.count_if(event).alias("process_count"),
+        F.count_if(event & F.col("error_reason").isNotNull()).alias("invalid_count"), F.count_if(~event).alias("bad_count"),
+        F.coalesce(F.sum("typed_out"), F.lit(0)).alias("typed_out"))
+    # properties hold VARIANT values, which Parquet keeps as such
+    rows.write.mode("overwrite").partitionBy("outcome").parquet(out_path)
+    return ImportCounts(**seen.get)
+
+
+def file_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The counts of each source file of an import, from three narrow columns of its output."""
+    rows = spark.read.parquet(out_path)
+    event = F.col("outcome") == "event"
+    return rows.groupBy("source_file").agg(
+        F.count("*").alias("read_count"), F.count_if(event).alias("process_count"),
+        F.count_if(event & F.col("error_reason").isNotNull()).alias("invalid_count"), F.count_if(~event).alias("bad_count"),
+        F.sum("typed_out").cast("bigint").alias("typed_out"))

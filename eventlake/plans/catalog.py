@@ -25,7 +25,7 @@ from eventlake.operators import positions as P
 from eventlake.operators.counters import merge_counters
 from eventlake.operators.decode import decode
 from eventlake.operators.extras import (
-    ImportConfig, daily_unique_users, drop_blacklisted, import_delimited, module_star_join, route_topics,
+    ImportConfig, daily_unique_users, drop_blacklisted, import_delimited, import_files, module_star_join, route_topics,
 )
 from eventlake.operators.uniques import UniqueUsers
 from eventlake.operators.profile import profile_rows, topic_fanout, topic_projects
@@ -526,6 +526,33 @@ def delimited_import(spark: SparkSession, data_dir: str) -> DataFrame:
         _prop_double("balance").alias("balance"), F.try_variant_get(F.col("properties")["even"], "$", "boolean").alias("even"))
 
 
+def file_import_counts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Three imports of delimited files (separators, header flag, lines of the wrong
+    length, values of the wrong type) with the counts that their writes took."""
+    work = shared_folder(spark, "file-import")
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_nationkey"])
+    k = F.col("c_custkey")
+    line = F.concat_ws("|", F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("c"), k)),
+                       F.when(k % 11 == 0, F.lit("never")).otherwise(F.lit("2024-01-02 03:04:05")), F.concat(F.lit('"'), F.col("c_name"), F.lit('|x"')),
+                       F.when(k % 5 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")), F.when(F.col("c_nationkey") % 2 == 0, F.lit("true")).otherwise(F.lit("maybe")))
+    c.select(F.when(k % 13 == 0, F.lit("short|line")).when(k % 17 == 0, F.concat(line, F.lit("|more"))).otherwise(line)).write.text(f"{work}/customer")
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    o.select(F.concat(F.lit("c"), "o_custkey").alias("uid"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("at"),
+             F.when(F.col("o_orderkey") % 4 == 0, F.lit("free")).otherwise(F.col("o_totalprice").cast("string")).alias("price")).write.csv(f"{work}/orders", sep=",", header=True)
+    s = read_table(spark, data_dir, "supplier", ["s_suppkey", "s_name"])
+    s.select(F.concat_ws(";", F.concat(F.lit("s"), "s_suppkey"), F.lit("2024/01/02"), "s_name")).write.text(f"{work}/supplier")
+    jobs = {
+        "customer": ImportConfig("p_import", "customer", (("uid", "String"), ("at", "Date"), ("name", "String"), ("balance", "Long"), ("even", "Boolean")), "uid", "at", separator="|"),
+        "orders": ImportConfig("p_import", "order", (("uid", "String"), ("at", "Date"), ("price", "Integer")), "uid", "at", header=True),
+        "supplier": ImportConfig("p_import", "supplier", (("uid", "String"), ("at", "Date"), ("name", "String")), "uid", "at", separator=";"),
+    }
+    rows = []
+    for name, config in jobs.items():
+        n = import_files(spark, f"{work}/{name}", config, f"{work}/out/{name}")
+        rows.append((name, n.read_count, n.process_count, n.invalid_count, n.bad_count, n.typed_out))
+    return local_table(spark, rows, "import string, read_count bigint, process_count bigint, invalid_count bigint, bad_count bigint, typed_out bigint")
+
+
 QUERIES: dict[str, Query] = {
     "event_normalize": event_normalize,
     "project_fanout": project_fanout,
@@ -572,6 +599,7 @@ QUERIES: dict[str, Query] = {
     "sink_json_positions": sink_json_positions,
     "sink_unreadable": sink_unreadable,
     "monthly_uv": monthly_uv,
+    "file_import_counts": file_import_counts,
 }
 
 ORACLE: dict[str, str] = {
@@ -620,4 +648,5 @@ ORACLE: dict[str, str] = {
     "sink_json_positions": O.SINK_JSON_POSITIONS,
     "sink_unreadable": O.SINK_UNREADABLE,
     "monthly_uv": O.MONTHLY_UV,
+    "file_import_counts": O.FILE_IMPORT_COUNTS,
 }

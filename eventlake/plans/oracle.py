@@ -508,3 +508,13 @@ SELECT c_custkey AS line_no, CASE WHEN c_custkey % 7 <> 0 THEN 'c' || c_custkey
        WHEN c_custkey % 7 = 0 THEN '{prefix}{no_id}' WHEN c_custkey % 11 = 0 THEN '{prefix}{time}' END AS error_reason,
   c_name || '|x' AS name, CAST(c_acctbal AS DOUBLE) AS balance, CASE WHEN c_nationkey % 2 = 0 THEN true END AS even
 FROM customer WHERE c_custkey % 100 <> 0""".format(prefix=C.INVALID_PREFIX, no_id=C.ERR_NO_ID, time=C.ERR_TIME, sep=C.ERR_SEP)
+
+FILE_IMPORT_COUNTS = """
+WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, c_custkey % 13 = 0 OR c_custkey % 17 = 0 AS bad FROM customer)
+SELECT 'customer' AS import, count(*) AS read_count, count(*) FILTER (NOT bad) AS process_count,
+  count(*) FILTER (NOT bad AND (k % 7 = 0 OR k % 11 = 0)) AS invalid_count, count(*) FILTER (bad) AS bad_count,
+  coalesce(CAST(sum(CASE WHEN bad THEN 0 ELSE CAST(k % 5 = 0 AS INT) + CAST(n % 2 <> 0 AS INT) END) AS BIGINT), 0) AS typed_out FROM c
+UNION ALL
+SELECT 'orders', count(*), count(*), 0, 0, count(*) FILTER (o_orderkey % 4 = 0) FROM orders
+UNION ALL
+SELECT 'supplier', count(*), count(*), count(*), 0, 0 FROM supplier"""
