@@ -12,12 +12,14 @@ trans_rule:   id, sink_project_id, input_field, output_field, output_type, valid
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from eventlake.config import PipelineConfig
 
@@ -31,6 +33,12 @@ class Metadata:
     counters: DataFrame | None = None
     _lookups: dict = field(default_factory=dict, repr=False)
 
+    def rule_table(self) -> RuleTable:
+        """The property rules as a hash table, made once for this metadata."""
+        if RuleTable not in self._lookups:
+            self._lookups[RuleTable] = RuleTable.of(self)
+        return self._lookups[RuleTable]
+
     def lookup(self, make: Callable[[Metadata], DataFrame]) -> Lookup:
         """`make(self)` as a lookup table, measured once for this metadata."""
         if make not in self._lookups:
@@ -50,19 +58,21 @@ BROADCAST_BYTES = 32 << 20
 SLOTS = 16
 
 
+#: A table of more rows is not fetched to be measured.
+FETCH_ROWS = 500_000
+
+
 def _measured(df: DataFrame, max_bytes: int) -> tuple[DataFrame, int]:
+    """A table of at most `max_bytes` as a local relation, a larger one checkpointed; and its bytes
+    (for the larger one: a number above the bound).  The fetch itself is bounded by FETCH_ROWS
+    and by spark.driver.maxResultSize."""
     from eventlake.session import ensure_checkpoint_dir
 
+    rows = df.limit(FETCH_ROWS + 1).toArrow()
+    if len(rows) <= FETCH_ROWS and rows.nbytes <= max_bytes:
+        return df.sparkSession.createDataFrame(rows, schema=df.schema), rows.nbytes
     ensure_checkpoint_dir(df.sparkSession)
-    stored = df.persist()
-    try:
-        size = stored.agg(F.coalesce(F.sum(sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) + 8 for c in df.columns),
-                                               start=F.lit(0))), F.lit(0))).first()[0]
-        if size > max_bytes:
-            return stored.checkpoint(), size
-        return df.sparkSession.createDataFrame(stored.toArrow(), schema=df.schema), size
-    finally:
-        stored.unpersist()
+    return df.checkpoint(), max_bytes + 1
 
 
 def local_copy(df: DataFrame, max_bytes: int = SNAPSHOT_BYTES) -> DataFrame:
@@ -177,16 +187,66 @@ def active_rules(meta: Metadata, lower_keys: bool = True) -> DataFrame:
     )
 
 
-RULES_TYPE = "array<struct<project:string,rules:map<string,array<struct<rule_order:int,type:int,out:string>>>>>"
+#: The rules are held whole by every task; more bytes are refused.
+RULES_BYTES = 64 << 20
+
+
+@dataclass(frozen=True)
+class RuleTable:
+    """All valid rules as a hash table in one value, so that a property finds its rule
+    in time that does not depend on their number.
+
+    Place pmod(xxhash64(project, key), size) of `rules` holds the rules of that project and key (and
+    the few that share the place); place pmod(xxhash64(name), size) of `names` the projects that have
+    rules.  `lengths` are the different lengths of project names.  Both values are one-row
+    tables of measured size, read as scalar subqueries."""
+
+    rules: DataFrame
+    names: DataFrame
+    lengths: tuple[int, ...]
+
+    @staticmethod
+    def of(meta: Metadata, max_bytes: int = RULES_BYTES) -> RuleTable:
+        rows, size = _measured(active_rules(meta).where("project IS NOT NULL AND key IS NOT NULL").select(
+            "project", "key", F.col("rule_order").cast("int").alias("rule_order"), "type", "out"), max_bytes)
+        if size > max_bytes:
+            raise ValueError(f"the property rules take more than {max_bytes} bytes")
+        held = rows.select("*", F.xxhash64("project", "key").alias("at"), F.xxhash64("project").alias("name_at"), F.length("project").alias("n")).toArrow()
+        rules = [(r["at"], {k: r[k] for k in ("project", "key", "rule_order", "type", "out")}) for r in held.to_pylist()]
+        names = {(r["name_at"], r["project"]) for r in held.select(["name_at", "project"]).to_pylist()}
+        spark = rows.sparkSession
+        rule = "struct<project:string,key:string,rule_order:int,type:int,out:string>"
+        return RuleTable(_one_value(spark, _places(rules), rule), _one_value(spark, _places(names), "string"), tuple(sorted(set(held["n"].to_pylist()))))
+
+
+def _places(items: Iterable[tuple[int, object]]) -> list[list]:
+    """Items (64-bit hash, value) by place; a power of two of places, no fewer than items."""
+    items = list(items)
+    out: list[list] = [[] for _ in range(1 << max(0, (len(items) - 1).bit_length()))]
+    for h, value in items:
+        out[h % len(out)].append(value)
+    return out
+
+
+def _one_value(spark: SparkSession, places: list[list], item: str) -> DataFrame:
+    schema = StructType.fromDDL(f"v array<array<{item}>>")
+    return spark.createDataFrame(pa.table({"v": [places]}, schema=to_arrow_schema(schema)), schema)
+
+
+#: Projects with rules whose name lies in a text: every part of the text that has the length of a name is
+#: looked up, so the work depends on the text and on the different lengths, not on the number of projects.
+_NAMED_SQL = """transform(array(_names), nt -> array_distinct(flatten(transform(filter({lengths}, n -> n <= length({text})),
+  n -> filter(transform(sequence(1, length({text}) - n + 1), i -> substr({text}, i, n)),
+    s -> array_contains(get(nt, CAST(pmod(xxhash64(s), size(nt)) AS INT)), s))))))[0]"""
+
 
+def named_in(df: DataFrame, text: str, table: RuleTable, name: str) -> DataFrame:
+    """Adds the projects with rules whose name is a substring of the text column."""
+    lengths = "CAST(array(" + ", ".join(map(str, table.lengths)) + ") AS array<int>)"
+    found = F.expr(_NAMED_SQL.format(text=f"`{text}`", lengths=lengths))
+    return df.withColumn("_names", table.names.scalar()).withColumn(name, F.when(F.col(text).isNotNull(), found)).drop("_names")
 
-def rules_by_project(meta: Metadata) -> Column:
-    """All valid rules as one value [(project, key -> [(order, type, out)])].
 
-    A scalar subquery: evaluated once by Spark when a query runs, for any number
-    of rules and either match mode, without driver-side literals."""
-    per_key = active_rules(meta).groupBy("project", "key").agg(
-        F.collect_list(F.struct(F.col("rule_order").cast("int").alias("rule_order"), "type", "out")).alias("rs"))
-    per_project = per_key.where("key IS NOT NULL").groupBy("project").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "rs"))).alias("rules"))
-    return per_project.agg(F.collect_list(F.struct("project", "rules")).cast(RULES_TYPE).alias("r")).scalar()
+def matched_wiring(meta: Metadata) -> DataFrame:
+    """A2 with the projects whose rules match each project list by substring: found once for each list of the wiring."""
+    return named_in(sink_projects(meta), "sink_projects", meta.rule_table(), "list_matches")

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.functions.json import is_empty_value
+from eventlake.functions.text import is_not_blank
+from eventlake.operators.metadata import RuleTable, named_in
 
 ITEM_TYPE = "struct<k:string,v:variant,t:string>"
 
@@ -58,15 +60,18 @@ ENTRIES_SQL = """CASE WHEN startswith(ltrim({text}), '{{') THEN transform(
 ITEM_NULL = "named_struct('k', CAST(NULL AS STRING), 'v', CAST(NULL AS VARIANT), 't', CAST(NULL AS STRING))"
 
 
+#: The rule of key `x.key` for the row's own projects (`_projects`) in the hash table `rt`; of several the last one in rule order wins.
+RULE_SQL = """array_max(flatten(transform(_projects, p -> transform(
+  filter(get(rt, CAST(pmod(xxhash64(p, x.key), size(rt)) AS INT)), r -> r.key = x.key AND r.project = p),
+  r -> named_struct('rule_order', r.rule_order, 'type', r.type, 'out', r.out)))))"""
+
+
 def classify_sql(entries: str) -> str:
-    """Entries -> items: pass 1 annotates key, kind and rule once per entry,
-    pass 2 decides: ruled / descend / drop / keep.  `_mine` holds the rule maps
-    of the record's own projects; of several rules the last one in rule order wins."""
-    annotate = (
-        f"transform({entries}, e -> named_struct('key', lower(e.k), 'raw', e.raw, 'v', e.v, "
-        f"'kind', {KIND_SQL.format(sv='schema_of_variant(e.v)')}, "
-        "'rule', array_max(flatten(transform(_mine, m -> coalesce(try_element_at(m, lower(e.k)), array()))))))"
-    )
+    """Entries -> items: the passes find each entry's key and type once, then its kind and rule, then
+    decide: ruled / descend / drop / keep."""
+    typed = f"transform({entries}, e -> named_struct('key', lower(e.k), 'raw', e.raw, 'v', e.v, 'sv', schema_of_variant(e.v)))"
+    annotate = (f"transform({typed}, x -> named_struct('key', x.key, 'raw', x.raw, 'v', x.v, "
+                f"'kind', {KIND_SQL.format(sv='x.sv')}, 'rule', {RULE_SQL}))")
     cast = CAST_SQL.format(t="x.rule.type", kind="x.kind", v="x.v", raw="x.raw")
     decide = f"""x -> CASE
       WHEN x.rule IS NOT NULL THEN CASE WHEN x.kind = 'OBJECT' THEN {ITEM_NULL}
@@ -78,7 +83,7 @@ def classify_sql(entries: str) -> str:
     return f"transform({annotate}, {decide})"
 
 
-def walk_sql() -> str:
+def walk_sql(rules: str) -> str:
     """The whole walk.  A step replaces pending items by their object's items; text
     that turns out to hold no object is kept as it is."""
     inner = classify_sql(ENTRIES_SQL.format(text="it.t"))
@@ -89,33 +94,35 @@ def walk_sql() -> str:
     steps = "sequence(0, greatest(regexp_count(part_text, '\\\\{|[uU]007[bB]'), 0))"
     first = f"coalesce({classify_sql('entries')}, CAST(array() AS array<{ITEM_TYPE}>))"
     made = "transform(array({items}), x -> named_struct('items', x, 'pending', exists(x, it -> it.t IS NOT NULL)))[0]"
-    return (
+    walk = (
         f"aggregate({steps}, CAST(NULL AS {state}), (acc, i) -> CAST(CASE "
         f"WHEN acc IS NULL THEN {made.format(items=first)} "
         f"WHEN acc.pending THEN {made.format(items=level)} ELSE acc END AS {state}), acc -> "
         "transform(filter(acc.items, it -> it.k IS NOT NULL AND it.t IS NULL), it -> named_struct('k', it.k, 'v', it.v)))"
     )
+    return f"transform(array({rules}), rt -> {walk})[0]"
 
 
-def flatten_properties(df: DataFrame, rules: Column, config: PipelineConfig) -> DataFrame:
+def flatten_properties(df: DataFrame, rules: RuleTable, config: PipelineConfig) -> DataFrame:
     """Adds flat_items: array<struct<k, v>> in walk order, and signup_items: the same
     for the events that may be sign-ups, NULL for others, so that an output without
     properties walks those few rows only.
 
-    Needs columns entries (the part's object entries), part_text, tokens and
-    project_list; `rules` is the value of `rules_by_project`.  Matching projects
-    are found once for each row, in either match mode, so the cost of a
-    property does not grow with the rules of other projects.
+    Needs columns entries (the part's object entries), part_text, tokens, src_project, and with
+    substring matching `list_matches` of the wiring.  A property's rule is looked up by
+    (project, key) in a hash table: its cost does not grow with the rules.
     """
     if config.rule_match == "contains":
-        match = "contains(project_list, r.project)"
+        df = named_in(df.withColumn("_own", F.when(is_not_blank(F.col("src_project")), F.col("src_project"))), "_own", rules, "_own_matches")
+        df = df.withColumn("_projects", F.coalesce("_own_matches", "list_matches")).drop("_own", "_own_matches", "list_matches")
     else:
-        match = "array_contains(tokens, r.project)"
-    df = df.withColumn("_rules", rules)
-    df = df.withColumn("_mine", F.expr(f"transform(filter(_rules, r -> {match}), r -> r.rules)"))
-    walk = F.expr(walk_sql())
+        df = df.withColumn("_projects", F.col("tokens"))
+    # the rules are one value, bound once to each of the two walks: a column read twice would be copied into every row
+    value = rules.rules.scalar()
     named = F.col("src_event_name").isin(*C.SIGNUP_EVENTS)
-    return df.withColumns({"flat_items": walk, "signup_items": F.when(named, walk)}).drop("_rules", "_mine")
+    df = df.withColumns({"_rules_all": value, "_rules_signup": value}).withColumns({
+        "flat_items": F.expr(walk_sql("_rules_all")), "signup_items": F.when(named, F.expr(walk_sql("_rules_signup")))})
+    return df.drop("_rules_all", "_rules_signup", "_projects")
 
 
 def _kv(k: str, v: Column) -> Column:

@@ -16,7 +16,7 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.operators import events as E
 from eventlake.operators.decode import decode
-from eventlake.operators.metadata import Metadata, rules_by_project, sink_projects
+from eventlake.operators.metadata import Metadata, matched_wiring, sink_projects
 from eventlake.operators.properties import assemble_properties, flatten_properties
 from eventlake.operators.split import extract_fields, split_parts
 
@@ -49,8 +49,9 @@ def transform(raw: DataFrame, meta: Metadata, config: PipelineConfig | None = No
     df = decode(spread(raw, config), meta.routes, config)
     df = split_parts(df)
     df = extract_fields(df)
-    df = E.resolve_projects(df, meta.lookup(sink_projects), config)
-    df = flatten_properties(df, rules_by_project(meta), config)
+    wiring = meta.lookup(matched_wiring if config.rule_match == "contains" else sink_projects)
+    df = E.resolve_projects(df, wiring, config)
+    df = flatten_properties(df, meta.rule_table(), config)
     df = E.validate(df, config)
     df = assemble_properties(df, config)
     has_part = F.col("part_index").isNotNull()
