@@ -23,6 +23,7 @@ from eventlake import constants as C
 from eventlake.config import PipelineConfig
 from eventlake.functions.json import object_entries, starts_with_char
 from eventlake.functions.text import java_split
+from eventlake.operators.binary import BATCH_CONVERTERS, convert_batches
 
 ROUTE_COLUMNS = ("converter", "processor", "post_processor")
 
@@ -96,8 +97,20 @@ def json_class(text: Column, entries: Column) -> Column:
 
 
 def decode(raw: DataFrame, routes: DataFrame | None = None, config: PipelineConfig | None = None) -> DataFrame:
+    """Records of routes with a batch converter take a branch of their own, so that the others meet no
+    Python worker; without such a route there is no branch."""
     config = config or PipelineConfig()
     df = attach_routes(raw, routes, config)
+    odd = [] if routes is None else sorted({r[0] for r in routes.where(F.col("converter").isin(list(BATCH_CONVERTERS))).select("converter").collect()})
+    if not odd:
+        return _decoded(df, config)
+    out = _decoded(df.where(~F.col("converter").isin(odd)), config)
+    for name in odd:
+        out = out.unionByName(_decoded(df.where(F.col("converter") == name), config, name))
+    return out
+
+
+def _decoded(df: DataFrame, config: PipelineConfig, batch_converter: str | None = None) -> DataFrame:
     value_text = F.col("value").cast("string")
     df = df.withColumns({
         "record_key": F.coalesce(F.col("key").cast("string"), F.lit("")),
@@ -106,17 +119,23 @@ def decode(raw: DataFrame, routes: DataFrame | None = None, config: PipelineConf
     })
     df = df.withColumn("body_entries", object_entries(F.col("value_text")))
     df = df.withColumn("json_class", F.when(~F.col("is_null"), json_class(F.col("value_text"), F.col("body_entries"))))
-    body = (
-        F.when(F.col("is_null"), F.lit(None).cast("string"))
-        .when(F.col("json_class") == "missing", apply_converter(F.col("converter"), F.col("value_text"), config))
-        .otherwise(F.col("value_text"))
-    )
+    missing = F.col("json_class") == "missing"
     err = F.when(
         F.col("json_class") == "scalar",
         F.lit(C.DECODE_ERROR_PREFIX + "record is not a JSON object"),
     )
+    if batch_converter:
+        df = df.withColumn("_made", convert_batches(batch_converter, F.when(missing, F.col("value"))))
+        converted = F.col("_made.body")
+        err = err.when(F.col("_made.error").isNotNull(), F.concat(F.lit(C.DECODE_ERROR_PREFIX), F.col("_made.error")))
+    else:
+        converted = apply_converter(F.col("converter"), F.col("value_text"), config)
+    body = (
+        F.when(F.col("is_null"), F.lit(None).cast("string"))
+        .when(missing, converted)
+        .otherwise(F.col("value_text"))
+    )
     df = df.withColumns({"body_text": body, "decode_error": err})
-    converted = F.col("json_class") == "missing"
     return df.withColumn(
-        "body_entries", F.when(converted, object_entries(F.col("body_text"))).otherwise(F.col("body_entries"))
-    ).drop("json_class")
+        "body_entries", F.when(missing, object_entries(F.col("body_text"))).otherwise(F.col("body_entries"))
+    ).drop("json_class", "_made")

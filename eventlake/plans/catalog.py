@@ -31,7 +31,8 @@ from eventlake.operators.uniques import UniqueUsers
 from eventlake.operators.profile import profile_rows, topic_fanout, topic_projects
 from eventlake.sources.metadata import sample_blacklist, sample_modules
 from eventlake.sources.records import (
-    SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records, user_records,
+    SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records,
+    packed_records, user_records,
 )
 from eventlake.sources.tables import read_table
 from eventlake.streaming import state as S
@@ -433,6 +434,18 @@ def delimited_decode(spark: SparkSession, data_dir: str) -> DataFrame:
         m["fn4"].alias("fn4"), F.size(m).alias("n_fields"))
 
 
+def binary_decode(spark: SparkSession, data_dir: str) -> DataFrame:
+    """§2.11 P7: packed binary records read by the batch converter of their route (server A's), with
+    the errors of those that it cannot read; server B has no such route."""
+    meta = sample_metadata(spark, data_dir)
+    routes = meta.routes.union(local_table(spark, [(SERVER_A, "t_packed", "packedEvent", None, None)], ROUTE_SCHEMA))
+    dec = decode(packed_records(spark, data_dir).union(event_records(spark, data_dir)), routes)
+    m = F.from_json("body_text", "map<string,string>")
+    return dec.filter(F.col("topic") == "t_packed").select(
+        "server", "partition", "offset", m["EventID"].alias("event"), m["LoginID"].alias("login"), m["Time"].alias("at"),
+        m["Amount"].cast("double").alias("amount"), "decode_error")
+
+
 # ---- dormant, config-only and schema-only items -----------------------------
 
 def profile_set(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -600,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "sink_unreadable": sink_unreadable,
     "monthly_uv": monthly_uv,
     "file_import_counts": file_import_counts,
+    "binary_decode": binary_decode,
 }
 
 ORACLE: dict[str, str] = {
@@ -649,4 +663,5 @@ ORACLE: dict[str, str] = {
     "sink_unreadable": O.SINK_UNREADABLE,
     "monthly_uv": O.MONTHLY_UV,
     "file_import_counts": O.FILE_IMPORT_COUNTS,
+    "binary_decode": O.BINARY_DECODE,
 }

@@ -518,3 +518,17 @@ UNION ALL
 SELECT 'orders', count(*), count(*), 0, 0, count(*) FILTER (o_orderkey % 4 = 0) FROM orders
 UNION ALL
 SELECT 'supplier', count(*), count(*), count(*), 0, 0 FROM supplier"""
+
+BINARY_DECODE = """
+WITH t AS (
+  SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'kafka-a:9092' ELSE 'kafka-b:9092' END AS server, CAST(o_orderkey % 4 AS INTEGER) AS "partition",
+    CAST(o_orderkey // 4 AS BIGINT) AS "offset", o_orderkey % 50 AS r, o_orderkey AS k, o_custkey, o_orderdate, o_totalprice FROM orders),
+u AS (SELECT *, server = 'kafka-a:9092' AND r NOT IN (46, 47, 48, 49) AS packed FROM t)
+SELECT server, "partition", "offset",
+  CASE WHEN r = 47 THEN 'json' WHEN packed THEN ['view', 'click', 'purchase'][k % 3 + 1] END AS event,
+  CASE WHEN r = 47 THEN 'x' WHEN packed THEN 'u' || o_custkey END AS login,
+  CASE WHEN packed THEN strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%g') END AS at,
+  CASE WHEN packed THEN CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 END AS amount,
+  CASE WHEN server = 'kafka-a:9092' AND r = 48 THEN '{prefix}unknown event code'
+       WHEN server = 'kafka-a:9092' AND r = 49 THEN '{prefix}26 bytes expected, found 7' END AS decode_error
+FROM u""".format(prefix=C.DECODE_ERROR_PREFIX)

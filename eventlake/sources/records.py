@@ -231,3 +231,21 @@ def user_records(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("binary").alias("key"),
         body.cast("binary").alias("value"), "project",
     )
+
+
+def packed_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One packed binary record per order (user, epoch ms, cents, event code); of every 50, one is cut
+    short, one has an unknown code, one is JSON text and one is NULL."""
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    k = F.col("o_orderkey")
+    number = lambda c, n: F.lpad(F.hex(c.cast("bigint")), n, "0")
+    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    code = F.when(k % 50 == 48, F.lit(9)).otherwise(k % 3)
+    packed = F.unhex(F.concat(number(F.col("o_custkey"), 16), number(ms, 16), number(F.round(F.col("o_totalprice") * 100), 16), number(code, 4)))
+    value = (F.when(k % 50 == 49, F.substring(packed, 1, 7)).when(k % 50 == 47, F.lit('{"EventID":"json","LoginID":"x"}').cast("binary"))
+             .when(k % 50 == 46, F.lit(None).cast("binary")).otherwise(packed))
+    return o.select(
+        _server(k).alias("server"), F.lit(GROUP).alias("consumer_group"), F.lit("t_packed").alias("topic"),
+        (k % 4).cast("int").alias("partition"), F.floor(k / 4).cast("bigint").alias("offset"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("timestamp"), F.lit(None).cast("binary").alias("key"), value.alias("value"),
+    )
