@@ -62,6 +62,11 @@ def field_text(entries: Column, name: str | None) -> Column:
     return entry_text(last_entry(entries, name))
 
 
+def to_node(entries: Column) -> Column:
+    """A map as one JSON value: values of any type, a NULL value becomes JSON null; a NULL map stays NULL."""
+    return F.when(entries.isNotNull(), F.try_parse_json(F.to_json(entries)))
+
+
 def is_empty_value(v: Column) -> Column:
     """NULL, JSON null, empty string, empty array or empty object."""
     return v.isNull() | F.coalesce(

@@ -63,9 +63,8 @@ def lag_rollup(lags: DataFrame) -> DataFrame:
 
 def sink_tail(sink: DataFrame, rows_back: Column) -> DataFrame:
     """The last `rows_back` rows of every sink partition."""
-    # a row for each sink partition: broadcast, so that no sink row moves
-    ends = sink.groupBy("sink_partition").agg(F.max("sink_offset").alias("_end"))
-    j = sink.join(F.broadcast(ends), "sink_partition")
+    ends = Lookup.of(sink.groupBy("sink_partition").agg(F.max("sink_offset").alias("_end")))
+    j = ends.attach(sink, {"sink_partition": "sink_partition"}, F.col("sink_offset"))
     return j.filter(F.col("sink_offset") > F.col("_end") - rows_back).drop("_end")
 
 

@@ -29,7 +29,9 @@ from eventlake.operators.extras import (
 )
 from eventlake.operators.uniques import UniqueUsers
 from eventlake.operators.profile import profile_rows, topic_fanout, topic_projects
-from eventlake.sources.metadata import sample_blacklist, sample_modules
+from eventlake.functions.json import at_pointer, to_node
+from eventlake.sources.kafka import union_clusters
+from eventlake.sources.metadata import routes_from_properties, sample_blacklist, sample_modules
 from eventlake.sources.records import (
     SERVER_A, SERVER_B, bank_new_records, conversation_records, customer_records, deep_records, event_records, log_records, mixed_records,
     packed_records, user_records,
@@ -566,6 +568,54 @@ def file_import_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return local_table(spark, rows, "import string, read_count bigint, process_count bigint, invalid_count bigint, bad_count bigint, typed_out bigint")
 
 
+# ---- small helpers on whole tables -----------------------------------------------
+
+def consumer_plan(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Per (server, group, auth) its projects with their topics, as text."""
+    plan = M.consumer_plan(sample_metadata(spark, data_dir))
+    text = F.array_join(F.transform("projects", lambda p: F.concat(p["sink_project_id"], F.lit(":"), F.array_join(p["topics"], "+"))), ",")
+    return plan.select("source_server_port", "source_group_id", "source_sasl_jaas", text.alias("projects"))
+
+
+def cluster_union(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The records of two clusters, stamped with their server and group, as one table."""
+    raw = event_records(spark, data_dir)
+    parts = [(raw.filter(F.col("server") == s).drop("server", "consumer_group"), s, g) for s, g in ((SERVER_A, "etl"), (SERVER_B, "etl-b"))]
+    return union_clusters(parts).groupBy("server", "consumer_group", "topic").agg(
+        F.count("*").alias("records"), F.max("offset").alias("last"), F.sum(F.length("value")).isNotNull().alias("has_text"))
+
+
+def routes_by_property(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Routes named by job properties, whose keys write the server's colon as a dot."""
+    meta = sample_metadata(spark, data_dir)
+    props = {f"processor.{s.replace(':', '.')}.t_bank_new": "corpBankNewEvent" for s in (SERVER_A, SERVER_B)}
+    meta.routes = routes_from_properties(spark, [(SERVER_A, "t_bank_new"), (SERVER_B, "t_bank_new"), (SERVER_A, "t_view")], props)
+    parts = transform(bank_new_records(spark, data_dir), meta, _config(spark))
+    return parts.filter(F.col("has_part")).select(
+        "server", "partition", "offset", "processor", "event", "distinct_id", "time", "src_app_version")
+
+
+def date_checks(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Date helpers: whether a text can be read by a pattern; calendar days between two instants."""
+    zone = PipelineConfig().time_zone
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_orderdate"])
+    k = F.col("o_orderkey")
+    text = F.when(k % 7 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'x'")).when(k % 7 == 1, F.lit("2024-02-30")).when(
+        k % 7 == 2, F.lit(None).cast("string")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    start = wall_clock_to_millis(F.timestamp_add("MILLISECOND", (k * 7919) % 86400000, F.col("o_orderdate")), zone)
+    end = start + (k % 11 - 5) * 3600_000 * 13
+    return o.select("o_orderkey", T.is_valid_date(text, "yyyy-MM-dd").alias("valid"), T.days_between(start, end, zone).alias("days"))
+
+
+def map_to_node(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JSON helper: a map as one JSON value, read back by pointers."""
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    entries = F.when(F.col("c_custkey") % 9 != 0, F.create_map(
+        F.lit("name"), F.col("c_name"), F.concat(F.lit("n/"), "c_nationkey"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey").cast("string"))))
+    node = to_node(entries)
+    return c.select("c_custkey", at_pointer(node, "/name").alias("name"), F.array_join(F.array_sort(F.json_object_keys(F.to_json(node))), ",").alias("keys"))
+
+
 QUERIES: dict[str, Query] = {
     "event_normalize": event_normalize,
     "project_fanout": project_fanout,
@@ -614,6 +664,11 @@ QUERIES: dict[str, Query] = {
     "monthly_uv": monthly_uv,
     "file_import_counts": file_import_counts,
     "binary_decode": binary_decode,
+    "consumer_plan": consumer_plan,
+    "cluster_union": cluster_union,
+    "routes_by_property": routes_by_property,
+    "date_checks": date_checks,
+    "map_to_node": map_to_node,
 }
 
 ORACLE: dict[str, str] = {
@@ -664,4 +719,9 @@ ORACLE: dict[str, str] = {
     "monthly_uv": O.MONTHLY_UV,
     "file_import_counts": O.FILE_IMPORT_COUNTS,
     "binary_decode": O.BINARY_DECODE,
+    "consumer_plan": O.CONSUMER_PLAN,
+    "cluster_union": O.CLUSTER_UNION,
+    "routes_by_property": O.RECORD_FIELDS_NEW,
+    "date_checks": O.DATE_CHECKS,
+    "map_to_node": O.MAP_TO_NODE,
 }

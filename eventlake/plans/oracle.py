@@ -532,3 +532,20 @@ SELECT server, "partition", "offset",
   CASE WHEN server = 'kafka-a:9092' AND r = 48 THEN '{prefix}unknown event code'
        WHEN server = 'kafka-a:9092' AND r = 49 THEN '{prefix}26 bytes expected, found 7' END AS decode_error
 FROM u""".format(prefix=C.DECODE_ERROR_PREFIX)
+
+CONSUMER_PLAN = with_(WIRING) + """,
+p AS (SELECT source_server_port, source_group_id, source_sasl_jaas, sink_project_id, string_agg(source_topic, '+' ORDER BY source_topic) AS t FROM active GROUP BY ALL)
+SELECT source_server_port, source_group_id, source_sasl_jaas, string_agg(sink_project_id || ':' || t, ',' ORDER BY sink_project_id) AS projects FROM p GROUP BY ALL"""
+
+CLUSTER_UNION = with_(EV) + """
+SELECT server, CASE WHEN server = 'kafka-a:9092' THEN 'etl' ELSE 'etl-b' END AS consumer_group, topic, count(*) AS records,
+  max("offset") AS last, true AS has_text FROM ev GROUP BY ALL"""
+
+DATE_CHECKS = """
+WITH t AS (SELECT o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) + to_milliseconds((o_orderkey * 7919) % 86400000) AS a FROM orders),
+u AS (SELECT k, a, a + to_hours(CAST((k % 11 - 5) * 13 AS INTEGER)) AS b FROM t)
+SELECT k AS o_orderkey, k % 7 NOT IN (0, 1, 2) AS valid, CAST(date_diff('day', CAST(a AS DATE), CAST(b AS DATE)) AS INTEGER) AS days FROM u"""
+
+MAP_TO_NODE = """
+SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_name END AS name,
+  CASE WHEN c_custkey % 9 <> 0 THEN 'n/' || c_nationkey || ',name' END AS keys FROM customer"""

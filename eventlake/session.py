@@ -28,8 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster names a shared folder in spark.checkpoint.dir, or the application
-    has set one on the context; only where there is neither (local tests) a
-    scratch folder is chosen."""
+    has set one on the context; where there is neither, a scratch folder is chosen under
+    a local master (tests), and a cluster's job is refused."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc.sc()
     if not current and jsc.getCheckpointDir().isDefined():
@@ -38,6 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not jsc.getCheckpointDir().isDefined():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="eventlake-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

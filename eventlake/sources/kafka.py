@@ -103,13 +103,16 @@ def with_lineage(df: DataFrame, server: str, group: str) -> DataFrame:
     )
 
 
+def union_clusters(parts: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """The records of all clusters, (records, server, group) each, as one stream or table; no row moves."""
+    if not parts:
+        raise ValueError("no cluster to read")
+    return reduce(DataFrame.unionByName, [with_lineage(*p) for p in parts])
+
+
 def read_kafka_stream(spark: SparkSession, sources: list[KafkaSource]) -> DataFrame:
     """S1+S2: union of every source's stream (needs the Kafka connector jar)."""
-    streams = [
-        with_lineage(spark.readStream.format("kafka").options(**reader_options(s)).load(), s.server, s.group)
-        for s in sources
-    ]
-    return reduce(DataFrame.unionByName, streams)
+    return union_clusters([(spark.readStream.format("kafka").options(**reader_options(s)).load(), s.server, s.group) for s in sources])
 
 
 def writer_options(servers: str, topic: str, extra: dict | None = None, acks: str = "all", batch_size: int = 100_000,

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from eventlake.config import PipelineConfig
 from eventlake.operators.counters import COUNTER_KEY, merge_counters
 from eventlake.operators.events import event_json, invalid_json
-from eventlake.operators.metadata import Metadata
+from eventlake.operators.metadata import Lookup, Metadata
 from eventlake.plans.pipeline import PipelineResult, offset_positions, transform
 
 log = logging.getLogger(__name__)
@@ -123,9 +123,9 @@ def _latest_snapshot(spark: SparkSession, root: str) -> str | None:
 def _after(deltas: DataFrame, snapshot: str | None) -> DataFrame:
     if snapshot is None:
         return deltas
-    held = deltas.sparkSession.read.parquet(f"{snapshot}/batches").select("run_id", F.col("batch_id").alias("upto"))
     # a row for each run: the last batch whose delta the snapshot holds
-    rows = deltas.join(F.broadcast(held), "run_id", "left")
+    held = Lookup.of(deltas.sparkSession.read.parquet(f"{snapshot}/batches").select("run_id", F.col("batch_id").alias("upto")))
+    rows = held.attach(deltas, {"run_id": "run_id"}, F.col("batch_id"))
     return rows.where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
 
 
