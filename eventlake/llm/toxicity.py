@@ -147,18 +147,19 @@ class Matcher:
         distinct, cache = set(words), self.cache
         if len(cache) > 100_000:
             cache.clear()
+        long = {}  # words too long to keep
         for w in distinct.difference(cache):
-            cache[w] = self.automaton.match(w.strip(STRIP)[:200])
-        hits = {w for w in distinct if cache[w]}
-        found = {(w.strip(STRIP), *cache[w], quoted(words, k)) for k, w in enumerate(words) if w in hits} if hits else set()
+            (cache if len(w) <= 64 else long)[w] = self.automaton.match(w.strip(STRIP))
+        hits = {w: got for w in distinct if (got := cache[w] if w in cache else long[w])}
+        found = {(w.strip(STRIP), *hits[w], quoted(words, k)) for k, w in enumerate(words) if w in hits} if hits else set()
         return len(words), found
 
 
 def document_terms(text: str | None, stem_sizes: range) -> set[str]:
-    """Distinct words of a text (3 letters or more) and their beginnings as stems."""
+    """Distinct words of a text (3 letters or more, of any length) and their beginnings as stems."""
     out = set()
     for w in {w.strip(STRIP) for w in (text or "").lower().split()}:
-        if 3 <= len(w) <= 40:
+        if len(w) >= 3:
             out.add(w)
             out.update(w[:n] + STEM for n in stem_sizes if n < len(w))
     return out
@@ -326,9 +327,10 @@ def lexicon(sample: DataFrame, stem_sizes: range, risk: float) -> dict[str, floa
 
     clean = holding(0).withColumnRenamed("n", "b")
     # a term that is not significant without any clean text never is
-    tested = found.where("n > 1").mapInArrow(lambda batches: (
-        x.filter(pa.array([significant(a, 0, n[1], n[0], tried, risk) for a in x.column(1).to_pylist()], pa.bool_())) for x in batches
-    ), "term string, n bigint")
+    least = next((a for a in range(1, n[1] + 1) if significant(a, 0, n[1], n[0], tried, risk)), None)
+    if least is None:
+        return {}
+    tested = found.where(F.col("n") >= least)
     both = tested.join(clean, "term", "left").select("term", "n", F.coalesce("b", F.lit(0)).cast("bigint").alias("b"))
     good = both.mapInArrow(test, "term string, n bigint, b bigint").collect()
     return choose_terms({r.term: r.n for r in good}, {r.term: r.b for r in good}, n[1], n[0], tried, risk)

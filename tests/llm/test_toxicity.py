@@ -1,5 +1,7 @@
+import math
 import zlib
 
+import numpy as np
 import pytest
 
 from eventlake.llm import toxicity
@@ -82,6 +84,47 @@ def test_no_labels(spark, docs_df):
     assert toxicity.with_score(df.where("false"), model).count() == 0
 
 
+def test_unspaced_text(spark, docs_df, rng):
+    """Words of 45 letters, as a script without spaces gives them: an insult at their beginning is learned."""
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows, marks = [], []
+    for k in range(400):
+        tail = "".join(rng.choice(letters, 45))
+        rows.append((k, f"zwrkq{tail}" if k % 4 == 0 else tail, "s"))
+        marks.append((k, int(k % 4 == 0)))
+    df = docs_df([*rows, (1000, "zwrkq" + "ab" * 200_000, "s"), (1001, "ab" * 200_000, "s")])
+    model = toxicity.train(df, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    assert any("zwrkq".startswith(t.strip("*")) for t in model.evidence)
+    by = {r.doc_id: r.score for r in toxicity.with_score(df, model).collect()}
+    assert all((by[k] >= 0.3) == (k % 4 == 0) for k in range(400))
+    assert by[1000] >= 0.3 > by[1001]
+
+
+def test_scores_equal_brute_force(spark, docs_df, rng):
+    """Scores rebuilt without automaton, caches or batches: edit distances to every term, plain sums."""
+    model = toxicity.ToxicityModel({"idiot": 2.0, "worthless": 1.5, "scum": 3.0, "ido*": 0.5}, np.array([0.9, 0.4, 0.3, 0.1, -0.2, 0.6, -2.5]))
+    words = ["idiot", "idiott", "worthles", "wrthless", "scum", "scun", "idolize", "you", "said", '"idiot"', "calm", "IDIOT!", "x" * 70]
+    rows = [(k, " ".join(rng.choice(words, int(rng.integers(0, 15)))), "s") for k in range(120)] + [(500, None, "s")]
+
+    def brute(text):
+        all_words, found = (text or "").lower().split(), set()
+        for k, w in enumerate(all_words):
+            bare = w.strip(toxicity.STRIP)
+            near = [(edits(t, bare), t) for t in model.evidence if t[-1] != "*" and edits(t, bare) <= allowed_errors(t)]
+            near = near or [(0, t) for t in model.evidence if t[-1] == "*" and bare.startswith(t[:-1])]
+            if near:
+                found.add((bare, *min(near)[::-1], quoted(all_words, k)))
+        total = lambda keep: min(sum(model.evidence[t] for w, t, e, q in found if keep(e, q)), 20.0)
+        plain, n = total(lambda e, q: not q and not e), len(all_words)
+        length = math.log1p(n) / 10
+        x = [plain, total(lambda e, q: not q and e), total(lambda e, q: q), min(100 * plain / (50 + n), 20.0), length, length * (plain > 0), 1.0]
+        return 1 / (1 + math.exp(-float(np.dot(x, model.weights))))
+
+    texts = {i: t for i, t, _ in rows}
+    for r in toxicity.with_score(docs_df(rows), model).collect():
+        assert r.score == pytest.approx(brute(texts[r.doc_id]), abs=1e-12), texts[r.doc_id]
+
+
 def test_rare_insult_behind_many_common_terms(spark, docs_df, rng):
     common = ["".join(x) for x in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (4000, 12))]
     body = " ".join(common)
