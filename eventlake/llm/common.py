@@ -47,10 +47,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _plain(df: DataFrame) -> list:
+    return [F.col(f"`{c}`").cast("string") if t.startswith(("map", "variant")) else F.col(f"`{c}`") for c, t in df.dtypes]
+
+
 def row_key(df: DataFrame, name: str) -> DataFrame:
     """Add a 64-bit digest of the whole row; equal rows share it, null ids are no problem."""
-    plain = [F.col(f"`{c}`").cast("string") if t.startswith(("map", "variant")) else F.col(f"`{c}`") for c, t in df.dtypes]
-    return df.withColumn(name, F.xxhash64(*plain))
+    return df.withColumn(name, F.xxhash64(*_plain(df)))
+
+
+def different_rows(df: DataFrame) -> DataFrame:
+    """Each row once, compared by a 256-bit digest of all columns (of any type)."""
+    name = free_name(df, "__sha")
+    return df.withColumn(name, F.sha2(F.to_json(F.struct(*_plain(df))), 256)).dropDuplicates([name]).drop(name)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, made longer until no column of df has it."""
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def ascii_lower(col):

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed, components, only_cache, row_key, row_slices, text_buffer
+from eventlake.llm.common import checkpointed, components, different_rows, free_name, only_cache, row_key, row_slices, text_buffer
 
 LEAF = 32
 
@@ -231,12 +231,14 @@ def groups(docs: DataFrame, shingle: int = 3, distance: int = 2, keep: list[str]
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """docs with one row for each group of `groups`: the smallest doc_id's (then
-    the smallest row digest's; of equal rows one).  Columns are left as they are."""
-    keyed = row_key(docs, "__row")
-    found = checkpointed(groups(keyed, shingle, distance, keep=["doc_id", "__row"]))
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("k"))
-    kept = found.groupBy("__row").agg(F.count("*").alias("n")).join(first.select(F.col("k.__row").alias("__row")), "__row")
+    the smallest row digest's; of equal rows one).  Columns are left as they are.  Different
+    rows that share a digest with the chosen one stay, too: none is lost to a collision."""
+    row = free_name(docs, "__row")
+    keyed = row_key(docs, row)
+    found = checkpointed(groups(keyed, shingle, distance, keep=["doc_id", row]))
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("k"))
+    kept = found.groupBy(row).agg(F.count("*").alias("n")).join(first.select(F.col(f"k.{row}").alias(row)), row)
     kept = checkpointed(kept)
-    once = keyed.join(kept.where("n = 1"), "__row", "left_semi")
-    more = keyed.join(kept.where("n > 1"), "__row", "left_semi").dropDuplicates(["__row"])
-    return once.union(more).drop("__row")
+    once = keyed.join(kept.where("n = 1"), row, "left_semi")
+    more = different_rows(keyed.join(kept.where("n > 1"), row, "left_semi"))
+    return once.union(more).drop(row)

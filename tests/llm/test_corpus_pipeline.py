@@ -5,6 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventlake.llm import toxicity
@@ -115,3 +116,24 @@ def test_run(spark, stages):
     key = lambda rows: sorted(tuple(r)[:5] for r in rows)
     assert key(got.collect()) == key(stages[-1][2])
     assert corpus_pipeline.ORACLE_SQL is None and public_tokenizers
+
+
+def test_stages_on_an_empty_table(spark, docs_df):
+    docs = docs_df([]).withColumn("__score", F.lit("own")).withColumn("__row", F.lit("own"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect() == []
+
+
+def test_clashing_names_and_collisions(spark, docs_df, monkeypatch):
+    """Own columns named like helper columns stay; different rows of one digest are not lost."""
+    docs = docs_df([(k, f"some plain words number {k} of this text", "s") for k in (1, 2, 3, 3)])
+    docs = docs.withColumn("__score", F.lit("own")).withColumn("__row", F.lit("own")).withColumn("__sha", F.lit("own"))
+    kept = corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.STAGES[0][1](spark, docs, SMALL), SMALL)
+    assert kept.columns == docs.columns and {r["__row"] for r in kept.collect()} == {"own"}
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+    from eventlake.llm import simhash
+
+    monkeypatch.setattr(simhash, "row_key", lambda df, name: df.withColumn(name, F.lit(7).cast("bigint")))
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 2, 3]
