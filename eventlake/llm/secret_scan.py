@@ -13,7 +13,7 @@ Everything on this path is a DataFrame function: no Python worker, no text on th
   postings, which adds candidates; each text is then searched itself, so it never
   adds or loses a span.  Copies of a text have one posting.
 * Letters A-Z are folded in index and queries; the expression decides about case.
-* Candidates (16 bytes a text and rule) are broadcast while their measured number is
+* Candidates (a digest and its kinds) are broadcast while their measured number is
   below a bound; beyond it they are joined in salted copies, so that a text
   held by a third of all rows is spread over tasks.
 
@@ -202,10 +202,10 @@ def _spans(text: str, rule: Rule, rank: int) -> str:
                          held=f"regexp_extract_all({text}, {pattern}, {rule.group})" if rule.group else "found")
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", broadcast_rows: int = 2_000_000, salts: int = 16) -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", broadcast_rows: int = 500_000, salts: int = 16) -> DataFrame:
     """Every row with `__secret_spans`: array<struct<start, rank, stop, kind>> by start, then by the
-    rule's place in `rules`; code points, end exclusive.  `broadcast_rows` candidates of some 32 bytes
-    are the most that is broadcast."""
+    rule's place in `rules`; code points, end exclusive.  `broadcast_rows` candidates (a digest and
+    the names of its kinds, some 100 bytes) are the most that is broadcast."""
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
     rows = docs.withColumn("__secret_digest", F.xxhash64(_text(text)))
     if queries:
