@@ -119,6 +119,7 @@ def test_large_lookup_is_split(spark):
     got = [sorted(map(str, lookup.attach(recs, {"topic": "name"}, F.col("offset")).collect())) for lookup in (small, large)]
     assert got[0] == got[1] and len(got[0]) == 4001
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would put these few rows together again
     try:
         joined = large.attach(recs, {"topic": "name"}, F.col("offset"))
         plan = _plan(joined)
@@ -127,6 +128,7 @@ def test_large_lookup_is_split(spark):
         assert places > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_registered_plugins(spark):
