@@ -217,13 +217,16 @@ def _counts(rows: DataFrame, count) -> DataFrame:
     """Sum of the Counters that `count(batch)` yields, by key: partial in each task, then shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Counter()
+        total, long = Counter(), 0  # `long`: characters of long terms that are held
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                total.update(count(batch.slice(lo, 256)))
-                if len(total) > 150_000:
+                some = count(batch.slice(lo, 256))
+                total.update(some)
+                long += sum(len(t) for t in some if len(t) > 40)
+                if len(total) > 150_000 or long > 1 << 22:
                     yield pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
                     total.clear()
+                    long = 0
         if total:
             yield pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
 
