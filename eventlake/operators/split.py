@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import constants as C
-from eventlake.functions.json import array_elements, field_text, object_entries
+from eventlake.functions.json import array_elements, entry_text, last_entry, object_entries
 
 ROLES = ("app_version", "login_id", "device_id", "event_name", "event_time", "project")
 
@@ -27,12 +27,16 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def log_parts(body: Column) -> Column:
-    """Parts of the LOG text field."""
-    log_text = field_text(object_entries(body), C.LOG_FIELD)
-    pos = F.instr(log_text, "[")
-    parsed = F.from_json(F.substr(log_text, pos), "array<string>")
-    return F.when(log_text.isNull() | (pos == 0), _empty()).otherwise(F.coalesce(parsed, _empty()))
+def log_parts(body: Column, entries: Column | None = None) -> Column:
+    """Parts of the LOG text field; `entries`: the body's, where they are at hand."""
+    def cut(log_text: Column) -> Column:
+        pos = F.instr(log_text, "[")
+        parsed = F.from_json(F.substr(log_text, pos), "array<string>")
+        return F.when(log_text.isNull() | (pos == 0), _empty()).otherwise(F.coalesce(parsed, _empty()))
+
+    # each step is bound once: written out, the body would be parsed for every mention of the text
+    entry = last_entry(object_entries(body) if entries is None else entries, C.LOG_FIELD)
+    return F.transform(F.transform(F.array(entry), entry_text), cut)[0]
 
 
 def record_parts(body: Column) -> Column:
@@ -75,7 +79,8 @@ def split_parts(decoded: DataFrame) -> DataFrame:
     parts = F.when(F.col("is_null") | F.col("decode_error").isNotNull(), F.lit(None).cast("array<string>"))
     own = [name for name, p in PROCESSORS.items() if p.parts is not None]
     for name in own:
-        parts = parts.when(proc == name, PROCESSORS[name].parts(body))
+        make = PROCESSORS[name].parts
+        parts = parts.when(proc == name, make(body, F.col("body_entries")) if make is log_parts else make(body))
     parts = parts.otherwise(record_parts(body))
     whole = ~proc.isin(own) & F.col("body_entries").isNotNull()
     df = decoded.withColumn("processor", proc).withColumn("_parts", parts).withColumn("_whole", whole)
