@@ -43,15 +43,23 @@ from eventlake.streaming.runner import read_raw_files
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _config(spark: SparkSession, **options) -> PipelineConfig:
+#: Rows of a source table that one task parses; a table of more rows is dealt to more tasks than cores.
+ROWS_PER_TASK = 100_000
+
+
+def _config(spark: SparkSession, data_dir: str, table: str = "events", **options) -> PipelineConfig:
     """The driver tables are a few small files: their records are dealt to all cores
-    before parsing.  `eventlake.input.partitions` sets the number, 0 leaves them as read."""
-    n = int(spark.conf.get("eventlake.input.partitions", str(spark.sparkContext.defaultParallelism)))
-    return PipelineConfig(input_partitions=n or None, **options)
+    before parsing, and to more tasks as the table (counted from its footers) grows.
+    `eventlake.input.partitions` sets the number, 0 leaves them as read."""
+    given = spark.conf.get("eventlake.input.partitions", None)
+    if given is not None:
+        return PipelineConfig(input_partitions=int(given) or None, **options)
+    n = max(spark.sparkContext.defaultParallelism, -(-read_table(spark, data_dir, table).count() // ROWS_PER_TASK))
+    return PipelineConfig(input_partitions=n, **options)
 
 
 def _events_result(spark: SparkSession, data_dir: str, config: PipelineConfig | None = None):
-    return run(event_records(spark, data_dir), sample_metadata(spark, data_dir), config or _config(spark))
+    return run(event_records(spark, data_dir), sample_metadata(spark, data_dir), config or _config(spark, data_dir))
 
 
 def event_normalize(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -122,7 +130,7 @@ def _prop_keys():
 def _event_parts(spark: SparkSession, data_dir: str, config: PipelineConfig | None = None,
                  with_rules: bool = True) -> DataFrame:
     meta = sample_metadata(spark, data_dir, with_rules=with_rules)
-    return transform(event_records(spark, data_dir), meta, config or _config(spark)).filter(F.col("has_part"))
+    return transform(event_records(spark, data_dir), meta, config or _config(spark, data_dir)).filter(F.col("has_part"))
 
 
 def rule_rename_cast(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -140,7 +148,7 @@ def rule_rename_cast(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def rule_match_contains(spark: SparkSession, data_dir: str) -> DataFrame:
     """J4 with the reference's substring project match (D3 'ref')."""
-    p = _event_parts(spark, data_dir, _config(spark, rule_match="contains"))
+    p = _event_parts(spark, data_dir, _config(spark, data_dir, rule_match="contains"))
     return p.select("server", "partition", "offset", "project_list", _prop_keys().alias("prop_keys"))
 
 
@@ -160,7 +168,7 @@ def flatten_properties_query(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def _mixed_parts(spark: SparkSession, data_dir: str) -> DataFrame:
-    return transform(mixed_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark))
+    return transform(mixed_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark, data_dir))
 
 
 def json_decode_fallback(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -205,7 +213,7 @@ def _sink(spark: SparkSession, data_dir: str) -> DataFrame:
     """Sink rows: the main output of the records read before SINK_CUT, placed in
     8 sink partitions with increasing offsets."""
     raw = event_records(spark, data_dir).filter(F.col("timestamp") < _ts(O.SINK_CUT))
-    main = run(raw, sample_metadata(spark, data_dir), _config(spark)).main()
+    main = run(raw, sample_metadata(spark, data_dir), _config(spark, data_dir)).main()
     sink = main.withColumns({
         "sink_partition": F.col("partition") + F.when(F.col("server") == SERVER_B, 4).otherwise(0),
         "sink_offset": F.col("offset") * 16 + F.col("project_index") * 2 + F.col("kind_index"),
@@ -266,8 +274,8 @@ def counter_merge(spark: SparkSession, data_dir: str) -> DataFrame:
     raw = mixed_records(spark, data_dir)
     meta = sample_metadata(spark, data_dir)
     cut = _ts("2024-01-15 00:00:00")
-    old = stage_counters(transform(raw.filter(F.col("timestamp") < cut), meta, _config(spark)))
-    delta = stage_counters(transform(raw.filter(F.col("timestamp") >= cut), meta, _config(spark)))
+    old = stage_counters(transform(raw.filter(F.col("timestamp") < cut), meta, _config(spark, data_dir)))
+    delta = stage_counters(transform(raw.filter(F.col("timestamp") >= cut), meta, _config(spark, data_dir)))
     return merge_counters(old, delta)
 
 
@@ -280,7 +288,7 @@ def _written_sink(spark: SparkSession, data_dir: str) -> DataFrame:
     """The sink as written: JSON values in 8 partitions whose offsets have gaps; every 29th
     record's values are cut off and cannot be read."""
     raw = event_records(spark, data_dir).filter(F.col("timestamp") < _ts(O.SINK_CUT))
-    main = run(raw, sample_metadata(spark, data_dir), _config(spark)).main()
+    main = run(raw, sample_metadata(spark, data_dir), _config(spark, data_dir)).main()
     value = E.event_json(main)
     path = shared_folder(spark, "written-sink")
     main.select(
@@ -337,7 +345,7 @@ def invalid_json(spark: SparkSession, data_dir: str) -> DataFrame:
 def flatten_deep(spark: SparkSession, data_dir: str) -> DataFrame:
     """Leaves under 6 to 12 objects, every second one with its inner part as
     text, and numeric text of 24 digits under a NUMBER rule."""
-    parts = transform(deep_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark)).filter(F.col("has_part"))
+    parts = transform(deep_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark, data_dir)).filter(F.col("has_part"))
     return parts.select("server", "partition", "offset", _prop_text("leaf").cast("bigint").alias("leaf"),
                         _prop_text("order_amount").alias("order_amount"))
 
@@ -397,14 +405,14 @@ def replay_stream(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def log_split(spark: SparkSession, data_dir: str) -> DataFrame:
     """Bank "old" records, LOG text cut at '[' and split into parts."""
-    parts = transform(log_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark))
+    parts = transform(log_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark, data_dir, "orders"))
     return parts.filter(F.col("has_part")).select(
         "server", "offset", "partition", "part_index", "n_parts", "event", "distinct_id", "time")
 
 
 def array_split(spark: SparkSession, data_dir: str) -> DataFrame:
     """Records that are JSON arrays split into their elements."""
-    parts = transform(conversation_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark))
+    parts = transform(conversation_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark, data_dir, "conversations"))
     text = F.try_variant_get(F.col("properties")["text"], "$", "string")
     return parts.filter(F.col("has_part")).select(
         "offset", "part_index", "n_parts", "event", "distinct_id", F.length(text).alias("text_chars"))
@@ -412,7 +420,7 @@ def array_split(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def record_fields_new(spark: SparkSession, data_dir: str) -> DataFrame:
     """Bank "new" records, whose named fields are LogType and CustID."""
-    parts = transform(bank_new_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark))
+    parts = transform(bank_new_records(spark, data_dir), sample_metadata(spark, data_dir), _config(spark, data_dir, "orders"))
     return parts.filter(F.col("has_part")).select(
         "server", "partition", "offset", "processor", "event", "distinct_id", "time", "src_app_version")
 
@@ -422,7 +430,7 @@ def signup_by_route(spark: SparkSession, data_dir: str) -> DataFrame:
     meta = sample_metadata(spark, data_dir)
     own = local_table(spark, [(SERVER_A, "t_signup", None, None, "loginDevicePost")], ROUTE_SCHEMA)
     meta = M.Metadata(meta.source_sink, meta.project_task, meta.trans_rule, meta.routes.union(own))
-    main = run(event_records(spark, data_dir), meta, _config(spark)).main()
+    main = run(event_records(spark, data_dir), meta, _config(spark, data_dir)).main()
     return main.filter(F.col("type") == "track_signup").select(
         "server", "topic", "partition", "offset", "project", "distinct_id", "original_id")
 
@@ -590,7 +598,7 @@ def routes_by_property(spark: SparkSession, data_dir: str) -> DataFrame:
     meta = sample_metadata(spark, data_dir)
     props = {f"processor.{s.replace(':', '.')}.t_bank_new": "corpBankNewEvent" for s in (SERVER_A, SERVER_B)}
     meta.routes = routes_from_properties(spark, [(SERVER_A, "t_bank_new"), (SERVER_B, "t_bank_new"), (SERVER_A, "t_view")], props)
-    parts = transform(bank_new_records(spark, data_dir), meta, _config(spark))
+    parts = transform(bank_new_records(spark, data_dir), meta, _config(spark, data_dir, "orders"))
     return parts.filter(F.col("has_part")).select(
         "server", "partition", "offset", "processor", "event", "distinct_id", "time", "src_app_version")
 
