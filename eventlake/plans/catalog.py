@@ -379,9 +379,10 @@ def running_positions(spark: SparkSession, data_dir: str) -> DataFrame:
 def running_totals(spark: SparkSession, data_dir: str) -> DataFrame:
     """A6 S10 in the stream: stage counts over three runs; the newest of each key's emitted totals."""
     work = shared_folder(spark, "running-totals")
+    config = _config(spark, data_dir)
     for _ in _loads(mixed_records(spark, data_dir), f"{work}/in"):
         own = S.state_session(spark, 8)
-        rows = S.running_totals(read_raw_files(own, f"{work}/in/*"), sample_metadata(own, data_dir).snapshot())
+        rows = S.running_totals(read_raw_files(own, f"{work}/in/*"), sample_metadata(own, data_dir).snapshot(), config)
         S.start_updates(rows, f"{work}/out", f"{work}/checkpoint", available_now=True).awaitTermination()
     return S.latest(spark, f"{work}/out", S.COUNTER_KEY, "cnt")
 
