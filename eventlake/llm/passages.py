@@ -1,38 +1,40 @@
-"""Substring dedup with compact windows: subsequences of a text that share the
-same min-hashes are one row, rows meet by signature, and candidate passages are
-verified on their exact shingle sets.
-
-A passage is `words` words or more; its elements are the shingles of five
-words.  For each of six hash functions the Cartesian tree of a text's shingle
-hashes groups the subsequences by their minimum; of that tree only nodes that
-span a whole passage matter, and these are the sliding minima over one passage
-length.  All starts with the same minimum form a compact window.  The windows
-of the two functions of a band are joined by interval intersection, which gives
-runs of starts that share the band's signature.  If 4 of 6 hashes of two
-passages agree, one of the three bands agrees whole.  A run of one text is one
-window: text that repeats itself without a break is not compared with itself.
+"""Substring dedup with compact windows: all starts of passages for which a
+shingle is among the least of the passage are one row, rows meet by shingle, and
+candidate passages are verified on their exact shingle sets.
+
+A passage is `words` words or more; its elements are the shingles of five words.
+Two sets of 46 shingles with a Jaccard similarity of 0.8 have 41 in common, so in
+any fixed order of all shingles the least common one is among the 6 least of
+either (10, where sets of different sizes meet: passages that repeat shingles).
+All starts for which a shingle is among these form a compact window.  No pair is
+lost by that, whatever the order; with the common shingles last, passages that
+share but a common line do not meet.  A shingle that stands once in the corpus
+joins nothing.  Starts with the same set of shingles as the start before are left
+out and added to the spans that are found: text that repeats itself without a
+break is one window and is not compared with itself.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import Words, checkpointed, mix, only_cache, row_slices, span_any, text_buffer
+from eventlake.llm.common import Words, checkpointed, mix, only_cache, row_slices, shared_dir, span_any, text_buffer
+from eventlake.llm.files import array, new_file
 
 SHINGLE = 5
-BANDS = ((0, 1), (2, 3), (4, 5))
 NO_ID = -(1 << 63)
-_PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 23
+_BLOCK = 1 << 14
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: One seed for each hash function of the bands.
-_SEEDS = np.arange(1, 7, dtype=np.uint64) * _STEP
+#: Bits of the number of hash ranges, and of coarse cells.
+_PARTS, _COARSE = 6, 23
 
 
 def shingle_hashes(word_hash: np.ndarray) -> np.ndarray:
@@ -54,27 +56,59 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def band_runs(shingles: np.ndarray, breaks: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each band: keys, first and last start of each run of subsequences of
-    `span` shingles with the same two minima, the place of the first minimum, and
-    a short digest of the other four minima at the first start.
-    `breaks`: starts at which a new run begins in any case (a new text)."""
-    if len(shingles) < span:
-        return
-    place = np.arange(len(shingles), dtype=np.uint64)
-    every = [sliding_minimum((mix(shingles ^ seed) & ~_PLACE) | place, span) for seed in _SEEDS]
-    for number, functions in enumerate(BANDS):
-        lows = [every[f] for f in functions]
-        values = [x & ~_PLACE for x in lows]
-        new = np.r_[True, (values[0][1:] != values[0][:-1]) | (values[1][1:] != values[1][:-1])]
-        new[breaks[breaks < len(new)]] = True
-        first = np.flatnonzero(new)
-        last = np.r_[first[1:] - 1, len(new) - 1]
-        keys = mix(values[0][first] + mix(values[1][first] + np.uint64(number)))
-        rest = np.zeros(len(first), np.uint64)
-        for f in sorted({*range(len(_SEEDS))} - {*functions}):
-            rest = mix(rest * _STEP + (every[f][first] & ~_PLACE))
-        yield keys, first, last, (lows[0][first] & _PLACE).astype(np.int64), (rest >> np.uint64(42)).astype(np.int64)
+def repeats(shingles: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each start: how many of its `span` shingles stand there a second time, and
+    whether its shingles are as a set those of the start before; for each place: how
+    far back its shingle stood before (span + 1: further than `span`)."""
+    n, m = len(shingles), len(shingles) - span + 1
+    change = np.zeros(n + 1, np.int64)
+    back, ahead = np.full(n, span + 1, np.uint8 if span < 255 else np.int64), np.zeros(n, bool)
+    for d in range(1, min(span, n - 1) + 1):
+        i = np.flatnonzero(shingles[d:] == shingles[:-d]) + d
+        i = i[back[i] > span]  # only the nearest one before
+        back[i] = d
+        ahead[i - d] = True
+        if d < span:
+            np.add.at(change, np.maximum(i - span + 1, 0), 1)
+            np.add.at(change, i - d + 1, -1)
+    same = np.zeros(m, bool)
+    same[1:] = ahead[: m - 1] & (back[span : span + m - 1] <= span)
+    return np.cumsum(change)[:m], same, back
+
+
+def prefix_runs(rank: np.ndarray, low: np.ndarray, high: np.ndarray, more: np.ndarray, span: int, wanted: np.ndarray, back: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Places, first and last start of each run of subsequences of `span` shingles
+    in which fewer than `low` (of the start; `high`, if the place is marked in
+    `more`) shingles rank below the one at that place, for the places `wanted`; `back`
+    tells a subsequence's first place of a shingle from the others."""
+    n, m = len(rank), len(low)
+    side, small = span - 1, np.uint8 if span < 100 else np.uint16
+    padded = np.r_[np.zeros(side, np.uint64), rank, np.zeros(side, np.uint64)]
+    # a start outside 0..m-1 allows none
+    limits = [np.r_[np.zeros(side, small), x.astype(small), np.zeros(n - m, small)] for x in (low, high)]
+    for base in range(0, n, _BLOCK):
+        size = min(_BLOCK, n - base)
+        mine = rank[base : base + size]
+        less = np.zeros((span, size), small)  # shingles below mine among the d before ...
+        after = np.zeros((span, size), small)  # ... and the d after it
+        for d in range(1, span):
+            np.add(less[d - 1], padded[side + base - d : side + base - d + size] < mine, out=less[d])
+            np.add(after[d - 1], padded[side + base + d : side + base + d + size] < mine, out=after[d])
+        less += after[::-1]
+        marked = more[base : base + size]
+        good = np.empty((span, size), bool)
+        for d in range(span):
+            at = slice(side + base - d, side + base - d + size)
+            np.less(less[d], np.where(marked, limits[1][at], limits[0][at]), out=good[d])
+            good[d] &= back[base : base + size] > d
+        columns = np.flatnonzero(good.any(axis=0) & wanted[base : base + size])
+        edge = np.zeros((len(columns), span + 2), np.int8)
+        edge[:, 1:-1] = good[:, columns].T
+        edge = np.diff(edge, axis=1)
+        of, begin = np.nonzero(edge == 1)
+        end = np.nonzero(edge == -1)[1] - 1
+        place = columns[of] + base
+        yield place, place - end, place - begin
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -86,11 +120,118 @@ def _source(docs: DataFrame) -> DataFrame:
     )
 
 
-def _windows(docs: DataFrame, words: int) -> DataFrame:
+class Census:
+    """What is known of each cell of shingle hashes, in files by hash range: whether it
+    holds more than one shingle of the corpus (a bit), and for each of 2^23 coarse cells
+    how common its commonest cell is (a level) and, as bit 7, whether one of its
+    shingles stands in a passage that repeats shingles and could still meet one that
+    does not.  A shingle that is alone joins nothing; levels only order the shingles:
+    any order gives the same pairs, but with the common ones last few passages are
+    compared for the sake of a common line."""
+
+    def __init__(self, path: str, bits: int):
+        self.path, self.bits, self.held = path, bits, frozenset()
+        self.open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"open": {}}
+
+    def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each shingle may stand elsewhere too, and its coarse cell's level."""
+        part = (hashes >> np.uint64(64 - _PARTS)).astype(np.uint8)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange((1 << _PARTS) + 1))
+        cell = hashes[order] << np.uint64(_PARTS)
+        shared, level = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.uint8)
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            if k not in self.held:
+                continue
+            if k not in self.open:
+                self.open[k] = tuple(array(f"{self.path}/{k:03d}.{x}", np.uint8) for x in ("bits", "levels"))
+            bits, levels = self.open[k]
+            mine = slice(cuts[k], cuts[k + 1])
+            at = cell[mine] >> np.uint64(64 - self.bits + _PARTS)
+            shared[order[mine]] = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+            level[order[mine]] = levels[cell[mine] >> np.uint64(64 - _COARSE + _PARTS)]
+        return shared, level
+
+
+def _census(source: DataFrame, words: int, threshold: float) -> Census:
     span = words - SHINGLE + 1
+    most = int(span - threshold * (span - 1) + 1e-9)
+    chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(max(int(chars).bit_length(), _COARSE), 32 + _PARTS)
+    known = Census(shared_dir(source.sparkSession, "compact-windows"), bits)
+    low = np.uint64((1 << (bits - _PARTS)) - 1)
+
+    def cut(cells: np.ndarray) -> np.ndarray:
+        return np.searchsorted(cells, np.arange((1 << _PARTS) + 1, dtype=np.uint64) << np.uint64(bits - _PARTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(None)
+        held, again, size = [], [], 0
+
+        def made():
+            cells, n = np.unique(np.concatenate(held), return_counts=True)
+            twice = np.unique(np.concatenate(again))
+            a, b = cut(cells), cut(twice)
+            data = [(cells & low).astype(np.uint32), np.minimum(n, 255).astype(np.uint8), (twice & low).astype(np.uint32)]
+            rows = [(k, *(x[c[k] : c[k + 1]].tobytes() for x, c in zip(data, (a, a, b), strict=True))) for k in range(1 << _PARTS) if a[k] < a[k + 1]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 3], strict=True)], ["part", "cells", "n", "twice"])
+
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(0))
+            for lo, hi in row_slices(offsets, 1 << 20):
+                w = Words(data, offsets[lo : hi + 1], lower=True)
+                if len(w.hash) < words:
+                    continue
+                hashes, end = shingle_hashes(w.hash), w.first[1:][span_any(w.first, len(w.hash))]
+                place = np.arange(len(hashes))
+                cells = hashes >> np.uint64(64 - bits)
+                held.append(cells[place + SHINGLE <= end])
+                size += len(held[-1])
+                inside = np.zeros(len(hashes) + 1, np.int64)
+                for base in range(0, len(hashes) - span + 1, _PIECE):
+                    r = repeats(hashes[base : base + _PIECE + span - 1], span)[0]
+                    s = np.flatnonzero((r > 1) & (r <= most) & (place[base : base + len(r)] + words <= end[base : base + len(r)])) + base
+                    np.add.at(inside, s, 1)
+                    np.add.at(inside, s + span, -1)
+                again.append(cells[np.cumsum(inside)[:-1] > 0])
+                if size > 4_000_000:
+                    yield made()
+                    held, again, size = [], [], 0
+        if size:
+            yield made()
+
+    def write(rows: pa.Table) -> pa.Table:
+        part = rows.column("part")[0].as_py()
+        n = np.zeros(1 << (bits - _PARTS), np.uint8)
+        twice = np.zeros(1 << (_COARSE - _PARTS), np.uint8)
+        for k in range(rows.num_rows):
+            at, more, again = (np.frombuffer(rows.column(c)[k].as_py(), t) for c, t in (("cells", np.uint32), ("n", np.uint8), ("twice", np.uint32)))
+            n[at] = np.minimum(n[at].astype(np.uint16) + more, 255)
+            twice[again >> np.uint32(bits - _COARSE)] = 128
+        level = np.log2(np.maximum(n.reshape(len(twice), -1).max(axis=1), 1)).astype(np.uint8)
+        for name, values in (("bits", np.packbits(n > 1, bitorder="little")), ("levels", level | twice)):
+            with new_file(f"{known.path}/{part:03d}.{name}") as out:
+                out.write(values.tobytes())
+        return pa.table({"part": pa.array([part], pa.int32())})
+
+    made = checkpointed(source.select("text").mapInArrow(run, "part int, cells binary, n binary, twice binary").groupBy("part").applyInArrow(write, "part int"))
+    known.held = frozenset(r.part for r in made.collect())
+    return known
+
+
+def _windows(docs: DataFrame, words: int, threshold: float) -> DataFrame:
+    span = words - SHINGLE + 1
+    known = docs.sparkSession.sparkContext.broadcast(_census(docs, words, threshold))
+    # the lowest shingles of a passage of which the other must hold one: if both have one repeat at most, and in any case
+    short = max(a - _least(a + b, threshold) + 1 for a in (span - 1, span) for b in (span - 1, span))
+    long = np.array([a - math.ceil(threshold * a - 1e-9) + 1 for a in range(span, -1, -1)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(None)
+        census = known.value
         for batch in batches:
             doc, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = text_buffer(batch.column(2))
@@ -103,21 +244,21 @@ def _windows(docs: DataFrame, words: int) -> DataFrame:
                 # starts of passages that end inside their text
                 fits = np.arange(len(hashes)) + words <= w.first[1:][of]
                 out = [[], [], [], []]
-                for base in range(0, len(hashes), _PIECE):
+                for base in range(0, len(hashes) - span + 1, _PIECE):
                     part = hashes[base : base + _PIECE + span - 1]
-                    breaks = begin[(begin >= base) & (begin < base + len(part))] - base
-                    for keys, first, last, low, rest in band_runs(part, breaks, span):
-                        first, last, low = first + base, last + base, low + base
-                        # a run never leaves its text: cut it at the last start that fits
-                        end = w.first[1:][of[first]] - words
-                        last = np.minimum(last, end)
-                        good = fits[first]
-                        t = of[first[good]]
-                        first, last, low, rest = first[good], last[good], low[good], rest[good]
-                        out[0].append(keys[good])
+                    shared, level = census.look(part)
+                    rank = (part >> np.uint64(5)) | (np.where(shared, (level & 31) + 1, 0).astype(np.uint64) << np.uint64(59))
+                    again, same, back = repeats(part, span)
+                    same[begin[(begin >= base) & (begin < base + len(same))] - base] = False
+                    fit = fits[base : base + len(again)] & ~same & ~sliding_minimum(~shared, span)
+                    high = np.where(fit, long[again] + again, 0)  # a repeat below counts twice
+                    low = np.where(fit & (again < 2), short + again, high)
+                    for place, first, last in prefix_runs(rank, low, high, level > 127, span, shared, back):
+                        t = of[first + base]
+                        out[0].append(part[place])
                         out[1].append(doc[lo + t])
-                        out[2].append((mark[lo + t] << 32) + first - begin[t])
-                        out[3].append((rest << 40) + ((last - first) << 16) + (low - first))
+                        out[2].append((mark[lo + t] << 32) + first + base - begin[t])
+                        out[3].append(((last - first) << 16) + (place - first))
                 if out[0]:
                     key, d, at, seg = (np.concatenate(x) for x in out)
                     yield pa.RecordBatch.from_arrays(
@@ -128,17 +269,40 @@ def _windows(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "key bigint, doc bigint, at bigint, seg bigint")
 
 
+def _least(sizes: int, threshold: float) -> int:
+    """Least number of common shingles of two passages of `sizes` shingles together."""
+    return math.ceil(threshold / (1 + threshold) * sizes - 1e-9)
+
+
 def _links(words: int):
-    """Rows sorted by (key, digest of the other minima, doc, at) -> links of each row to
-    the first and to the previous row of its key: x (the later passage), y, shift
-    and starts lo..hi of x.  Passages with the same minima all over are neighbours."""
+    """Rows sorted by (key, doc, at) -> links of each row to the first (earliest) and to
+    the previous row of its key: x (the later passage), y, shift and starts lo..hi of x.
+    Keys of up to three rows are done with that; all rows of the others come out too
+    (ym below 0: -1 - place; y: the key; shift: 1 from a key's fourth row on)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, head = None, None  # last row of the batch before; first row of its key
+        few, crowded = None, False  # rows of that key that did not come out yet; whether it has over three
         for batch in batches:
             rows = [batch.column(k).to_numpy() for k in range(4)]
             if not len(rows[0]):
                 continue
+            held = [np.r_[f, r] for f, r in zip(few, rows, strict=True)] if few is not None else rows
+            at = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
+            size = np.diff(np.r_[at, len(held[0])])
+            many = size > 3
+            goes_on = crowded and held[0][0] == carry[0][0]
+            many[0] |= goes_on
+            late = np.arange(len(held[0])) - np.repeat(at, size) > 2
+            late[: size[0]] |= goes_on
+            crowded = bool(many[-1])
+            few = None if crowded else [c[at[-1] :] for c in held]
+            many = np.repeat(many, size)
+            if many.any():
+                key, d, a, g, late = (c[many] for c in [*held, late])
+                s = a & 0xFFFFFFFF
+                out = [d, a >> 32, key, -1 - (s + (g & 0xFFFF)), late.astype(np.int64), s, s + (g >> 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], _LINK)
             if carry is not None:
                 rows = [np.r_[c, r] for c, r in zip(carry, rows, strict=True)]
             key = rows[0]
@@ -154,10 +318,9 @@ def _links(words: int):
             sides = [np.r_[me, me[me - 1 != start[me]]], np.r_[start[me], me[me - 1 != start[me]] - 1]]
             x, y = ([c[s] for c in table] for s in sides)
             xs, ys = x[2] & 0xFFFFFFFF, y[2] & 0xFFFFFFFF
-            xa, ya = x[3] & 0xFFFF, y[3] & 0xFFFF
-            shift = (xs + xa) - (ys + ya)
+            shift = (xs + (x[3] & 0xFFFF)) - (ys + (y[3] & 0xFFFF))
             lo = np.maximum(xs, ys + shift)
-            length = [(c >> 16) & 0xFFFFFF for c in (x[3], y[3])]
+            length = [c >> 16 for c in (x[3], y[3])]
             hi = np.minimum(xs + length[0], ys + length[1] + shift)
             same = (x[1] == y[1]) & ((x[2] >> 32) == (y[2] >> 32))
             good = (lo <= hi) & ~(same & (np.abs(shift) < words))
@@ -248,11 +411,26 @@ def _bundled(rows: DataFrame, doc: str, mark: str, fill: int) -> DataFrame:
     return rows.repartition(parts, doc, mark, F.pmod(F.xxhash64("x", "y", "lo"), F.lit(8))).sortWithinPartitions(doc, mark).mapInArrow(_bundles(at, fill), _BUNDLE)
 
 
+def _reach(hashes: np.ndarray, start: int, span: int) -> int:
+    """The last start after `start` up to which all have the same set of shingles."""
+    after, width = hashes[start + 1 : start + span + 1], 4 * span
+    if len(after) < span or not (after == hashes[start]).any() or not (hashes[start : start + span] == after[-1]).any():
+        return start
+    while True:
+        same = repeats(hashes[start : start + width], span)[1][1:]
+        if not same.all():
+            return start + int(np.argmin(same))
+        if start + width >= len(hashes):
+            return start + len(same)
+        width *= 4
+
+
 def _text_shingles(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, np.ndarray]]:
     """For each row (doc, mark, rows, text): its doc, the bundled rows and the text's shingle hashes."""
     for k in range(batch.num_rows):
         data, offsets = text_buffer(batch.column(3).slice(k, 1))
         hashes = shingle_hashes(Words(data, offsets, lower=True).hash)
+        hashes = hashes[: max(len(hashes) - SHINGLE + 1, 0)]
         yield batch.column(0)[k].as_py(), pa.ipc.open_stream(batch.column(2)[k].as_buffer()).read_all(), hashes
 
 
@@ -307,6 +485,7 @@ def similar_starts(a: np.ndarray, b: np.ndarray, span: int, threshold: float) ->
 
 
 _FOUND = ["doc", "mark", "start", "end", "other", "other_start", "similarity"]
+_FOUND_SCHEMA = ", ".join(f"{c} bigint" for c in _FOUND[:-1]) + ", similarity double"
 
 
 def _verify(words: int, threshold: float):
@@ -326,6 +505,8 @@ def _verify(words: int, threshold: float):
                     for s, e in zip(heads, [*heads[1:], len(good)], strict=True):
                         a, b = lo + int(good[s]), lo + int(good[e - 1]) + words
                         out.append((x, xm, a, b, y, a - shift, float(level[good[s:e]].min())))
+                    if good[-1] == hi - lo and (last := _reach(hashes, hi, span)) > hi:
+                        out.append((x, xm, hi, last + words, y, hi - shift, float(level[-1])))
                 if out:
                     kinds = [pa.int64()] * 6 + [pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], _FOUND)
@@ -333,12 +514,136 @@ def _verify(words: int, threshold: float):
     return run
 
 
+def _contents(span: int):
+    """Bundles of x with its text -> the rows, with the hashes of x's shingles lo .. hi + span and the last start like hi."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, rows, hashes in _text_shingles(batch):
+                ends = [(int(a), int(b)) for a, b in zip(rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), strict=True)]
+                own = [hashes[a : b + span].tobytes() for a, b in ends]
+                reach = {b: _reach(hashes, b, span) for _, b in ends}
+                columns = [rows.column(c).combine_chunks() for c in _LINK]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.binary()), pa.array([reach[b] for _, b in ends])], [*_LINK, "own", "reach"])
+
+    return run
+
+
+def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
+    """Rows of one key (side 1: not yet covered; side 0: holders) -> spans of those of
+    side 1 that an earlier holder has; holders are tried until all starts are covered."""
+    span = words - SHINGLE + 1
+    side, x, xm, place, lo, hi, reach = (rows.column(c).to_numpy() for c in ("side", "x", "xm", "ym", "lo", "hi", "reach"))
+    own = [np.frombuffer(v, np.uint64) for v in rows.column("own").to_pylist()]
+    sets = [np.unique(v) for v in own]
+    holders = np.flatnonzero(side == 0)
+    if not len(holders):
+        return []
+    posted = np.concatenate([sets[h] for h in holders])
+    of = np.repeat(np.arange(len(holders)), [len(sets[h]) for h in holders])
+    order = np.argsort(posted, kind="stable")
+    posted, of = posted[order], of[order]
+    out = []
+    for u in np.flatnonzero(side == 1).tolist():
+        left, right = np.searchsorted(posted, sets[u], "left"), np.searchsorted(posted, sets[u], "right")
+        common = np.bincount(np.concatenate([of[a:b] for a, b in zip(left, right, strict=True)]), minlength=len(holders))
+        # a passage lacks at most as many of the row's shingles as there are other starts
+        need = max(1, math.ceil(threshold * (len(sets[u]) - int(hi[u] - lo[u])) - 1e-9))
+        shift = place[u] - place[holders]
+        same = (x[holders] == x[u]) & (xm[holders] == xm[u])
+        earlier = np.where(same, shift >= words, (x[holders] < x[u]) | ((x[holders] == x[u]) & (xm[holders] < xm[u])))
+        begin, end = np.maximum(lo[u], lo[holders] + shift), np.minimum(hi[u], hi[holders] + shift)
+        fit = np.flatnonzero((common >= need) & earlier & (begin <= end))
+        bare = np.ones(int(hi[u] - lo[u]) + 1, bool)
+        for k in fit[np.argsort(-common[fit], kind="stable")].tolist():
+            h, a, b, d = holders[k], int(begin[k]), int(end[k]), int(shift[k])
+            if not bare[a - lo[u] : b - lo[u] + 1].any():
+                continue
+            level = similar_starts(own[u][a - lo[u] : b - lo[u] + span], own[h][a - d - lo[h] : b - d - lo[h] + span], span, threshold)
+            good = level > 0
+            if not (good & bare[a - lo[u] : b - lo[u] + 1]).any():
+                continue
+            edge = np.diff(np.r_[0, good.astype(np.int8), 0])
+            for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+                out.append((x[u], xm[u], a + i, a + j - 1 + words, x[h], a + i - d, float(level[i:j].min())))
+            if good[-1] and b == hi[u] and reach[u] > b:
+                out.append((x[u], xm[u], b, int(reach[u]) + words, x[h], b - d, float(level[-1])))
+            bare[a - lo[u] : b - lo[u] + 1] &= ~good
+            if not bare.any():
+                break
+    return out
+
+
+def _met(words: int, threshold: float):
+    """Rows sorted by (y, a, b): each such block of a key's rows -> its spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, mine = [], None
+
+        def made():
+            out = _meet(pa.Table.from_batches(held), words, threshold)
+            kinds = [pa.int64()] * 6 + [pa.float64()]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], _FOUND)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(batch.schema.names.index(c)).to_numpy() for c in ("y", "a", "b")], axis=1)
+            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]).tolist() + [len(key)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if mine is not None and tuple(key[lo]) != mine:
+                    yield from made()
+                    held = []
+                mine = tuple(key[lo])
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from made()
+
+    return run
+
+
+#: Rows on a side of a block in which rows of one key meet.
+_SIDE = 1024
+
+
+def _others(crowded: DataFrame, found: DataFrame, with_text, words: int, threshold: float) -> DataFrame:
+    """The exact way for keys of more than three rows: every row that no span of `found`
+    covers meets all holders of its key, equal contents once.  Blocks of one side meet
+    blocks of the other, so that no key is gathered whole."""
+    span = words - SHINGLE + 1
+    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = found.groupBy(F.col("doc").alias("x"), F.col("mark").alias("xm")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    covered = F.expr(f"coalesce(exists(spans, s -> s.start <= lo AND s.end >= hi + {words}), false)")
+    rows = crowded.join(spans, ["x", "xm"], "left").withColumn("shift", F.when(covered, 0).otherwise(F.col("shift")))
+    rows = rows.select("x", "xm", "y", (-1 - F.col("ym")).alias("ym"), "shift", "lo", "hi")
+    rows = checkpointed(rows.join(rows.where("shift = 1").select("y").distinct(), "y").select(*_LINK))
+    rows = with_text(_bundled(rows, "x", "xm", 1 << 20)).mapInArrow(_contents(span), _LINK_SCHEMA + ", own binary, reach bigint")
+    same = Window.partitionBy("y", F.col("lo") - F.col("ym"), "own").orderBy("x", "xm", "lo")
+    rows = rows.withColumn("lead", F.first(F.struct("x", "xm", "lo")).over(same)).withColumn("no", F.row_number().over(same))
+    itself = (F.col("lead.x") == F.col("x")) & (F.col("lead.xm") == F.col("xm")) & (F.col("lo") - F.col("lead.lo") < words)
+    rows = checkpointed(rows.withColumn("own_lead", itself))
+    copies = rows.where("shift = 1 AND NOT own_lead").select(
+        F.col("x").alias("doc"), F.col("xm").alias("mark"), F.col("lo").alias("start"), (F.col("reach") + words).alias("end"),
+        F.col("lead.x").alias("other"), F.col("lead.lo").alias("other_start"), F.lit(1.0).alias("similarity"),
+    )
+    leads = rows.where("own_lead").drop("lead", "no", "own_lead")
+    sizes = leads.groupBy("y").agg(F.count("*").alias("n"), F.max("shift").alias("some")).where("n > 1 AND some = 1")
+    leads = leads.join(sizes.select("y", F.ceil(F.col("n") / _SIDE).alias("blocks")), "y")
+    mine, every = F.pmod(F.xxhash64("x", "xm", "ym", "lo"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    sides = leads.where("shift = 1").withColumn("a", mine).withColumn("b", every).withColumn("side", F.lit(1)).unionByName(
+        leads.withColumn("b", mine).withColumn("a", every).withColumn("side", F.lit(0))
+    )
+    met = sides.repartition(parts, "y", "a", "b").sortWithinPartitions("y", "a", "b").mapInArrow(_met(words, threshold), _FOUND_SCHEMA)
+    return copies.union(met)
+
+
 def _found(source: DataFrame, words: int, threshold: float) -> DataFrame:
     spark = source.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     span = words - SHINGLE + 1
     links = (
-        _windows(source, words).repartition(parts, "key").sortWithinPartitions("key", F.shiftright("seg", 40), "doc", "at")
+        _windows(source, words, threshold).repartition(parts, "key").sortWithinPartitions("key", "doc", "at", "seg")
         .mapInArrow(_links(words), _LINK_SCHEMA)
     )
     runs = checkpointed(
@@ -350,10 +655,9 @@ def _found(source: DataFrame, words: int, threshold: float) -> DataFrame:
     def with_text(bundles: DataFrame) -> DataFrame:
         return bundles.join(texts, ["doc", "mark"]).select("doc", "mark", "rows", "text")
 
-    snippets = with_text(_bundled(runs, "y", "ym", 1 << 20)).mapInArrow(_snippets(span), _LINK_SCHEMA + ", own binary")
-    return with_text(_bundled(snippets, "x", "xm", 4 << 20)).mapInArrow(
-        _verify(words, threshold), "doc bigint, mark bigint, start bigint, end bigint, other bigint, other_start bigint, similarity double"
-    )
+    snippets = with_text(_bundled(runs.where("ym >= 0"), "y", "ym", 1 << 20)).mapInArrow(_snippets(span), _LINK_SCHEMA + ", own binary")
+    found = checkpointed(with_text(_bundled(snippets, "x", "xm", 4 << 20)).mapInArrow(_verify(words, threshold), _FOUND_SCHEMA))
+    return found.union(_others(runs.where("ym < 0"), found, with_text, words, threshold))
 
 
 def repeated_passages(docs: DataFrame, words: int = 50, threshold: float = 0.8) -> DataFrame:
@@ -365,10 +669,16 @@ def repeated_passages(docs: DataFrame, words: int = 50, threshold: float = 0.8)
     holder of a passage is never listed for it.  Every passage of exactly
     `words` words inside a span has a Jaccard similarity of `threshold` or more
     on its sets of five-word shingles with the aligned passage of the other text
-    (`similarity`: the least of them).  Holders of a signature are sorted by
-    their other minima; a passage is compared with the first holder and with
-    its neighbour there, so exact repeats always meet, copies cost one row each
-    and no group is paired out.
+    (`similarity`: the least of them); spans that start where good passages lie
+    closer than a passage's length are joined.  In a span over text that repeats
+    itself all passages hold the set of shingles of its first one.
+
+    Passages meet if they hold the least of their common shingles at the same
+    place.  A passage is compared with the first and the previous holder of each
+    of its least shingles; a shingle of more than three holders brings every passage
+    that is not covered by then to all its holders, until one covers it.  So each
+    passage with such an earlier partner is in a span of one of its partners; not
+    all of them are listed, and no group of copies is paired out.
 
     Words are `[^\\x20\\x09-\\x0D]+` after A-Z folding.  Null ids sort first and
     are returned as null; null, empty and shorter texts have no passages; texts

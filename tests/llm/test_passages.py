@@ -113,3 +113,33 @@ def test_cut_text():
     assert passages.cut_text("a  b\tc d\n", [(1, 3)]) == "a  d\n"
     assert passages.cut_text("é b", [(0, 1)]) == "b"
     assert passages.cut_text("x y", [(0, 2)]) == ""
+
+
+def test_no_partner_is_lost_in_a_crowd(spark, docs_df, rng):
+    """One passage, one changed word in each text: whoever has an earlier partner is found, and nobody else."""
+    hot, rows = passage(rng, 50), []
+    for k in range(90):
+        own = list(hot)
+        own[int(rng.integers(0, 50))] = f"e{int(rng.integers(0, 3))}"
+        rows.append((k, " ".join(passage(rng, 20) + own + passage(rng, 20)), "s"))
+    sets = {i: [frozenset(s[k : k + 46]) for k in range(len(s) - 45)] for i, t, _ in rows for s in [shingles(t)]}
+    want = {
+        (i, k) for i in sets for k, a in enumerate(sets[i])
+        if any(k < len(sets[j]) and jaccard(a, sets[j][k]) >= 0.8 for j in range(i))
+    }
+    got = passages.repeated_passages(docs_df(rows)).collect()
+    assert {r.doc_id for r in got} == {i for i, _ in want}
+    assert all(any(r.doc_id == i and r.start_word <= k and r.end_word >= k + 50 for r in got) for i, k in want)
+
+
+def test_repeats_and_prefix_runs_equal_brute_force(rng):
+    x = np.r_[rng.integers(0, 200, 300), np.tile(rng.integers(0, 200, 7), 20), rng.integers(0, 200, 60)].astype(np.uint64)
+    again, same, back = passages.repeats(x, 46)
+    windows = [x[k : k + 46].tolist() for k in range(len(x) - 45)]
+    assert again.tolist() == [46 - len(set(w)) for w in windows]
+    assert same.tolist() == [k > 0 and set(w) == set(windows[k - 1]) for k, w in enumerate(windows)]
+    limit, all_places = np.full(len(windows), 6), np.ones(len(x), bool)
+    runs = passages.prefix_runs(x, limit, limit, ~all_places, 46, all_places, back)
+    got = {(int(p), s) for places, first, last in runs for p, a, b in zip(places, first, last, strict=True) for s in range(a, b + 1)}
+    want = {(s + k, s) for s, w in enumerate(windows) for k, v in enumerate(w) if v not in w[:k] and sum(u < v for u in w) < 6}
+    assert got == want
