@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ _BLOCK = 1 << 14
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the number of hash ranges, and of coarse cells.
 _PARTS, _COARSE = 6, 23
+#: Up to so many (doc, mark) are broadcast.
+MAX_BROADCAST = 1_000_000
 
 
 def shingle_hashes(word_hash: np.ndarray) -> np.ndarray:
@@ -120,6 +122,16 @@ def _source(docs: DataFrame) -> DataFrame:
     )
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Ascending places as steps, the bytes of one weight together: most of them are zeros, which the shuffle compresses."""
+    return np.diff(places, prepend=np.uint32(0)).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 class Census:
     """What is known of each cell of shingle hashes, in files by hash range: whether it
     holds more than one shingle of the corpus (a bit), and for each of 2^23 coarse cells
@@ -175,8 +187,11 @@ def _census(source: DataFrame, words: int, threshold: float) -> Census:
             cells, n = np.unique(np.concatenate(held), return_counts=True)
             twice = np.unique(np.concatenate(again))
             a, b = cut(cells), cut(twice)
-            data = [(cells & low).astype(np.uint32), np.minimum(n, 255).astype(np.uint8), (twice & low).astype(np.uint32)]
-            rows = [(k, *(x[c[k] : c[k + 1]].tobytes() for x, c in zip(data, (a, a, b), strict=True))) for k in range(1 << _PARTS) if a[k] < a[k + 1]]
+            cells, n, twice = (cells & low).astype(np.uint32), np.minimum(n, 255).astype(np.uint8), (twice & low).astype(np.uint32)
+            rows = [
+                (k, _packed(cells[a[k] : a[k + 1]]), n[a[k] : a[k + 1]].tobytes(), _packed(twice[b[k] : b[k + 1]]))
+                for k in range(1 << _PARTS) if a[k] < a[k + 1]
+            ]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 3], strict=True)], ["part", "cells", "n", "twice"])
 
         for batch in batches:
@@ -208,7 +223,8 @@ def _census(source: DataFrame, words: int, threshold: float) -> Census:
         n = np.zeros(1 << (bits - _PARTS), np.uint8)
         twice = np.zeros(1 << (_COARSE - _PARTS), np.uint8)
         for k in range(rows.num_rows):
-            at, more, again = (np.frombuffer(rows.column(c)[k].as_py(), t) for c, t in (("cells", np.uint32), ("n", np.uint8), ("twice", np.uint32)))
+            at, again = (_unpacked(rows.column(c)[k].as_py()) for c in ("cells", "twice"))
+            more = np.frombuffer(rows.column("n")[k].as_py(), np.uint8)
             n[at] = np.minimum(n[at].astype(np.uint16) + more, 255)
             twice[again >> np.uint32(bits - _COARSE)] = 128
         level = np.log2(np.maximum(n.reshape(len(twice), -1).max(axis=1), 1)).astype(np.uint8)
@@ -515,13 +531,15 @@ def _verify(words: int, threshold: float):
 
 
 def _contents(span: int):
-    """Bundles of x with its text -> the rows, with the hashes of x's shingles lo .. hi + span and the last start like hi."""
+    """Bundles of x with its text -> the rows, with the upper halves of the hashes of x's
+    shingles lo .. hi + span and the last start like hi."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, rows, hashes in _text_shingles(batch):
                 ends = [(int(a), int(b)) for a, b in zip(rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), strict=True)]
-                own = [hashes[a : b + span].tobytes() for a, b in ends]
+                halves = (hashes >> np.uint64(32)).astype(np.uint32)
+                own = [halves[a : b + span].tobytes() for a, b in ends]
                 reach = {b: _reach(hashes, b, span) for _, b in ends}
                 columns = [rows.column(c).combine_chunks() for c in _LINK]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.binary()), pa.array([reach[b] for _, b in ends])], [*_LINK, "own", "reach"])
@@ -534,7 +552,7 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
     side 1 that an earlier holder has; holders are tried until all starts are covered."""
     span = words - SHINGLE + 1
     side, x, xm, place, lo, hi, reach = (rows.column(c).to_numpy() for c in ("side", "x", "xm", "ym", "lo", "hi", "reach"))
-    own = [np.frombuffer(v, np.uint64) for v in rows.column("own").to_pylist()]
+    own = [np.frombuffer(v, np.uint32).astype(np.uint64) for v in rows.column("own").to_pylist()]
     sets = [np.unique(v) for v in own]
     holders = np.flatnonzero(side == 0)
     if not len(holders):
@@ -607,7 +625,7 @@ def _met(words: int, threshold: float):
 _SIDE = 1024
 
 
-def _others(crowded: DataFrame, found: DataFrame, with_text, words: int, threshold: float) -> DataFrame:
+def _others(crowded: DataFrame, found: DataFrame, texts: Callable, words: int, threshold: float) -> DataFrame:
     """The exact way for keys of more than three rows: every row that no span of `found`
     covers meets all holders of its key, equal contents once.  Blocks of one side meet
     blocks of the other, so that no key is gathered whole."""
@@ -618,6 +636,7 @@ def _others(crowded: DataFrame, found: DataFrame, with_text, words: int, thresho
     rows = crowded.join(spans, ["x", "xm"], "left").withColumn("shift", F.when(covered, 0).otherwise(F.col("shift")))
     rows = rows.select("x", "xm", "y", (-1 - F.col("ym")).alias("ym"), "shift", "lo", "hi")
     rows = checkpointed(rows.join(rows.where("shift = 1").select("y").distinct(), "y").select(*_LINK))
+    with_text = texts(rows.select(F.col("x").alias("doc"), F.col("xm").alias("mark")))
     rows = with_text(_bundled(rows, "x", "xm", 1 << 20)).mapInArrow(_contents(span), _LINK_SCHEMA + ", own binary, reach bigint")
     same = Window.partitionBy("y", F.col("lo") - F.col("ym"), "own").orderBy("x", "xm", "lo")
     rows = rows.withColumn("lead", F.first(F.struct("x", "xm", "lo")).over(same)).withColumn("no", F.row_number().over(same))
@@ -650,14 +669,18 @@ def _found(source: DataFrame, words: int, threshold: float) -> DataFrame:
         links.repartition(parts, "x", "xm", "y", "ym", "shift").sortWithinPartitions(*_LINK).mapInArrow(_merge, _LINK_SCHEMA)
     )
 
-    texts = source.groupBy("doc", "mark").agg(F.first("text").alias("text"))  # equal rows are one text
-
-    def with_text(bundles: DataFrame) -> DataFrame:
-        return bundles.join(texts, ["doc", "mark"]).select("doc", "mark", "rows", "text")
+    def texts(ids: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        """Joins bundles with the texts of `ids` (doc, mark); those alone are shuffled where a broadcast can tell."""
+        ids = checkpointed(ids.distinct())
+        some = source.join(F.broadcast(ids), ["doc", "mark"], "left_semi") if ids.count() <= MAX_BROADCAST else source
+        some = some.groupBy("doc", "mark").agg(F.first("text").alias("text"))  # equal rows are one text
+        return lambda bundles: bundles.join(some, ["doc", "mark"]).select("doc", "mark", "rows", "text")
 
+    pairs = runs.where("ym >= 0")
+    with_text = texts(pairs.select(F.col("x").alias("doc"), F.col("xm").alias("mark")).union(pairs.select("y", "ym")))
     snippets = with_text(_bundled(runs.where("ym >= 0"), "y", "ym", 1 << 20)).mapInArrow(_snippets(span), _LINK_SCHEMA + ", own binary")
     found = checkpointed(with_text(_bundled(snippets, "x", "xm", 4 << 20)).mapInArrow(_verify(words, threshold), _FOUND_SCHEMA))
-    return found.union(_others(runs.where("ym < 0"), found, with_text, words, threshold))
+    return found.union(_others(runs.where("ym < 0"), found, texts, words, threshold))
 
 
 def repeated_passages(docs: DataFrame, words: int = 50, threshold: float = 0.8) -> DataFrame:
