@@ -554,6 +554,8 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
     side, x, xm, place, lo, hi, reach = (rows.column(c).to_numpy() for c in ("side", "x", "xm", "ym", "lo", "hi", "reach"))
     own = [np.frombuffer(v, np.uint32).astype(np.uint64) for v in rows.column("own").to_pylist()]
     sets = [np.unique(v) for v in own]
+    # a passage lacks at most as many of its row's shingles as there are other starts
+    fewest = np.maximum([len(v) for v in sets] - (hi - lo), 1)
     holders = np.flatnonzero(side == 0)
     if not len(holders):
         return []
@@ -565,8 +567,7 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
     for u in np.flatnonzero(side == 1).tolist():
         left, right = np.searchsorted(posted, sets[u], "left"), np.searchsorted(posted, sets[u], "right")
         common = np.bincount(np.concatenate([of[a:b] for a, b in zip(left, right, strict=True)]), minlength=len(holders))
-        # a passage lacks at most as many of the row's shingles as there are other starts
-        need = max(1, math.ceil(threshold * (len(sets[u]) - int(hi[u] - lo[u])) - 1e-9))
+        need = np.ceil(threshold / (1 + threshold) * (fewest[u] + fewest[holders]) - 1e-9)
         shift = place[u] - place[holders]
         same = (x[holders] == x[u]) & (xm[holders] == xm[u])
         earlier = np.where(same, shift >= words, (x[holders] < x[u]) | ((x[holders] == x[u]) & (xm[holders] < xm[u])))
