@@ -29,6 +29,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MAX_BROADCAST = 10_000
 #: Each text is scored by the model of the other folds' texts.
 FOLDS = 2
+#: Rows of a model's table for each of its partitions.
+PART_ROWS = 100_000
 _UNIT = float(1 << 32)
 _CLASS: list[np.ndarray] = []
 
@@ -109,6 +111,12 @@ def history_tag(n: int) -> int:
     return ((8 + n) << (BITS * ORDER)) - (1 << 64)
 
 
+def in_parts(table: DataFrame, rows: int) -> DataFrame:
+    """A table of `rows` rows at most in no more partitions than these need: the lower orders are
+    small, and each partition costs files in every shuffle and checkpoint."""
+    return table.coalesce(max(1, -(-rows // PART_ROWS)))
+
+
 def smooth(counts: DataFrame) -> DataFrame:
     """Rows (lang, key, logp): natural log of the interpolated modified Kneser-Ney
     probability of the last character of each n-gram after the others, for 5-grams
@@ -120,11 +128,13 @@ def smooth(counts: DataFrame) -> DataFrame:
     1, 2 and 3 or more come from the counts of counts of each language and
     order; where those are too few, 0.5, 1 and 1.5.
     """
-    tables = {ORDER: checkpointed(counts)}
+    counts = checkpointed(counts)
+    rows = {ORDER: counts.count()}
+    tables = {ORDER: in_parts(counts, rows[ORDER])}
     for n in range(ORDER - 1, 0, -1):
-        tables[n] = checkpointed(
-            tables[n + 1].groupBy("lang", F.col("key").bitwiseAND((1 << (BITS * n)) - 1).alias("key")).agg(F.count("*").alias("a"))
-        )
+        lower = tables[n + 1].groupBy("lang", F.col("key").bitwiseAND((1 << (BITS * n)) - 1).alias("key")).agg(F.count("*").alias("a"))
+        tables[n] = checkpointed(in_parts(lower, rows[n + 1]))
+        rows[n] = tables[n].count()
     below, out = None, []
     for n in range(1, ORDER + 1):
         table = tables[n]
@@ -145,7 +155,7 @@ def smooth(counts: DataFrame) -> DataFrame:
             .join(levels, "lang")
             .select("lang", "h", "s", "types", "d1", "d2", "d3", ((F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * F.col("c3")) / F.col("s")).alias("g"))
         )
-        sizes = checkpointed(sizes)
+        sizes = checkpointed(in_parts(sizes, rows[n]))
         own = table.withColumn("h", history).join(sizes, ["lang", "h"])
         first = (F.col("a") - mine) / F.col("s")
         if below is None:
@@ -155,7 +165,7 @@ def smooth(counts: DataFrame) -> DataFrame:
             done = own.withColumn("suffix", F.col("key").bitwiseAND((1 << (BITS * (n - 1))) - 1)).join(lower, ["lang", "suffix"]).select(
                 "lang", "key", (first + F.col("g") * F.col("q")).alias("p")
             )
-        below = checkpointed(done)
+        below = checkpointed(in_parts(done, rows[n]))
         left = F.col("g") if n > 1 else F.col("g") / (F.col("types") + 1)
         out.append(below.select("lang", F.col("key").bitwiseOR(F.lit(gram_tag(n))).alias("key"), F.log("p").alias("logp")))
         out.append(sizes.select("lang", F.col("h").bitwiseOR(F.lit(history_tag(n))).alias("key"), F.log(left).alias("logp")))
