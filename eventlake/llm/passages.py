@@ -421,47 +421,70 @@ def _bundles(key: int, fill: int):
 _BUNDLE = "doc bigint, mark bigint, rows binary"
 
 
-def _bundled(rows: DataFrame, doc: str, mark: str, fill: int) -> DataFrame:
-    at = rows.columns.index(doc)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, doc, mark, F.pmod(F.xxhash64("x", "y", "lo"), F.lit(8))).sortWithinPartitions(doc, mark).mapInArrow(_bundles(at, fill), _BUNDLE)
-
-
-def _reach(hashes: np.ndarray, start: int, span: int) -> int:
-    """The last start after `start` up to which all have the same set of shingles."""
-    after, width = hashes[start + 1 : start + span + 1], 4 * span
-    if len(after) < span or not (after == hashes[start]).any() or not (hashes[start : start + span] == after[-1]).any():
-        return start
-    while True:
-        same = repeats(hashes[start : start + width], span)[1][1:]
-        if not same.all():
-            return start + int(np.argmin(same))
-        if start + width >= len(hashes):
-            return start + len(same)
-        width *= 4
+#: Rows of one text that are dealt to one task; only texts of more rows are sent, and cut into words, more than once.
+_SHARE = 2048
 
 
-def _text_shingles(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, np.ndarray]]:
-    """For each row (doc, mark, rows, text): its doc, the bundled rows and the text's shingle hashes."""
-    for k in range(batch.num_rows):
-        data, offsets = text_buffer(batch.column(3).slice(k, 1))
-        hashes = shingle_hashes(Words(data, offsets, lower=True).hash)
-        hashes = hashes[: max(len(hashes) - SHINGLE + 1, 0)]
-        yield batch.column(0)[k].as_py(), pa.ipc.open_stream(batch.column(2)[k].as_buffer()).read_all(), hashes
+def _bundled(rows: DataFrame, doc: str, mark: str, fill: int, counted: DataFrame | None = None) -> DataFrame:
+    """`counted`: a stored table with as many rows of each text as `rows` (None: rows itself)."""
+    columns = rows.columns
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = (rows if counted is None else counted).groupBy(doc, mark).agg(F.count("*").alias("n")).where(F.col("n") > _SHARE)
+    many = many.select(doc, mark, F.ceil(F.col("n") / _SHARE).alias("shares"))
+    rows = rows.join(F.broadcast(many), [doc, mark], "left")  # few: one for _SHARE rows at most
+    share = F.pmod(F.xxhash64("x", "y", "lo"), F.coalesce(F.col("shares"), F.lit(1)))
+    rows = rows.repartition(parts, doc, mark, share).select(*columns).sortWithinPartitions(doc, mark)
+    return rows.mapInArrow(_bundles(columns.index(doc), fill), _BUNDLE)
+
+
+def _last_like(hashes: np.ndarray, span: int) -> np.ndarray:
+    """For each start the last one after it up to which all have the same set of shingles."""
+    n, m = len(hashes), len(hashes) - span + 1
+    order = np.argsort(hashes, kind="stable")
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    ahead, back = np.full(n, span + 1), np.full(n, span + 1)  # how far the next and the previous one of the same shingle are
+    ahead[order[:-1][equal]] = back[order[1:][equal]] = np.diff(order)[equal]
+    differs = np.flatnonzero(~((ahead[: m - 1] <= span) & (back[span : span + m - 1] <= span))) + 1
+    return np.r_[differs, m][np.searchsorted(differs, np.arange(m), "right")] - 1
+
+
+def _text_shingles(batch: pa.RecordBatch) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """For each row (doc, mark, rows, text): the bundled rows and the text's shingle hashes."""
+    data, offsets = text_buffer(batch.column(3))
+    for lo, hi in row_slices(offsets, 1 << 20):
+        w = Words(data, offsets[lo : hi + 1], lower=True)
+        hashes = shingle_hashes(w.hash)
+        for k in range(lo, hi):
+            begin, end = int(w.first[k - lo]), int(w.first[k - lo + 1])
+            rows = pa.ipc.open_stream(batch.column(2)[k].as_buffer()).read_all()
+            yield rows, hashes[begin : max(end - SHINGLE + 1, begin)]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], fill: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `fill` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > fill:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _snippets(span: int):
     """Bundles of y with its text -> the links, with the hashes of y's shingles lo - shift .. hi - shift + span."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, rows, hashes in _text_shingles(batch):
+            for rows, hashes in _text_shingles(batch):
                 shift, lo, hi = (rows.column(c).to_numpy() for c in ("shift", "lo", "hi"))
                 own = [hashes[a - s : b - s + span].tobytes() for s, a, b in zip(shift, lo, hi, strict=True)]
                 columns = [rows.column(c).combine_chunks() for c in _LINK]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.binary())], [*_LINK, "own"])
 
-    return run
+    return lambda batches: _gathered(made(batches))
 
 
 def similar_starts(a: np.ndarray, b: np.ndarray, span: int, threshold: float) -> np.ndarray:
@@ -508,10 +531,10 @@ def _verify(words: int, threshold: float):
     """Bundles of x with its text -> verified spans of words start..end of x."""
     span = words - SHINGLE + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, rows, hashes in _text_shingles(batch):
-                out = []
+            for rows, hashes in _text_shingles(batch):
+                out, last_like = [], None
                 for x, xm, y, _ym, shift, lo, hi, own in zip(*(rows.column(c).to_pylist() for c in [*_LINK, "own"]), strict=True):
                     level = similar_starts(hashes[lo : hi + span], np.frombuffer(own, np.uint64), span, threshold)
                     good = np.flatnonzero(level)
@@ -521,30 +544,46 @@ def _verify(words: int, threshold: float):
                     for s, e in zip(heads, [*heads[1:], len(good)], strict=True):
                         a, b = lo + int(good[s]), lo + int(good[e - 1]) + words
                         out.append((x, xm, a, b, y, a - shift, float(level[good[s:e]].min())))
-                    if good[-1] == hi - lo and (last := _reach(hashes, hi, span)) > hi:
-                        out.append((x, xm, hi, last + words, y, hi - shift, float(level[-1])))
+                    if good[-1] == hi - lo:
+                        last_like = _last_like(hashes, span) if last_like is None else last_like
+                        if (last := int(last_like[hi])) > hi:
+                            out.append((x, xm, hi, last + words, y, hi - shift, float(level[-1])))
                 if out:
                     kinds = [pa.int64()] * 6 + [pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], _FOUND)
 
-    return run
+    return lambda batches: _gathered(made(batches))
 
 
 def _contents(span: int):
     """Bundles of x with its text -> the rows, with the upper halves of the hashes of x's
     shingles lo .. hi + span and the last start like hi."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, rows, hashes in _text_shingles(batch):
-                ends = [(int(a), int(b)) for a, b in zip(rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), strict=True)]
+            for rows, hashes in _text_shingles(batch):
+                lo, hi = rows.column("lo").to_numpy(), rows.column("hi").to_numpy()
                 halves = (hashes >> np.uint64(32)).astype(np.uint32)
-                own = [halves[a : b + span].tobytes() for a, b in ends]
-                reach = {b: _reach(hashes, b, span) for _, b in ends}
+                own = [halves[a : b + span].tobytes() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 columns = [rows.column(c).combine_chunks() for c in _LINK]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.binary()), pa.array([reach[b] for _, b in ends])], [*_LINK, "own", "reach"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(own, pa.binary()), pa.array(_last_like(hashes, span)[hi])], [*_LINK, "own", "reach"])
+
+    return lambda batches: _gathered(made(batches))
 
-    return run
+
+def _sliding_sum(marks: np.ndarray, span: int) -> np.ndarray:
+    """Sums of each `span` consecutive columns."""
+    total = np.zeros((marks.shape[0], marks.shape[1] + 1), np.int32)
+    np.cumsum(marks, axis=1, out=total[:, 1:])
+    return total[:, span:] - total[:, :-span]
+
+
+def _again(shingles: np.ndarray, span: int) -> np.ndarray:
+    """Whether each shingle stands among the `span` - 1 before it too."""
+    order = np.argsort(shingles, kind="stable")
+    out = np.zeros(len(shingles), bool)
+    out[order[1:]] = (shingles[order[1:]] == shingles[order[:-1]]) & (np.diff(order) < span)
+    return out
 
 
 def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
@@ -566,7 +605,11 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
     out = []
     for u in np.flatnonzero(side == 1).tolist():
         left, right = np.searchsorted(posted, sets[u], "left"), np.searchsorted(posted, sets[u], "right")
-        common = np.bincount(np.concatenate([of[a:b] for a, b in zip(left, right, strict=True)]), minlength=len(holders))
+        times = right - left
+        at = np.repeat(left - np.cumsum(times) + times, times) + np.arange(times.sum())
+        holds = np.zeros((len(holders), len(sets[u])), bool)  # which of u's shingles each holder has
+        holds[of[at], np.repeat(np.arange(len(times)), times)] = True
+        common = holds.sum(axis=1)
         need = np.ceil(threshold / (1 + threshold) * (fewest[u] + fewest[holders]) - 1e-9)
         shift = place[u] - place[holders]
         same = (x[holders] == x[u]) & (xm[holders] == xm[u])
@@ -574,10 +617,21 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
         begin, end = np.maximum(lo[u], lo[holders] + shift), np.minimum(hi[u], hi[holders] + shift)
         fit = np.flatnonzero((common >= need) & earlier & (begin <= end))
         bare = np.ones(int(hi[u] - lo[u]) + 1, bool)
-        for k in fit[np.argsort(-common[fit], kind="stable")].tolist():
+        if not len(fit):
+            continue
+        fit = fit[np.argsort(-common[fit], kind="stable")]
+        # a passage has no more in common with a holder's than it has places whose shingle the holder has at all
+        place_of = np.searchsorted(sets[u], own[u])
+        most = _sliding_sum(holds[fit][:, place_of], span)
+        size = span - _sliding_sum(_again(own[u], span)[None], span)  # distinct shingles of each passage, at least
+        least = np.maximum(threshold * np.maximum(size, fewest[holders[fit]][:, None]), threshold / (1 + threshold) * (size + fewest[holders[fit]][:, None]))
+        start = np.arange(lo[u], hi[u] + 1)
+        likely = (most >= least - 1e-9) & (start >= begin[fit][:, None]) & (start <= end[fit][:, None])
+        to_do = np.flatnonzero(likely.any(axis=1))
+        while len(to_do):
+            row, to_do = int(to_do[0]), to_do[1:]
+            k = fit[row]
             h, a, b, d = holders[k], int(begin[k]), int(end[k]), int(shift[k])
-            if not bare[a - lo[u] : b - lo[u] + 1].any():
-                continue
             level = similar_starts(own[u][a - lo[u] : b - lo[u] + span], own[h][a - d - lo[h] : b - d - lo[h] + span], span, threshold)
             good = level > 0
             if not (good & bare[a - lo[u] : b - lo[u] + 1]).any():
@@ -588,8 +642,7 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
             if good[-1] and b == hi[u] and reach[u] > b:
                 out.append((x[u], xm[u], b, int(reach[u]) + words, x[h], b - d, float(level[-1])))
             bare[a - lo[u] : b - lo[u] + 1] &= ~good
-            if not bare.any():
-                break
+            to_do = to_do[(likely[to_do] & bare).any(axis=1)]
     return out
 
 
@@ -679,8 +732,8 @@ def _found(source: DataFrame, words: int, threshold: float) -> DataFrame:
 
     pairs = runs.where("ym >= 0")
     with_text = texts(pairs.select(F.col("x").alias("doc"), F.col("xm").alias("mark")).union(pairs.select("y", "ym")))
-    snippets = with_text(_bundled(runs.where("ym >= 0"), "y", "ym", 1 << 20)).mapInArrow(_snippets(span), _LINK_SCHEMA + ", own binary")
-    found = checkpointed(with_text(_bundled(snippets, "x", "xm", 4 << 20)).mapInArrow(_verify(words, threshold), _FOUND_SCHEMA))
+    snippets = with_text(_bundled(pairs, "y", "ym", 1 << 20)).mapInArrow(_snippets(span), _LINK_SCHEMA + ", own binary")
+    found = checkpointed(with_text(_bundled(snippets, "x", "xm", 4 << 20, pairs)).mapInArrow(_verify(words, threshold), _FOUND_SCHEMA))
     return found.union(_others(runs.where("ym < 0"), found, texts, words, threshold))
 
 

@@ -1,4 +1,7 @@
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventlake.llm import passages
@@ -143,3 +146,44 @@ def test_repeats_and_prefix_runs_equal_brute_force(rng):
     got = {(int(p), s) for places, first, last in runs for p, a, b in zip(places, first, last, strict=True) for s in range(a, b + 1)}
     want = {(s + k, s) for s, w in enumerate(windows) for k, v in enumerate(w) if v not in w[:k] and sum(u < v for u in w) < 6}
     assert got == want
+
+
+def test_a_text_of_few_rows_is_sent_once(spark):
+    rows = [(d, 1, 90 + k, 2, k % 5, k, k + 3) for d in range(3) for k in range(200)] + [(7, 1, k, 2, 0, k, k) for k in range(5000)]
+    links = spark.createDataFrame(rows, passages._LINK_SCHEMA)
+    got = passages._bundled(links, "x", "xm", 1 << 20).collect()
+    sent = Counter(r["doc"] for r in got)
+    assert [sent[d] for d in range(3)] == [1, 1, 1] and 1 <= sent[7] <= 3
+    back = [tuple(r.values()) for b in got for r in pa.ipc.open_stream(b["rows"]).read_all().to_pylist()]
+    assert sorted(back) == sorted(rows)
+
+
+def test_rows_of_a_key_are_compared_only_where_a_passage_can_match(monkeypatch):
+    """Copies with one changed word each at places that all passages of a row hold: no two are similar."""
+    base, calls = np.arange(1000, 1070, dtype=np.uint32), []
+
+    def changed(at, n):
+        out = base.copy()
+        out[at : at + 5] = np.arange(5) + 10_000 * (n + 1)
+        return out
+
+    def meet(copies):
+        rows = [(s, k, 0, 50, 0, 24, 24, v.tobytes()) for k, v in enumerate(copies) for s in (0, 1)]
+        columns = zip(["side", "x", "xm", "ym", "lo", "hi", "reach", "own"], zip(*rows, strict=True), strict=True)
+        return passages._meet(pa.table({n: pa.array(v, pa.binary() if n == "own" else pa.int64()) for n, v in columns}), 50, 0.8)
+
+    real = passages.similar_starts
+    monkeypatch.setattr(passages, "similar_starts", lambda *a: calls.append(1) or real(*a))
+    copies = [changed(24 + k, k) for k in range(17)]
+    assert meet(copies) == [] and len(calls) == 0
+    found = meet([base, *copies])
+    assert {(r[0], r[4]) for r in found} == {(k, 0) for k in range(1, 18)} and len(calls) == 17
+
+
+def test_last_start_with_the_same_set_of_shingles(rng):
+    for k in range(60):
+        x = np.tile(rng.integers(0, 50, int(rng.integers(1, 30))), 60)[: int(rng.integers(46, 200))].astype(np.uint64)
+        x[int(rng.integers(0, len(x))) :] += np.uint64(k % 2 * 100)
+        sets = [set(x[i : i + 46].tolist()) for i in range(len(x) - 45)]
+        want = [next((j - 1 for j in range(i + 1, len(sets)) if sets[j] != sets[i]), len(sets) - 1) for i in range(len(sets))]
+        assert passages._last_like(x, 46).tolist() == want
