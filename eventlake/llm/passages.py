@@ -571,6 +571,10 @@ def _contents(span: int):
     return lambda batches: _gathered(made(batches))
 
 
+#: Up to so many holders are compared without a look at what they have in common with each passage.
+_FEW = 8
+
+
 def _sliding_sum(marks: np.ndarray, span: int) -> np.ndarray:
     """Sums of each `span` consecutive columns."""
     total = np.zeros((marks.shape[0], marks.shape[1] + 1), np.int32)
@@ -607,9 +611,7 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
         left, right = np.searchsorted(posted, sets[u], "left"), np.searchsorted(posted, sets[u], "right")
         times = right - left
         at = np.repeat(left - np.cumsum(times) + times, times) + np.arange(times.sum())
-        holds = np.zeros((len(holders), len(sets[u])), bool)  # which of u's shingles each holder has
-        holds[of[at], np.repeat(np.arange(len(times)), times)] = True
-        common = holds.sum(axis=1)
+        common = np.bincount(of[at], minlength=len(holders))
         need = np.ceil(threshold / (1 + threshold) * (fewest[u] + fewest[holders]) - 1e-9)
         shift = place[u] - place[holders]
         same = (x[holders] == x[u]) & (xm[holders] == xm[u])
@@ -620,13 +622,16 @@ def _meet(rows: pa.Table, words: int, threshold: float) -> list[tuple]:
         if not len(fit):
             continue
         fit = fit[np.argsort(-common[fit], kind="stable")]
-        # a passage has no more in common with a holder's than it has places whose shingle the holder has at all
-        place_of = np.searchsorted(sets[u], own[u])
-        most = _sliding_sum(holds[fit][:, place_of], span)
-        size = span - _sliding_sum(_again(own[u], span)[None], span)  # distinct shingles of each passage, at least
-        least = np.maximum(threshold * np.maximum(size, fewest[holders[fit]][:, None]), threshold / (1 + threshold) * (size + fewest[holders[fit]][:, None]))
         start = np.arange(lo[u], hi[u] + 1)
-        likely = (most >= least - 1e-9) & (start >= begin[fit][:, None]) & (start <= end[fit][:, None])
+        likely = (start >= begin[fit][:, None]) & (start <= end[fit][:, None])
+        if len(fit) > _FEW:
+            # a passage has no more in common with a holder's than it has places whose shingle the holder has at all
+            holds = np.zeros((len(holders), len(sets[u])), bool)
+            holds[of[at], np.repeat(np.arange(len(times)), times)] = True
+            most = _sliding_sum(holds[fit][:, np.searchsorted(sets[u], own[u])], span)
+            size = span - _sliding_sum(_again(own[u], span)[None], span)  # distinct shingles of each passage, at least
+            other = fewest[holders[fit]][:, None]
+            likely &= most >= np.maximum(threshold * np.maximum(size, other), threshold / (1 + threshold) * (size + other)) - 1e-9
         to_do = np.flatnonzero(likely.any(axis=1))
         while len(to_do):
             row, to_do = int(to_do[0]), to_do[1:]
