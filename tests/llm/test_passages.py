@@ -173,6 +173,7 @@ def test_rows_of_a_key_are_compared_only_where_a_passage_can_match(monkeypatch):
         return passages._meet(pa.table({n: pa.array(v, pa.binary() if n == "own" else pa.int64()) for n, v in columns}), 50, 0.8)
 
     real = passages.similar_starts
+    monkeypatch.setattr(passages, "_FEW", 0)
     monkeypatch.setattr(passages, "similar_starts", lambda *a: calls.append(1) or real(*a))
     copies = [changed(24 + k, k) for k in range(17)]
     assert meet(copies) == [] and len(calls) == 0
