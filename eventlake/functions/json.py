@@ -24,12 +24,9 @@ def object_entries(text: Column) -> Column:
     """Entries of a JSON object in document order; NULL when `text` is no object."""
     as_text = F.from_json(text, "map<string,string>")
     as_variant = F.from_json(text, "map<string,variant>")
-    zipped = F.arrays_zip(F.map_entries(as_text), F.map_values(as_variant))
-    entries = F.transform(
-        zipped,
-        lambda e: F.struct(
-            e["0"]["key"].alias("k"), e["0"]["value"].alias("raw"), e["1"].alias("v")
-        ),
+    entries = F.zip_with(
+        F.map_entries(as_text), F.map_values(as_variant),
+        lambda e, v: F.struct(e["key"].alias("k"), e["value"].alias("raw"), v.alias("v")),
     )
     return F.when(starts_with_char(text, "{"), entries)
 

@@ -212,17 +212,17 @@ class RuleTable:
         if size > max_bytes:
             raise ValueError(f"the property rules take more than {max_bytes} bytes")
         held = rows.select("*", F.xxhash64("project", "key").alias("at"), F.xxhash64("project").alias("name_at"), F.length("project").alias("n")).toArrow()
-        rules = [(r["at"], {k: r[k] for k in ("project", "key", "rule_order", "type", "out")}) for r in held.to_pylist()]
+        rules = [(r["at"], {k: r[k] for k in ("rule_order", "type", "out", "project", "key")}) for r in held.to_pylist()]
         names = {(r["name_at"], r["project"]) for r in held.select(["name_at", "project"]).to_pylist()}
         spark = rows.sparkSession
-        rule = "struct<project:string,key:string,rule_order:int,type:int,out:string>"
+        rule = "struct<rule_order:int,type:int,out:string,project:string,key:string>"
         return RuleTable(_one_value(spark, _places(rules), rule), _one_value(spark, _places(names), "string"), tuple(sorted(set(held["n"].to_pylist()))))
 
 
 def _places(items: Iterable[tuple[int, object]]) -> list[list]:
-    """Items (64-bit hash, value) by place; a power of two of places, no fewer than items."""
+    """Items (64-bit hash, value) by place; a power of two of places, four times the items or more, so that most are empty."""
     items = list(items)
-    out: list[list] = [[] for _ in range(1 << max(0, (len(items) - 1).bit_length()))]
+    out: list[list] = [[] for _ in range(4 << max(0, (len(items) - 1).bit_length()))]
     for h, value in items:
         out[h % len(out)].append(value)
     return out
@@ -235,16 +235,18 @@ def _one_value(spark: SparkSession, places: list[list], item: str) -> DataFrame:
 
 #: Projects with rules whose name lies in a text: every part of the text that has the length of a name is
 #: looked up, so the work depends on the text and on the different lengths, not on the number of projects.
-_NAMED_SQL = """transform(array(_names), nt -> array_distinct(flatten(transform(filter({lengths}, n -> n <= length({text})),
-  n -> filter(transform(sequence(1, length({text}) - n + 1), i -> substr({text}, i, n)),
-    s -> array_contains(get(nt, CAST(pmod(xxhash64(s), size(nt)) AS INT)), s))))))[0]"""
+#: Text and table are read once, so that they are no columns of their own, which would be copied into every row.
+_NAMED_SQL = """transform(array(named_struct('names', _names, 'text', {text})), b -> CASE WHEN b.text IS NOT NULL THEN
+  array_distinct(flatten(transform(filter({lengths}, n -> n <= length(b.text)),
+    n -> filter(transform(sequence(1, length(b.text) - n + 1), i -> substr(b.text, i, n)),
+      s -> array_contains(get(b.names, CAST(pmod(xxhash64(s), size(b.names)) AS INT)), s))))) END)[0]"""
 
 
 def named_in(df: DataFrame, text: str, table: RuleTable, name: str) -> DataFrame:
     """Adds the projects with rules whose name is a substring of the text column."""
     lengths = "CAST(array(" + ", ".join(map(str, table.lengths)) + ") AS array<int>)"
     found = F.expr(_NAMED_SQL.format(text=f"`{text}`", lengths=lengths))
-    return df.withColumn("_names", table.names.scalar()).withColumn(name, F.when(F.col(text).isNotNull(), found)).drop("_names")
+    return df.withColumn("_names", table.names.scalar()).withColumn(name, found).drop("_names")
 
 
 def matched_wiring(meta: Metadata) -> DataFrame:

@@ -21,12 +21,18 @@ from pyspark.sql import functions as F
 
 from eventlake import constants as C
 from eventlake.config import PipelineConfig
-from eventlake.functions.json import is_empty_value
 from eventlake.functions.text import is_not_blank
 from eventlake.operators.metadata import RuleTable, named_in
 
 ITEM_TYPE = "struct<k:string,v:variant,t:string>"
 
+OVERLAY_KEYS = (
+    C.PROP_APP_VERSION, C.PROP_DEVICE_ID, C.PROP_EVENT_NAME, C.PROP_LOGIN_ID, C.PROP_IS_LOGIN_ID,
+    C.PROP_RECORD_KEY, C.PROP_DATE, C.PROP_SERVER, C.PROP_GROUP, C.PROP_TOPIC, C.PROP_PARTITION,
+    C.PROP_OFFSET,
+)
+OVERLAY_SQL = ", ".join(f"'{k}'" for k in OVERLAY_KEYS)
+
 # The walk is written as SQL text: one parse in the JVM per level instead of
 # thousands of client calls building the same nested lambdas.
 
@@ -48,65 +54,71 @@ CAST_SQL = """CASE
     WHEN {kind} = 'INTEGER' THEN CAST(try_variant_get({v}, '$', 'bigint') <> 0 AS VARIANT)
     WHEN {kind} = 'STRING' THEN CAST(trim({raw}) = 'true' AS VARIANT) ELSE CAST(false AS VARIANT) END
   WHEN {t} IN (2, 3) THEN CASE WHEN {kind} = 'NULL' THEN CAST(NULL AS VARIANT)
-    WHEN {kind} IN ('OBJECT', 'ARRAY') THEN CAST('' AS VARIANT) ELSE CAST({raw} AS VARIANT) END
-  WHEN {t} = 4 THEN CASE WHEN {kind} = 'ARRAY' AND forall(try_variant_get({v}, '$', 'array<variant>'),
+    WHEN {kind} IN ('OBJECT', 'ARRAY') OR {raw} = '' THEN CAST(NULL AS VARIANT) ELSE CAST({raw} AS VARIANT) END
+  WHEN {t} = 4 THEN CASE WHEN {kind} = 'ARRAY' AND size(try_variant_get({v}, '$', 'array<variant>')) > 0 AND forall(try_variant_get({v}, '$', 'array<variant>'),
     el -> NOT startswith(schema_of_variant(el), 'OBJECT')) THEN {v} END
   END"""
 
-ENTRIES_SQL = """CASE WHEN startswith(ltrim({text}), '{{') THEN transform(
-  arrays_zip(map_entries(from_json({text}, 'map<string,string>')), map_values(from_json({text}, 'map<string,variant>'))),
-  z -> named_struct('k', z.`0`.key, 'raw', z.`0`.value, 'v', z.`1`)) END"""
-
 ITEM_NULL = "named_struct('k', CAST(NULL AS STRING), 'v', CAST(NULL AS VARIANT), 't', CAST(NULL AS STRING))"
 
 
-#: The rule of key `x.key` for the row's own projects (`_projects`) in the hash table `rt`; of several the last one in rule order wins.
-RULE_SQL = """array_max(flatten(transform(_projects, p -> transform(
-  filter(get(rt, CAST(pmod(xxhash64(p, x.key), size(rt)) AS INT)), r -> r.key = x.key AND r.project = p),
-  r -> named_struct('rule_order', r.rule_order, 'type', r.type, 'out', r.out)))))"""
+#: The place of key `{key}` of project p in the hash table `b.rules`.
+PLACE_SQL = "get(b.rules, CAST(pmod(xxhash64(p, {key}), size(b.rules)) AS INT))"
+#: Whether the places of a key hold any rule (most are empty), and its rule for the row's own projects `b.projects`: of several the
+#: last one in rule order wins (`rule_order` is the first field of a rule).
+MAY_RULE_SQL = f"exists(b.projects, p -> size({PLACE_SQL}) > 0)"
+RULE_SQL = f"array_max(flatten(transform(b.projects, p -> filter({PLACE_SQL}, r -> r.key = {{key}} AND r.project = p))))"
+
+# A value's text and its VARIANT; the text of an object begins with '{', that of an array with '['.  An empty value (NULL, JSON
+# null, '', an array without elements) becomes NULL here, so that no later step looks into a VARIANT again.
+KEEP_SQL = "CASE WHEN {raw} <> '' THEN {v} END"
+
 
+def item_sql(key: str, raw: str, v: str) -> str:
+    """One entry -> item: ruled / descend / drop / keep.  Only a ruled entry asks for its kind."""
+    found = f"filter(array({RULE_SQL.format(key=key)}), r -> r IS NOT NULL)"
+    typed = f"transform({found}, r -> named_struct('type', r.type, 'out', r.out, 'sv', schema_of_variant({v})))"
+    kinds = f"transform({typed}, r -> named_struct('type', r.type, 'out', r.out, 'kind', {KIND_SQL.format(sv='r.sv')}))"
+    cast = CAST_SQL.format(t="r.type", kind="r.kind", v=v, raw=raw)
+    ruled = (f"get(transform({kinds}, r -> CASE WHEN r.kind = 'OBJECT' THEN {ITEM_NULL} "
+             f"ELSE named_struct('k', r.out, 'v', {cast}, 't', CAST(NULL AS STRING)) END), 0)")
+    return f"""coalesce(CASE WHEN {MAY_RULE_SQL.format(key=key)} THEN {ruled} END, CASE
+      WHEN startswith(ltrim({raw}), '{{') AND {v} IS NOT NULL THEN named_struct('k', {key}, 'v', {v}, 't', {raw})
+      WHEN startswith(ltrim({raw}), '[') AND startswith(schema_of_variant({v}), 'ARRAY') THEN {ITEM_NULL}
+      ELSE named_struct('k', {key}, 'v', {KEEP_SQL.format(raw=raw, v=v)}, 't', CAST(NULL AS STRING)) END)"""
 
-def classify_sql(entries: str) -> str:
-    """Entries -> items: the passes find each entry's key and type once, then its kind and rule, then
-    decide: ruled / descend / drop / keep."""
-    typed = f"transform({entries}, e -> named_struct('key', lower(e.k), 'raw', e.raw, 'v', e.v, 'sv', schema_of_variant(e.v)))"
-    annotate = (f"transform({typed}, x -> named_struct('key', x.key, 'raw', x.raw, 'v', x.v, "
-                f"'kind', {KIND_SQL.format(sv='x.sv')}, 'rule', {RULE_SQL}))")
-    cast = CAST_SQL.format(t="x.rule.type", kind="x.kind", v="x.v", raw="x.raw")
-    decide = f"""x -> CASE
-      WHEN x.rule IS NOT NULL THEN CASE WHEN x.kind = 'OBJECT' THEN {ITEM_NULL}
-        ELSE named_struct('k', x.rule.out, 'v', {cast}, 't', CAST(NULL AS STRING)) END
-      WHEN x.kind = 'OBJECT' OR (x.kind = 'STRING' AND startswith(ltrim(x.raw), '{{'))
-        THEN named_struct('k', x.key, 'v', x.v, 't', x.raw)
-      WHEN x.kind = 'ARRAY' THEN {ITEM_NULL}
-      ELSE named_struct('k', x.key, 'v', x.v, 't', CAST(NULL AS STRING)) END"""
-    return f"transform({annotate}, {decide})"
+
+def opened_sql(text: str) -> str:
+    """The items of an object's text, made in one pass over its entries; NULL for text that holds no object."""
+    return (f"CASE WHEN startswith(ltrim({text}), '{{') THEN zip_with(map_entries(from_json({text}, 'map<string,string>')), "
+            f"map_values(from_json({text}, 'map<string,variant>')), (e, v) -> {item_sql('lower(e.key)', 'e.value', 'v')}) END")
 
 
 def walk_sql(rules: str) -> str:
     """The whole walk.  A step replaces pending items by their object's items; text
     that turns out to hold no object is kept as it is."""
-    inner = classify_sql(ENTRIES_SQL.format(text="it.t"))
     keep = "array(named_struct('k', it.k, 'v', it.v, 't', CAST(NULL AS STRING)))"
-    level = f"flatten(transform(acc.items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({inner}, {keep}) END))"
+    level = f"flatten(transform(acc.items, it -> CASE WHEN it.t IS NULL THEN array(it) ELSE coalesce({opened_sql('it.t')}, {keep}) END))"
     state = f"struct<items:array<{ITEM_TYPE}>,pending:boolean>"
     # entries is the outermost level in the form of one pending step: its items are made by the same expression
     steps = "sequence(0, greatest(regexp_count(part_text, '\\\\{|[uU]007[bB]'), 0))"
-    first = f"coalesce({classify_sql('entries')}, CAST(array() AS array<{ITEM_TYPE}>))"
+    first = f"coalesce(transform(entries, e -> {item_sql('lower(e.k)', 'e.raw', 'e.v')}), CAST(array() AS array<{ITEM_TYPE}>))"
     made = "transform(array({items}), x -> named_struct('items', x, 'pending', exists(x, it -> it.t IS NOT NULL)))[0]"
     walk = (
-        f"aggregate({steps}, CAST(NULL AS {state}), (acc, i) -> CAST(CASE "
+        f"aggregate({steps}, CAST(NULL AS {state}), (acc, i) -> CASE "
         f"WHEN acc IS NULL THEN {made.format(items=first)} "
-        f"WHEN acc.pending THEN {made.format(items=level)} ELSE acc END AS {state}), acc -> "
-        "transform(filter(acc.items, it -> it.k IS NOT NULL AND it.t IS NULL), it -> named_struct('k', it.k, 'v', it.v)))"
+        f"WHEN acc.pending THEN {made.format(items=level)} ELSE acc END, acc -> "
+        f"transform(filter(acc.items, it -> it.k NOT IN ({OVERLAY_SQL}) AND it.t IS NULL), it -> named_struct('k', it.k, 'v', it.v)))"
     )
-    return f"transform(array({rules}), rt -> {walk})[0]"
+    # rules and projects are read here only, so that the optimizer computes them in the walk's own projection: as
+    # columns of a projection below the rules would be copied into every row
+    return f"transform(array(named_struct('rules', {rules}, 'projects', _projects)), b -> {walk})[0]"
 
 
 def flatten_properties(df: DataFrame, rules: RuleTable, config: PipelineConfig) -> DataFrame:
-    """Adds flat_items: array<struct<k, v>> in walk order, and signup_items: the same
-    for the events that may be sign-ups, NULL for others, so that an output without
-    properties walks those few rows only.
+    """Adds flat_items: array<struct<k, v>> in walk order (an empty value is NULL, keys of the overlay are
+    left out), and signup_items: the same for the events that may be sign-ups, NULL for others, so
+    that an output without properties walks those few rows only.
 
     Needs columns entries (the part's object entries), part_text, tokens, src_project, and with
     substring matching `list_matches` of the wiring.  A property's rule is looked up by
@@ -125,49 +137,35 @@ def flatten_properties(df: DataFrame, rules: RuleTable, config: PipelineConfig)
     return df.drop("_rules_all", "_rules_signup", "_projects")
 
 
-def _kv(k: str, v: Column) -> Column:
-    return F.struct(F.lit(k).alias("k"), v.cast("variant").alias("v"))
+def _kv(k: str, v: Column, empty: Column) -> Column:
+    """The property as an array of one item, of none where its value is empty."""
+    return F.when(~empty, F.array(F.struct(F.lit(k).alias("k"), v.cast("variant").alias("v")))).otherwise(
+        F.array().cast("array<struct<k:string,v:variant>>"))
 
 
-OVERLAY_KEYS = (
-    C.PROP_APP_VERSION, C.PROP_DEVICE_ID, C.PROP_EVENT_NAME, C.PROP_LOGIN_ID, C.PROP_IS_LOGIN_ID,
-    C.PROP_RECORD_KEY, C.PROP_DATE, C.PROP_SERVER, C.PROP_GROUP, C.PROP_TOPIC, C.PROP_PARTITION,
-    C.PROP_OFFSET,
-)
-
-
-def overlay_items(config: PipelineConfig) -> Column:
-    """Fixed properties and lineage, in the order they are put."""
-    return F.array(
-        _kv(C.PROP_APP_VERSION, F.col("src_app_version")),
-        _kv(C.PROP_DEVICE_ID, F.col("src_device_id")),
-        _kv(C.PROP_EVENT_NAME, F.col("src_event_name")),
-        _kv(C.PROP_LOGIN_ID, F.col("src_login_id")),
-        _kv(C.PROP_IS_LOGIN_ID, F.col("is_login_id")),
-        _kv(C.PROP_RECORD_KEY, F.col("record_key")),
-        _kv(C.PROP_DATE, F.col("date")),
-        _kv(C.PROP_SERVER, F.col("server")),
-        _kv(C.PROP_GROUP, F.col("consumer_group")),
-        _kv(C.PROP_TOPIC, F.col("topic")),
-        _kv(C.PROP_PARTITION, F.col("partition")),
-        _kv(C.PROP_OFFSET, F.col("offset").cast("string")),
-    )
+def overlay_items(config: PipelineConfig) -> list[Column]:
+    """Fixed properties and lineage, in the order they are put; each is an array of at most one item."""
+    text = {
+        C.PROP_APP_VERSION: "src_app_version", C.PROP_DEVICE_ID: "src_device_id", C.PROP_EVENT_NAME: "src_event_name",
+        C.PROP_LOGIN_ID: "src_login_id", C.PROP_RECORD_KEY: "record_key", C.PROP_DATE: "date", C.PROP_SERVER: "server",
+        C.PROP_GROUP: "consumer_group", C.PROP_TOPIC: "topic",
+    }
+    typed = {C.PROP_IS_LOGIN_ID: F.col("is_login_id"), C.PROP_PARTITION: F.col("partition"), C.PROP_OFFSET: F.col("offset").cast("string")}
+    return [_kv(k, typed[k], typed[k].isNull()) if k in typed else _kv(k, F.col(text[k]), F.coalesce(F.col(text[k]) == "", F.lit(True)))
+            for k in OVERLAY_KEYS]
 
 
 def last_wins(items: str) -> str:
-    """Keep the last item of every key, in order: (key, place) pairs are sorted once."""
-    pairs = f"array_sort(transform({items}, (x, i) -> named_struct('k', x.k, 'i', i)))"
+    """Keep the last item of every key, in order: where a key comes twice, (key, place) pairs are sorted once."""
+    pairs = f"sort_array(transform({items}, (x, i) -> named_struct('k', x.k, 'i', i)))"
     ends = "filter(p, (x, i) -> i = size(p) - 1 OR p[i + 1].k <> x.k)"
-    return (f"transform(array_sort(transform(array({pairs}), p -> transform({ends}, x -> x.i))[0]), "
-            f"j -> {items}[j])")
+    return (f"CASE WHEN size(array_distinct({items}.k)) = size({items}) THEN {items} ELSE "
+            f"transform(sort_array(transform(array({pairs}), p -> transform({ends}, x -> x.i))[0]), j -> {items}[j]) END")
 
 
 def assemble_properties(df: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Flat items (last key wins) overridden by the overlay, empties
-    dropped -> map<string, variant>.  Overlay keys are distinct literals and always
-    win (a NULL overlay value removes the key), so only flat items need the
-    last-wins pass."""
-    overlay = F.array(*[F.lit(k) for k in OVERLAY_KEYS])
-    df = df.withColumn("_flat", F.filter(F.col("flat_items"), lambda x: ~F.array_contains(overlay, x.k)))
-    kept = F.filter(F.concat(F.expr(last_wins("_flat")), overlay_items(config)), lambda x: ~is_empty_value(x.v))
-    return df.withColumn("properties", F.map_from_entries(kept)).drop("_flat")
+    """Flat items (last key wins) and the overlay, empties dropped
+    -> map<string, variant>.  Overlay keys are distinct literals that the walk leaves out (a NULL
+    overlay value removes the key), so only flat items need the last-wins pass."""
+    flat = F.filter(F.expr(last_wins("flat_items")), lambda x: x.v.isNotNull())
+    return df.withColumn("properties", F.map_from_entries(F.concat(flat, *overlay_items(config))))

@@ -91,27 +91,25 @@ def split_parts(decoded: DataFrame) -> DataFrame:
     return df.withColumn("entries", entries).drop("_whole", "body_entries")
 
 
-def _last_entry_sql(role: str) -> str:
-    """Last entry (duplicate keys: last wins) of the processor's field for `role`."""
-    branches = [
-        f"WHEN '{name}' THEN try_element_at(filter(entries, e -> e.k = '{fields[role]}'), -1)"
-        for name, fields in ((n, p.fields) for n, p in PROCESSORS.items()) if fields[role] is not None
-    ]
-    return f"CASE processor {' '.join(branches)} END"
+# Text of a JSON value as a node gives it: strings unquoted, numbers and booleans
+# as written, containers '', JSON null (whose raw text is NULL) NULL.
+ENTRY_TEXT_SQL = """CASE WHEN startswith(ltrim({e}.raw), '{{') OR startswith(ltrim({e}.raw), '[')
+  THEN CASE WHEN schema_of_variant({e}.v) = 'STRING' THEN {e}.raw ELSE '' END ELSE {e}.raw END"""
 
 
-# Text of a JSON value as a node gives it: strings unquoted, numbers and booleans
-# as written, containers '', JSON null NULL.
-ENTRY_TEXT_SQL = """CASE WHEN {e} IS NULL OR is_variant_null({e}.v) THEN CAST(NULL AS STRING)
-  WHEN startswith(ltrim({e}.raw), '{{') OR startswith(ltrim({e}.raw), '[')
-    THEN CASE WHEN schema_of_variant({e}.v) = 'STRING' THEN {e}.raw ELSE '' END
-  ELSE {e}.raw END"""
+def _texts_sql() -> str:
+    """Texts of the processor's fields in the order of ROLES; of a key's entries the last one counts, found by its place from the end."""
+    def names(p: Processor) -> str:
+        return ", ".join("CAST(NULL AS STRING)" if p.fields[r] is None else f"'{p.fields[r]}'" for r in ROLES)
+
+    fields = f"CASE processor {' '.join(f"WHEN '{name}' THEN array({names(p)})" for name, p in PROCESSORS.items())} END"
+    found = (f"transform(array(reverse(entries.k)), keys -> transform({fields}, "
+             "f -> try_element_at(entries, CAST(-nullif(array_position(keys, f), 0) AS INT))))[0]")
+    return f"transform({found}, e -> {ENTRY_TEXT_SQL.format(e='e')})"
 
 
 def extract_fields(parts: DataFrame) -> DataFrame:
     """Named fields of each part as text (missing fields NULL); the part's
     entries are kept as the main object for the property flatten."""
-    df = parts.withColumns({f"_le_{r}": F.expr(_last_entry_sql(r)) for r in ROLES})
-    return df.withColumns({f"src_{r}": F.expr(ENTRY_TEXT_SQL.format(e=f"_le_{r}")) for r in ROLES}).drop(
-        *[f"_le_{r}" for r in ROLES]
-    )
+    df = parts.withColumn("_texts", F.expr(_texts_sql()))
+    return df.withColumns({f"src_{r}": F.get("_texts", F.lit(i)) for i, r in enumerate(ROLES)}).drop("_texts")

@@ -124,7 +124,7 @@ def _prop_double(name: str):
 
 
 def _prop_keys():
-    return F.array_join(F.array_sort(F.map_keys("properties")), ",")
+    return F.array_join(F.sort_array(F.map_keys("properties")), ",")
 
 
 def _event_parts(spark: SparkSession, data_dir: str, config: PipelineConfig | None = None,
