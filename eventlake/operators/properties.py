@@ -36,10 +36,9 @@ OVERLAY_SQL = ", ".join(f"'{k}'" for k in OVERLAY_KEYS)
 # The walk is written as SQL text: one parse in the JVM per level instead of
 # thousands of client calls building the same nested lambdas.
 
-KIND_SQL = """CASE WHEN {sv} IS NULL THEN NULL
-  WHEN startswith({sv}, 'OBJECT') THEN 'OBJECT' WHEN startswith({sv}, 'ARRAY') THEN 'ARRAY'
-  WHEN {sv} = 'STRING' THEN 'STRING' WHEN {sv} = 'BOOLEAN' THEN 'BOOLEAN' WHEN {sv} = 'VOID' THEN 'NULL'
-  WHEN {sv} IN ('TINYINT', 'SMALLINT', 'INT', 'BIGINT') THEN 'INTEGER' ELSE 'NUMBER' END"""
+# Kind of a VARIANT by the first word of its schema; all other types are numbers.
+KIND_SQL = """coalesce(try_element_at(map('OBJECT', 'OBJECT', 'ARRAY', 'ARRAY', 'STRING', 'STRING', 'BOOLEAN', 'BOOLEAN', 'VOID', 'NULL',
+  'TINYINT', 'INTEGER', 'SMALLINT', 'INTEGER', 'INT', 'INTEGER', 'BIGINT', 'INTEGER'), substring_index(schema_of_variant({v}), '<', 1)), 'NUMBER')"""
 
 # P17 with D13 fixed: NUMBER reads numbers and numeric text of any length (a JSON
 # number keeps its digits; what DECIMAL cannot hold is read as a double); BOOL reads a JSON
@@ -77,8 +76,7 @@ KEEP_SQL = "CASE WHEN {raw} <> '' THEN {v} END"
 def item_sql(key: str, raw: str, v: str) -> str:
     """One entry -> item: ruled / descend / drop / keep.  Only a ruled entry asks for its kind."""
     found = f"filter(array({RULE_SQL.format(key=key)}), r -> r IS NOT NULL)"
-    typed = f"transform({found}, r -> named_struct('type', r.type, 'out', r.out, 'sv', schema_of_variant({v})))"
-    kinds = f"transform({typed}, r -> named_struct('type', r.type, 'out', r.out, 'kind', {KIND_SQL.format(sv='r.sv')}))"
+    kinds = f"transform({found}, r -> named_struct('type', r.type, 'out', r.out, 'kind', {KIND_SQL.format(v=v)}))"
     cast = CAST_SQL.format(t="r.type", kind="r.kind", v=v, raw=raw)
     ruled = (f"get(transform({kinds}, r -> CASE WHEN r.kind = 'OBJECT' THEN {ITEM_NULL} "
              f"ELSE named_struct('k', r.out, 'v', {cast}, 't', CAST(NULL AS STRING)) END), 0)")
