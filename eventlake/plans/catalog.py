@@ -328,7 +328,7 @@ def main_json(spark: SparkSession, data_dir: str) -> DataFrame:
     value = main.select("server", "topic", "partition", "offset", E.event_json(main).alias("value"))
     return value.withColumn("v", F.from_json("value", head)).select(
         "server", "topic", "partition", "offset", "v.*",
-        F.array_join(F.array_sort(F.filter(F.json_object_keys("value"), lambda k: ~k.isin("properties"))), ",").alias("keys"))
+        F.array_join(F.sort_array(F.array_remove(F.json_object_keys("value"), "properties")), ",").alias("keys"))
 
 
 def invalid_json(spark: SparkSession, data_dir: str) -> DataFrame:
